@@ -22,9 +22,16 @@ from barspark.operators import registry as reg_op
 from barspark.operators import training as train_op
 from barspark.operators.features import compute_features, ema_table, window_columns
 from barspark.operators.validate import validation_report
+from barspark.plans import scoring
 from barspark.plans import sql_oracles as O
+from barspark.plans import training_jobs as jobs
 from barspark.schemas import DATE, TICKER
+from barspark.sources import bars as bars_src
 from barspark.sources import fixtures as fx
+from barspark.sources import fsutil, predlog, store
+from barspark.streaming.features import stream_features
+from barspark.streaming.sources import bar_stream, run_available_now
+from barspark.streaming.windows import stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,6 +298,150 @@ def q_champion_metrics(spark, sf):
     return r6(m.withColumn("champion_version", F.col("champion_version").cast("long")), ["roc_auc"])
 
 
+
+# --- sources, store, serving, streaming, learning -------------------------------------------
+
+BACKFILL_START, BACKFILL_END = "2024-01-10", "2024-01-20"
+UPSERT_OLD_END, UPSERT_START, UPSERT_END = "2024-01-18", "2024-01-15", "2024-01-25"
+LOAD_ONE, LOAD_MANY = "click", ["click", "signup", "view"]
+NORMALIZE_START, NORMALIZE_END = "2024-01-05", "2024-01-25"
+STREAM_SPLIT = "2024-01-16"
+WINDOW_SIZE = 5
+
+
+def q_tail_n(spark, sf):
+    return store.tail_n(_bars(spark, sf), 100).select(TICKER, DATE, "close")
+
+
+def q_latest_features(spark, sf):
+    return r6(store.latest_features(_bars(spark, sf), ENGINEERED_V2), ENGINEERED_V2.feature_names)
+
+
+def q_backfill_range(spark, sf):
+    out = store.backfill_slice(_bars(spark, sf), ENGINEERED_V1, BACKFILL_START, BACKFILL_END)
+    return r6(out, ENGINEERED_V1.feature_names)
+
+
+def q_backfill_upsert(spark, sf):
+    bars = _bars(spark, sf)
+    existing = compute_features(bars.where(F.col(DATE) < F.to_timestamp_ntz(F.lit(UPSERT_OLD_END))), ENGINEERED_V1)
+    new = store.backfill_slice(bars, ENGINEERED_V1, UPSERT_START, UPSERT_END)
+    return r6(store.upsert(existing, new), ENGINEERED_V1.feature_names)
+
+
+def q_score_unknown_tickers(spark, sf):
+    return scoring.request_status(_log(spark, sf), _bars(spark, sf))
+
+
+def _sliding_columns(size: int):
+    def frame(w):
+        return w.rowsBetween(-(size - 1), 0)
+
+    return {
+        "window_start": lambda w: F.first(DATE).over(frame(w)),
+        "n_rows": lambda w: F.count(F.lit(1)).over(frame(w)),
+        "close_first": lambda w: F.first("close").over(frame(w)),
+        "close_last": lambda w: F.col("close"),
+        "close_sum": lambda w: F.sum("close").over(frame(w)),
+    }
+
+
+def q_sliding_windows(spark, sf):
+    rows = window_columns(_bars(spark, sf), _sliding_columns(WINDOW_SIZE), back=WINDOW_SIZE - 1, keep=[])
+    out = rows.where(F.col("n_rows") == WINDOW_SIZE).withColumnRenamed(DATE, "window_end")
+    return r6(out, ["close_sum"])
+
+
+def q_normalize_bars(spark, sf):
+    bars = _bars(spark, sf)
+    raw = bars.select(
+        F.col(TICKER).alias("Symbol"),
+        F.to_utc_timestamp(F.col(DATE).cast("timestamp"), "America/New_York").alias("Date"),
+        F.col("open").alias("Open"),
+        F.col("high").alias("High"),
+        F.col("low").alias("Low"),
+        F.col("close").alias("Close"),
+        F.col("volume").alias("Volume"),
+        F.lit(0.0).alias("Dividends"),
+        F.lit(0.0).alias("Stock Splits"),
+    )
+    return bars_src.normalize_bars(raw, NORMALIZE_START, NORMALIZE_END)
+
+
+def _written_bars(spark, sf) -> str:
+    return bars_src.write_bars(_bars(spark, sf), fsutil.scratch(spark, "bars"))
+
+
+def q_load_ticker(spark, sf):
+    return bars_src.load_ticker(spark, _written_bars(spark, sf), LOAD_ONE)
+
+
+def q_load_all(spark, sf):
+    return bars_src.load_all(spark, _written_bars(spark, sf), LOAD_MANY)
+
+
+def q_prediction_log_roundtrip(spark, sf):
+    path = fsutil.scratch(spark, "predlog")
+    predlog.append_predictions(_log(spark, sf), path)
+    return predlog.read_predictions(spark, path).drop("timestamp")
+
+
+def _two_part_bar_files(spark, sf) -> str:
+    """Bar files arriving in two appends (before / from the split), like a live feed."""
+    path = fsutil.scratch(spark, "bar-stream")
+    bars = _bars(spark, sf)
+    cut = F.to_timestamp_ntz(F.lit(STREAM_SPLIT))
+    bars.where(F.col(DATE) < cut).write.mode("append").parquet(path)
+    return path, bars.where(F.col(DATE) >= cut)
+
+
+def q_stream_rows(spark, sf):
+    src, rest = _two_part_bar_files(spark, sf)
+    sink, ckpt = fsutil.scratch(spark, "rows-sink"), fsutil.scratch(spark, "rows-ckpt")
+    run_available_now(bar_stream(spark, src), sink, ckpt)
+    rest.write.mode("append").parquet(src)
+    run_available_now(bar_stream(spark, src), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+def q_stream_windows(spark, sf):
+    src, rest = _two_part_bar_files(spark, sf)
+    sink, ckpt = fsutil.scratch(spark, "win-sink"), fsutil.scratch(spark, "win-ckpt")
+    run_available_now(stream_windows(bar_stream(spark, src), WINDOW_SIZE), sink, ckpt)
+    rest.write.mode("append").parquet(src)
+    run_available_now(stream_windows(bar_stream(spark, src), WINDOW_SIZE), sink, ckpt)
+    return r6(spark.read.parquet(sink), ["close_sum"])
+
+
+def q_stream_features(spark, sf):
+    src, rest = _two_part_bar_files(spark, sf)
+    sink, state, ckpt = (fsutil.scratch(spark, n) for n in ("feat-sink", "feat-state", "feat-ckpt"))
+    stream_features(bar_stream(spark, src), ENGINEERED_V2, sink, state, ckpt)
+    rest.write.mode("append").parquet(src)
+    stream_features(bar_stream(spark, src), ENGINEERED_V2, sink, state, ckpt)
+    out = spark.read.parquet(sink).drop("epoch")
+    return r6(out, ENGINEERED_V2.feature_names)
+
+
+GBT_SMALL = {"n_estimators": 10}
+
+
+def _fitted(spark, sf):
+    ts = _training_set(spark, sf)
+    train, test = labels_op.time_split(ts, SPLIT_DATE)
+    return jobs.fit(train, ENGINEERED_V2.feature_names, GBT_SMALL), test
+
+
+def q_gbt_metrics(spark, sf):
+    model, test = _fitted(spark, sf)
+    return jobs.evaluate(model, test)
+
+
+def q_batch_predictions(spark, sf):
+    model, test = _fitted(spark, sf)
+    return jobs.predict(model, test).select(TICKER, DATE, "prediction", "probability")
+
+
 QUERIES: dict[str, Query] = {
     "features_v1": q_features_v1,
     "features_v2": q_features_v2,
@@ -330,6 +481,21 @@ QUERIES: dict[str, Query] = {
     "alias_history": q_alias_history,
     "current_champion": q_current_champion,
     "champion_metrics": q_champion_metrics,
+    "tail_n": q_tail_n,
+    "latest_features": q_latest_features,
+    "backfill_range": q_backfill_range,
+    "backfill_upsert": q_backfill_upsert,
+    "score_unknown_tickers": q_score_unknown_tickers,
+    "sliding_windows": q_sliding_windows,
+    "normalize_bars": q_normalize_bars,
+    "load_ticker": q_load_ticker,
+    "load_all": q_load_all,
+    "prediction_log_roundtrip": q_prediction_log_roundtrip,
+    "stream_rows": q_stream_rows,
+    "stream_windows": q_stream_windows,
+    "stream_features": q_stream_features,
+    "gbt_metrics": q_gbt_metrics,
+    "batch_predictions": q_batch_predictions,
 }
 
 
@@ -445,4 +611,39 @@ SELECT round(CAST(ok AS DOUBLE) / n, 6) AS accuracy,
     "champion_metrics": f"{O.RUNS_BASE}, ch AS (SELECT model, arg_max(version, run_seq) AS champion_version, arg_max(run_id, run_seq) AS champion_run_id "
     "FROM fold WHERE promoted GROUP BY model) SELECT ch.model, ch.champion_version, ch.champion_run_id, round(runs.roc_auc, 6) AS roc_auc "
     "FROM ch JOIN runs ON runs.run_id = ch.champion_run_id",
+    "tail_n": f"WITH {O.BARS} SELECT ticker, date, close FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM bars) WHERE rn <= 100",
+    "latest_features": f"""WITH RECURSIVE {O.BARS},{O.window_features()},{O.ema_window_recursive()},
+last AS (SELECT ticker, max(date) AS d FROM bars GROUP BY ticker)
+SELECT wf.ticker, strftime(wf.date, '%Y-%m-%d %H:%M:%S') AS prediction_date, {O.r6(V2[:-1], "wf.")},
+       round(mw.macd_signal_window, 6) AS macd_signal
+FROM wf JOIN last ON wf.ticker = last.ticker AND wf.date = last.d JOIN mw ON mw.ticker = wf.ticker AND mw.date = wf.date""",
+    "backfill_range": f"WITH {O.BARS},{O.window_features()} SELECT ticker, date, {O.r6(V1)} FROM wf WHERE {O.not_null(V1)} "
+    f"AND date >= TIMESTAMP '{BACKFILL_START}' AND date <= TIMESTAMP '{BACKFILL_END}'",
+    "backfill_upsert": f"""WITH {O.BARS}, old_bars AS (SELECT * FROM bars WHERE date < TIMESTAMP '{UPSERT_OLD_END}'),
+{O.window_features()},{O.window_features('old_bars', 'wo')},
+ex AS (SELECT ticker, date, {_v(V1)} FROM wo WHERE {O.not_null(V1)}),
+nw AS (SELECT ticker, date, {_v(V1)} FROM wf WHERE {O.not_null(V1)} AND date >= TIMESTAMP '{UPSERT_START}' AND date <= TIMESTAMP '{UPSERT_END}'),
+m AS (SELECT * FROM ex WHERE NOT EXISTS (SELECT 1 FROM nw WHERE nw.ticker = ex.ticker AND nw.date = ex.date) UNION ALL SELECT * FROM nw)
+SELECT ticker, date, {O.r6(V1)} FROM m""",
+    "score_unknown_tickers": f"""{O.LOG_BASE}, lt AS (SELECT ticker, max(date) AS d FROM bars GROUP BY ticker)
+SELECT r.ticker, CASE WHEN lt.d IS NULL THEN 'unknown_ticker' ELSE 'ok' END AS status, strftime(lt.d, '%Y-%m-%d %H:%M:%S') AS prediction_date
+FROM (SELECT DISTINCT ticker FROM plog) r LEFT JOIN lt ON lt.ticker = r.ticker""",
+    "sliding_windows": f"""WITH {O.BARS}
+SELECT ticker, first(date) OVER w AS window_start, date AS window_end, count(*) OVER w AS n_rows, first(close) OVER w AS close_first,
+       close AS close_last, round(sum(close) OVER w, 6) AS close_sum
+FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN {WINDOW_SIZE - 1} PRECEDING AND CURRENT ROW)
+QUALIFY count(*) OVER w = {WINDOW_SIZE}""",
+    "normalize_bars": f"WITH {O.BARS} SELECT ticker, date, open, high, low, close, volume FROM bars "
+    f"WHERE date >= TIMESTAMP '{NORMALIZE_START}' AND date < TIMESTAMP '{NORMALIZE_END}'",
+    "load_ticker": f"WITH {O.BARS} SELECT ticker, date, open, high, low, close, volume FROM bars WHERE ticker = '{LOAD_ONE}'",
+    "load_all": f"WITH {O.BARS} SELECT ticker, date, open, high, low, close, volume FROM bars WHERE ticker IN ({', '.join(repr(t) for t in LOAD_MANY)})",
+    "prediction_log_roundtrip": f"{O.LOG_BASE} SELECT ticker, prediction_date, direction, probability, model_version FROM plog",
+    "stream_rows": f"WITH {O.BARS} SELECT ticker, date, open, high, low, close, volume FROM bars",
+    "stream_windows": f"""WITH {O.BARS}
+SELECT ticker, first(date) OVER w AS window_start, date AS window_end, count(*) OVER w AS n_rows, first(close) OVER w AS close_first,
+       close AS close_last, round(sum(close) OVER w, 6) AS close_sum, CAST(0 AS BIGINT) AS late_rows
+FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN {WINDOW_SIZE - 1} PRECEDING AND CURRENT ROW)
+QUALIFY count(*) OVER w = {WINDOW_SIZE}""",
+    "stream_features": f"WITH RECURSIVE {O.BARS},{O.window_features()},{O.ema_recursive()},{O.FEATURES_V2_TABLE} "
+    f"SELECT ticker, date, {O.r6(V2)} FROM fv2",
 }
