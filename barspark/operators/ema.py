@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from barspark.functions.features import MACD_FAST, MACD_SIGNAL, MACD_SLOW, ema_alpha
-from barspark.operators.sequence import CHUNK, SEQ
+from barspark.operators.sequence import CHUNK
 
 EMA_TOLERANCE = 1e-20
 
@@ -38,7 +38,7 @@ def _macd_columns(close: pd.Series) -> dict[str, pd.Series]:
     return {"ema_12": fast, "ema_26": slow, "macd": macd, "macd_signal": signal}
 
 
-def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str]) -> DataFrame:
+def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str], time: str = "date") -> DataFrame:
     """Append the requested MACD columns (``ema_12 ema_26 macd macd_signal``) per (key, chunk).
 
     The input must be chunked with a halo of at least :func:`ema_halo` rows.  All other columns
@@ -50,7 +50,7 @@ def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str]) -> DataFr
     names = list(outputs)
 
     def per_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(SEQ, kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(time, kind="stable").reset_index(drop=True)
         cols = _macd_columns(pdf["close"].astype("float64"))
         for name in names:
             pdf[name] = cols[name]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barspark.functions.features import DIFF, R1, FeatureSet, helper_columns
 from barspark.operators import ema as ema_op
-from barspark.operators.sequence import SEQ, chunk, chunk_window, core_only, sequence
+from barspark.operators.sequence import CHUNK, CORE, SEQ, chunk_window, core_only, frame
 from barspark.schemas import DATE, TICKER
 
 
@@ -20,8 +20,7 @@ def sequenced_chunks(
     chunk_rows: int | None = None,
 ) -> DataFrame:
     keys = keys or [TICKER]
-    seqd = sequence(bars, keys, [time])
-    return chunk(seqd.rows, back=back, fwd=fwd, chunk_rows=chunk_rows)
+    return frame(bars, keys, [time], back=back, fwd=fwd, chunk_rows=chunk_rows)
 
 
 def compute_features(
@@ -45,13 +44,13 @@ def compute_features(
     if fs.has_ema:
         back = max(back, ema_halo if ema_halo is not None else ema_op.ema_halo())
     rows = sequenced_chunks(bars, back=back, keys=keys, time=time, chunk_rows=chunk_rows)
-    w = chunk_window(keys)
+    w = chunk_window(keys, [time])
     helpers = helper_columns(w)
     rows = rows.withColumns(helpers)
     window_features = {f.name: f.build(w) for f in fs.features if f.kind == "window"}
     rows = rows.withColumns(window_features).drop(R1, DIFF)
     if fs.has_ema:
-        rows = ema_op.with_macd(rows, keys, [f.name for f in fs.features if f.kind == "ema"])
+        rows = ema_op.with_macd(rows, keys, [f.name for f in fs.features if f.kind == "ema"], time)
     out = core_only(rows).select(*keys, time, *keep, *fs.feature_names)
     if dropna:
         out = out.dropna(how="any", subset=fs.feature_names)
@@ -69,8 +68,8 @@ def ema_table(
     keys = keys or [TICKER]
     halo = ema_halo if ema_halo is not None else ema_op.ema_halo()
     rows = sequenced_chunks(bars, back=halo, keys=keys, time=time, chunk_rows=chunk_rows)
-    rows = rows.select(*keys, time, "close", SEQ, "_chunk", "_core")
-    rows = ema_op.with_macd(rows, keys, ["ema_12", "ema_26", "macd", "macd_signal"])
+    rows = rows.select(*keys, time, "close", SEQ, CHUNK, CORE)
+    rows = ema_op.with_macd(rows, keys, ["ema_12", "ema_26", "macd", "macd_signal"], time)
     return core_only(rows).select(*keys, time, "close", "ema_12", "ema_26", "macd", "macd_signal")
 
 
@@ -87,7 +86,7 @@ def window_columns(
     """Generic bounded-window projection: ``columns`` maps name -> builder(window) -> Column."""
     keys = keys or [TICKER]
     rows = sequenced_chunks(bars, back=back, fwd=fwd, keys=keys, time=time, chunk_rows=chunk_rows)
-    w = chunk_window(keys)
+    w = chunk_window(keys, [time])
     rows = rows.withColumns(helper_columns(w))
     rows = rows.withColumns({name: build(w) for name, build in columns.items()})
     keep = keep if keep is not None else [c for c in bars.columns if c not in keys and c != time]

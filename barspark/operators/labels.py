@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barspark.operators.sequence import chunk, chunk_window, core_only, sequence
+from barspark.operators.sequence import chunk_window, core_only, frame
 from barspark.schemas import DATE, TICKER
 
 # Fixed values that must equal the reference's.
@@ -28,9 +28,8 @@ def add_labels(
 ) -> DataFrame:
     """Bars + ``label``: ``lead(close, n)`` inside each ticker (never across tickers)."""
     keys = keys or [TICKER]
-    seqd = sequence(bars, keys, [time])
-    rows = chunk(seqd.rows, fwd=forward, chunk_rows=chunk_rows)
-    future = F.lead("close", forward).over(chunk_window(keys))
+    rows = frame(bars, keys, [time], fwd=forward, chunk_rows=chunk_rows)
+    future = F.lead("close", forward).over(chunk_window(keys, [time]))
     labelled = rows.withColumn("label", forward_label(F.col("close"), future))
     return core_only(labelled).drop("_seq")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspark.operators.sequence import chunk, core_only, prefix_sum, sequence
+from barspark.operators.sequence import core_only, frame, prefix_sum
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", keys: list[str] | None = None) -> DataFrame:
@@ -20,9 +20,8 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", keys: lis
         F.sum(F.col(label).cast("long")).alias("_pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("_neg"),
     )
-    seqd = sequence(per_score, keys, [score])
-    rows = chunk(seqd.rows)
-    cum = core_only(prefix_sum(rows, keys, F.col("_neg"), "_neg_upto"))
+    rows = frame(per_score, keys, [score])
+    cum = core_only(prefix_sum(rows, keys, F.col("_neg"), "_neg_upto", [score]))
     below = F.col("_neg_upto") - F.col("_neg")
     out = cum.groupBy(*keys).agg(
         F.sum(F.col("_pos") * (below.cast("double") + F.col("_neg") / F.lit(2.0))).alias("_num"),

@@ -20,11 +20,11 @@ from barspark.operators.sequence import (
     COUNT,
     SEQ,
     broadcast_if_small,
-    chunk,
     chunk_window,
     core_only,
+    frame,
+    position,
     prefix_sum,
-    sequence,
 )
 from barspark.schemas import DATE, TICKER
 
@@ -33,10 +33,11 @@ FORWARD_DAYS = 5
 
 def indexed_bars(bars: DataFrame, forward: int = FORWARD_DAYS) -> tuple[DataFrame, DataFrame]:
     """(bars with ``_seq`` and ``close_fwd`` = close ``forward`` bars later, per-ticker totals)."""
-    seqd = sequence(bars.select(TICKER, DATE, "close"), [TICKER], [DATE])
-    rows = chunk(seqd.rows, fwd=forward)
-    rows = rows.withColumn("close_fwd", F.lead("close", forward).over(chunk_window([TICKER])))
-    return core_only(rows), seqd.totals
+    rows = frame(bars.select(TICKER, DATE, "close"), [TICKER], [DATE], fwd=forward)
+    rows = rows.withColumn("close_fwd", F.lead("close", forward).over(chunk_window([TICKER], [DATE])))
+    rows = rows.withColumn(SEQ, position([TICKER], [DATE]))
+    totals = bars.groupBy(TICKER).agg(F.count(F.lit(1)).alias(COUNT))
+    return core_only(rows), totals
 
 
 def _log_times(log: DataFrame) -> DataFrame:
@@ -64,8 +65,8 @@ def evaluate_predictions(log: DataFrame, bars: DataFrame, forward: int = FORWARD
     )
     log_u = dated.select(TICKER, "_t", F.lit(1).alias("_kind"), *payload)
     both = bars_u.unionByName(log_u)
-    seqd = sequence(both, [TICKER], ["_t", "_kind"])
-    rows = prefix_sum(chunk(seqd.rows), [TICKER], (F.col("_kind") == 0).cast("long"), "_k")
+    order = ["_t", "_kind"]
+    rows = prefix_sum(frame(both, [TICKER], order), [TICKER], (F.col("_kind") == 0).cast("long"), "_k", order)
     placed = core_only(rows).where(F.col("_kind") == 1).drop("_kind", SEQ)
 
     prev_bar = bar_rows.select(

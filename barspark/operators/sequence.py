@@ -19,6 +19,12 @@ Instead:
 Both steps are plain DataFrame operations: one range exchange, one small aggregate, one hash
 exchange on ``(keys, _chunk)``.  Task size is bounded by ``chunk_rows + back + fwd`` no matter
 how the rows spread over keys.
+
+:func:`frame` applies this only where it is needed: one grouped count (partial aggregation, one
+row per key) finds the *hot* keys, those with more rows than a chunk.  Ordinary keys are one
+chunk each (``_chunk = 0``, no halo, no range shuffle); hot keys go through sequence + chunk.
+Both parts are unioned and windowed together by ``partitionBy(keys, _chunk)``, so every window
+task is bounded either way and the common case costs a single hash shuffle.
 """
 
 from __future__ import annotations
@@ -113,22 +119,74 @@ def chunk(rows: DataFrame, back: int = 0, fwd: int = 0, chunk_rows: int | None =
     )
 
 
-def chunk_window(keys: list[str]) -> Window:
-    """Window over one chunk (with its halo) in sequence order."""
-    return Window.partitionBy(*keys, CHUNK).orderBy(SEQ)
+def chunk_window(keys: list[str], order: list[str] | None = None) -> Window:
+    """Window over one chunk (with its halo) in time order."""
+    return Window.partitionBy(*keys, CHUNK).orderBy(*(order or [SEQ]))
+
+
+# Above this many hot keys, every key takes the chunked path (no key list on the driver).
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(df: DataFrame, keys: list[str], rows: int) -> list[tuple] | None:
+    """Keys with more than ``rows`` rows; ``None`` when there are too many to list."""
+    if not keys:
+        return None if df.limit(rows + 1).count() > rows else []
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+    found = counts.select(*keys).limit(MAX_HOT_KEYS + 1).collect()
+    if len(found) > MAX_HOT_KEYS:
+        return None
+    return [tuple(r) for r in found]
+
+
+def frame(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    back: int = 0,
+    fwd: int = 0,
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """Rows with ``_chunk``/``_core`` (and ``_seq`` for hot keys) ready for :func:`chunk_window`.
+
+    Window with ``chunk_window(keys, order)`` and keep ``_core`` rows at the end.
+    """
+    size = max(chunk_rows or DEFAULT_CHUNK_ROWS, back, fwd, 1)
+    hot = hot_keys(df, keys, size)
+
+    def ordinary(part: DataFrame) -> DataFrame:
+        return part.withColumns(
+            {SEQ: F.lit(None).cast("long"), CHUNK: F.lit(0).cast("long"), CORE: F.lit(True)}
+        )
+
+    def chunked(part: DataFrame) -> DataFrame:
+        return chunk(sequence(part, keys, order).rows, back=back, fwd=fwd, chunk_rows=size)
+
+    if hot == []:
+        return ordinary(df)
+    if hot is None:
+        return chunked(df)
+    spark = df.sparkSession
+    hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*keys).schema))  # <= MAX_HOT_KEYS rows
+    return ordinary(df.join(hot_df, keys, "left_anti")).unionByName(chunked(df.join(hot_df, keys, "left_semi")))
+
+
+def position(keys: list[str], order: list[str]) -> Column:
+    """0-based position within the key: ``_seq`` for hot keys, row number for one-chunk keys."""
+    return F.coalesce(F.col(SEQ), F.row_number().over(chunk_window(keys, order)) - 1)
 
 
 def core_only(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORE)).drop(CORE, CHUNK)
 
 
-def prefix_sum(chunked: DataFrame, keys: list[str], weight: Column, out: str) -> DataFrame:
+def prefix_sum(chunked: DataFrame, keys: list[str], weight: Column, out: str, order: list[str] | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` per key in sequence order, exact across chunks.
 
     Within a chunk: a running window over owned rows.  Across chunks: a small table of per-chunk
     totals (one row per chunk) turned into offsets and joined back.
     """
-    w = chunk_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    w = chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     owned = F.when(F.col(CORE), weight).otherwise(F.lit(0))
     local = chunked.withColumn("_local", F.sum(owned).over(w))
     per_chunk = (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspark.operators.sequence import chunk, chunk_window, core_only, sequence
+from barspark.operators.sequence import chunk_window, core_only, frame
 from barspark.schemas import DATE, TICKER
 
 # Fixed values that must equal the reference's.
@@ -32,9 +32,8 @@ def _is_missing(c: str):
 def unsorted_counts(bars: DataFrame, arrival: str, keys: list[str] | None = None, time: str = DATE) -> DataFrame:
     """Per key: rows whose date is earlier than the previous row's in arrival order."""
     keys = keys or [TICKER]
-    seqd = sequence(bars.select(*keys, time, arrival), keys, [arrival])
-    rows = chunk(seqd.rows, back=1)
-    prev = F.lag(time, 1).over(chunk_window(keys))
+    rows = frame(bars.select(*keys, time, arrival), keys, [arrival], back=1)
+    prev = F.lag(time, 1).over(chunk_window(keys, [arrival]))
     flagged = core_only(rows.withColumn("_back", (prev > F.col(time)).cast("int")))
     return flagged.groupBy(*keys).agg(F.coalesce(F.sum("_back"), F.lit(0)).cast("long").alias("unsorted_dates"))
 

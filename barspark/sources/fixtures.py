@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.operators.sequence import SEQ, sequence
+from barspark.operators.sequence import SEQ
 from barspark.schemas import DATE, TICKER
 
 
@@ -84,13 +84,13 @@ def prediction_log(bars: DataFrame, return_col: str = "return_1d") -> DataFrame:
 
 def bars_with_returns(bars: DataFrame) -> DataFrame:
     """Bars + ``_seq`` + one-row return (helper for the log and score adapters)."""
-    from barspark.operators.sequence import chunk, chunk_window, core_only
     from barspark.functions.columns import ratio_change
+    from barspark.operators.sequence import chunk_window, core_only, frame, position
 
-    seqd = sequence(bars, [TICKER], [DATE])
-    rows = chunk(seqd.rows, back=1)
-    w = chunk_window([TICKER])
+    rows = frame(bars, [TICKER], [DATE], back=1)
+    w = chunk_window([TICKER], [DATE])
     rows = rows.withColumn("return_1d", ratio_change(F.col("close"), F.lag("close", 1).over(w)))
+    rows = rows.withColumn(SEQ, position([TICKER], [DATE]))
     return core_only(rows)
 
 
