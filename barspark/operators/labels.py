@@ -15,8 +15,11 @@ BASELINE_SPLIT_DATE = "2023-01-01"
 
 
 def forward_label(close: Column, future: Column) -> Column:
-    """1 if the future close is higher, 0 if equal or lower, null when there is no future row."""
-    return F.when(future.isNotNull(), (future > close).cast("int"))
+    """1 if the future close is higher, 0 if equal or lower, null when there is no future row.
+
+    A NaN future close counts as missing (pandas), and ``x > NaN`` is false in both engines.
+    """
+    return F.when(future.isNotNull() & ~F.isnan(future), (future > close).cast("int"))
 
 
 def add_labels(

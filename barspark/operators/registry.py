@@ -36,7 +36,9 @@ def promotion_history(runs: DataFrame, threshold: float = PROMOTION_THRESHOLD) -
 
     def step(acc, r):
         has = acc["has_champ"]
-        promote = ~has | ((r["auc"] - acc["champ_auc"]) >= F.lit(threshold))
+        gain = r["auc"] - acc["champ_auc"]
+        # Spark orders NaN above every number; a NaN gain must never promote (Python semantics)
+        promote = ~has | (~F.isnan(gain) & (gain >= F.lit(threshold)))
         champ_auc = F.when(promote, r["auc"]).otherwise(acc["champ_auc"])
         champ_ver = F.when(promote, r["version"]).otherwise(acc["champ_ver"])
         out = F.struct(

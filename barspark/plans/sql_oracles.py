@@ -218,9 +218,9 @@ fold(model, version, run_id, run_seq, roc_auc, promoted, champion_version, champ
   SELECT model, version, run_id, run_seq, roc_auc, TRUE, version, roc_auc FROM rv WHERE version = 1
   UNION ALL
   SELECT r.model, r.version, r.run_id, r.run_seq, r.roc_auc,
-         r.roc_auc - f.champion_auc >= 0.005,
-         CASE WHEN r.roc_auc - f.champion_auc >= 0.005 THEN r.version ELSE f.champion_version END,
-         CASE WHEN r.roc_auc - f.champion_auc >= 0.005 THEN r.roc_auc ELSE f.champion_auc END
+         (NOT isnan(r.roc_auc - f.champion_auc) AND r.roc_auc - f.champion_auc >= 0.005),
+         CASE WHEN NOT isnan(r.roc_auc - f.champion_auc) AND r.roc_auc - f.champion_auc >= 0.005 THEN r.version ELSE f.champion_version END,
+         CASE WHEN NOT isnan(r.roc_auc - f.champion_auc) AND r.roc_auc - f.champion_auc >= 0.005 THEN r.roc_auc ELSE f.champion_auc END
   FROM fold f JOIN rv r ON r.model = f.model AND r.version = f.version + 1)"""
 
 RUNS_BASE = "WITH RECURSIVE " + RUNS

@@ -36,6 +36,8 @@ GBT_PARAMS = {
     "random_state": 42,
 }
 MODEL_NAME = "direction_classifier"
+# Baseline runs are logged for comparison but never compete for the champion alias.
+BASELINE_MODEL_NAME = "baseline_classifier"
 
 
 def gbt(params: dict | None = None) -> GBTClassifier:
@@ -98,7 +100,7 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
 
 def record_run(spark: SparkSession, root: str, result: RunResult, model: str = MODEL_NAME, dry_run: bool = False) -> None:
     """Append one run (params, metrics, model path).  ``run_seq`` = previous max + 1."""
-    seq_row = read_runs(spark, root).agg(F.max("run_seq").alias("m")).collect()[0]
+    seq_row = read_runs(spark, root).agg(F.max("run_seq").alias("m")).collect()[0]  # one row
     seq = (seq_row["m"] or 0) + 1
     row = [
         (
@@ -132,7 +134,7 @@ def run_baseline(spark: SparkSession, bars: DataFrame, root: str, split_date: st
     res = RunResult(run_id, m, {**GBT_PARAMS, **(params or {}), "test_split_date": split_date,
                                 "feature_columns": ",".join(BASELINE_COLUMNS)}, _save(model, root, run_id))
     if record:
-        record_run(spark, root, res)
+        record_run(spark, root, res, model=BASELINE_MODEL_NAME)
     return res
 
 
