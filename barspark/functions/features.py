@@ -13,9 +13,11 @@ Every rolling feature carries a count guard: it is null until its frame is full,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,6 +89,23 @@ def ema_alpha(span: int) -> float:
     return 2.0 / (span + 1.0)
 
 
+def ema_warmup(span: int, tol: float = 1e-20) -> int:
+    """Rows after which a wrong EMA seed has decayed below ``tol`` (relative), plus a margin.
+
+    ``y = (1 - a) y + a x`` forgets its seed like ``(1 - a)^H``: for span 26 that is under 1e-20
+    after ~600 rows, so the recursion is a bounded look-back to double precision.
+    """
+    return int(math.ceil(math.log(tol) / math.log(1.0 - ema_alpha(span)))) + 2 * (span + 1)
+
+
+def macd_signal_series(pdf: pd.DataFrame) -> pd.Series:
+    """Full-history MACD signal of one ordered series: EMA9(EMA12 - EMA26), seeded at row 0."""
+    close = pdf["close"].astype("float64")
+    fast = close.ewm(span=MACD_FAST, adjust=False).mean()
+    slow = close.ewm(span=MACD_SLOW, adjust=False).mean()
+    return (fast - slow).ewm(span=MACD_SIGNAL, adjust=False).mean()
+
+
 def macd_signal_window(window: int = ONLINE_MACD_WINDOW) -> Callable[[WindowSpec], Column]:
     """MACD signal computed on the last ``window`` closes only, every EMA seeded at the window start.
 
@@ -116,10 +135,14 @@ def macd_signal_window(window: int = ONLINE_MACD_WINDOW) -> Callable[[WindowSpec
 class Feature:
     """A named feature.
 
-    ``build`` maps the ordered per-ticker window to a Column; ``lookback`` is how many earlier
-    rows it reads; ``required_window`` is the row count an online window needs.  Features with
-    ``kind == "ema"`` are recursive over the full history and computed by
-    :mod:`barspark.operators.ema` instead of a Column builder.
+    * ``kind == "window"``: ``build`` maps the ordered per-ticker window to a Column (JVM-side).
+    * ``kind == "pandas"``: ``series`` maps one ordered chunk (a pandas frame with the bar columns)
+      to a Series; it runs in an Arrow-batched ``applyInPandas`` over the same chunks.  This is the
+      escape hatch for features with no Column form (recursive filters such as the EMA).
+
+    ``lookback`` is how many earlier rows the value depends on (for a recursive feature: the
+    warm-up after which the seed no longer matters); ``required_window`` is the row count an
+    online window needs; ``online`` optionally gives a different online definition.
     """
 
     name: str
@@ -127,6 +150,24 @@ class Feature:
     required_window: int
     lookback: int
     kind: str = "window"
+    series: Callable[[pd.DataFrame], pd.Series] | None = None
+    online: Callable[[WindowSpec], Column] | None = None
+
+    @staticmethod
+    def grouped(
+        name: str,
+        series: Callable[[pd.DataFrame], pd.Series],
+        lookback: int,
+        required_window: int | None = None,
+        online: Callable[[WindowSpec], Column] | None = None,
+    ) -> "Feature":
+        """A user feature computed in pandas per ordered chunk (``lookback`` rows of halo)."""
+        return Feature(name, None, required_window or lookback + 1, lookback, "pandas", series, online)
+
+    def online_column(self, w: WindowSpec) -> Column | None:
+        if self.online is not None:
+            return self.online(w)
+        return self.build(w) if self.build is not None else None
 
 
 @dataclass(frozen=True)
@@ -145,11 +186,16 @@ class FeatureSet:
 
     @property
     def lookback(self) -> int:
-        return max(f.lookback for f in self.features if f.kind == "window")
+        """Rows of history every feature of the set needs (the chunk halo)."""
+        return max(f.lookback for f in self.features)
 
     @property
-    def has_ema(self) -> bool:
-        return any(f.kind == "ema" for f in self.features)
+    def window_features(self) -> list[Feature]:
+        return [f for f in self.features if f.kind == "window"]
+
+    @property
+    def pandas_features(self) -> list[Feature]:
+        return [f for f in self.features if f.kind == "pandas"]
 
     @property
     def label(self) -> str:
@@ -169,7 +215,13 @@ def _vol(n: int) -> Feature:
 
 RSI_14 = Feature("rsi_14", rsi(RSI_PERIOD), required_window=RSI_PERIOD + 1, lookback=RSI_PERIOD)
 VOLUME_RATIO_20 = Feature("volume_ratio_20d", volume_ratio(20), required_window=20, lookback=19)
-MACD_SIGNAL_FEATURE = Feature("macd_signal", None, required_window=ONLINE_MACD_WINDOW, lookback=0, kind="ema")
+MACD_SIGNAL_FEATURE = Feature.grouped(
+    "macd_signal",
+    macd_signal_series,
+    lookback=ema_warmup(MACD_SLOW),
+    required_window=ONLINE_MACD_WINDOW,
+    online=macd_signal_window(ONLINE_MACD_WINDOW),
+)
 
 ENGINEERED_V1 = FeatureSet(
     "engineered", 1, (_ret(1), _ret(5), _vol(5), _vol(20), RSI_14, VOLUME_RATIO_20)

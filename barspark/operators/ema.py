@@ -12,22 +12,17 @@ stays bounded by ``chunk_rows + H``, no matter how long one ticker is.
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from barspark.functions.features import MACD_FAST, MACD_SIGNAL, MACD_SLOW, ema_alpha
+from barspark.functions.features import MACD_FAST, MACD_SIGNAL, MACD_SLOW, Feature, ema_warmup
 from barspark.operators.sequence import CHUNK
 
-EMA_TOLERANCE = 1e-20
-
 
-def ema_halo(slowest_span: int = MACD_SLOW, tol: float = EMA_TOLERANCE) -> int:
-    """Rows of warm-up after which a wrong seed has decayed below ``tol`` (relative)."""
-    decay = 1.0 - ema_alpha(slowest_span)
-    return int(math.ceil(math.log(tol) / math.log(decay))) + 2 * (slowest_span + 1)
+def ema_halo(slowest_span: int = MACD_SLOW) -> int:
+    """Warm-up rows each chunk carries so the recursion is exact to double precision."""
+    return ema_warmup(slowest_span)
 
 
 def _macd_columns(close: pd.Series) -> dict[str, pd.Series]:
@@ -38,22 +33,40 @@ def _macd_columns(close: pd.Series) -> dict[str, pd.Series]:
     return {"ema_12": fast, "ema_26": slow, "macd": macd, "macd_signal": signal}
 
 
-def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str], time: str = "date") -> DataFrame:
-    """Append the requested MACD columns (``ema_12 ema_26 macd macd_signal``) per (key, chunk).
-
-    The input must be chunked with a halo of at least :func:`ema_halo` rows.  All other columns
-    pass through unchanged; the grouping equals the chunk window's, so no extra exchange.
-    """
+def _per_chunk(chunked: DataFrame, keys: list[str], names: list[str], fn, time: str) -> DataFrame:
     schema = T.StructType(
-        list(chunked.schema.fields) + [T.StructField(name, T.DoubleType(), True) for name in outputs]
+        list(chunked.schema.fields) + [T.StructField(name, T.DoubleType(), True) for name in names]
     )
-    names = list(outputs)
 
-    def per_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(time, kind="stable").reset_index(drop=True)
-        cols = _macd_columns(pdf["close"].astype("float64"))
-        for name in names:
-            pdf[name] = cols[name]
+        for name, values in fn(pdf).items():
+            pdf[name] = values
         return pdf
 
-    return chunked.groupBy(*keys, CHUNK).applyInPandas(per_chunk, schema)
+    # grouping equals the chunk window's partitioning: no extra exchange
+    return chunked.groupBy(*keys, CHUNK).applyInPandas(run, schema)
+
+
+def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str], time: str = "date") -> DataFrame:
+    """Append MACD columns (``ema_12 ema_26 macd macd_signal``) per (key, chunk).
+
+    The input must be chunked with a halo of at least :func:`ema_halo` rows.
+    """
+    wanted = list(outputs)
+
+    def fn(pdf):
+        cols = _macd_columns(pdf["close"].astype("float64"))
+        return {name: cols[name] for name in wanted}
+
+    return _per_chunk(chunked, keys, wanted, fn, time)
+
+
+def with_pandas_features(chunked: DataFrame, keys: list[str], features: list[Feature], time: str = "date") -> DataFrame:
+    """Append every ``kind == "pandas"`` feature, one Arrow-batched pass per (key, chunk)."""
+    feats = list(features)
+
+    def fn(pdf):
+        return {f.name: f.series(pdf).to_numpy() for f in feats}
+
+    return _per_chunk(chunked, keys, [f.name for f in feats], fn, time)

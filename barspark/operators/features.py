@@ -30,7 +30,6 @@ def compute_features(
     time: str = DATE,
     dropna: bool = True,
     chunk_rows: int | None = None,
-    ema_halo: int | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """``keys, time, *keep, *features`` for every bar; rows with any null feature dropped.
@@ -40,17 +39,13 @@ def compute_features(
     """
     keys = keys or [TICKER]
     keep = keep or []
-    back = fs.lookback
-    if fs.has_ema:
-        back = max(back, ema_halo if ema_halo is not None else ema_op.ema_halo())
-    rows = sequenced_chunks(bars, back=back, keys=keys, time=time, chunk_rows=chunk_rows)
+    rows = sequenced_chunks(bars, back=fs.lookback, keys=keys, time=time, chunk_rows=chunk_rows)
     w = chunk_window(keys, [time])
     helpers = helper_columns(w)
     rows = rows.withColumns(helpers)
-    window_features = {f.name: f.build(w) for f in fs.features if f.kind == "window"}
-    rows = rows.withColumns(window_features).drop(R1, DIFF)
-    if fs.has_ema:
-        rows = ema_op.with_macd(rows, keys, [f.name for f in fs.features if f.kind == "ema"], time)
+    rows = rows.withColumns({f.name: f.build(w) for f in fs.window_features}).drop(R1, DIFF)
+    if fs.pandas_features:
+        rows = ema_op.with_pandas_features(rows, keys, fs.pandas_features, time)
     out = core_only(rows).select(*keys, time, *keep, *fs.feature_names)
     if dropna:
         out = out.dropna(how="any", subset=fs.feature_names)

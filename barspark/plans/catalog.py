@@ -206,6 +206,11 @@ def q_prediction_status(spark, sf):
     return _evaluated(spark, sf).select(TICKER, "prediction_date", "model_version", "status", "realized")
 
 
+def q_realized_direction(spark, sf):
+    ev = _evaluated(spark, sf).where(F.col("status") == "evaluated")
+    return ev.select(TICKER, "prediction_date", "model_version", "bar_date", "close_t", "close_forward", "realized")
+
+
 def q_prediction_results(spark, sf):
     return perf_op.prediction_results(_evaluated(spark, sf))
 
@@ -469,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "drift_events_total": q_drift_events_total,
     "nearest_bar": q_nearest_bar,
     "prediction_status": q_prediction_status,
+    "realized_direction": q_realized_direction,
     "prediction_results": q_prediction_results,
     "prediction_summary": q_prediction_summary,
     "predictions_total": q_predictions_total,
@@ -564,6 +570,8 @@ FROM sbars GROUP BY ticker""",
     "WHERE n_drifted > 0 GROUP BY ticker",
     "nearest_bar": f"{O.EVAL_BASE} SELECT ticker, prediction_date, model_version, CASE WHEN n_bars IS NOT NULL THEN bar_date END AS bar_date FROM res",
     "prediction_status": f"{O.EVAL_BASE} SELECT ticker, prediction_date, model_version, status, realized FROM res",
+    "realized_direction": f"{O.EVAL_BASE} SELECT ticker, prediction_date, model_version, bar_date, round(c_t, 4) AS close_t, "
+    "round(c_f, 4) AS close_forward, realized FROM res WHERE status = 'evaluated'",
     "prediction_results": f"{O.EVAL_BASE} SELECT ticker, prediction_date, direction AS predicted, realized, direction = realized AS correct, "
     "probability, round(c_t, 4) AS close_t, round(c_f, 4) AS close_forward FROM res WHERE status = 'evaluated'",
     "prediction_summary": f"{O.EVAL_BASE} SELECT count(*) FILTER (WHERE status = 'evaluated') AS evaluated, "

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barspark.functions.features import FeatureSet, helper_columns, macd_signal_window
+from barspark.functions.features import FeatureSet, helper_columns
 from barspark.operators.features import compute_features
 from barspark.schemas import DATE, TICKER, TRAINING_STATS
 from barspark.sources import fsutil
@@ -61,9 +61,10 @@ def latest_features(bars: DataFrame, fs: FeatureSet, keys: list[str] | None = No
     # the slice holds at most n rows per ticker: a plain per-ticker window is bounded here
     w = Window.partitionBy(*keys).orderBy(time)
     rows = tail.withColumns(helper_columns(w))
-    cols = {}
-    for f in fs.features:
-        cols[f.name] = macd_signal_window(n)(w) if f.kind == "ema" else f.build(w)
+    cols = {f.name: f.online_column(w) for f in fs.features}
+    missing = [name for name, col in cols.items() if col is None]
+    if missing:
+        raise ValueError(f"features without an online Column form: {missing}")
     rows = rows.withColumns(cols).withColumn("_last", F.row_number().over(w.orderBy(F.col(time).desc())))
     return rows.where(F.col("_last") == 1).select(
         *keys, F.date_format(time, "yyyy-MM-dd HH:mm:ss").alias("prediction_date"), *fs.feature_names

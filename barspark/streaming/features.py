@@ -16,14 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.functions.features import FeatureSet
-from barspark.operators import ema as ema_op
 from barspark.schemas import BARS, DATE, TICKER
 from barspark.sources import fsutil
 from barspark.sources.store import tail_n
 
 
 def state_rows(fs: FeatureSet) -> int:
-    return max(fs.lookback, ema_op.ema_halo() if fs.has_ema else 0) + 1
+    return fs.lookback + 1
 
 
 class TailState:

@@ -43,3 +43,16 @@ def test_entry_and_registered_queries_smoke(spark):
     assert set(sqls) <= set(qs)
     for name in ("features_v2", "prediction_summary", "promotion_history", "roc_auc"):
         assert qs[name](spark, "/root/testdata/sf0.001").count() >= 0
+
+
+def test_streaming_scorer_logs_predictions(spark, bars, tmp_path):
+    from barspark.sources import predlog
+
+    root, reqs, log, ckpt = (str(tmp_path / n) for n in ("root", "reqs", "log", "ckpt"))
+    J.run_dated(spark, bars, root, "2024-06-01", params={"n_estimators": 3})
+    spark.createDataFrame([("AAPL",), ("TSLA",), ("NOPE",)], "ticker string").write.json(reqs)
+    stream = spark.readStream.schema("ticker string").json(reqs)
+    scoring.serve_stream(stream, lambda s: bars, root, log, ckpt)
+    logged = predlog.read_predictions(spark, log).toPandas()
+    assert sorted(logged["ticker"]) == ["AAPL", "TSLA"]  # the unknown ticker is an error, not a log row
+    assert set(logged["direction"]) <= {"UP", "DOWN"} and (logged["model_version"] == "1").all()
