@@ -75,7 +75,7 @@ def sequence(df: DataFrame, keys: list[str], order: list[str], partitions: int |
     )
     # The ids depend on partition layout: write them once to the shared checkpoint folder so
     # both branches below (and any recomputation after a lost executor) read identical values.
-    tagged = materialize(tagged)
+    tagged = materialize(tagged, "sequence")
 
     groups = tagged.groupBy("_pid", *keys).agg(
         F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")

@@ -43,7 +43,12 @@ def r6(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _bars(spark, sf):
-    return fx.bars_events(spark, sf)
+    # bars are a stored table in production; stage the derived fixture bars the same way
+    return bars_src.stage(fx.bars_events(spark, sf), "bars-events")
+
+
+def _supplier_bars(spark, sf):
+    return bars_src.stage(fx.bars_supplier(spark, sf), "bars-supplier")
 
 
 # --- windows / features ---------------------------------------------------------------------
@@ -58,7 +63,7 @@ def q_features_v2(spark, sf):
 
 
 def q_features_v1_supplier(spark, sf):
-    return r6(compute_features(fx.bars_supplier(spark, sf), ENGINEERED_V1), ENGINEERED_V1.feature_names)
+    return r6(compute_features(_supplier_bars(spark, sf), ENGINEERED_V1), ENGINEERED_V1.feature_names)
 
 
 def q_returns(spark, sf):
@@ -87,7 +92,7 @@ def q_ema(spark, sf):
 
 
 def q_macd_signal(spark, sf):
-    out = ema_table(fx.bars_supplier(spark, sf)).select(TICKER, DATE, "macd_signal")
+    out = ema_table(_supplier_bars(spark, sf)).select(TICKER, DATE, "macd_signal")
     return r6(out, ["macd_signal"])
 
 
@@ -113,11 +118,11 @@ def q_baseline_dataset(spark, sf):
 
 
 def q_validate_bars(spark, sf):
-    return validation_report(fx.bars_events(spark, sf, with_arrival=True), arrival="arrival")
+    return validation_report(bars_src.stage(fx.bars_events(spark, sf, with_arrival=True), "bars-arrival"), arrival="arrival")
 
 
 def q_validate_bars_supplier(spark, sf):
-    return validation_report(fx.bars_supplier(spark, sf))
+    return validation_report(_supplier_bars(spark, sf))
 
 
 # --- training data --------------------------------------------------------------------------
@@ -190,12 +195,14 @@ def q_drift_events_total(spark, sf):
 # --- monitoring -----------------------------------------------------------------------------
 
 
-def _log(spark, sf):
-    return fx.prediction_log(fx.bars_with_returns(_bars(spark, sf)))
+def _log(spark, sf, bars=None):
+    bars = bars if bars is not None else _bars(spark, sf)
+    return fx.prediction_log(fx.bars_with_returns(bars))
 
 
 def _evaluated(spark, sf):
-    return perf_op.evaluate_predictions(_log(spark, sf), _bars(spark, sf))
+    bars = _bars(spark, sf)
+    return perf_op.evaluate_predictions(_log(spark, sf, bars), bars)
 
 
 def q_nearest_bar(spark, sf):
@@ -335,7 +342,8 @@ def q_backfill_upsert(spark, sf):
 
 
 def q_score_unknown_tickers(spark, sf):
-    return scoring.request_status(_log(spark, sf), _bars(spark, sf))
+    bars = _bars(spark, sf)
+    return scoring.request_status(_log(spark, sf, bars), bars)
 
 
 def _sliding_columns(size: int):

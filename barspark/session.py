@@ -40,14 +40,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Cut lineage by writing a Parquet table in the shared checkpoint folder and reading it back.
 
-    Used where a plan is read by two branches that must see identical rows (ids that depend
-    on partition layout) and where recomputation after an executor loss must not change them.
+    Used where a plan is read by two branches that must see identical rows (ids that depend on
+    partition layout) and where recomputation after an executor loss must not change them.  A
+    columnar table is cheaper to write and re-read than an RDD checkpoint of serialized rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from barspark.sources import fsutil
+
+    spark = df.sparkSession
+    path = fsutil.scratch(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -79,3 +79,14 @@ def load_all(spark: SparkSession, path: str, tickers: list[str]) -> DataFrame:
     if missing:
         raise FileNotFoundError(f"No data file for {missing[0]!r}. Write its bars first.")
     return df
+
+
+def stage(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Write a derived table once to the shared scratch folder and read it back.
+
+    Used for bars derived from raw tables: later operators scan it (cheap, column-pruned,
+    deterministic) instead of recomputing the aggregate per pass, and it cuts lineage.
+    """
+    from barspark.session import materialize
+
+    return materialize(df, name)
