@@ -128,15 +128,31 @@ def chunk_window(keys: list[str], order: list[str] | None = None) -> Window:
 MAX_HOT_KEYS = 10_000
 
 
+# Hot-key answers per (key projection plan, keys, rows).  Only the *path* depends on this (both
+# paths give identical results), so a stale entry can cost speed, never correctness.
+_HOT_MEMO: dict[tuple, list[tuple] | None] = {}
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows: int) -> list[tuple] | None:
     """Keys with more than ``rows`` rows; ``None`` when there are too many to list."""
+    projected = df.select(*keys) if keys else df.select(F.lit(1).alias("_one"))
+    try:
+        memo_key = (projected.semanticHash(), tuple(keys), rows)
+    except Exception:  # noqa: BLE001 - e.g. connect sessions
+        memo_key = None
+    if memo_key is not None and memo_key in _HOT_MEMO:
+        return _HOT_MEMO[memo_key]
     if not keys:
-        return None if df.limit(rows + 1).count() > rows else []
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
-    found = counts.select(*keys).limit(MAX_HOT_KEYS + 1).collect()
-    if len(found) > MAX_HOT_KEYS:
-        return None
-    return [tuple(r) for r in found]
+        found = None if projected.limit(rows + 1).count() > rows else []
+    else:
+        counts = projected.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+        listed = counts.select(*keys).limit(MAX_HOT_KEYS + 1).collect()
+        found = None if len(listed) > MAX_HOT_KEYS else [tuple(r) for r in listed]
+    if memo_key is not None:
+        if len(_HOT_MEMO) > 256:
+            _HOT_MEMO.clear()
+        _HOT_MEMO[memo_key] = found
+    return found
 
 
 def frame(
@@ -163,12 +179,15 @@ def frame(
         return chunk(sequence(part, keys, order).rows, back=back, fwd=fwd, chunk_rows=size)
 
     if hot == []:
-        return ordinary(df)
-    if hot is None:
-        return chunked(df)
-    spark = df.sparkSession
-    hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*keys).schema))  # <= MAX_HOT_KEYS rows
-    return ordinary(df.join(hot_df, keys, "left_anti")).unionByName(chunked(df.join(hot_df, keys, "left_semi")))
+        out = ordinary(df)
+    elif hot is None:
+        out = chunked(df)
+    else:
+        spark = df.sparkSession
+        hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*keys).schema))  # <= MAX_HOT_KEYS rows
+        out = ordinary(df.join(hot_df, keys, "left_anti")).unionByName(chunked(df.join(hot_df, keys, "left_semi")))
+    out._barspark_single_chunk = hot == []  # every key is one chunk: no cross-chunk carry needed
+    return out
 
 
 def position(keys: list[str], order: list[str]) -> Column:
@@ -189,6 +208,8 @@ def prefix_sum(chunked: DataFrame, keys: list[str], weight: Column, out: str, or
     w = chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     owned = F.when(F.col(CORE), weight).otherwise(F.lit(0))
     local = chunked.withColumn("_local", F.sum(owned).over(w))
+    if getattr(chunked, "_barspark_single_chunk", False):
+        return local.withColumnRenamed("_local", out)
     per_chunk = (
         chunked.where(F.col(CORE))
         .groupBy(*keys, CHUNK)
