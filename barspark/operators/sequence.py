@@ -127,6 +127,20 @@ def chunk_window(keys: list[str], order: list[str] | None = None) -> Window:
 # Above this many hot keys, every key takes the chunked path (no key list on the driver).
 MAX_HOT_KEYS = 10_000
 
+# Session settings a cluster user can tune without code changes.
+CHUNK_ROWS_CONF = "spark.barspark.chunkRows"
+MAX_HOT_KEYS_CONF = "spark.barspark.maxHotKeys"
+
+
+def configured_chunk_rows(spark) -> int:
+    value = spark.conf.get(CHUNK_ROWS_CONF, None)
+    return int(value) if value else DEFAULT_CHUNK_ROWS
+
+
+def configured_max_hot_keys(spark) -> int:
+    value = spark.conf.get(MAX_HOT_KEYS_CONF, None)
+    return int(value) if value else MAX_HOT_KEYS
+
 
 # Hot-key answers per (key projection plan, keys, rows).  Only the *path* depends on this (both
 # paths give identical results), so a stale entry can cost speed, never correctness.
@@ -137,7 +151,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int) -> list[tuple] | None:
     """Keys with more than ``rows`` rows; ``None`` when there are too many to list."""
     projected = df.select(*keys) if keys else df.select(F.lit(1).alias("_one"))
     try:
-        memo_key = (projected.semanticHash(), tuple(keys), rows)
+        memo_key = (projected.semanticHash(), tuple(keys), rows, configured_max_hot_keys(df.sparkSession))
     except Exception:  # noqa: BLE001 - e.g. connect sessions
         memo_key = None
     if memo_key is not None and memo_key in _HOT_MEMO:
@@ -145,9 +159,10 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int) -> list[tuple] | None:
     if not keys:
         found = None if projected.limit(rows + 1).count() > rows else []
     else:
+        cap = configured_max_hot_keys(df.sparkSession)
         counts = projected.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
-        listed = counts.select(*keys).limit(MAX_HOT_KEYS + 1).collect()
-        found = None if len(listed) > MAX_HOT_KEYS else [tuple(r) for r in listed]
+        listed = counts.select(*keys).limit(cap + 1).collect()
+        found = None if len(listed) > cap else [tuple(r) for r in listed]
     if memo_key is not None:
         if len(_HOT_MEMO) > 256:
             _HOT_MEMO.clear()
@@ -167,7 +182,7 @@ def frame(
 
     Window with ``chunk_window(keys, order)`` and keep ``_core`` rows at the end.
     """
-    size = max(chunk_rows or DEFAULT_CHUNK_ROWS, back, fwd, 1)
+    size = max(chunk_rows or configured_chunk_rows(df.sparkSession), back, fwd, 1)
     hot = hot_keys(df, keys, size)
 
     def ordinary(part: DataFrame) -> DataFrame:
@@ -184,7 +199,7 @@ def frame(
         out = chunked(df)
     else:
         spark = df.sparkSession
-        hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*keys).schema))  # <= MAX_HOT_KEYS rows
+        hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*keys).schema))  # <= maxHotKeys rows
         out = ordinary(df.join(hot_df, keys, "left_anti")).unionByName(chunked(df.join(hot_df, keys, "left_semi")))
     out._barspark_single_chunk = hot == []  # every key is one chunk: no cross-chunk carry needed
     return out

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barspark.schemas import DATE, TICKER
@@ -27,8 +28,21 @@ def window_summaries(closes: list[float]) -> tuple[float, float, float]:
     return closes[0], closes[-1], float(sum(closes))
 
 
-def stream_windows(bars: DataFrame, size: int) -> DataFrame:
-    """Streaming DataFrame of one row per full window of ``size`` consecutive bars per ticker."""
+def stream_windows(bars: DataFrame, size: int, dedupe_within: str | None = None) -> DataFrame:
+    """Streaming DataFrame of one row per full window of ``size`` consecutive bars per ticker.
+
+    ``dedupe_within`` (e.g. ``"1 day"``) drops repeated (ticker, date) rows from a source that can
+    replay, with a watermark on ``date`` bounding the de-duplication state.  Micro-batch size
+    (``maxFilesPerTrigger``) bounds the rows one key brings into a single state update.
+    """
+    if dedupe_within:
+        # watermarks need a zoned timestamp; the bar date is a wall clock, so derive one
+        bars = (
+            bars.withColumn("_event_time", F.col(DATE).cast("timestamp"))
+            .withWatermark("_event_time", dedupe_within)
+            .dropDuplicatesWithinWatermark([TICKER, DATE])
+            .drop("_event_time")
+        )
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (ticker,) = key

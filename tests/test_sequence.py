@@ -43,3 +43,15 @@ def test_global_order_without_keys(spark, monkeypatch):
     rows = Q.frame(df, [], ["s"])
     out = Q.core_only(Q.prefix_sum(rows, [], F.lit(1), "n", ["s"])).toPandas().sort_values("s")
     assert out["n"].tolist() == list(range(1, 38))
+
+
+def test_chunk_size_from_session_conf(spark):
+    pdf = random_walk(300, "A")
+    spark.conf.set(Q.CHUNK_ROWS_CONF, "64")
+    try:
+        rows = Q.frame(to_bars(spark, pdf), ["ticker"], ["date"], back=2)
+        assert rows.where(F.col(Q.CORE)).select(Q.CHUNK).distinct().count() == 5
+    finally:
+        spark.conf.unset(Q.CHUNK_ROWS_CONF)
+    rows = Q.frame(to_bars(spark, pdf), ["ticker"], ["date"], back=2)
+    assert rows.select(Q.CHUNK).distinct().count() == 1

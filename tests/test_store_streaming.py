@@ -102,3 +102,13 @@ def test_stream_features_equal_offline(spark, tmp_path):
     got = collect_sorted(spark.read.parquet(sink).drop("epoch"))
     want = collect_sorted(compute_features(to_bars(spark, pdf), ENGINEERED_V2))
     pd.testing.assert_frame_equal(got[want.columns], want, rtol=1e-12, atol=1e-12)
+
+
+def test_stream_windows_drop_replayed_rows(spark, tmp_path):
+    src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
+    pdf = random_walk(12, "AAPL")
+    to_bars(spark, pdf).write.parquet(src)
+    to_bars(spark, pdf.iloc[5:8]).write.mode("append").parquet(src)  # replayed rows in the same batch
+    run_available_now(stream_windows(bar_stream(spark, src), 5, dedupe_within="30 days"), sink, ckpt)
+    out = spark.read.parquet(sink).toPandas()
+    assert len(out) == 8 and out["late_rows"].max() == 0
