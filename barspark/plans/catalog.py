@@ -66,6 +66,21 @@ def q_features_v1_supplier(spark, sf):
     return r6(compute_features(_supplier_bars(spark, sf), ENGINEERED_V1), ENGINEERED_V1.feature_names)
 
 
+# The same queries through the hot-key path: every ticker exceeds the chunk size, so rows go
+# through range sequence + chunks + halo (V2: two chunks per ticker across the EMA warm-up).
+SMALL_CHUNK = 128
+
+
+def q_features_v1_supplier_chunked(spark, sf):
+    out = compute_features(_supplier_bars(spark, sf), ENGINEERED_V1, chunk_rows=SMALL_CHUNK)
+    return r6(out, ENGINEERED_V1.feature_names)
+
+
+def q_features_v2_chunked(spark, sf):
+    out = compute_features(_bars(spark, sf), ENGINEERED_V2, chunk_rows=SMALL_CHUNK)
+    return r6(out, ENGINEERED_V2.feature_names)
+
+
 def q_returns(spark, sf):
     cols = {"return_1d": pct_return(1), "return_5d": pct_return(5), "return_20d": pct_return(20)}
     out = window_columns(_bars(spark, sf), cols, back=20, keep=["close"])
@@ -459,6 +474,8 @@ QUERIES: dict[str, Query] = {
     "features_v1": q_features_v1,
     "features_v2": q_features_v2,
     "features_v1_supplier": q_features_v1_supplier,
+    "features_v1_supplier_chunked": q_features_v1_supplier_chunked,
+    "features_v2_chunked": q_features_v2_chunked,
     "returns": q_returns,
     "volatility": q_volatility,
     "volume_ratio": q_volume_ratio,
@@ -524,6 +541,9 @@ ORACLES: dict[str, str] = {
     "features_v2": f"WITH RECURSIVE {O.BARS},{O.window_features()},{O.ema_recursive()},{O.FEATURES_V2_TABLE} "
     f"SELECT ticker, date, {O.r6(V2)} FROM fv2",
     "features_v1_supplier": f"WITH {O.SBARS},{O.window_features('sbars')} SELECT ticker, date, {O.r6(V1)} FROM wf WHERE {O.not_null(V1)}",
+    "features_v1_supplier_chunked": f"WITH {O.SBARS},{O.window_features('sbars')} SELECT ticker, date, {O.r6(V1)} FROM wf WHERE {O.not_null(V1)}",
+    "features_v2_chunked": f"WITH RECURSIVE {O.BARS},{O.window_features()},{O.ema_recursive()},{O.FEATURES_V2_TABLE} "
+    f"SELECT ticker, date, {O.r6(V2)} FROM fv2",
     "returns": f"WITH {O.BARS},{O.window_features()} SELECT ticker, date, close, {O.r6(['return_1d', 'return_5d', 'return_20d'])} FROM wf",
     "volatility": f"WITH {O.BARS},{O.window_features()} SELECT ticker, date, {O.r6(['volatility_5d', 'volatility_20d'])} FROM wf",
     "volume_ratio": f"WITH {O.BARS},{O.window_features()} SELECT ticker, date, volume, {O.r6(['volume_ratio_20d'])} FROM wf",
