@@ -234,6 +234,7 @@ ENGINEERED_V2 = FeatureSet(
 
 FEATURE_SETS = {(fs.name, fs.version): fs for fs in (ENGINEERED_V1, ENGINEERED_V2)}
 
+# Fixed value that must equal the reference's: the raw baseline feature columns, in order.
 BASELINE_COLUMNS = ["open", "high", "low", "close", "volume"]
 
 

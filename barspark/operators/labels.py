@@ -28,12 +28,18 @@ def add_labels(
     keys: list[str] | None = None,
     time: str = DATE,
     chunk_rows: int | None = None,
+    with_horizon: bool = False,
 ) -> DataFrame:
-    """Bars + ``label``: ``lead(close, n)`` inside each ticker (never across tickers)."""
+    """Bars + ``label``: ``lead(close, n)`` inside each ticker (never across tickers).
+
+    ``with_horizon`` adds ``label_date``, the date of the bar the label looks at (for purging).
+    """
     keys = keys or [TICKER]
     rows = frame(bars, keys, [time], fwd=forward, chunk_rows=chunk_rows)
-    future = F.lead("close", forward).over(chunk_window(keys, [time]))
-    labelled = rows.withColumn("label", forward_label(F.col("close"), future))
+    w = chunk_window(keys, [time])
+    labelled = rows.withColumn("label", forward_label(F.col("close"), F.lead("close", forward).over(w)))
+    if with_horizon:
+        labelled = labelled.withColumn("label_date", F.lead(time, forward).over(w))
     return core_only(labelled).drop("_seq")
 
 
@@ -47,9 +53,26 @@ def time_split_column(split_date: str, time: str = DATE) -> Column:
     return F.when(F.col(time) < cut, F.lit("train")).otherwise(F.lit("test"))
 
 
-def time_split(df: DataFrame, split_date: str, time: str = DATE) -> tuple[DataFrame, DataFrame]:
+def time_split(
+    df: DataFrame,
+    split_date: str,
+    time: str = DATE,
+    end_date: str | None = None,
+    purge: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test): train before the split date, test from it.
+
+    Defaults equal the reference.  ``end_date`` bounds the test period (exclusive); ``purge``
+    drops train rows whose label looks at a bar on or after the split (needs ``label_date``
+    from ``add_labels(with_horizon=True)``), so no training label leaks into the test period.
+    """
     cut = F.to_timestamp_ntz(F.lit(split_date))
-    return df.where(F.col(time) < cut), df.where(F.col(time) >= cut)
+    train, test = df.where(F.col(time) < cut), df.where(F.col(time) >= cut)
+    if end_date is not None:
+        test = test.where(F.col(time) < F.to_timestamp_ntz(F.lit(end_date)))
+    if purge:
+        train = train.where(F.col("label_date").isNull() | (F.col("label_date") < cut))
+    return train, test
 
 
 def split_date_column(run_date: Column, eval_window: int = EVALUATION_WINDOW_DAYS) -> Column:

@@ -28,6 +28,7 @@ from barspark.operators.sequence import (
 )
 from barspark.schemas import DATE, TICKER
 
+# Fixed value that must equal the reference's: trading rows between prediction and outcome.
 FORWARD_DAYS = 5
 
 

@@ -23,6 +23,7 @@ from barspark.operators import metrics as metrics_op
 from barspark.operators import registry as reg_op
 from barspark.operators import training as train_op
 from barspark.operators.features import compute_features
+from barspark.operators.validate import validate
 from barspark.schemas import DATE, RUNS, TICKER
 from barspark.sources import fsutil, store
 
@@ -125,7 +126,8 @@ def _save(model: PipelineModel, root: str, run_id: str) -> str:
 
 def run_baseline(spark: SparkSession, bars: DataFrame, root: str, split_date: str = labels_op.BASELINE_SPLIT_DATE,
                  params: dict | None = None, record: bool = True) -> RunResult:
-    """M4: labelled OHLCV -> time split -> fit -> metrics -> run log."""
+    """M4: validate -> labelled OHLCV -> time split -> fit -> metrics -> run log."""
+    validate(bars)
     data = train_op.baseline_dataset(bars)
     train, test = labels_op.time_split(data, split_date)
     model = fit(train, BASELINE_COLUMNS, params)
@@ -140,7 +142,11 @@ def run_baseline(spark: SparkSession, bars: DataFrame, root: str, split_date: st
 
 def run_engineered(spark: SparkSession, bars: DataFrame, root: str, split_date: str, run_date: str | None = None,
                    fs: FeatureSet = ENGINEERED_V2, params: dict | None = None, record: bool = True) -> RunResult:
-    """M5: labels ⋈ features -> split -> training stats (saved) -> fit -> metrics -> fingerprint."""
+    """M5: validate -> labels ⋈ features -> split -> training stats (saved) -> fit -> metrics -> fingerprint.
+
+    The reference validates only on the baseline path; raw bars are validated here as well.
+    """
+    validate(bars)
     labels = labels_op.add_labels(bars)
     feats = compute_features(bars, fs)
     data = train_op.training_set(labels, feats, fs)

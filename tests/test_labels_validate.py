@@ -107,3 +107,13 @@ def test_unsorted_arrival(spark):
     assert rep["unsorted_dates"] == 1 and rep["first_violation"] == "unsorted_dates"
     with pytest.raises(ValueError, match="not sorted"):
         validate(df, arrival="arrival")
+
+
+def test_purge_and_end_date(spark):
+    bars = to_bars(spark, random_walk(100))
+    lab = L.add_labels(bars, with_horizon=True)
+    train, test = L.time_split(lab, "2021-03-01", end_date="2021-04-01", purge=True)
+    plain_train, plain_test = L.time_split(lab, "2021-03-01")
+    assert plain_train.count() - train.count() == 5  # the five rows whose label looks past the split
+    assert test.agg(F.max("date")).first()[0] < pd.Timestamp("2021-04-01")
+    assert test.count() < plain_test.count()

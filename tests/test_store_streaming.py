@@ -112,3 +112,12 @@ def test_stream_windows_drop_replayed_rows(spark, tmp_path):
     run_available_now(stream_windows(bar_stream(spark, src), 5, dedupe_within="30 days"), sink, ckpt)
     out = spark.read.parquet(sink).toPandas()
     assert len(out) == 8 and out["late_rows"].max() == 0
+
+
+def test_build_offline_job(spark, tmp_path):
+    from barspark.plans.feature_jobs import build_offline
+
+    bars_path = B.write_bars(to_bars(spark, panel()), str(tmp_path / "bars"))
+    build_offline(spark, bars_path, str(tmp_path / "feat"), ENGINEERED_V1)
+    back = S.read_features(spark, str(tmp_path / "feat"), ENGINEERED_V1)
+    assert back.count() == 300 - 2 * 20
