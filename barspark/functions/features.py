@@ -106,6 +106,35 @@ def macd_signal_series(pdf: pd.DataFrame) -> pd.Series:
     return (fast - slow).ewm(span=MACD_SIGNAL, adjust=False).mean()
 
 
+def macd_signal_window_series(window: int = ONLINE_MACD_WINDOW) -> Callable[[pd.DataFrame], pd.Series]:
+    """Batch form of :func:`macd_signal_window` for every row, O(1) per row.
+
+    Every EMA is linear in its inputs, so the signal of the window that starts at ``s = t - n``
+    (``n = window - 1``, all EMAs seeded at ``x_s``, the signal at 0) equals the full-history
+    values corrected by two geometric sums:
+
+        sig_w(t) = S(t) - b^n S(s) - G12 (F12(s) - x_s) + G26 (F26(s) - x_s)
+
+    with ``F`` the full-history EMAs, ``S`` the full-history signal, ``r`` in ``{1-a12, 1-a26}``,
+    ``b = 1 - a9`` and ``G = a9 r (r^n - b^n) / (r - b)``.  Needs the chunk's EMA warm-up halo.
+    """
+    n = window - 1
+    a, c, b, beta = 1.0 - ema_alpha(MACD_FAST), 1.0 - ema_alpha(MACD_SLOW), 1.0 - ema_alpha(MACD_SIGNAL), ema_alpha(MACD_SIGNAL)
+    g12 = beta * a * (a**n - b**n) / (a - b)
+    g26 = beta * c * (c**n - b**n) / (c - b)
+    bn = b**n
+
+    def series(pdf: pd.DataFrame) -> pd.Series:
+        close = pdf["close"].astype("float64")
+        f12 = close.ewm(span=MACD_FAST, adjust=False).mean()
+        f26 = close.ewm(span=MACD_SLOW, adjust=False).mean()
+        sig = (f12 - f26).ewm(span=MACD_SIGNAL, adjust=False).mean()
+        x0 = close.shift(n)
+        return sig - bn * sig.shift(n) - g12 * (f12.shift(n) - x0) + g26 * (f26.shift(n) - x0)
+
+    return series
+
+
 def macd_signal_window(window: int = ONLINE_MACD_WINDOW) -> Callable[[WindowSpec], Column]:
     """MACD signal computed on the last ``window`` closes only, every EMA seeded at the window start.
 

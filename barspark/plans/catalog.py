@@ -12,7 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.functions.columns import ratio_change
-from barspark.functions.features import ENGINEERED_V1, ENGINEERED_V2, macd_signal_window, volatility
+from barspark.functions.features import (
+    ENGINEERED_V1,
+    ENGINEERED_V2,
+    Feature,
+    FeatureSet,
+    ema_warmup,
+    macd_signal_window_series,
+    volatility,
+)
 from barspark.functions.features import pct_return, rsi, volume_ratio
 from barspark.operators import drift as drift_op
 from barspark.operators import labels as labels_op
@@ -111,9 +119,17 @@ def q_macd_signal(spark, sf):
     return r6(out, ["macd_signal"])
 
 
+# W7 for every bar: the closed form (O(1) per row) inside the chunked EMA pass
+MACD_WINDOW_SET = FeatureSet(
+    "macd_window",
+    1,
+    (Feature.grouped("macd_signal_window", macd_signal_window_series(100), lookback=ema_warmup(26), required_window=100),),
+)
+
+
 def q_macd_signal_window(spark, sf):
-    cols = {"macd_signal_window": macd_signal_window(100)}
-    return r6(window_columns(_bars(spark, sf), cols, back=99, keep=[]), list(cols))
+    out = compute_features(_bars(spark, sf), MACD_WINDOW_SET, dropna=False)
+    return r6(out, ["macd_signal_window"])
 
 
 def q_forward_labels(spark, sf):
