@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barspark.functions.features import BASELINE_COLUMNS
 from barspark.schemas import BARS, DATE, TICKER
@@ -44,23 +45,41 @@ def normalize_bars(
     return out
 
 
-def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Bar table partitioned by ticker; each file sorted by date; dynamic partition overwrite."""
+def write_bars(bars: DataFrame, path: str, mode: str = "overwrite", layout: str = "ticker") -> str:
+    """Write the bar table; dynamic partition overwrite replaces only the partitions written.
+
+    * ``layout="ticker"``: one directory per ticker (few instruments, like the reference's file
+      per ticker); a single-ticker read prunes directories.
+    * ``layout="month"``: one directory per month, rows range-partitioned and sorted by
+      (ticker, date) inside it, so files hold contiguous ticker ranges.  For wide panels (many
+      thousands of tickers) this avoids a directory per ticker; a single-ticker read skips row
+      groups by their ticker min/max statistics.
+    """
     spark = bars.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (
-        bars.select(*[f.name for f in BARS.fields])
-        .repartition(TICKER, F.to_date(DATE))
-        .sortWithinPartitions(TICKER, DATE)
-        .write.mode(mode)
-        .partitionBy(TICKER)
-        .parquet(path)
-    )
+    cols = [f.name for f in BARS.fields]
+    if layout == "ticker":
+        out = bars.select(*cols).repartition(TICKER, F.to_date(DATE)).sortWithinPartitions(TICKER, DATE)
+        out.write.mode(mode).partitionBy(TICKER).parquet(path)
+    elif layout == "month":
+        out = (
+            bars.select(*cols, F.date_format(DATE, "yyyy-MM").alias("month"))
+            .repartitionByRange("month", TICKER, DATE)
+            .sortWithinPartitions("month", TICKER, DATE)
+        )
+        out.write.mode(mode).partitionBy("month").parquet(path)
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
     return path
 
 
+_READ_SCHEMA = T.StructType(BARS.fields + [T.StructField("month", T.StringType(), True)])
+
+
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BARS).parquet(path).select(*[f.name for f in BARS.fields])
+    """Either layout, with an explicit schema (no type inference from directory names, so a
+    ticker such as ``007`` stays a string); the month partition column is dropped after pruning."""
+    return spark.read.schema(_READ_SCHEMA).parquet(path).select(*[f.name for f in BARS.fields])
 
 
 def load_ticker(spark: SparkSession, path: str, ticker: str) -> DataFrame:

@@ -121,3 +121,16 @@ def test_build_offline_job(spark, tmp_path):
     build_offline(spark, bars_path, str(tmp_path / "feat"), ENGINEERED_V1)
     back = S.read_features(spark, str(tmp_path / "feat"), ENGINEERED_V1)
     assert back.count() == 300 - 2 * 20
+
+
+def test_month_layout_round_trip_and_pushdown(spark, tmp_path):
+    bars = to_bars(spark, panel())
+    path = B.write_bars(bars, str(tmp_path / "bars_m"), layout="month")
+    back = B.load_ticker(spark, path, "BBB")
+    assert back.count() == 140
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ticker), EqualTo(ticker,BBB)]" in plan
+    pd.testing.assert_frame_equal(collect_sorted(B.read_bars(spark, path)), collect_sorted(bars))
+    odd = to_bars(spark, random_walk(30, "007"))
+    p2 = B.write_bars(odd, str(tmp_path / "bars_t"))
+    assert B.read_bars(spark, p2).select("ticker").distinct().first()[0] == "007"
