@@ -37,3 +37,22 @@ def direction(up: Column) -> Column:
 
 def is_finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock ``timestamp_ntz``, independent of the session
+    time zone (a cast to ``timestamp`` would shift by the zone and its DST rules)."""
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts)
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """``end - start`` in microseconds for wall-clock timestamps (time-zone free)."""
+    return F.timestamp_diff("MICROSECOND", start, end)
+
+
+def hour_floor(ts: Column) -> Column:
+    """Wall-clock hour of a ``timestamp_ntz`` (time-zone free, unlike ``date_trunc``)."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barspark.functions.columns import micros_between
 from barspark.operators.sequence import (
     COUNT,
     SEQ,
@@ -82,8 +83,8 @@ def evaluate_predictions(log: DataFrame, bars: DataFrame, forward: int = FORWARD
         .join(prev_bar, [TICKER, "_pi"], "left")
         .join(next_bar, [TICKER, "_ni"], "left")
     )
-    d_prev = F.unix_micros(F.col("_t").cast("timestamp")) - F.unix_micros(F.col("_pd").cast("timestamp"))
-    d_next = F.unix_micros(F.col("_nd").cast("timestamp")) - F.unix_micros(F.col("_t").cast("timestamp"))
+    d_prev = micros_between(F.col("_pd"), F.col("_t"))  # wall-clock distances, time-zone free
+    d_next = micros_between(F.col("_t"), F.col("_nd"))
     take_next = F.col("_nd").isNotNull() & (F.col("_pd").isNull() | (d_next <= d_prev))
     chosen = cand.select(
         TICKER,

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barspark.functions.columns import epoch_micros
 from barspark.functions.features import BASELINE_COLUMNS, FeatureSet
 from barspark.operators.labels import add_labels, drop_unlabeled, time_split_column
 from barspark.schemas import DATE, TICKER
@@ -71,15 +72,15 @@ def _scaled(c: str, places: int = 6):
 def fingerprint(df: DataFrame, columns: list[str], double_columns: list[str], time_columns: list[str]) -> DataFrame:
     """Order-free multiset digest: sum of per-row md5 prefixes (as decimal) plus the row count.
 
-    Values are rendered engine-neutrally: doubles as integers at 1e-6, timestamps as epoch
-    micros, everything else as text.  Same rows under any partitioning -> same digest.
+    Values are rendered engine-neutrally: doubles as integers at 1e-6, wall-clock timestamps as
+    epoch micros (time-zone free), everything else as text.  Same rows under any partitioning -> same digest.
     """
     parts = []
     for c in columns:
         if c in double_columns:
             parts.append(F.coalesce(_scaled(c), F.lit("")))
         elif c in time_columns:
-            parts.append(F.coalesce(F.unix_micros(F.col(c).cast("timestamp")).cast("string"), F.lit("")))
+            parts.append(F.coalesce(epoch_micros(F.col(c)).cast("string"), F.lit("")))
         else:
             parts.append(F.coalesce(F.col(c).cast("string"), F.lit("")))
     row = F.concat_ws("|", *parts)

@@ -398,9 +398,12 @@ def q_sliding_windows(spark, sf):
 
 def q_normalize_bars(spark, sf):
     bars = _bars(spark, sf)
+    # vendor-style zoned timestamps: the instant whose New York wall clock is the bar date
+    session_tz = spark.conf.get("spark.sql.session.timeZone")
+    instant = F.convert_timezone(F.lit("America/New_York"), F.lit(session_tz), F.col(DATE)).cast("timestamp")
     raw = bars.select(
         F.col(TICKER).alias("Symbol"),
-        F.to_utc_timestamp(F.col(DATE).cast("timestamp"), "America/New_York").alias("Date"),
+        instant.alias("Date"),
         F.col("open").alias("Open"),
         F.col("high").alias("High"),
         F.col("low").alias("Low"),

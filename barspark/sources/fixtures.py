@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barspark.functions.columns import hour_floor
 from barspark.operators.sequence import SEQ
 from barspark.schemas import DATE, TICKER
 
@@ -25,7 +26,7 @@ def bars_from_events(events: DataFrame) -> DataFrame:
         events.select("event_id", "ts", "event_type", "value")
         .groupBy(
             F.col("event_type").alias(TICKER),
-            F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias(DATE),
+            hour_floor(F.col("ts").cast("timestamp_ntz")).alias(DATE),
         )
         .agg(
             F.min_by("value", order).alias("open"),

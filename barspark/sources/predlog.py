@@ -12,8 +12,9 @@ from barspark.sources import fsutil
 def append_predictions(predictions: DataFrame, path: str) -> str:
     """Append ``ticker, prediction_date, direction, probability, model_version`` with a UTC
     ISO timestamp (one value per query, like ``current_timestamp``); probability unrounded."""
+    utc_now = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     out = predictions.select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+        F.date_format(utc_now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
         "ticker",
         "prediction_date",
         "direction",

@@ -114,3 +114,35 @@ def test_latency_histogram_is_cumulative(spark):
     df = spark.createDataFrame([(0.0005,), (0.003,), (0.2,), (0.9,)], "latency_seconds double")
     h = {r["le"]: r["bucket_count"] for r in P.latency_histogram(df).collect()}
     assert h["0.001"] == 1 and h["0.005"] == 2 and h["0.25"] == 3 and h["0.5"] == 3 and h["+Inf"] == 4
+
+
+def test_session_time_zone_does_not_change_results(spark):
+    """Wall-clock logic (bar hours, as-of distances, digests) must not depend on the session zone."""
+    import __spark_entry__ as E
+
+    from oracle_check import canon
+
+    sf = "/root/testdata/sf0.001"
+    names = ["features_v1", "nearest_bar", "fingerprint", "split_date", "prediction_log_roundtrip", "normalize_bars"]
+    base = {n: canon(E.queries()[n](spark, sf).toPandas()) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for n in names:
+            assert canon(E.queries()[n](spark, sf).toPandas()) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_log_timestamp_is_utc(spark, tmp_path):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        path = str(tmp_path / "log")
+        predlog.append_predictions(log(spark, [("AAPL", "2024-01-01", "UP")]).drop("timestamp"), path)
+        ts = predlog.read_predictions(spark, path).first()["timestamp"]
+        assert ts.endswith("+00:00")
+        now = pd.Timestamp.now(tz="UTC")
+        assert abs((pd.Timestamp(ts) - now).total_seconds()) < 600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
