@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from barspark.functions.features import DIFF, R1, FeatureSet, helper_columns
 from barspark.operators import ema as ema_op
@@ -86,10 +85,3 @@ def window_columns(
     rows = rows.withColumns({name: build(w) for name, build in columns.items()})
     keep = keep if keep is not None else [c for c in bars.columns if c not in keys and c != time]
     return core_only(rows).select(*keys, time, *keep, *columns.keys())
-
-
-def drop_incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.dropna(how="any", subset=columns)
-
-
-__all__ = ["compute_features", "ema_table", "window_columns", "drop_incomplete", "F"]
