@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspark.functions.features import FeatureSet
-from barspark.schemas import BARS, DATE, TICKER
+from barspark.schemas import BARS, DATE, PRICE_COLUMNS as VALUE_COLUMNS, TICKER
 from barspark.sources import fsutil
 from barspark.sources.store import tail_n
 
@@ -50,13 +50,19 @@ class TailState:
 def feature_batch(
     batch: DataFrame, state: DataFrame, fs: FeatureSet, keep_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(features of the new rows, new tail).  Late rows and repeats of known dates are dropped."""
+    """(features of the new rows, new tail).  Late rows and repeats of known dates are dropped;
+    duplicates inside the batch keep one row by a fixed order of the values."""
     from barspark.operators.features import compute_features
 
     last = state.groupBy(TICKER).agg(F.max(DATE).alias("_last"))
+    # one row per (ticker, date), chosen deterministically (the output and the new tail both read
+    # this, and a recomputed task must pick the same row): a total order over the value columns
+    pick = Window.partitionBy(TICKER, DATE).orderBy(*[F.col(c).asc_nulls_last() for c in VALUE_COLUMNS])
     fresh = (
         batch.select(*[f.name for f in BARS.fields])
-        .dropDuplicates([TICKER, DATE])
+        .withColumn("_pick", F.row_number().over(pick))
+        .where(F.col("_pick") == 1)
+        .drop("_pick")
         .join(last, TICKER, "left")
         .where(F.col("_last").isNull() | (F.col(DATE) > F.col("_last")))
         .drop("_last")

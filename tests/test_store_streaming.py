@@ -134,3 +134,17 @@ def test_month_layout_round_trip_and_pushdown(spark, tmp_path):
     odd = to_bars(spark, random_walk(30, "007"))
     p2 = B.write_bars(odd, str(tmp_path / "bars_t"))
     assert B.read_bars(spark, p2).select("ticker").distinct().first()[0] == "007"
+
+
+def test_feature_batch_duplicates_resolve_deterministically(spark):
+    from barspark.streaming.features import feature_batch
+
+    pdf = random_walk(40, "AAA")
+    dup = pdf.iloc[[10]].copy()
+    dup["close"] = dup["close"] * 2
+    batch = to_bars(spark, pd.concat([pdf, dup]).sample(frac=1, random_state=1))
+    empty = spark.createDataFrame([], batch.schema)
+    runs = [collect_sorted(feature_batch(batch.repartition(n), empty, ENGINEERED_V1, 50)[0]) for n in (1, 7)]
+    pd.testing.assert_frame_equal(runs[0], runs[1])
+    _, tail = feature_batch(batch, empty, ENGINEERED_V1, 50)
+    assert tail.count() == 40
