@@ -7,8 +7,9 @@ enough later bars) or ``evaluated``.
 
 Nearest as-of without a per-ticker task: bars and log rows are put in one time order per
 ticker; a running count of bars (prefix sum, chunked) gives each log row ``k`` = bars at or
-before it.  The candidates are bar ``k-1`` and bar ``k``: two equi-joins on (ticker, bar index),
-a key that is unique per bar, so a hot ticker spreads over all its bar indexes.
+before it.  The candidates are bar ``k-1`` and bar ``k``, both carried by gap row ``k`` of
+:func:`bar_gaps`: one equi-join on (ticker, k), a key that is unique per gap, so a hot ticker
+spreads over all its gaps.
 """
 
 from __future__ import annotations
@@ -17,29 +18,72 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barspark.functions.columns import micros_between
-from barspark.operators.sequence import (
-    COUNT,
-    SEQ,
-    broadcast_if_small,
-    chunk_window,
-    core_only,
-    frame,
-    position,
-    prefix_sum,
-)
+from barspark.operators.sequence import SEQ, chunk_window, core_only, frame, position, prefix_sum
 from barspark.schemas import DATE, TICKER
 
 # Fixed value that must equal the reference's: trading rows between prediction and outcome.
 FORWARD_DAYS = 5
 
 
-def indexed_bars(bars: DataFrame, forward: int = FORWARD_DAYS) -> tuple[DataFrame, DataFrame]:
-    """(bars with ``_seq`` and ``close_fwd`` = close ``forward`` bars later, per-ticker totals)."""
-    rows = frame(bars.select(TICKER, DATE, "close"), [TICKER], [DATE], fwd=forward)
-    rows = rows.withColumn("close_fwd", F.lead("close", forward).over(chunk_window([TICKER], [DATE])))
-    rows = rows.withColumn(SEQ, position([TICKER], [DATE]))
-    totals = bars.groupBy(TICKER).agg(F.count(F.lit(1)).alias(COUNT))
-    return core_only(rows), totals
+def bar_gaps(bars: DataFrame, forward: int = FORWARD_DAYS) -> DataFrame:
+    """One row per gap ``k`` between consecutive bars of a ticker (``k`` = bars before the gap).
+
+    Gap ``k`` carries bar ``k-1`` (``_p*``: previous) and bar ``k`` (``_n*``: next), each with its
+    index, date, close, the close ``forward`` bars later and whether that bar exists.  Gap 0 has
+    no previous bar, the gap after the last bar has no next bar.  Built in the same bounded-window
+    pass (``lag``/``lead`` with a one-row / ``forward``-row halo), so an as-of lookup is then a
+    single equi-join on (ticker, k).
+    """
+    rows = frame(bars.select(TICKER, DATE, "close"), [TICKER], [DATE], back=1, fwd=forward)
+    w = chunk_window([TICKER], [DATE])
+    rows = rows.withColumns(
+        {
+            "_i": position([TICKER], [DATE]),
+            "_f": F.lead("close", forward).over(w),
+            "_has_f": F.lead(DATE, forward).over(w).isNotNull(),
+            "_pd": F.lag(DATE, 1).over(w),
+            "_pc": F.lag("close", 1).over(w),
+            "_pf": F.lead("close", forward - 1).over(w),
+            "_has_pf": F.lead(DATE, forward - 1).over(w).isNotNull(),
+            "_last": F.lead(DATE, 1).over(w).isNull(),
+        }
+    )
+    core = core_only(rows)
+    null_ts, null_d, null_b, null_l = (
+        F.lit(None).cast("timestamp_ntz"),
+        F.lit(None).cast("double"),
+        F.lit(None).cast("boolean"),
+        F.lit(None).cast("long"),
+    )
+    inner = core.select(
+        TICKER,
+        F.col("_i").alias("_k"),
+        F.when(F.col("_i") > 0, F.col("_i") - 1).alias("_pi"),
+        "_pd",
+        "_pc",
+        F.when(F.col("_i") > 0, F.col("_pf")).alias("_pf"),
+        F.when(F.col("_i") > 0, F.col("_has_pf")).alias("_has_pf"),
+        F.col("_i").alias("_ni"),
+        F.col(DATE).alias("_nd"),
+        F.col("close").alias("_nc"),
+        F.col("_f").alias("_nf"),
+        F.col("_has_f").alias("_has_nf"),
+    )
+    after_last = core.where(F.col("_last")).select(
+        TICKER,
+        (F.col("_i") + 1).alias("_k"),
+        F.col("_i").alias("_pi"),
+        F.col(DATE).alias("_pd"),
+        F.col("close").alias("_pc"),
+        F.col("_f").alias("_pf"),
+        F.col("_has_f").alias("_has_pf"),
+        null_l.alias("_ni"),
+        null_ts.alias("_nd"),
+        null_d.alias("_nc"),
+        null_d.alias("_nf"),
+        null_b.alias("_has_nf"),
+    )
+    return inner.unionByName(after_last)
 
 
 def _log_times(log: DataFrame) -> DataFrame:
@@ -51,38 +95,25 @@ def _log_times(log: DataFrame) -> DataFrame:
 
 def evaluate_predictions(log: DataFrame, bars: DataFrame, forward: int = FORWARD_DAYS) -> DataFrame:
     """Every log row with ``status`` and, when evaluated, the realised outcome (D2 + D3)."""
-    bar_rows, totals = indexed_bars(bars, forward)
-    n_tickers = totals.count()
-    totals_side = broadcast_if_small(totals.withColumnRenamed(COUNT, "_n_bars"), n_tickers)
     log = _log_times(log)
     dated = log.where(F.col("_has_date"))
     payload = [c for c in log.columns if c not in (TICKER, "_has_date", "_t")]
 
-    # one time order per ticker: bars before log rows at an equal time
-    bars_u = bar_rows.select(
+    # one time order per ticker: bars before log rows at an equal time; k = bars at or before
+    bars_u = bars.select(
         TICKER,
         F.col(DATE).alias("_t"),
         F.lit(0).alias("_kind"),
         *[F.lit(None).cast(log.schema[c].dataType).alias(c) for c in payload],
     )
     log_u = dated.select(TICKER, "_t", F.lit(1).alias("_kind"), *payload)
-    both = bars_u.unionByName(log_u)
     order = ["_t", "_kind"]
-    rows = prefix_sum(frame(both, [TICKER], order), [TICKER], (F.col("_kind") == 0).cast("long"), "_k", order)
+    both = frame(bars_u.unionByName(log_u), [TICKER], order)
+    rows = prefix_sum(both, [TICKER], (F.col("_kind") == 0).cast("long"), "_k", order)
     placed = core_only(rows).where(F.col("_kind") == 1).drop("_kind", SEQ)
 
-    prev_bar = bar_rows.select(
-        TICKER, F.col(SEQ).alias("_pi"), F.col(DATE).alias("_pd"), F.col("close").alias("_pc"), F.col("close_fwd").alias("_pf")
-    )
-    next_bar = bar_rows.select(
-        TICKER, F.col(SEQ).alias("_ni"), F.col(DATE).alias("_nd"), F.col("close").alias("_nc"), F.col("close_fwd").alias("_nf")
-    )
-    cand = (
-        placed.withColumn("_pi", F.col("_k") - 1)
-        .withColumn("_ni", F.col("_k"))
-        .join(prev_bar, [TICKER, "_pi"], "left")
-        .join(next_bar, [TICKER, "_ni"], "left")
-    )
+    # the two candidates (bar k-1, bar k) come from one gap row: a single equi-join
+    cand = placed.join(bar_gaps(bars, forward), [TICKER, "_k"], "left")
     d_prev = micros_between(F.col("_pd"), F.col("_t"))  # wall-clock distances, time-zone free
     d_next = micros_between(F.col("_t"), F.col("_nd"))
     take_next = F.col("_nd").isNotNull() & (F.col("_pd").isNull() | (d_next <= d_prev))
@@ -93,6 +124,7 @@ def evaluate_predictions(log: DataFrame, bars: DataFrame, forward: int = FORWARD
         F.when(take_next, F.col("_nd")).otherwise(F.col("_pd")).alias("bar_date"),
         F.when(take_next, F.col("_nc")).otherwise(F.col("_pc")).alias("close_t_raw"),
         F.when(take_next, F.col("_nf")).otherwise(F.col("_pf")).alias("close_forward_raw"),
+        F.when(take_next, F.col("_has_nf")).otherwise(F.col("_has_pf")).alias("_has_forward"),
     )
     undated = log.where(~F.col("_has_date")).select(
         TICKER,
@@ -101,11 +133,12 @@ def evaluate_predictions(log: DataFrame, bars: DataFrame, forward: int = FORWARD
         F.lit(None).cast("timestamp_ntz").alias("bar_date"),
         F.lit(None).cast("double").alias("close_t_raw"),
         F.lit(None).cast("double").alias("close_forward_raw"),
+        F.lit(None).cast("boolean").alias("_has_forward"),
     )
-    allrows = chosen.unionByName(undated).join(totals_side, [TICKER], "left")
+    allrows = chosen.unionByName(undated)
     status = (
-        F.when(F.col("bar_index").isNull() | F.col("_n_bars").isNull(), F.lit("skipped"))
-        .when(F.col("bar_index") + forward >= F.col("_n_bars"), F.lit("pending"))
+        F.when(F.col("bar_index").isNull(), F.lit("skipped"))
+        .when(~F.col("_has_forward"), F.lit("pending"))
         .otherwise(F.lit("evaluated"))
     )
     evaluated = status == "evaluated"
@@ -114,7 +147,7 @@ def evaluate_predictions(log: DataFrame, bars: DataFrame, forward: int = FORWARD
         TICKER,
         *payload,
         status.alias("status"),
-        F.when(F.col("_n_bars").isNotNull(), F.col("bar_date")).alias("bar_date"),
+        F.col("bar_date"),
         F.col("direction").alias("predicted"),
         realized.alias("realized"),
         F.when(evaluated, F.col("direction") == realized).alias("correct"),
