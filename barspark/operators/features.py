@@ -30,22 +30,29 @@ def compute_features(
     dropna: bool = True,
     chunk_rows: int | None = None,
     keep: list[str] | None = None,
+    extra: dict | None = None,
+    fwd: int = 0,
 ) -> DataFrame:
-    """``keys, time, *keep, *features`` for every bar; rows with any null feature dropped.
+    """``keys, time, *keep, *features, *extra`` for every bar; rows with any null feature dropped.
+
+    ``extra`` maps names to more window builders computed in the same pass (``fwd`` rows of
+    look-ahead halo), e.g. the forward label, so a training set needs no second pass or join.
 
     One range exchange (sequence), one hash exchange on (ticker, chunk); the window features
     share a single sort, and the EMA part (if any) reuses the same partitioning.
     """
     keys = keys or [TICKER]
     keep = keep or []
-    rows = sequenced_chunks(bars, back=fs.lookback, keys=keys, time=time, chunk_rows=chunk_rows)
+    extra = extra or {}
+    rows = sequenced_chunks(bars, back=fs.lookback, fwd=fwd, keys=keys, time=time, chunk_rows=chunk_rows)
     w = chunk_window(keys, [time])
     helpers = helper_columns(w)
     rows = rows.withColumns(helpers)
-    rows = rows.withColumns({f.name: f.build(w) for f in fs.window_features}).drop(R1, DIFF)
+    rows = rows.withColumns({f.name: f.build(w) for f in fs.window_features})
+    rows = rows.withColumns({name: build(w) for name, build in extra.items()}).drop(R1, DIFF)
     if fs.pandas_features:
         rows = ema_op.with_pandas_features(rows, keys, fs.pandas_features, time)
-    out = core_only(rows).select(*keys, time, *keep, *fs.feature_names)
+    out = core_only(rows).select(*keys, time, *keep, *fs.feature_names, *extra.keys())
     if dropna:
         out = out.dropna(how="any", subset=fs.feature_names)
     return out

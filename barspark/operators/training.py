@@ -40,6 +40,18 @@ def training_set(labels: DataFrame, features: DataFrame, fs: FeatureSet) -> Data
     return joined.dropna(how="any")
 
 
+def training_frame(bars: DataFrame, fs: FeatureSet, forward: int = 5, chunk_rows: int | None = None) -> DataFrame:
+    """J1 without a join when both sides come from the same bars: features and the forward label
+    in one window pass (look-back halo for the features, ``forward`` rows of look-ahead for the
+    label), then the same null filtering as :func:`training_set`."""
+    from barspark.operators.features import compute_features
+    from barspark.operators.labels import forward_label
+
+    label = {"label": lambda w: forward_label(F.col("close"), F.lead("close", forward).over(w))}
+    rows = compute_features(bars, fs, extra=label, fwd=forward, chunk_rows=chunk_rows)
+    return drop_unlabeled(rows).select(TICKER, DATE, "label", *fs.feature_names)
+
+
 def split_counts(df: DataFrame, split_date: str, keys: list[str] | None = None) -> DataFrame:
     keys = keys if keys is not None else [TICKER]
     part = time_split_column(split_date)

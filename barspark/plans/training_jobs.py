@@ -22,7 +22,6 @@ from barspark.operators import labels as labels_op
 from barspark.operators import metrics as metrics_op
 from barspark.operators import registry as reg_op
 from barspark.operators import training as train_op
-from barspark.operators.features import compute_features
 from barspark.operators.validate import validate
 from barspark.schemas import DATE, RUNS, TICKER
 from barspark.sources import fsutil, store
@@ -141,15 +140,19 @@ def run_baseline(spark: SparkSession, bars: DataFrame, root: str, split_date: st
 
 
 def run_engineered(spark: SparkSession, bars: DataFrame, root: str, split_date: str, run_date: str | None = None,
-                   fs: FeatureSet = ENGINEERED_V2, params: dict | None = None, record: bool = True) -> RunResult:
+                   fs: FeatureSet = ENGINEERED_V2, params: dict | None = None, record: bool = True,
+                   features: DataFrame | None = None) -> RunResult:
     """M5: validate -> labels ⋈ features -> split -> training stats (saved) -> fit -> metrics -> fingerprint.
 
+    ``features`` is the stored feature table (J1 join with the labels, as the reference does);
+    without it, features and labels come from one window pass over the bars (no join).
     The reference validates only on the baseline path; raw bars are validated here as well.
     """
     validate(bars)
-    labels = labels_op.add_labels(bars)
-    feats = compute_features(bars, fs)
-    data = train_op.training_set(labels, feats, fs)
+    if features is not None:
+        data = train_op.training_set(labels_op.add_labels(bars), features, fs)
+    else:
+        data = train_op.training_frame(bars, fs)
     train, test = labels_op.time_split(data, split_date)
     stats = train_op.training_stats(train, fs.feature_names)
     stats_path = store.save_training_stats(stats, root, fs)

@@ -117,3 +117,16 @@ def test_purge_and_end_date(spark):
     assert plain_train.count() - train.count() == 5  # the five rows whose label looks past the split
     assert test.agg(F.max("date")).first()[0] < pd.Timestamp("2021-04-01")
     assert test.count() < plain_test.count()
+
+
+def test_single_pass_training_frame_equals_join(spark):
+    from barspark.functions.features import ENGINEERED_V2
+    from barspark.operators.features import compute_features
+    from barspark.operators.training import training_frame, training_set
+
+    bars = to_bars(spark, pd.concat([random_walk(300, "AAA", seed=1), random_walk(200, "BBB", seed=2)]))
+    joined = collect_sorted(training_set(L.add_labels(bars), compute_features(bars, ENGINEERED_V2), ENGINEERED_V2))
+    single = collect_sorted(training_frame(bars, ENGINEERED_V2))
+    pd.testing.assert_frame_equal(single, joined[single.columns])
+    chunked = collect_sorted(training_frame(bars, ENGINEERED_V2, chunk_rows=700))
+    pd.testing.assert_frame_equal(chunked, single, rtol=0, atol=1e-12)
