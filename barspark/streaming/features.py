@@ -67,9 +67,13 @@ def feature_batch(
         .where(F.col("_last").isNull() | (F.col(DATE) > F.col("_last")))
         .drop("_last")
     )
-    combined = state.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
+    # only tickers with new bars are recomputed: work per batch ~ active tickers x state rows
+    active = fresh.select(TICKER).distinct()
+    state_active = state.join(active, TICKER, "left_semi")
+    state_idle = state.join(active, TICKER, "left_anti")
+    combined = state_active.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
     feats = compute_features(combined, fs, keep=["_new"]).where(F.col("_new")).drop("_new")
-    tail = tail_n(combined.drop("_new"), keep_rows)
+    tail = state_idle.unionByName(tail_n(combined.drop("_new"), keep_rows))
     return feats, tail
 
 

@@ -148,3 +148,17 @@ def test_feature_batch_duplicates_resolve_deterministically(spark):
     pd.testing.assert_frame_equal(runs[0], runs[1])
     _, tail = feature_batch(batch, empty, ENGINEERED_V1, 50)
     assert tail.count() == 40
+
+
+def test_feature_batch_keeps_idle_tickers_state(spark):
+    from barspark.streaming.features import feature_batch
+
+    a, b = random_walk(60, "AAA", seed=1), random_walk(60, "BBB", seed=2)
+    state = to_bars(spark, pd.concat([a.iloc[:50], b]))
+    batch = to_bars(spark, a.iloc[50:])
+    feats, tail = feature_batch(batch, state, ENGINEERED_V1, 30)
+    assert set(r["ticker"] for r in feats.select("ticker").distinct().collect()) == {"AAA"}
+    counts = {r["ticker"]: r["count"] for r in tail.groupBy("ticker").count().collect()}
+    assert counts == {"AAA": 30, "BBB": 60}  # idle ticker's state carried over untouched
+    want = collect_sorted(compute_features(to_bars(spark, a), ENGINEERED_V1)).tail(10).reset_index(drop=True)
+    pd.testing.assert_frame_equal(collect_sorted(feats), want)
