@@ -489,6 +489,38 @@ def q_batch_predictions(spark, sf):
     return jobs.predict(model, test).select(TICKER, DATE, "prediction", "probability")
 
 
+def _run_row(spark, res) -> DataFrame:
+    """One row per run: metrics plus the logged counts and fingerprint (M4/M5 run record)."""
+    m, p = res.metrics, res.params
+    row = [(res.run_id, float(m["accuracy"]), float(m["roc_auc"]), float(m["f1_class1"]), float(m["label_balance"]),
+            int(p.get("train_rows", -1)), int(p.get("test_rows", -1)), str(p.get("train_data_fingerprint", "")))]
+    schema = "run_id string, accuracy double, roc_auc double, f1_class1 double, label_balance double, " \
+             "train_rows long, test_rows long, train_data_fingerprint string"
+    return spark.createDataFrame(row, schema)
+
+
+def q_baseline_run(spark, sf):
+    res = jobs.run_baseline(spark, _bars(spark, sf), fsutil.scratch(spark, "runs"), SPLIT_DATE, GBT_SMALL, record=False)
+    return _run_row(spark, res)
+
+
+def q_engineered_run(spark, sf):
+    res = jobs.run_engineered(spark, _bars(spark, sf), fsutil.scratch(spark, "runs"), SPLIT_DATE, params=GBT_SMALL)
+    return _run_row(spark, res)
+
+
+def q_champion_scoring(spark, sf):
+    """M6 twice (the second may or may not be promoted) -> C4 champion -> J5 + D1 scoring of the
+    tickers in the prediction log (unknown tickers go to the error side)."""
+    bars, root = _bars(spark, sf), fsutil.scratch(spark, "registry")
+    for run_date in ("2024-04-20", "2024-04-25"):
+        jobs.run_dated(spark, bars, root, run_date, params=GBT_SMALL)
+    model, version = jobs.load_champion(spark, root)
+    stats = store.load_training_stats(spark, root, ENGINEERED_V2)
+    out, _errors = scoring.score_requests(_log(spark, sf, bars), bars, model, version, stats)
+    return out.select(TICKER, "prediction_date", "direction", "probability", "model_version", "drift_detected")
+
+
 QUERIES: dict[str, Query] = {
     "features_v1": q_features_v1,
     "features_v2": q_features_v2,
@@ -546,6 +578,9 @@ QUERIES: dict[str, Query] = {
     "stream_features": q_stream_features,
     "gbt_metrics": q_gbt_metrics,
     "batch_predictions": q_batch_predictions,
+    "baseline_run": q_baseline_run,
+    "engineered_run": q_engineered_run,
+    "champion_scoring": q_champion_scoring,
 }
 
 
