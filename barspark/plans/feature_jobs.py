@@ -12,7 +12,7 @@ from barspark.functions.features import ENGINEERED_V2, FeatureSet
 from barspark.operators.features import compute_features
 from barspark.operators.validate import validate
 from barspark.schemas import TICKER
-from barspark.sources import store
+from barspark.sources import fsutil, store
 from barspark.sources.bars import read_bars
 
 
@@ -20,11 +20,12 @@ def build_offline(
     spark: SparkSession, bars_path: str, root: str, fs: FeatureSet = ENGINEERED_V2, tickers: list[str] | None = None
 ) -> str:
     """S5 + W11: compute every feature of ``fs`` for the given tickers (all by default) and write."""
-    bars = read_bars(spark, bars_path)
-    if tickers is not None:
-        bars = bars.where(F.col(TICKER).isin(tickers))
-    validate(bars)
-    return store.write_features(compute_features(bars, fs), root, fs)
+    with fsutil.scratch_scope(spark):
+        bars = read_bars(spark, bars_path)
+        if tickers is not None:
+            bars = bars.where(F.col(TICKER).isin(tickers))
+        validate(bars)
+        return store.write_features(compute_features(bars, fs), root, fs)
 
 
 def main(argv: list[str] | None = None) -> None:  # pragma: no cover - spark-submit entry

@@ -126,6 +126,11 @@ def _save(model: PipelineModel, root: str, run_id: str) -> str:
 def run_baseline(spark: SparkSession, bars: DataFrame, root: str, split_date: str = labels_op.BASELINE_SPLIT_DATE,
                  params: dict | None = None, record: bool = True) -> RunResult:
     """M4: validate -> labelled OHLCV -> time split -> fit -> metrics -> run log."""
+    with fsutil.scratch_scope(spark):
+        return _run_baseline(spark, bars, root, split_date, params, record)
+
+
+def _run_baseline(spark, bars, root, split_date, params, record) -> RunResult:
     validate(bars)
     data = train_op.baseline_dataset(bars)
     train, test = labels_op.time_split(data, split_date)
@@ -147,7 +152,13 @@ def run_engineered(spark: SparkSession, bars: DataFrame, root: str, split_date:
     ``features`` is the stored feature table (J1 join with the labels, as the reference does);
     without it, features and labels come from one window pass over the bars (no join).
     The reference validates only on the baseline path; raw bars are validated here as well.
+    Lineage-cut tables the run creates are removed when it has finished.
     """
+    with fsutil.scratch_scope(spark):
+        return _run_engineered(spark, bars, root, split_date, run_date, fs, params, record, features)
+
+
+def _run_engineered(spark, bars, root, split_date, run_date, fs, params, record, features) -> RunResult:
     validate(bars)
     if features is not None:
         data = train_op.training_set(labels_op.add_labels(bars), features, fs)

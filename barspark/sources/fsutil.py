@@ -6,10 +6,16 @@ version visible in one step; data itself is always read and written by Spark.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Open scratch scopes (innermost last): paths created while a scope is open are removed when it
+# closes.  Only jobs whose actions finish inside the scope use one; lazily returned DataFrames
+# must not read tables of a closed scope.
+_SCOPES: list[list[str]] = []
+
 
 def join(base: str, *parts: str) -> str:
     out = base.rstrip("/")
@@ -53,4 +59,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     from barspark.session import ensure_checkpoint_dir
 
     base = ensure_checkpoint_dir(spark)
-    return join(base, "barspark-scratch", f"{name}-{uuid.uuid4().hex}")
+    path = join(base, "barspark-scratch", f"{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables created inside the block once it has finished."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+        for path in paths:
+            remove(spark, path)

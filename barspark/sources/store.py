@@ -121,6 +121,11 @@ def backfill(
 
     Single-writer: one backfill per table at a time.  Returns the new table path.
     """
+    with fsutil.scratch_scope(spark):
+        return _backfill(spark, bars, fs, root, start, end)
+
+
+def _backfill(spark, bars, fs, root, start, end) -> str:
     new = backfill_slice(bars, fs, start, end)
     require_rows_per_ticker(new, bars.select(TICKER).distinct(), start, end)
     base = store_dir(root, fs)

@@ -162,3 +162,20 @@ def test_feature_batch_keeps_idle_tickers_state(spark):
     assert counts == {"AAA": 30, "BBB": 60}  # idle ticker's state carried over untouched
     want = collect_sorted(compute_features(to_bars(spark, a), ENGINEERED_V1)).tail(10).reset_index(drop=True)
     pd.testing.assert_frame_equal(collect_sorted(feats), want)
+
+
+def test_scratch_scope_removes_tables_after_a_job(spark, tmp_path):
+    from barspark.session import materialize
+    from barspark.sources import fsutil
+
+    with fsutil.scratch_scope(spark) as made:
+        staged = materialize(to_bars(spark, random_walk(30)), "scoped")
+        assert staged.count() == 30 and len(made) == 1 and fsutil.exists(spark, made[0])
+    assert not fsutil.exists(spark, made[0])
+    # a backfill on the chunked path cleans up its sequence tables
+    spark.conf.set("spark.barspark.chunkRows", "64")
+    try:
+        S.backfill(spark, to_bars(spark, panel()), ENGINEERED_V1, str(tmp_path), None, None)
+        assert S.read_backfilled(spark, str(tmp_path), ENGINEERED_V1).count() == 300 - 2 * 20
+    finally:
+        spark.conf.unset("spark.barspark.chunkRows")
