@@ -49,9 +49,17 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    if not exists(spark, path):
+    """Contents of a small pointer file, read on the driver without a Spark job."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return None
-    return "\n".join(r.value for r in spark.read.text(path).collect()).strip()
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return text.strip()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
