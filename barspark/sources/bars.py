@@ -55,19 +55,17 @@ def write_bars(bars: DataFrame, path: str, mode: str = "overwrite", layout: str
       thousands of tickers) this avoids a directory per ticker; a single-ticker read skips row
       groups by their ticker min/max statistics.
     """
-    spark = bars.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     cols = [f.name for f in BARS.fields]
     if layout == "ticker":
         out = bars.select(*cols).repartition(TICKER, F.to_date(DATE)).sortWithinPartitions(TICKER, DATE)
-        out.write.mode(mode).partitionBy(TICKER).parquet(path)
+        out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(TICKER).parquet(path)
     elif layout == "month":
         out = (
             bars.select(*cols, F.date_format(DATE, "yyyy-MM").alias("month"))
             .repartitionByRange("month", TICKER, DATE)
             .sortWithinPartitions("month", TICKER, DATE)
         )
-        out.write.mode(mode).partitionBy("month").parquet(path)
+        out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return path

@@ -20,8 +20,13 @@ def store_dir(root: str, fs: FeatureSet) -> str:
 def write_features(features: DataFrame, root: str, fs: FeatureSet) -> str:
     """Feature table partitioned by ticker (dynamic overwrite of the written tickers only)."""
     path = store_dir(root, fs)
-    features.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    features.sortWithinPartitions(TICKER, DATE).write.mode("overwrite").partitionBy(TICKER).parquet(path)
+    (
+        features.sortWithinPartitions(TICKER, DATE)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(TICKER)
+        .parquet(path)
+    )
     return path
 
 

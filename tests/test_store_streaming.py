@@ -179,3 +179,11 @@ def test_scratch_scope_removes_tables_after_a_job(spark, tmp_path):
         assert S.read_backfilled(spark, str(tmp_path), ENGINEERED_V1).count() == 300 - 2 * 20
     finally:
         spark.conf.unset("spark.barspark.chunkRows")
+
+
+def test_dynamic_overwrite_touches_only_written_tickers(spark, tmp_path):
+    path = str(tmp_path / "bars_dyn")
+    B.write_bars(to_bars(spark, panel()), path)
+    B.write_bars(to_bars(spark, random_walk(10, "AAA", seed=9)), path)  # rewrite AAA only
+    counts = {r["ticker"]: r["count"] for r in B.read_bars(spark, path).groupBy("ticker").count().collect()}
+    assert counts == {"AAA": 10, "BBB": 140}
