@@ -81,13 +81,17 @@ def sequence(df: DataFrame, keys: list[str], order: list[str], partitions: int |
         F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")
     )
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.select(
-        "_pid",
-        *keys,
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_m0")).alias("_base"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias(COUNT),
-    ).cache()
-    # At most one row per (partition, key) run: partitions + keys rows.
+    # At most one row per (partition, key) run: partitions + keys rows.  Written (not cached) so
+    # it survives executor loss and never pins executor memory in a long-lived session.
+    offsets = materialize(
+        groups.select(
+            "_pid",
+            *keys,
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_m0")).alias("_base"),
+            F.sum("_n").over(Window.partitionBy(*keys)).alias(COUNT),
+        ),
+        "sequence-offsets",
+    )
     n_offsets = offsets.count()
     rows = (
         tagged.join(broadcast_if_small(offsets.drop(COUNT), n_offsets), ["_pid", *keys])
@@ -231,7 +235,10 @@ def prefix_sum(chunked: DataFrame, keys: list[str], weight: Column, out: str, or
         .agg(F.sum(weight).alias("_tot"))
     )
     prev = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_chunk.select(*keys, CHUNK, F.coalesce(F.sum("_tot").over(prev), F.lit(0)).alias("_off")).cache()
+    offs = materialize(
+        per_chunk.select(*keys, CHUNK, F.coalesce(F.sum("_tot").over(prev), F.lit(0)).alias("_off")),
+        "prefix-offsets",
+    )
     n_offs = offs.count()
     return (
         local.join(broadcast_if_small(offs, n_offs), [*keys, CHUNK], "left")
