@@ -88,14 +88,19 @@ def load_ticker(spark: SparkSession, path: str, ticker: str) -> DataFrame:
     return df
 
 
-def load_all(spark: SparkSession, path: str, tickers: list[str]) -> DataFrame:
-    """Several tickers (pruned scan); any missing ticker is an error."""
+def load_all(spark: SparkSession, path: str, tickers: list[str], ordered: bool = False) -> DataFrame:
+    """Several tickers (pruned scan); any missing ticker is an error.
+
+    ``ordered=True`` returns rows sorted by (ticker, date) like the reference's concatenated
+    frame: a range-partitioned global sort, so it scales, but only worth it when the output
+    order is consumed (every operator here states its own order).
+    """
     df = read_bars(spark, path).where(F.col(TICKER).isin(tickers))
     present = {r[TICKER] for r in df.select(TICKER).distinct().collect()}  # at most len(tickers) rows
     missing = [t for t in tickers if t not in present]
     if missing:
         raise FileNotFoundError(f"No data file for {missing[0]!r}. Write its bars first.")
-    return df
+    return df.orderBy(TICKER, DATE) if ordered else df
 
 
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:

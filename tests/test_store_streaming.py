@@ -63,6 +63,8 @@ def test_tail_and_load(spark, tmp_path):
     path = B.write_bars(bars, str(tmp_path / "bars"))
     assert B.load_ticker(spark, path, "AAA").count() == 160
     assert B.load_all(spark, path, ["AAA", "BBB"]).count() == 300
+    rows = B.load_all(spark, path, ["BBB", "AAA"], ordered=True).select("ticker", "date").collect()
+    assert rows == sorted(rows)
     with pytest.raises(FileNotFoundError):
         B.load_ticker(spark, path, "ZZZ")
     with pytest.raises(FileNotFoundError):
