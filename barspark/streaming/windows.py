@@ -21,16 +21,23 @@ WINDOW_OUT = (
     "ticker string, window_start timestamp_ntz, window_end timestamp_ntz, n_rows long, "
     "close_first double, close_last double, close_sum double, late_rows long"
 )
-STATE = "dates array<timestamp_ntz>, closes array<double>, late long"
+ROWS_FIELD = "rows array<struct<date:timestamp_ntz,open:double,high:double,low:double,close:double,volume:double>>"
+STATE = (
+    "dates array<timestamp_ntz>, opens array<double>, highs array<double>, lows array<double>, "
+    "closes array<double>, volumes array<double>, late long"
+)
+VALUES = ["open", "high", "low", "close", "volume"]
 
 
 def window_summaries(closes: list[float]) -> tuple[float, float, float]:
     return closes[0], closes[-1], float(sum(closes))
 
 
-def stream_windows(bars: DataFrame, size: int, dedupe_within: str | None = None) -> DataFrame:
+def stream_windows(bars: DataFrame, size: int, dedupe_within: str | None = None, emit_rows: bool = False) -> DataFrame:
     """Streaming DataFrame of one row per full window of ``size`` consecutive bars per ticker.
 
+    Each window row has its bounds and close summaries; ``emit_rows`` adds ``rows``, the window's
+    ``size`` bars in time order (what an online feature function consumes), bounded by ``size``.
     ``dedupe_within`` (e.g. ``"1 day"``) drops repeated (ticker, date) rows from a source that can
     replay, with a watermark on ``date`` bounding the de-duplication state.  Micro-batch size
     (``maxFilesPerTrigger``) bounds the rows one key brings into a single state update.
@@ -43,32 +50,38 @@ def stream_windows(bars: DataFrame, size: int, dedupe_within: str | None = None)
             .dropDuplicatesWithinWatermark([TICKER, DATE])
             .drop("_event_time")
         )
+    keep = max(size - 1, 0)
+    cols = ["ticker", "window_start", "window_end", "n_rows", "close_first", "close_last", "close_sum", "late_rows"]
+    out_schema = WINDOW_OUT + (", " + ROWS_FIELD if emit_rows else "")
+    if emit_rows:
+        cols = cols + ["rows"]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (ticker,) = key
         if state.exists:
-            dates, closes, late = state.get
-            dates, closes = list(dates), list(closes)
+            dates, *vals, late = state.get
+            buf = {"date": list(dates), **{v: list(x) for v, x in zip(VALUES, vals)}}
         else:
-            dates, closes, late = [], [], 0
+            buf, late = {"date": [], **{v: [] for v in VALUES}}, 0
         new = pd.concat(list(batches), ignore_index=True).sort_values(DATE, kind="stable")
         out = []
-        for d, c in zip(new[DATE], new["close"]):
-            d = pd.Timestamp(d).to_pydatetime()
-            if dates and d <= dates[-1]:
+        for rec in new[[DATE, *VALUES]].itertuples(index=False):
+            d = pd.Timestamp(rec[0]).to_pydatetime()
+            if buf["date"] and d <= buf["date"][-1]:
                 late += 1
                 continue
-            dates.append(d)
-            closes.append(float(c))
-            if len(dates) >= size:
-                win_c = closes[-size:]
-                first, last, total = window_summaries(win_c)
-                out.append((ticker, dates[-size], dates[-1], size, first, last, total, late))
-            dates, closes = dates[-(size - 1):] if size > 1 else [], closes[-(size - 1):] if size > 1 else []
-        state.update((dates, closes, late))
-        cols = ["ticker", "window_start", "window_end", "n_rows", "close_first", "close_last", "close_sum", "late_rows"]
+            buf["date"].append(d)
+            for v, x in zip(VALUES, rec[1:]):
+                buf[v].append(None if pd.isna(x) else float(x))
+            if len(buf["date"]) >= size:
+                closes = buf["close"][-size:]
+                first, last, total = window_summaries(closes)
+                row = [ticker, buf["date"][-size], buf["date"][-1], size, first, last, total, late]
+                if emit_rows:
+                    row.append([dict(date=buf["date"][i], **{v: buf[v][i] for v in VALUES}) for i in range(-size, 0)])
+                out.append(tuple(row))
+            buf = {k: (v[-keep:] if keep else []) for k, v in buf.items()}
+        state.update((buf["date"], *[buf[v] for v in VALUES], late))
         yield pd.DataFrame(out, columns=cols)
 
-    return bars.groupBy(TICKER).applyInPandasWithState(
-        step, WINDOW_OUT, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    return bars.groupBy(TICKER).applyInPandasWithState(step, out_schema, STATE, "append", GroupStateTimeout.NoTimeout)

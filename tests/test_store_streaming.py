@@ -189,3 +189,15 @@ def test_dynamic_overwrite_touches_only_written_tickers(spark, tmp_path):
     B.write_bars(to_bars(spark, random_walk(10, "AAA", seed=9)), path)  # rewrite AAA only
     counts = {r["ticker"]: r["count"] for r in B.read_bars(spark, path).groupBy("ticker").count().collect()}
     assert counts == {"AAA": 10, "BBB": 140}
+
+
+def test_stream_windows_can_emit_the_window_rows(spark, tmp_path):
+    src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
+    pdf = random_walk(12, "AAPL")
+    to_bars(spark, pdf).write.parquet(src)
+    run_available_now(stream_windows(bar_stream(spark, src), 5, emit_rows=True), sink, ckpt)
+    out = spark.read.parquet(sink).orderBy("window_end").collect()
+    assert len(out) == 8 and all(len(r["rows"]) == 5 for r in out)
+    last = out[-1]["rows"]
+    assert [r["close"] for r in last] == pytest.approx(pdf["close"].iloc[-5:].tolist())
+    assert last[-1]["date"] == out[-1]["window_end"]
