@@ -53,12 +53,19 @@ def tail_n(bars: DataFrame, n: int, keys: list[str] | None = None, time: str = D
     return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def latest_features(bars: DataFrame, fs: FeatureSet, keys: list[str] | None = None, time: str = DATE) -> DataFrame:
+def latest_features(
+    bars: DataFrame,
+    fs: FeatureSet,
+    keys: list[str] | None = None,
+    time: str = DATE,
+    date_format: str = "yyyy-MM-dd HH:mm:ss",
+) -> DataFrame:
     """W10 + T4: the online vector of every ticker, from its last ``max_required_window`` bars.
 
     Window features equal the offline ones at the last row; an EMA feature uses the online
     definition (MACD over the slice, seeded at the slice start).  Short slices give nulls.
-    ``prediction_date`` is the ISO date-time of the last bar.
+    ``prediction_date`` is the last bar's time as text: date and time by default (bars may be
+    intraday); ``date_format="yyyy-MM-dd"`` gives the date-only form of daily bars.
     """
     keys = keys or [TICKER]
     n = fs.max_required_window
@@ -72,7 +79,7 @@ def latest_features(bars: DataFrame, fs: FeatureSet, keys: list[str] | None = No
         raise ValueError(f"features without an online Column form: {missing}")
     rows = rows.withColumns(cols).withColumn("_last", F.row_number().over(w.orderBy(F.col(time).desc())))
     return rows.where(F.col("_last") == 1).select(
-        *keys, F.date_format(time, "yyyy-MM-dd HH:mm:ss").alias("prediction_date"), *fs.feature_names
+        *keys, F.date_format(time, date_format).alias("prediction_date"), *fs.feature_names
     )
 
 
