@@ -27,7 +27,11 @@ def build_session(
         .config("spark.driver.memory", os.environ.get("BARSPARK_DRIVER_MEMORY", "8g"))
     )
     if event_log_dir:
-        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+        builder = (
+            builder.config("spark.eventLog.enabled", "true")
+            .config("spark.eventLog.dir", event_log_dir)
+            .config("spark.eventLog.compress", "false")
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
