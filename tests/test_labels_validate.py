@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import math
 
 import pandas as pd
 import pytest

@@ -4,7 +4,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from barspark.operators import metrics as M
 from barspark.operators import registry as R

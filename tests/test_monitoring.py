@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
 
 import pandas as pd
-import pytest
 from conftest import to_bars
 from pyspark.sql import functions as F
 
