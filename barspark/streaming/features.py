@@ -4,15 +4,17 @@ Each micro-batch is handled by ``foreachBatch`` with the same batch operators:
 new bars are unioned with a *tail-state table* (the last ``H`` bars per ticker, where ``H``
 covers every look-back and the EMA warm-up), features are computed with
 :func:`barspark.operators.features.compute_features`, rows of the new bars are appended to the
-sink, and the new tail replaces the state (written to a fresh directory, then pointed at).
-So stream results equal the offline table exactly, and state stays bounded per ticker.
+sink, and the new tails replace the touched hash buckets of the state (fresh directories, then a
+new manifest).  So stream results equal the offline table exactly, state stays bounded per
+ticker, and a batch reads and rewrites only the buckets of the tickers it carries.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspark.functions.features import FeatureSet
@@ -25,26 +27,53 @@ def state_rows(fs: FeatureSet) -> int:
     return fs.lookback + 1
 
 
+# Hash buckets of the tail state: a micro-batch rewrites only the buckets its tickers fall in.
+STATE_BUCKETS = 256
+
+
 class TailState:
-    """The last rows per ticker, stored as versioned Parquet directories under ``root``."""
+    """The last rows per ticker in ``buckets`` hash buckets, one directory per bucket version.
+
+    A small manifest (bucket -> directory, at most ``buckets`` entries) is replaced in one step
+    after the new bucket directories are written, so a retried micro-batch always sees either
+    the old or the new state, never a mix.  Work per batch grows with the touched buckets, not
+    with every ticker ever seen.
+    """
 
-    def __init__(self, root: str):
+    def __init__(self, root: str, buckets: int = STATE_BUCKETS):
         self.root = root
+        self.buckets = buckets
 
     def _pointer(self) -> str:
-        return fsutil.join(self.root, "CURRENT")
+        return fsutil.join(self.root, "MANIFEST")
+
+    def bucket(self) -> Column:
+        return F.pmod(F.hash(F.col(TICKER)), F.lit(self.buckets))
+
+    def manifest(self, spark: SparkSession) -> dict[int, str]:
+        text = fsutil.read_text(spark, self._pointer())
+        return {int(k): v for k, v in json.loads(text).items()} if text else {}
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        current = fsutil.read_text(spark, self._pointer())
-        if not current:
+    def read(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
+        wanted = None if buckets is None else set(buckets)
+        paths = [p for b, p in sorted(self.manifest(spark).items()) if wanted is None or b in wanted]
+        if not paths:
             return spark.createDataFrame([], BARS)
-        return spark.read.schema(BARS).parquet(current)
+        return spark.read.schema(BARS).parquet(*paths)
 
-    def write(self, tail: DataFrame) -> None:
+    def write(self, tail: DataFrame, buckets: list[int]) -> None:
+        """Replace the given buckets with ``tail`` (which holds every ticker of those buckets)."""
         spark = tail.sparkSession
         target = fsutil.join(self.root, f"v-{uuid.uuid4().hex}")
-        tail.write.mode("error").parquet(target)
-        fsutil.write_text(spark, self._pointer(), target)
+        tail.withColumn("_bucket", self.bucket()).write.mode("error").partitionBy("_bucket").parquet(target)
+        current = self.manifest(spark)
+        for b in buckets:
+            path = fsutil.join(target, f"_bucket={b}")
+            if fsutil.exists(spark, path):
+                current[b] = path
+            else:
+                current.pop(b, None)
+        fsutil.write_text(spark, self._pointer(), json.dumps({str(k): v for k, v in sorted(current.items())}))
 
 
 def feature_batch(
@@ -86,11 +115,13 @@ def stream_features(
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        state = tail_state.read(spark)
+        # the buckets this batch touches: at most `buckets` ids
+        touched = [r[0] for r in batch.select(tail_state.bucket().alias("b")).distinct().collect()]
+        state = tail_state.read(spark, touched)
         feats, tail = feature_batch(batch, state, fs, keep_rows)
         # one directory per epoch, overwritten on a retry: the sink stays exactly-once
         feats.write.mode("overwrite").parquet(fsutil.join(sink_path, f"epoch={epoch_id}"))
-        tail_state.write(tail)
+        tail_state.write(tail, touched)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -201,3 +201,21 @@ def test_stream_windows_can_emit_the_window_rows(spark, tmp_path):
     last = out[-1]["rows"]
     assert [r["close"] for r in last] == pytest.approx(pdf["close"].iloc[-5:].tolist())
     assert last[-1]["date"] == out[-1]["window_end"]
+
+
+def test_tail_state_rewrites_only_touched_buckets(spark, tmp_path):
+    from barspark.streaming.features import TailState
+
+    state = TailState(str(tmp_path / "state"), buckets=8)
+    bars = to_bars(spark, pd.concat([random_walk(5, t, seed=i) for i, t in enumerate("ABCDEFGH")]))
+    all_buckets = [r[0] for r in bars.select(state.bucket()).distinct().collect()]
+    state.write(bars, all_buckets)
+    before = state.manifest(spark)
+    one = bars.where(F.col("ticker") == "A")
+    b = one.select(state.bucket()).first()[0]
+    others_in_b = bars.where((state.bucket() == b) & (F.col("ticker") != "A"))
+    state.write(one.limit(2).unionByName(others_in_b), [b])
+    after = state.manifest(spark)
+    assert {k for k in after if after[k] != before[k]} == {b}
+    assert state.read(spark).where(F.col("ticker") == "A").count() == 2
+    assert state.read(spark).count() == 40 - 3
