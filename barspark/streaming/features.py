@@ -107,11 +107,21 @@ def feature_batch(
 
 
 def stream_features(
-    stream: DataFrame, fs: FeatureSet, sink_path: str, state_root: str, checkpoint: str, available_now: bool = True
+    stream: DataFrame,
+    fs: FeatureSet,
+    sink_path: str,
+    state_root: str,
+    checkpoint: str,
+    available_now: bool = True,
+    state_buckets: int = STATE_BUCKETS,
 ):
-    """Start the ST3 query; returns the StreamingQuery (already finished when ``available_now``)."""
+    """Start the ST3 query; returns the StreamingQuery (already finished when ``available_now``).
+
+    ``state_buckets`` sets how finely the tail state is split; keep it fixed for a given state
+    folder (changing it re-buckets the tickers).
+    """
     keep_rows = state_rows(fs)
-    tail_state = TailState(state_root)
+    tail_state = TailState(state_root, state_buckets)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
