@@ -48,6 +48,14 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (empty when it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Contents of a small pointer file, read on the driver without a Spark job."""
     fs, p = _fs(spark, path)

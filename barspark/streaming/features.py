@@ -34,46 +34,57 @@ STATE_BUCKETS = 256
 class TailState:
     """The last rows per ticker in ``buckets`` hash buckets, one directory per bucket version.
 
-    A small manifest (bucket -> directory, at most ``buckets`` entries) is replaced in one step
-    after the new bucket directories are written, so a retried micro-batch always sees either
-    the old or the new state, never a mix.  Work per batch grows with the touched buckets, not
-    with every ticker ever seen.
+    Each micro-batch writes the directories of the buckets it touches, then a manifest
+    (bucket -> directory, at most ``buckets`` entries) named after its epoch.  A batch for epoch
+    ``E`` reads the newest manifest *before* ``E``: a retried epoch (say the driver died after the
+    state was written but before the epoch was committed) sees exactly the state its first
+    attempt saw, so it reproduces the same output.  Work per batch grows with the touched
+    buckets, not with every ticker ever seen.
     """
 
     def __init__(self, root: str, buckets: int = STATE_BUCKETS):
         self.root = root
         self.buckets = buckets
 
-    def _pointer(self) -> str:
-        return fsutil.join(self.root, "MANIFEST")
+    def _manifest_path(self, epoch: int) -> str:
+        return fsutil.join(self.root, f"MANIFEST-{epoch:020d}")
 
     def bucket(self) -> Column:
         return F.pmod(F.hash(F.col(TICKER)), F.lit(self.buckets))
 
-    def manifest(self, spark: SparkSession) -> dict[int, str]:
-        text = fsutil.read_text(spark, self._pointer())
+    def manifest(self, spark: SparkSession, before_epoch: int | None = None) -> dict[int, str]:
+        epochs = sorted(
+            int(n.split("-", 1)[1]) for n in fsutil.list_names(spark, self.root) if n.startswith("MANIFEST-")
+        )
+        if before_epoch is not None:
+            epochs = [e for e in epochs if e < before_epoch]
+        if not epochs:
+            return {}
+        text = fsutil.read_text(spark, self._manifest_path(epochs[-1]))
         return {int(k): v for k, v in json.loads(text).items()} if text else {}
 
-    def read(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
+    def read(self, spark: SparkSession, buckets: list[int] | None = None, before_epoch: int | None = None) -> DataFrame:
         wanted = None if buckets is None else set(buckets)
-        paths = [p for b, p in sorted(self.manifest(spark).items()) if wanted is None or b in wanted]
+        current = self.manifest(spark, before_epoch)
+        paths = [p for b, p in sorted(current.items()) if wanted is None or b in wanted]
         if not paths:
             return spark.createDataFrame([], BARS)
         return spark.read.schema(BARS).parquet(*paths)
 
-    def write(self, tail: DataFrame, buckets: list[int]) -> None:
-        """Replace the given buckets with ``tail`` (which holds every ticker of those buckets)."""
+    def write(self, tail: DataFrame, buckets: list[int], epoch: int) -> None:
+        """Replace the given buckets with ``tail`` (every ticker of those buckets) as of ``epoch``."""
         spark = tail.sparkSession
         target = fsutil.join(self.root, f"v-{uuid.uuid4().hex}")
         tail.withColumn("_bucket", self.bucket()).write.mode("error").partitionBy("_bucket").parquet(target)
-        current = self.manifest(spark)
+        current = self.manifest(spark, before_epoch=epoch)
         for b in buckets:
             path = fsutil.join(target, f"_bucket={b}")
             if fsutil.exists(spark, path):
                 current[b] = path
             else:
                 current.pop(b, None)
-        fsutil.write_text(spark, self._pointer(), json.dumps({str(k): v for k, v in sorted(current.items())}))
+        text = json.dumps({str(k): v for k, v in sorted(current.items())})
+        fsutil.write_text(spark, self._manifest_path(epoch), text)
 
 
 def feature_batch(
@@ -127,11 +138,12 @@ def stream_features(
         spark = batch.sparkSession
         # the buckets this batch touches: at most `buckets` ids
         touched = [r[0] for r in batch.select(tail_state.bucket().alias("b")).distinct().collect()]
-        state = tail_state.read(spark, touched)
+        # the state as it was before this epoch, also when this epoch is a retry
+        state = tail_state.read(spark, touched, before_epoch=epoch_id)
         feats, tail = feature_batch(batch, state, fs, keep_rows)
         # one directory per epoch, overwritten on a retry: the sink stays exactly-once
         feats.write.mode("overwrite").parquet(fsutil.join(sink_path, f"epoch={epoch_id}"))
-        tail_state.write(tail, touched)
+        tail_state.write(tail, touched, epoch_id)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
