@@ -85,6 +85,26 @@ class TailState:
                 current.pop(b, None)
         text = json.dumps({str(k): v for k, v in sorted(current.items())})
         fsutil.write_text(spark, self._manifest_path(epoch), text)
+        self.prune(spark)
+
+    def prune(self, spark: SparkSession, keep: int = 3) -> None:
+        """Drop all but the newest ``keep`` manifests and the versions only they referenced.
+
+        A retry of the newest epoch reads the manifest before it, so two would suffice; one more
+        is kept as a margin.  State storage stays bounded for a stream that runs forever.
+        """
+        names = fsutil.list_names(spark, self.root)
+        epochs = sorted(int(n.split("-", 1)[1]) for n in names if n.startswith("MANIFEST-"))
+        kept, dropped = epochs[-keep:], epochs[:-keep]
+        referenced = set()
+        for e in kept:
+            text = fsutil.read_text(spark, self._manifest_path(e)) or "{}"
+            referenced |= {path.rstrip("/").rsplit("/", 2)[-2] for path in json.loads(text).values()}
+        for e in dropped:
+            fsutil.remove(spark, self._manifest_path(e))
+        for name in names:
+            if name.startswith("v-") and name not in referenced:
+                fsutil.remove(spark, fsutil.join(self.root, name))
 
 
 def feature_batch(

@@ -245,3 +245,19 @@ def test_retried_epoch_reproduces_its_output(spark, tmp_path):
     retry = run(second, 1)  # same epoch again after its state was already written
     assert len(attempt) == 30
     pd.testing.assert_frame_equal(attempt, retry)
+
+
+def test_tail_state_storage_stays_bounded(spark, tmp_path):
+    from barspark.sources import fsutil
+    from barspark.streaming.features import TailState
+
+    root = str(tmp_path / "st")
+    state = TailState(root, buckets=2)
+    bars = to_bars(spark, pd.concat([random_walk(5, t, seed=i) for i, t in enumerate("AB")]))
+    touched = [r[0] for r in bars.select(state.bucket()).distinct().collect()]
+    for epoch in range(6):
+        state.write(bars, touched, epoch)
+    names = fsutil.list_names(spark, root)
+    assert sorted(n for n in names if n.startswith("MANIFEST-"))[0].endswith("3")  # epochs 3, 4, 5 kept
+    assert len([n for n in names if n.startswith("v-")]) <= 3
+    assert state.read(spark).count() == 10 and state.read(spark, before_epoch=5).count() == 10
