@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.llm import exact_dedup, shards, token_blocks, token_count
+from barspark.llm import exact_dedup, shards, simhash, token_blocks, token_count
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 SHARDS = 40
@@ -36,6 +36,12 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its 3-word-shingle fingerprint and its component at 3 differing bits."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k piece vocabulary."""
     out = token_count.count_tokens(table(spark, sf_dir, "documents"), lambda: token_count.load_pieces(tokenizer_path(PIECES)), PIECES)
@@ -79,6 +85,7 @@ def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_shards": op2_feistel_shards,
+    "op5_covering_simhash": op5_covering_simhash,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_blocks": op9_token_blocks,
