@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.llm import exact_dedup, shards, simhash, token_blocks, token_count
+from barspark.llm import bpe_words, exact_dedup, shards, simhash, token_blocks, token_count
 
+BYTES = "byte_bpe_50k.json"
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 SHARDS = 40
 SHARD_SEED = 20260
@@ -36,6 +37,22 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and the decoded text of whole documents."""
+    out = bpe_words.encode_decode(docs, lambda: bpe_words.Codec(tokenizer_path(BYTES)), BYTES)
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with the byte-level 50k vocabulary through the distinct-word table, and decoded."""
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its 3-word-shingle fingerprint and its component at 3 differing bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -85,6 +102,7 @@ def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_shards": op2_feistel_shards,
+    "op4_bpe_words": op4_bpe_words,
     "op5_covering_simhash": op5_covering_simhash,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
