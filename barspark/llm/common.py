@@ -14,7 +14,7 @@ from barspark.session import materialize
 #: Characters of text handled at once inside a task; bounds the memory of a step, not its result.
 SLICE_CHARS = 4_000_000
 #: Distinct words a worker keeps between batches; a full table is emptied and filled again.
-TABLE_WORDS = 400_000
+TABLE_WORDS = 300_000
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -62,6 +62,31 @@ class WordTable:
         return np.fromiter(map(index.__getitem__, words), np.int64, len(words))
 
 
+class NumberTable(WordTable):
+    """A word table whose ``encode`` returns one array row per word; ``matrix`` holds them all."""
+
+    def __init__(self, encode: Callable[[list[str]], np.ndarray], limit: int = TABLE_WORDS):
+        super().__init__(self._extend, limit)
+        self.numbers, self.held, self.used, self.seen = encode, np.zeros(0), 0, 0
+
+    def _extend(self, words: list[str]) -> range:
+        if self.seen != self.generation:
+            self.used, self.seen = 0, self.generation
+        new = self.numbers(words)
+        if self.used + len(new) > len(self.held) or self.held.shape[1:] != new.shape[1:]:
+            old, room = self.held[: self.used], max(1024, 2 * (self.used + len(new)))
+            self.held = np.zeros((room, *new.shape[1:]), new.dtype)
+            if self.used:
+                self.held[: self.used] = old
+        self.held[self.used : self.used + len(new)] = new
+        self.used += len(new)
+        return range(len(new))  # the row numbers are what matters
+
+    @property
+    def matrix(self) -> np.ndarray:
+        return self.held[: self.used]
+
+
 def sums_by_text(values: np.ndarray, counts: list[int] | np.ndarray) -> np.ndarray:
     """Sum runs of ``values`` (first axis), run i holding ``counts[i]`` entries; empty runs give 0."""
     ends = np.cumsum(np.asarray(counts, np.int64))
@@ -113,3 +138,28 @@ def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
             store.pop(next(iter(store)))
         store[key] = make()
     return store[key]
+
+
+#: Words handed to a tokenizer library at once (its results are large objects).
+LIBRARY_WORDS = 8_192
+
+
+def library_ids(tok, words: list[str]) -> list[bytes]:
+    """Each word's ids (unsigned 32-bit, little-endian) from a tokenizer of the tokenizers library."""
+    out: list[bytes] = []
+    for a in range(0, len(words), LIBRARY_WORDS):
+        out += [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(words[a : a + LIBRARY_WORDS], add_special_tokens=False)]
+    return out
+
+
+def library_tokenizer(path: str):
+    """A tokenizer file opened on a worker: one thread (Spark runs the tasks), no truncation or padding."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return tok

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.llm import bpe_words, exact_dedup, shards, simhash, token_blocks, token_count
+from barspark.llm import bpe_words, exact_dedup, langid, shards, simhash, token_blocks, token_count
+from barspark.llm.common import library_ids, library_tokenizer
 
 BYTES = "byte_bpe_50k.json"
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -37,6 +38,22 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Documents kept from learning: crc32 of the id as text leaves 1 modulo 3 (a null id counts as '')."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
+
+
+def language_models(docs: DataFrame) -> langid.LanguageModels:
+    return langid.fit(docs.filter(~held_out(F.col("doc_id"))))
+
+
+def op1_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; the models learn from documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = langid.predict(docs, language_models(docs))
+    return out.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and the decoded text of whole documents."""
     out = bpe_words.encode_decode(docs, lambda: bpe_words.Codec(tokenizer_path(BYTES)), BYTES)
@@ -72,20 +89,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _word_tokenizer():
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(tokenizer_path(WORDS))
-    tok.no_truncation()
-    tok.no_padding()
-    return _Words(tok)
-
-
-class _Words:
-    def __init__(self, tok):
-        self.tok = tok
-
-    def encode_batch(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+    tok = library_tokenizer(tokenizer_path(WORDS))
+    return lambda words: library_ids(tok, words)
 
 
 #: Ids of the word vocabulary (its size fixes the packed width).
@@ -101,6 +106,7 @@ def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney_langid": op1_kneser_ney_langid,
     "op2_feistel_shards": op2_feistel_shards,
     "op4_bpe_words": op4_bpe_words,
     "op5_covering_simhash": op5_covering_simhash,

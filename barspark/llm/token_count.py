@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspark.llm.common import WordTable, kept_by_worker, sums_by_text, text_slices
+from barspark.llm.common import NumberTable, kept_by_worker, sums_by_text, text_slices
 
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max
@@ -67,7 +67,7 @@ class PieceMerger:
         self.single = np.zeros(self.base, bool)  # symbols that are whole pieces
         self.single[: len(pieces)] = True
         self.newline_alone = "\n" not in chars
-        self.table = WordTable(lambda words: self.counts(words).tolist())
+        self.table = NumberTable(self.counts)
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("a piece holds white space after another character: texts can't be cut there")
 
@@ -186,13 +186,13 @@ def load_pieces(path: str) -> list[str]:
     return [sp.id_to_piece(i) for i in ids]
 
 
-def count_texts(texts: list[str], merger: PieceMerger, table: WordTable) -> np.ndarray:
+def count_texts(texts: list[str], merger: PieceMerger, table: NumberTable) -> np.ndarray:
     """Tokens of each text: the sum over its pre-tokens, each distinct one merged once while kept."""
     cut = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+" if merger.newline_alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
     words = [cut.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
     flat = [w for ws in words for w in ws]
     rows = table.rows(flat)
-    counts = sums_by_text(np.asarray(table.values, np.int64)[rows] if flat else np.zeros(0, np.int64), [len(w) for w in words])
+    counts = sums_by_text(table.matrix[rows] if flat else np.zeros(0, np.int64), [len(w) for w in words])
     return counts + (np.array([t.count("\n") for t in texts], np.int64) if merger.newline_alone else 0)
 
 
