@@ -21,10 +21,11 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barspark.llm.common import orderable, text_slices
+from barspark.llm.common import text_slices
 
 SALTS = 32
 _LOCAL = "digest string, tag bigint, size bigint, ids array<bigint>, top bigint, n bigint"
@@ -84,25 +85,61 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
-def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """The documents with one row per distinct text (largest id), all columns as they came.
+def _local_first(id_at: int, text_at: int):
+    """Of each slice's equal texts the row with the largest id, with the digest of its normalised text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches, batches_text):
+            norm = pc.ascii_lower(pa.array(texts, pa.string())).to_pylist()
+            best: dict[str, tuple] = {}
+            for k, (i, t) in enumerate(zip(part.column(id_at).to_pylist(), norm)):
+                if t not in best or (i is not None and (best[t][0] is None or i > best[t][0])):
+                    best[t] = (i, k)
+            rows = pa.array([k for _, k in best.values()], pa.int64())
+            digests = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in best], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.take(rows).columns, digests], names=[*part.schema.names, "digest"])
+
+    batches_text = f"c{text_at}"
+    return run
 
-    Rows repeated with the same id and text leave one row.  Null texts are one group, like ''.
+
+def _first_of_text(text_at: int):
+    """The first row of every distinct normalised text; rows come sorted by digest, largest id first.
+
+    Holds the distinct texts of one digest at a time.
     """
-    own = [f"_c{i}" for i in range(len(docs.columns))]
-    keyed = docs.toDF(*own)
-    i, t = own[docs.columns.index(id_col)], own[docs.columns.index(text_col)]
-    keep = (
-        duplicate_groups(keyed, i, t, salts).filter("kept").select(F.col("id").alias("_kid"), F.col("text_sha256").alias("_kd")).distinct()
-    )
-    lower = F.sha2(F.coalesce(_ascii_lower(F.col(t)), F.lit("")), 256)
-    kept = keyed.join(keep, F.col(i).cast("bigint").eqNullSafe(F.col("_kid")), "inner").filter(lower == F.col("_kd"))
-    first = Window.partitionBy(i, "_kd").orderBy(*orderable(kept, own))
-    return kept.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").select(*own).toDF(*docs.columns)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, seen = None, set()
+        for batch in batches:
+            norm = pc.fill_null(pc.ascii_lower(batch.column(text_at).cast(pa.string())), "").to_pylist()
+            keep = []
+            for digest, t in zip(batch.column(batch.num_columns - 1).to_pylist(), norm):
+                if digest != now:
+                    now, seen = digest, set()
+                keep.append(t not in seen)
+                seen.add(t)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
-@F.pandas_udf("string")
-def _ascii_lower(s):
-    import pandas as pd
+def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+    """The documents with one row per distinct text (largest id), all columns as they came.
 
-    return pd.Series(pc.ascii_lower(pa.array(s, pa.string(), from_pandas=True)).to_pylist(), dtype=object)
+    The same three stages, here carrying whole rows: local (a slice keeps one row a text), salted by
+    (digest, salt) and global by digest; the reducers read rows sorted by digest and compare the full
+    normalised texts of a digest.  Rows repeated with the same id and text leave one row; null texts
+    are one group with ''; an empty table stays empty.
+    """
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    keyed = docs.toDF(*own)
+    i, t = docs.columns.index(id_col), docs.columns.index(text_col)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = T.StructType([*keyed.schema.fields, T.StructField("digest", T.StringType())])
+    order = ["digest", F.desc_nulls_last(own[i])]
+    local = keyed.mapInArrow(_local_first(i, t), schema)
+    salt = F.pmod(F.xxhash64(own[i]), F.lit(salts))
+    salted = local.repartition(parts, "digest", salt).sortWithinPartitions(*order).mapInArrow(_first_of_text(t), schema)
+    whole = salted.repartition(parts, "digest").sortWithinPartitions(*order).mapInArrow(_first_of_text(t), schema)
+    return whole.select(*own).toDF(*docs.columns)
