@@ -256,48 +256,49 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return LanguageModels([r.lang for r in found], models, np.array([r.limits for r in found]).reshape(-1, 2))
 
 
-def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``id, lang_pred, score, cross_entropy, rejected`` of every row, after the ``carry`` columns.
+_JUDGED = "lang_pred string, score double, cross_entropy double, rejected boolean"
 
-    ``score`` in [0, 1] is the winner's share of the languages' likelihoods, tempered to ten characters.
-    Null texts, empty ones and texts without a letter are ``und`` with score 0, no cross-entropy,
-    rejected.  Equal cross-entropies go to the language first in the alphabet.  Without any learnt
-    language every text is ``und``.  Repeated rows give repeated rows; an empty table gives none.
-    """
-    carry = carry or []
-    names = [f"c{i}" for i in range(len(carry))]
-    rows = docs.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("t"), *[F.col(c).alias(n) for c, n in zip(carry, names)]
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    fields = "id bigint, lang_pred string, score double, cross_entropy double, rejected boolean"
-    kinds = [rows.schema[n] for n in names]
+
+def judge(rows: DataFrame, text_at: int, models: LanguageModels) -> DataFrame:
+    """``rows`` with ``lang_pred, score, cross_entropy, rejected`` of the text in column ``text_at``."""
+    shared = rows.sparkSession.sparkContext.broadcast(models)
+    text = rows.columns[text_at]
+    added = T.StructType.fromDDL(_JUDGED)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: LanguageModels = shared.value
         table = kept_by_worker(own.key(), lambda: NumberTable(own.word_scores))
-        for part, texts in text_slices(batches, "t"):
+        for part, texts in text_slices(batches, text):
             words = [t.split() for t in texts]
             at = table.rows([w for ws in words for w in ws])
             scores = table.matrix[at] if at.size else np.zeros((0, len(own.languages) + 1))
-            sums = sums_by_text(scores, [len(ws) for ws in words])
-            lang, share, cross, rejected = decide(sums, own)
-            cols = [part.column(0), pa.array(lang, pa.string()), pa.array(share, pa.float64()), pa.array(cross, pa.float64(), from_pandas=True), pa.array(rejected, pa.bool_())]
-            cols += [part.column(2 + i) for i in range(len(kinds))]
-            yield pa.RecordBatch.from_arrays(cols, names=["id", "lang_pred", "score", "cross_entropy", "rejected", *[f"c{i}" for i in range(len(kinds))]])
+            lang, share, cross, rejected = decide(sums_by_text(scores, [len(ws) for ws in words]), own)
+            cols = [pa.array(lang, pa.string()), pa.array(share, pa.float64()), pa.array(cross, pa.float64(), from_pandas=True), pa.array(rejected, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*part.schema.names, *added.names])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added.fields]))
+
 
-    schema = T.StructType([*T.StructType.fromDDL(fields).fields, *kinds])
-    out = rows.mapInArrow(run, schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(carry, names)], "id", "lang_pred", "score", "cross_entropy", "rejected")
+def predict(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, lang_pred, score, cross_entropy, rejected`` of every row.
+
+    ``score`` in [0, 1] is the winner's share of the languages' likelihoods, tempered to ten characters.
+    Null texts, empty ones and texts without a letter are ``und`` with score 0, no cross-entropy,
+    rejected.  Equal cross-entropies go to the language first in the alphabet.  Without any learnt
+    language every text is ``und`` and only those without a letter are rejected.  Repeated rows give
+    repeated rows; an empty table gives none; other columns are ignored.
+    """
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("t"))
+    return judge(rows, 1, models).drop("t")
 
 
 def decide(sums: np.ndarray, own: LanguageModels) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Language, score, cross-entropy and rejection of texts from their summed word scores."""
     length = sums[:, -1]
+    told = length > 0
     if not own.languages:
         n = len(length)
-        return [UNKNOWN] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
-    told = length > 0
+        return [UNKNOWN] * n, np.zeros(n), np.full(n, np.nan), ~told
     mean = -sums[:, :-1] / np.maximum(length, 1)[:, None]
     best = mean.argmin(axis=1)
     low = mean[np.arange(len(mean)), best]
@@ -306,9 +307,8 @@ def decide(sums: np.ndarray, own: LanguageModels) -> tuple[list[str], np.ndarray
     return [own.languages[b] if t else UNKNOWN for b, t in zip(best.tolist(), told.tolist())], np.where(told, share, 0.0), np.where(told, low, np.nan), rejected
 
 
-def drop_rejected(docs: DataFrame, models: LanguageModels, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def drop_rejected(docs: DataFrame, models: LanguageModels, text_col: str = "text") -> DataFrame:
     """The documents that some language accepts, all columns as they came."""
-    own = [f"_c{i}" for i in range(len(docs.columns))]
-    keyed = docs.toDF(*own)
-    i, t = own[docs.columns.index(id_col)], own[docs.columns.index(text_col)]
-    return predict(keyed, models, i, t, carry=own).filter(~F.col("rejected")).select(*own).toDF(*docs.columns)
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    rows = judge(docs.toDF(*own), docs.columns.index(text_col), models)
+    return rows.filter(~F.col("rejected")).select(*own).toDF(*docs.columns)

@@ -3,8 +3,8 @@
 Documents fall into cells (source, language, topic).  Raking scales the cells' token weights until
 the margins of all three dimensions meet their targets; the scale of a cell is a product of one factor per
 category.  Documents are then sampled by calibrated probabilities: a document's chance is its cell's
-scale over the largest scale, so the expected tokens of the sample have the target margins and as
-many tokens as that allows.  The draw is a hash of id and text: repeatable, and blind to the
+scale over one rate (1 at most), so the expected tokens of the sample have the target margins but for a
+small trimmed share, and as many tokens as that allows.  The draw is a hash of id and text: repeatable, and blind to the
 order of the rows.
 
 Targets are dictionaries given by the caller; categories they don't name (and null) share the class
@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 OTHER = "*"
 SWEEPS = 200
 TOLERANCE = 1e-9
+#: Share of the wanted tokens that cells of the largest scales may fall short of.
+TRIM = 0.05
 #: Largest number of cells the targets may span (a check of the caller's parameter, not of the data).
 MAX_CELLS = 100_000
 
@@ -75,10 +77,21 @@ class Raked:
     sweeps: int
     error: float
 
-    @property
-    def probability(self) -> np.ndarray:
-        top = self.scale.max() if self.scale.size else 0.0
-        return self.scale / top if top > 0 else np.zeros(self.scale.size)
+    def probability(self, trim: float = TRIM) -> np.ndarray:
+        """Chance of a document of each cell: its scale over a rate, 1 at most.
+
+        The rate is the smallest scale beyond which cells stand for no more than ``trim`` of the wanted
+        tokens.  So all margins are met but for that share, and a rare category with a large
+        target (which no sample of distinct documents can meet) doesn't thin out all the others.
+        """
+        if not self.scale.size or not self.scale.max() > 0:
+            return np.zeros(self.scale.size)
+        order = np.argsort(-self.scale, kind="stable")
+        wanted = (self.tokens * self.scale)[order]
+        above = np.cumsum(wanted) - wanted  # of the cells with a larger scale
+        total = wanted.sum()
+        rate = self.scale[order][above <= trim * total][-1] if total > 0 else self.scale.max()
+        return np.minimum(1.0, self.scale / rate) if rate > 0 else np.zeros(self.scale.size)
 
 
 def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, targets: list[dict[str, float]], sweeps: int = SWEEPS) -> Raked:
@@ -137,7 +150,7 @@ def with_probability(docs: DataFrame, columns: list[Column], targets: list[dict[
     spark = docs.sparkSession
     names = [f"{prefix}k{i}" for i in range(len(columns))]
     fields = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(f"{prefix}c", T.DoubleType())])
-    cells = spark.createDataFrame([(*c, p) for c, p in zip(raked.cells, raked.probability.tolist())], fields)
+    cells = spark.createDataFrame([(*c, p) for c, p in zip(raked.cells, raked.probability().tolist())], fields)
     text = F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("")) for c in draw])
     uniform = F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("double") / float(1 << 52)
     keyed = docs.select("*", *[classed(c, t).alias(n) for n, c, t in zip(names, columns, targets)], uniform.alias(f"{prefix}u"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.llm import bpe_words, chat, exact_dedup, langid, mixing, shards, simhash, token_blocks, token_count
+from barspark.llm import ann, bpe_words, chat, exact_dedup, langid, mixing, shards, simhash, token_blocks, token_count
 from barspark.llm.common import library_ids, library_tokenizer
 
 BYTES = "byte_bpe_50k.json"
@@ -86,6 +86,11 @@ def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest by cosine of every fiftieth embedding, among all others."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k piece vocabulary."""
     out = token_count.count_tokens(table(spark, sf_dir, "documents"), lambda: token_count.load_pieces(tokenizer_path(PIECES)), PIECES)
@@ -110,16 +115,16 @@ END_ID = 2
 
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents encoded with the 49k word vocabulary, written as packed block files and read back."""
-    encoded = token_blocks.encode_documents(table(spark, sf_dir, "documents"), _word_tokenizer, WORDS, END_ID)
+    encoded = token_blocks.encode_documents(table(spark, sf_dir, "documents"), _word_tokenizer, WORDS, WORD_VOCABULARY, END_ID)
     out = token_blocks.read_blocks(token_blocks.write_blocks(encoded, WORD_VOCABULARY))
     return out.select(F.col("id").alias("doc_id"), "start", F.col("n").alias("n_tokens"), "ids_crc32")
 
 
 #: Target shares of the mix; what a dimension leaves of 1 goes to all other values together.
 MIX = {
-    "source": {"src0": 0.2, **{f"src{i}": 0.04 for i in range(1, 20)}},
-    "lang": {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.11},
-    "topic": {"clauses": 0.3, "terse": 0.26, "lines": 0.2, "plain": 0.23},
+    "source": {f"src{i}": 0.0495 for i in range(20)},
+    "lang": {"en": 0.6, "de": 0.145, "fr": 0.145, "es": 0.1},
+    "topic": {"clauses": 0.3, "terse": 0.25, "lines": 0.2, "plain": 0.25},
 }
 
 
@@ -135,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_template": op3_chat_template,
     "op4_bpe_words": op4_bpe_words,
     "op5_covering_simhash": op5_covering_simhash,
+    "op6_projected_neighbours": op6_projected_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_blocks": op9_token_blocks,
