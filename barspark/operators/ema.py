@@ -12,6 +12,7 @@ stays bounded by ``chunk_rows + H``, no matter how long one ticker is.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -67,6 +68,20 @@ def with_pandas_features(chunked: DataFrame, keys: list[str], features: list[Fea
     feats = list(features)
 
     def fn(pdf):
-        return {f.name: f.series(pdf).to_numpy() for f in feats}
+        out = {f.name: f.series(pdf).to_numpy() for f in feats}
+        for f in feats:
+            check_lookback(f, pdf, out[f.name])
+        return out
 
     return _per_chunk(chunked, keys, [f.name for f in feats], fn, time)
+
+
+def check_lookback(feature: Feature, pdf: pd.DataFrame, values: np.ndarray) -> None:
+    """A grouped feature may look no further back than it declares, else its values would depend on where a
+    ticker is cut.  The last row is computed again from its declared look-back alone: another
+    value is an error, for small tickers as for large ones."""
+    if len(pdf) <= feature.lookback + 1:
+        return
+    alone = feature.series(pdf.tail(feature.lookback + 1).reset_index(drop=True)).to_numpy()[-1]
+    if not np.isclose(alone, values[-1], rtol=1e-6, atol=1e-9, equal_nan=True):
+        raise ValueError(f"feature {feature.name!r} looks back beyond the {feature.lookback} rows it declares")

@@ -43,13 +43,14 @@ COUNT = "_count"
 
 # Rows per chunk.  ~100 bytes per bar -> ~100 MB per window task at the default.
 DEFAULT_CHUNK_ROWS = 1 << 20
-# A side table is broadcast only when its counted row number is at most this.
-BROADCAST_ROWS = 2_000_000
+# A side table is broadcast only when its rows, at its columns' width, take at most this.
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a measured row count; otherwise leave the join to shuffle."""
-    return F.broadcast(df) if rows <= limit else df
+def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a measured size; otherwise leave the join to shuffle."""
+    width = sum(f.dataType.jsonValue() == "string" and 64 or 16 for f in df.schema.fields)
+    return F.broadcast(df) if rows * width <= limit else df
 
 
 @dataclass
@@ -128,7 +129,8 @@ def chunk_window(keys: list[str], order: list[str] | None = None) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*(order or [SEQ]))
 
 
-# Above this many hot keys, every key takes the chunked path (no key list on the driver).
+# Above this many hot keys, every key takes the chunked path (no key list on the driver).  A setting
+# may lower it, not raise it: the list is broadcast.
 MAX_HOT_KEYS = 10_000
 
 # Session settings a cluster user can tune without code changes.
@@ -143,35 +145,18 @@ def configured_chunk_rows(spark) -> int:
 
 def configured_max_hot_keys(spark) -> int:
     value = spark.conf.get(MAX_HOT_KEYS_CONF, None)
-    return int(value) if value else MAX_HOT_KEYS
-
-
-# Hot-key answers per (key projection plan, keys, rows).  Only the *path* depends on this (both
-# paths give identical results), so a stale entry can cost speed, never correctness.
-_HOT_MEMO: dict[tuple, list[tuple] | None] = {}
+    return min(int(value), MAX_HOT_KEYS) if value else MAX_HOT_KEYS
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows: int) -> list[tuple] | None:
     """Keys with more than ``rows`` rows; ``None`` when there are too many to list."""
     projected = df.select(*keys) if keys else df.select(F.lit(1).alias("_one"))
-    try:
-        memo_key = (projected.semanticHash(), tuple(keys), rows, configured_max_hot_keys(df.sparkSession))
-    except Exception:  # noqa: BLE001 - e.g. connect sessions
-        memo_key = None
-    if memo_key is not None and memo_key in _HOT_MEMO:
-        return _HOT_MEMO[memo_key]
     if not keys:
-        found = None if projected.limit(rows + 1).count() > rows else []
-    else:
-        cap = configured_max_hot_keys(df.sparkSession)
-        counts = projected.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
-        listed = counts.select(*keys).limit(cap + 1).collect()
-        found = None if len(listed) > cap else [tuple(r) for r in listed]
-    if memo_key is not None:
-        if len(_HOT_MEMO) > 256:
-            _HOT_MEMO.clear()
-        _HOT_MEMO[memo_key] = found
-    return found
+        return None if projected.limit(rows + 1).count() > rows else []
+    cap = configured_max_hot_keys(df.sparkSession)
+    counts = projected.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+    listed = counts.select(*keys).limit(cap + 1).collect()
+    return None if len(listed) > cap else [tuple(r) for r in listed]
 
 
 def frame(

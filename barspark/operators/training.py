@@ -18,7 +18,7 @@ def baseline_features(df: DataFrame, keys: list[str] | None = None) -> DataFrame
     """Keys + ``open high low close volume`` in that order; a missing column is an error."""
     missing = set(BASELINE_COLUMNS) - set(df.columns)
     if missing:
-        raise ValueError(f"Missing required columns: {sorted(missing)}")
+        raise ValueError(f"the bars lack the columns {sorted(missing)}")
     keys = [k for k in (keys if keys is not None else [TICKER, DATE]) if k in df.columns]
     return df.select(*keys, *BASELINE_COLUMNS)
 

@@ -49,7 +49,7 @@ def validation_report(
     keys = keys or [TICKER]
     missing = missing_columns(bars)
     if missing:
-        raise ValueError(f"Missing columns: {sorted(missing)}")
+        raise ValueError(f"bars lack the columns {sorted(missing)}")
     counts = bars.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(_is_missing(c)).alias(f"null_{c}") for c in VALUE_COLUMNS],
@@ -82,14 +82,12 @@ def validate(bars: DataFrame, arrival: str | None = None, keys: list[str] | None
         row = bad[0]
         who = ",".join(str(row[k]) for k in keys)
         rule = row["first_violation"]
-        if rule == "too_few_rows":
-            raise ValueError(f"[{who}] Only {row['n_rows']} rows — expected at least {MIN_ROWS_PER_TICKER}")
-        if rule == "null_values":
-            detail = {c: row[f"null_{c}"] for c in VALUE_COLUMNS if row[f"null_{c}"]}
-            raise ValueError(f"[{who}] Null values found: {detail}")
-        if rule == "non_positive_close":
-            raise ValueError(f"[{who}] Non-positive close prices found")
-        if rule == "negative_volume":
-            raise ValueError(f"[{who}] Negative volume found")
-        raise ValueError(f"[{who}] Date index is not sorted ascending")
+        said = {
+            "too_few_rows": f"{row['n_rows']} bars, {MIN_ROWS_PER_TICKER} needed",
+            "null_values": "missing values: " + ", ".join(f"{c} {row[f'null_{c}']}" for c in VALUE_COLUMNS if row[f"null_{c}"]),
+            "non_positive_close": f"{row['non_positive_close']} bars close at zero or below",
+            "negative_volume": f"{row['negative_volume']} bars have a volume below zero",
+            "unsorted_dates": f"{row['unsorted_dates']} bars arrived before an earlier date",
+        }
+        raise ValueError(f"{who}: {rule} ({said[rule]})")
     return bars

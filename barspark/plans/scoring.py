@@ -12,7 +12,7 @@ from barspark.functions.features import ENGINEERED_V2, FeatureSet
 from barspark.operators import drift as drift_op
 from barspark.plans import training_jobs as jobs
 from barspark.schemas import DATE, TICKER
-from barspark.sources import predlog
+from barspark.sources import fsutil, predlog
 from barspark.sources.store import latest_features
 
 
@@ -35,14 +35,26 @@ def score_requests(
     stats: DataFrame | None,
     fs: FeatureSet = ENGINEERED_V2,
 ) -> tuple[DataFrame, DataFrame]:
-    """(responses, errors): online vector per known ticker -> model -> drift; unknown -> errors."""
-    status = request_status(requests, bars)
-    errors = status.where(F.col("status") == "unknown_ticker").select(TICKER, "status")
-    known = status.where(F.col("status") == "ok").select(TICKER)
-    vectors = latest_features(bars.join(known, TICKER, "left_semi"), fs)
-    scored = jobs.predict(model, vectors.dropna(subset=fs.feature_names))
+    """(responses, errors): every request row comes out once, with its own columns.
+
+    A request whose ticker has no bars is ``unknown_ticker``; one with too few bars for a full vector is
+    ``short_history``; all others are answered: online vector -> model -> drift.
+    """
+    extra = [c for c in requests.columns if c != TICKER]
+    asked = requests.select(TICKER).distinct()
+    known = bars.join(asked, TICKER, "left_semi")
+    vectors = latest_features(known, fs)
+    full = sum((F.col(n).isNull().cast("int") for n in fs.feature_names), F.lit(0)) == 0
+    state = asked.join(vectors.withColumn("_full", full), TICKER, "left")
+    state = state.withColumn(
+        "status", F.when(F.col("_full").isNull(), "unknown_ticker").when(~F.col("_full"), "short_history").otherwise("ok")
+    )
+    joined = requests.join(state, TICKER, "left").withColumn("status", F.coalesce("status", F.lit("unknown_ticker")))
+    errors = joined.where(F.col("status") != "ok").select(TICKER, *extra, "status")
+    scored = jobs.predict(model, joined.where(F.col("status") == "ok"))
     out = scored.select(
         TICKER,
+        *extra,
         "prediction_date",
         *fs.feature_names,
         direction(F.col("prediction") == 1).alias("direction"),
@@ -61,7 +73,10 @@ def score_requests(
 
 def serve_stream(requests_stream: DataFrame, bars_loader, root: str, log_path: str, checkpoint: str, fs=ENGINEERED_V2):
     """ST4 + ST5: score each micro-batch of requests with the champion resolved at batch start,
-    flag drift, append to the prediction log.  ``bars_loader(spark)`` returns the bar table."""
+    flag drift, write to the prediction log.  ``bars_loader(spark)`` returns the bar table.
+
+    Each epoch writes its own folder of the log, and its refused requests one beside it
+    (``<log>_errors``); a retried epoch writes the same folders again, so nothing is logged twice."""
     from barspark.sources.store import load_training_stats
 
     def each(batch: DataFrame, epoch_id: int) -> None:
@@ -71,8 +86,9 @@ def serve_stream(requests_stream: DataFrame, bars_loader, root: str, log_path: s
             stats = load_training_stats(spark, root, fs)
         except FileNotFoundError:
             stats = None
-        out, _errors = score_requests(batch, bars_loader(spark), model, version, stats, fs)
-        predlog.append_predictions(out, log_path)
+        out, errors = score_requests(batch, bars_loader(spark), model, version, stats, fs)
+        predlog.append_predictions(out, log_path, epoch=epoch_id)
+        errors.write.mode("overwrite").json(fsutil.join(f"{log_path.rstrip('/')}_errors", f"epoch={epoch_id}"))
 
     q = requests_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

@@ -200,7 +200,7 @@ def load_champion(spark: SparkSession, root: str) -> tuple[PipelineModel, str]:
     """C4: the champion's model; ``RuntimeError`` when there is none."""
     c = champion(spark, root)
     if c is None:
-        raise RuntimeError(f"No champion for model {MODEL_NAME!r}. Run the training job first.")
+        raise RuntimeError(f"model {MODEL_NAME!r} has no champion yet")
     return PipelineModel.load(c["model_path"]), str(c["champion_version"])
 
 
@@ -226,7 +226,7 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - spark-sub
     from barspark.session import build_session
     from barspark.sources.bars import read_bars
 
-    ap = argparse.ArgumentParser(description="Train and optionally promote a new model.")
+    ap = argparse.ArgumentParser(description="Dated training run: fit, evaluate, record, decide on the champion.")
     ap.add_argument("--bars", required=True)
     ap.add_argument("--root", required=True)
     ap.add_argument("--run-date", default=None)

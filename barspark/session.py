@@ -39,13 +39,16 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests) pick a scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only a local master may do without (tests): it gets a
+    scratch folder.  On a cluster an unset folder is an error, as executors share no local one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="barspark-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

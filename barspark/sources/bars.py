@@ -27,7 +27,7 @@ def normalize_bars(
     lower = {c.lower(): c for c in raw.columns}
     missing = [c for c in BASELINE_COLUMNS if c not in lower]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the raw frame lacks the columns {missing}")
     ts = F.col(time_col)
     if raw.schema[time_col].dataType.typeName() == "timestamp":
         session_tz = raw.sparkSession.conf.get("spark.sql.session.timeZone")
@@ -41,7 +41,7 @@ def normalize_bars(
         requested = raw.select(F.col(ticker_col).cast("string").alias(TICKER)).distinct()
         empty = requested.join(out.select(TICKER).distinct(), TICKER, "left_anti").limit(1).collect()
         if empty:
-            raise ValueError(f"No data returned for ticker {empty[0][TICKER]!r} ({start} to {end})")
+            raise ValueError(f"ticker {empty[0][TICKER]!r} has no bars in {start} .. {end}")
     return out
 
 
@@ -57,7 +57,7 @@ def write_bars(bars: DataFrame, path: str, mode: str = "overwrite", layout: str
     """
     cols = [f.name for f in BARS.fields]
     if layout == "ticker":
-        out = bars.select(*cols).repartition(TICKER, F.to_date(DATE)).sortWithinPartitions(TICKER, DATE)
+        out = bars.select(*cols).repartitionByRange(TICKER, DATE).sortWithinPartitions(TICKER, DATE)
         out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(TICKER).parquet(path)
     elif layout == "month":
         out = (

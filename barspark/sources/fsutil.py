@@ -1,7 +1,7 @@
 """Path helpers that work on any Hadoop file system (local, HDFS, object stores).
 
-Used for existence checks and the small ``CURRENT`` pointer files that make a new table
-version visible in one step; data itself is always read and written by Spark.
+Used for existence checks and the small manifest files that make a new table version visible in
+one step; data itself is always read and written by Spark.
 """
 
 from __future__ import annotations
@@ -35,17 +35,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a temporary sibling, then rename over the target."""
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write to a temporary sibling, then rename to a new name; fails if the name is taken."""
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
+    if fs.exists(p):
+        raise FileExistsError(path)
     tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    if not fs.rename(tmp, p):
+        raise FileExistsError(path)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """``create_text`` that replaces an older file (for files that a retry rewrites with the same name)."""
+    fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, False)
-    fs.rename(tmp, p)
+    create_text(spark, path, text)
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:

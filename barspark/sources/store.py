@@ -2,47 +2,72 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barspark.functions.features import FeatureSet, helper_columns
 from barspark.operators.features import compute_features
 from barspark.schemas import DATE, TICKER, TRAINING_STATS
+from barspark.session import materialize
 from barspark.sources import fsutil
+from barspark.sources.versions import VersionedTable
 
 
 def store_dir(root: str, fs: FeatureSet) -> str:
     return fsutil.join(root, fs.label)
 
 
+MONTH = "_month"
+
+
+def feature_schema(fs: FeatureSet) -> T.StructType:
+    values = [T.StructField(n, T.DoubleType()) for n in fs.feature_names]
+    return T.StructType([T.StructField(TICKER, T.StringType()), T.StructField(DATE, T.TimestampNTZType()), *values])
+
+
+def feature_table(spark: SparkSession, root: str, fs: FeatureSet) -> VersionedTable:
+    """The one stored table of a feature set: full builds, backfills and readers share it."""
+    return VersionedTable(spark, store_dir(root, fs))
+
+
+def _with_month(rows: DataFrame, fs: FeatureSet) -> DataFrame:
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in feature_schema(fs).fields])
+    return typed.withColumn(MONTH, F.date_format(DATE, "yyyy-MM"))
+
+
+def _publish(rows: DataFrame, table: VersionedTable, months: list[str], everything: bool = False) -> str:
+    """Rows range-partitioned by (month, ticker, date): few files a month, each a run of tickers."""
+    laid = rows.repartitionByRange(MONTH, TICKER, DATE).sortWithinPartitions(MONTH, TICKER, DATE)
+    table.replace(laid, MONTH, months, everything)
+    return table.base
+
+
 def write_features(features: DataFrame, root: str, fs: FeatureSet) -> str:
-    """Feature table partitioned by ticker (dynamic overwrite of the written tickers only)."""
-    path = store_dir(root, fs)
-    (
-        features.sortWithinPartitions(TICKER, DATE)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(TICKER)
-        .parquet(path)
-    )
-    return path
+    """The written tickers' rows replace their stored ones; other tickers keep theirs."""
+    table = feature_table(features.sparkSession, root, fs)
+    new = materialize(_with_month(features, fs), "features")
+    if not table.numbers():
+        table.folders()  # refuses a table whose first write did not finish
+        return _publish(new, table, [], everything=True)
+    old = _with_month(table.read(feature_schema(fs)), fs)
+    kept = old.join(new.select(TICKER).distinct(), TICKER, "left_anti")
+    return _publish(kept.unionByName(new), table, [], everything=True)
 
 
 def read_features(spark: SparkSession, root: str, fs: FeatureSet, tickers: list[str] | None = None) -> DataFrame:
-    """Scan the feature table, pruned to ``tickers``; a missing ticker is an error."""
-    path = store_dir(root, fs)
-    if not fsutil.exists(spark, path):
-        raise FileNotFoundError(f"No features at {path}. Run compute + write first.")
-    df = spark.read.parquet(path)
+    """Scan the feature table, pruned to ``tickers``; a missing table or ticker is an error."""
+    table = feature_table(spark, root, fs)
+    if not table.folders():
+        raise FileNotFoundError(f"{fs.label} has no stored table under {root}: build it first")
+    df = table.read(feature_schema(fs))
     if tickers is not None:
         df = df.where(F.col(TICKER).isin(tickers))
         present = {r[TICKER] for r in df.select(TICKER).distinct().collect()}
         missing = [t for t in tickers if t not in present]
         if missing:
-            raise FileNotFoundError(f"No features for {missing[0]!r} at {path}. Run compute + write first.")
-    return df.select(TICKER, DATE, *fs.feature_names)
+            raise FileNotFoundError(f"the {fs.label} table under {root} lacks ticker {missing[0]!r}")
+    return df
 
 
 def tail_n(bars: DataFrame, n: int, keys: list[str] | None = None, time: str = DATE) -> DataFrame:
@@ -98,10 +123,10 @@ def backfill_slice(bars: DataFrame, fs: FeatureSet, start: str | None, end: str
 
 
 def require_rows_per_ticker(new: DataFrame, tickers: DataFrame, start, end) -> None:
-    """Raise when some requested ticker has no rows in the slice (reference: ValueError)."""
+    """Raise ``ValueError`` when some requested ticker has no rows in the slice."""
     missing = tickers.join(new.select(TICKER).distinct(), TICKER, "left_anti").limit(1).collect()
     if missing:
-        raise ValueError(f"No features for {missing[0][TICKER]!r} in range {start} to {end} after filtering")
+        raise ValueError(f"the range {start} .. {end} leaves ticker {missing[0][TICKER]!r} without feature rows")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -128,36 +153,18 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str] | None = None) -
 def backfill(
     spark: SparkSession, bars: DataFrame, fs: FeatureSet, root: str, start: str | None, end: str | None
 ) -> str:
-    """U2 end to end: compute the slice, merge into the stored table, write to a fresh version
-    directory, then point the table at it (Spark cannot overwrite a path it is reading).
+    """U2 end to end: compute the slice and merge it into the stored table (the one ``write_features`` fills).
 
-    Single-writer: one backfill per table at a time.  Returns the new table path.
+    Only the months that the slice touches are read and written again; all other rows stay where
+    they are.  Single-writer: one change per table at a time.  Returns the table's folder.
     """
     with fsutil.scratch_scope(spark):
-        return _backfill(spark, bars, fs, root, start, end)
-
-
-def _backfill(spark, bars, fs, root, start, end) -> str:
-    new = backfill_slice(bars, fs, start, end)
-    require_rows_per_ticker(new, bars.select(TICKER).distinct(), start, end)
-    base = store_dir(root, fs)
-    current = _current_version(spark, base)
-    merged = upsert(spark.read.parquet(current).select(*new.columns), new) if current else new
-    target = fsutil.join(base, f"v-{uuid.uuid4().hex}")
-    merged.sortWithinPartitions(TICKER, DATE).write.mode("error").partitionBy(TICKER).parquet(target)
-    fsutil.write_text(spark, fsutil.join(base, "CURRENT"), target)
-    return target
-
-
-def _current_version(spark: SparkSession, base: str) -> str | None:
-    return fsutil.read_text(spark, fsutil.join(base, "CURRENT")) or None
-
-
-def read_backfilled(spark: SparkSession, root: str, fs: FeatureSet) -> DataFrame:
-    current = _current_version(spark, store_dir(root, fs))
-    if current is None:
-        raise FileNotFoundError(f"No backfilled table for {fs.label} under {root}")
-    return spark.read.parquet(current)
+        new = materialize(_with_month(backfill_slice(bars, fs, start, end), fs), "backfill")
+        require_rows_per_ticker(new, bars.select(TICKER).distinct(), start, end)
+        table = feature_table(spark, root, fs)
+        months = sorted(r[0] for r in new.select(MONTH).distinct().collect())  # calendar months
+        old = _with_month(table.read(feature_schema(fs), months) if table.folders() else table.read(feature_schema(fs), []), fs)
+        return _publish(upsert(old, new), table, months)
 
 
 def save_training_stats(stats: DataFrame, root: str, fs: FeatureSet) -> str:
@@ -168,8 +175,8 @@ def save_training_stats(stats: DataFrame, root: str, fs: FeatureSet) -> str:
 
 
 def load_training_stats(spark: SparkSession, root: str, fs: FeatureSet) -> DataFrame:
-    """Missing -> ``FileNotFoundError``."""
+    """The saved stats; ``FileNotFoundError`` when none were saved."""
     path = fsutil.join(store_dir(root, fs), "training_stats")
     if not fsutil.exists(spark, path):
-        raise FileNotFoundError(f"No training stats at {path}. Run the training job first.")
+        raise FileNotFoundError(f"{fs.label} has no saved training stats under {root}")
     return spark.read.schema(TRAINING_STATS).json(path)

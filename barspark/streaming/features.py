@@ -107,26 +107,34 @@ class TailState:
                 fsutil.remove(spark, fsutil.join(self.root, name))
 
 
-def feature_batch(
-    batch: DataFrame, state: DataFrame, fs: FeatureSet, keep_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """(features of the new rows, new tail).  Late rows and repeats of known dates are dropped;
-    duplicates inside the batch keep one row by a fixed order of the values."""
-    from barspark.operators.features import compute_features
+def split_late(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fresh rows, late or repeated rows per ticker as ``ticker, late_rows``).
 
+    A row is fresh when its date lies after the ticker's last known one; repeats inside the batch keep one row by
+    a fixed order of the values.  All others are counted, not lost without a trace.
+    """
     last = state.groupBy(TICKER).agg(F.max(DATE).alias("_last"))
     # one row per (ticker, date), chosen deterministically (the output and the new tail both read
     # this, and a recomputed task must pick the same row): a total order over the value columns
     pick = Window.partitionBy(TICKER, DATE).orderBy(*[F.col(c).asc_nulls_last() for c in VALUE_COLUMNS])
-    fresh = (
+    marked = (
         batch.select(*[f.name for f in BARS.fields])
         .withColumn("_pick", F.row_number().over(pick))
-        .where(F.col("_pick") == 1)
-        .drop("_pick")
         .join(last, TICKER, "left")
-        .where(F.col("_last").isNull() | (F.col(DATE) > F.col("_last")))
-        .drop("_last")
+        .withColumn("_fresh", (F.col("_pick") == 1) & (F.col("_last").isNull() | (F.col(DATE) > F.col("_last"))))
     )
+    fresh = marked.where("_fresh").drop("_pick", "_last", "_fresh")
+    late = marked.where("not _fresh").groupBy(TICKER).agg(F.count(F.lit(1)).alias("late_rows"))
+    return fresh, late
+
+
+def feature_batch(
+    batch: DataFrame, state: DataFrame, fs: FeatureSet, keep_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """(features of the fresh rows, new tail); see :func:`split_late` for the rows left out."""
+    from barspark.operators.features import compute_features
+
+    fresh, _ = split_late(batch, state)
     # only tickers with new bars are recomputed: work per batch ~ active tickers x state rows
     active = fresh.select(TICKER).distinct()
     state_active = state.join(active, TICKER, "left_semi")
@@ -137,6 +145,30 @@ def feature_batch(
     return feats, tail
 
 
+EPOCHS_PER_RUN = 1 << 40
+
+
+def run_number(spark: SparkSession, state_root: str, checkpoint: str) -> int:
+    """Number of the query that a checkpoint belongs to, among all that wrote to this state (0, 1, ...).
+
+    Epochs restart at 0 under a new checkpoint; numbering them after the earlier queries' keeps state and
+    sink one sequence: a new query continues from the stored tails and overwrites nothing.
+    """
+    names = [n for n in fsutil.list_names(spark, state_root) if n.startswith("RUN-")]
+    runs = {int(n[4:]): fsutil.read_text(spark, fsutil.join(state_root, n)) for n in names}
+    for number, owner in runs.items():
+        if owner == checkpoint.rstrip("/"):
+            return number
+    number = max(runs, default=-1) + 1
+    fsutil.create_text(spark, fsutil.join(state_root, f"RUN-{number}"), checkpoint.rstrip("/"))
+    return number
+
+
+def late_path(sink_path: str) -> str:
+    """Side table of :func:`stream_features`: ``ticker, late_rows`` of each epoch."""
+    return f"{sink_path.rstrip('/')}_late"
+
+
 def stream_features(
     stream: DataFrame,
     fs: FeatureSet,
@@ -149,21 +181,25 @@ def stream_features(
     """Start the ST3 query; returns the StreamingQuery (already finished when ``available_now``).
 
     ``state_buckets`` sets how finely the tail state is split; keep it fixed for a given state
-    folder (changing it re-buckets the tickers).
+    folder (changing it re-buckets the tickers).  Late and repeated rows are counted per ticker and
+    epoch in the side table :func:`late_path`.  A new checkpoint on an existing state goes on after it.
     """
     keep_rows = state_rows(fs)
     tail_state = TailState(state_root, state_buckets)
+    first = run_number(stream.sparkSession, state_root, checkpoint) * EPOCHS_PER_RUN
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        epoch = first + epoch_id
         # the buckets this batch touches: at most `buckets` ids
         touched = [r[0] for r in batch.select(tail_state.bucket().alias("b")).distinct().collect()]
         # the state as it was before this epoch, also when this epoch is a retry
-        state = tail_state.read(spark, touched, before_epoch=epoch_id)
+        state = tail_state.read(spark, touched, before_epoch=epoch)
         feats, tail = feature_batch(batch, state, fs, keep_rows)
         # one directory per epoch, overwritten on a retry: the sink stays exactly-once
-        feats.write.mode("overwrite").parquet(fsutil.join(sink_path, f"epoch={epoch_id}"))
-        tail_state.write(tail, touched, epoch_id)
+        feats.write.mode("overwrite").parquet(fsutil.join(sink_path, f"epoch={epoch}"))
+        split_late(batch, state)[1].write.mode("overwrite").parquet(fsutil.join(late_path(sink_path), f"epoch={epoch}"))
+        tail_state.write(tail, touched, epoch)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
-from conftest import collect_sorted, random_walk, to_bars
+from conftest import collect_sorted, seasonal_bars, to_bars
 from pyspark.sql import functions as F
 
 from barspark.functions.features import ENGINEERED_V2
@@ -19,8 +19,8 @@ from barspark.sources import fixtures as fx
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    hot = random_walk(1500, "HOT", seed=21)
-    cold = [random_walk(60, f"C{i}", seed=30 + i) for i in range(6)]
+    hot = seasonal_bars(1500, "HOT", seed=21)
+    cold = [seasonal_bars(60, f"C{i}", seed=30 + i) for i in range(6)]
     return to_bars(spark, pd.concat([hot, *cold]).sample(frac=1, random_state=2))
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
-from conftest import random_walk, to_bars
+from conftest import seasonal_bars, to_bars
 
 from barspark.plans import scoring
 from barspark.plans import training_jobs as J
@@ -10,13 +10,13 @@ from barspark.plans import training_jobs as J
 
 @pytest.fixture(scope="module")
 def bars(spark):
-    pdf = pd.concat([random_walk(400, t, seed=i, start="2023-01-02") for i, t in enumerate(["AAPL", "MSFT", "TSLA"])])
+    pdf = pd.concat([seasonal_bars(400, t, seed=i, start="2023-01-02") for i, t in enumerate(["AAPL", "MSFT", "TSLA"])])
     return to_bars(spark, pdf)
 
 
 def test_training_jobs_and_champion(spark, bars, tmp_path):
     root = str(tmp_path)
-    with pytest.raises(RuntimeError, match="No champion"):
+    with pytest.raises(RuntimeError, match="no champion yet"):
         J.load_champion(spark, root)
     base = J.run_baseline(spark, bars, root, split_date="2024-01-01", params={"n_estimators": 3})
     assert set(base.metrics) >= {"accuracy", "roc_auc", "precision_class1", "recall_class1", "f1_class1", "label_balance"}
@@ -32,6 +32,12 @@ def test_training_jobs_and_champion(spark, bars, tmp_path):
     row = out.first()
     assert row["ticker"] == "AAPL" and row["direction"] in ("UP", "DOWN") and 0 <= row["probability"] <= 1
     assert [r["ticker"] for r in errors.collect()] == ["NOPE"]
+    # every request comes out once, with its own columns: twice the same ticker, one unknown, one with too few bars
+    short = to_bars(spark, seasonal_bars(30, "TINY"))
+    reqs = spark.createDataFrame([("AAPL", 1), ("AAPL", 2), ("NOPE", 3), ("TINY", 4)], "ticker string, request int")
+    out, errors = scoring.score_requests(reqs, bars.unionByName(short), model, version, None)
+    assert sorted(r["request"] for r in out.collect()) == [1, 2]
+    assert {r["request"]: r["status"] for r in errors.collect()} == {3: "unknown_ticker", 4: "short_history"}
 
 
 def test_entry_and_registered_queries_smoke(spark):
@@ -55,4 +61,6 @@ def test_streaming_scorer_logs_predictions(spark, bars, tmp_path):
     scoring.serve_stream(stream, lambda s: bars, root, log, ckpt)
     logged = predlog.read_predictions(spark, log).toPandas()
     assert sorted(logged["ticker"]) == ["AAPL", "TSLA"]  # the unknown ticker is an error, not a log row
+    refused = spark.read.json(f"{log}_errors").toPandas()
+    assert refused[["ticker", "status"]].values.tolist() == [["NOPE", "unknown_ticker"]]
     assert set(logged["direction"]) <= {"UP", "DOWN"} and (logged["model_version"] == "1").all()

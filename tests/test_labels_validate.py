@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
-from conftest import collect_sorted, flat_bars, random_walk, to_bars
+from conftest import collect_sorted, steady_bars, seasonal_bars, to_bars
 from pyspark.sql import functions as F
 
 from barspark.operators import labels as L
@@ -41,14 +41,14 @@ def test_labels_do_not_bleed_across_tickers(spark):
 
 
 def test_labels_chunked_equal(spark):
-    bars = to_bars(spark, random_walk(500))
+    bars = to_bars(spark, seasonal_bars(500))
     plain = collect_sorted(L.add_labels(bars))
     chunked = collect_sorted(L.add_labels(bars, chunk_rows=37))
     pd.testing.assert_frame_equal(plain, chunked)
 
 
 def test_time_split_and_split_date(spark):
-    bars = to_bars(spark, random_walk(100))
+    bars = to_bars(spark, seasonal_bars(100))
     train, test = L.time_split(bars, "2021-03-01")
     assert train.count() + test.count() == 100
     assert train.agg(F.max("date")).first()[0] < pd.Timestamp("2021-03-01")
@@ -61,9 +61,9 @@ def test_time_split_and_split_date(spark):
 
 
 def test_baseline_projection(spark):
-    bars = to_bars(spark, flat_bars(10))
+    bars = to_bars(spark, steady_bars(10))
     assert baseline_features(bars).columns == ["ticker", "date", "open", "high", "low", "close", "volume"]
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="lack"):
         baseline_features(bars.drop("volume"))
 
 
@@ -72,25 +72,25 @@ def _violation(spark, pdf, **kw):
 
 
 def test_validation_rules_in_order(spark):
-    assert validation_report(to_bars(spark, flat_bars(200))).first()["first_violation"] is None
-    assert validation_report(to_bars(spark, flat_bars(50))).first()["first_violation"] == "too_few_rows"
-    nan = flat_bars(200)
+    assert validation_report(to_bars(spark, steady_bars(200))).first()["first_violation"] is None
+    assert validation_report(to_bars(spark, steady_bars(50))).first()["first_violation"] == "too_few_rows"
+    nan = steady_bars(200)
     nan.loc[3, "close"] = float("nan")
     assert validation_report(to_bars(spark, nan)).first()["first_violation"] == "null_values"
-    neg = flat_bars(200)
+    neg = steady_bars(200)
     neg.loc[3, "close"] = -1.0
     assert validation_report(to_bars(spark, neg)).first()["first_violation"] == "non_positive_close"
-    vol = flat_bars(200)
+    vol = steady_bars(200)
     vol.loc[3, "volume"] = -5.0
     assert validation_report(to_bars(spark, vol)).first()["first_violation"] == "negative_volume"
-    with pytest.raises(ValueError, match="Missing columns"):
-        validation_report(to_bars(spark, flat_bars(200)).drop("volume"))
-    with pytest.raises(ValueError, match="Only 50 rows"):
-        validate(to_bars(spark, flat_bars(50)))
+    with pytest.raises(ValueError, match="lack the columns"):
+        validation_report(to_bars(spark, steady_bars(200)).drop("volume"))
+    with pytest.raises(ValueError, match="50 bars, 100 needed"):
+        validate(to_bars(spark, steady_bars(50)))
 
 
 def test_null_close_counts_like_nan(spark):
-    pdf = flat_bars(200)
+    pdf = steady_bars(200)
     pdf["close"] = pdf["close"].astype(object)
     pdf.loc[5, "close"] = None
     rep = validation_report(to_bars(spark, pdf)).first()
@@ -98,18 +98,18 @@ def test_null_close_counts_like_nan(spark):
 
 
 def test_unsorted_arrival(spark):
-    pdf = flat_bars(200)
+    pdf = steady_bars(200)
     pdf["arrival"] = range(200)
     pdf.loc[10, "arrival"], pdf.loc[11, "arrival"] = 11, 10  # two bars arrive swapped
     df = spark.createDataFrame(pdf)
     rep = validation_report(df, arrival="arrival").first()
     assert rep["unsorted_dates"] == 1 and rep["first_violation"] == "unsorted_dates"
-    with pytest.raises(ValueError, match="not sorted"):
+    with pytest.raises(ValueError, match="unsorted_dates"):
         validate(df, arrival="arrival")
 
 
 def test_purge_and_end_date(spark):
-    bars = to_bars(spark, random_walk(100))
+    bars = to_bars(spark, seasonal_bars(100))
     lab = L.add_labels(bars, with_horizon=True)
     train, test = L.time_split(lab, "2021-03-01", end_date="2021-04-01", purge=True)
     plain_train, plain_test = L.time_split(lab, "2021-03-01")
@@ -123,7 +123,7 @@ def test_single_pass_training_frame_equals_join(spark):
     from barspark.operators.features import compute_features
     from barspark.operators.training import training_frame, training_set
 
-    bars = to_bars(spark, pd.concat([random_walk(300, "AAA", seed=1), random_walk(200, "BBB", seed=2)]))
+    bars = to_bars(spark, pd.concat([seasonal_bars(300, "AAA", seed=1), seasonal_bars(200, "BBB", seed=2)]))
     joined = collect_sorted(training_set(L.add_labels(bars), compute_features(bars, ENGINEERED_V2), ENGINEERED_V2))
     single = collect_sorted(training_frame(bars, ENGINEERED_V2))
     pd.testing.assert_frame_equal(single, joined[single.columns])

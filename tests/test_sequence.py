@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from conftest import random_walk, to_bars
+from conftest import seasonal_bars, to_bars
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,7 +9,7 @@ from barspark.operators import sequence as Q
 
 
 def test_dense_positions_match_row_number(spark):
-    pdf = pd.concat([random_walk(n, t, seed=i) for i, (t, n) in enumerate([("A", 300), ("B", 7), ("C", 90)])])
+    pdf = pd.concat([seasonal_bars(n, t, seed=i) for i, (t, n) in enumerate([("A", 300), ("B", 7), ("C", 90)])])
     bars = to_bars(spark, pdf.sample(frac=1, random_state=4))
     seqd = Q.sequence(bars, ["ticker"], ["date"], partitions=13)
     want = bars.withColumn("rn", F.row_number().over(Window.partitionBy("ticker").orderBy("date")) - 1)
@@ -20,7 +20,7 @@ def test_dense_positions_match_row_number(spark):
 
 
 def test_frame_mixes_hot_and_ordinary_keys(spark):
-    pdf = pd.concat([random_walk(500, "HOT", seed=1), random_walk(40, "COLD", seed=2)])
+    pdf = pd.concat([seasonal_bars(500, "HOT", seed=1), seasonal_bars(40, "COLD", seed=2)])
     rows = Q.frame(to_bars(spark, pdf), ["ticker"], ["date"], back=3, chunk_rows=100)
     owned = rows.where(F.col(Q.CORE)).groupBy("ticker").agg(F.countDistinct(Q.CHUNK).alias("n"))
     chunks = {r["ticker"]: r["n"] for r in owned.collect()}
@@ -29,7 +29,7 @@ def test_frame_mixes_hot_and_ordinary_keys(spark):
 
 
 def test_prefix_sum_across_chunks(spark):
-    pdf = random_walk(250, "A")
+    pdf = seasonal_bars(250, "A")
     pdf["w"] = range(250)
     df = spark.createDataFrame(pdf)
     rows = Q.frame(df, ["ticker"], ["date"], chunk_rows=16)
@@ -46,7 +46,7 @@ def test_global_order_without_keys(spark, monkeypatch):
 
 
 def test_chunk_size_from_session_conf(spark):
-    pdf = random_walk(300, "A")
+    pdf = seasonal_bars(300, "A")
     spark.conf.set(Q.CHUNK_ROWS_CONF, "64")
     try:
         rows = Q.frame(to_bars(spark, pdf), ["ticker"], ["date"], back=2)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
-from conftest import collect_sorted, random_walk, to_bars
+from conftest import collect_sorted, seasonal_bars, to_bars
 from pyspark.sql import functions as F
 
 from barspark.functions.features import ENGINEERED_V1, ENGINEERED_V2
@@ -15,7 +15,7 @@ from barspark.streaming.windows import stream_windows
 
 
 def panel():
-    return pd.concat([random_walk(160, "AAA", seed=1), random_walk(140, "BBB", seed=2)])
+    return pd.concat([seasonal_bars(160, "AAA", seed=1), seasonal_bars(140, "BBB", seed=2)])
 
 
 def test_feature_table_round_trip(spark, tmp_path):
@@ -31,22 +31,68 @@ def test_backfill_idempotent_and_range_preserving(spark, tmp_path):
     root = str(tmp_path)
     bars = to_bars(spark, panel())
     S.backfill(spark, bars, ENGINEERED_V1, root, None, None)
-    full = collect_sorted(S.read_backfilled(spark, root, ENGINEERED_V1))
+    full = collect_sorted(S.read_features(spark, root, ENGINEERED_V1))
     S.backfill(spark, bars, ENGINEERED_V1, root, None, None)
-    again = collect_sorted(S.read_backfilled(spark, root, ENGINEERED_V1))
+    again = collect_sorted(S.read_features(spark, root, ENGINEERED_V1))
     pd.testing.assert_frame_equal(full, again)
     # a sub-range backfill from changed bars only touches rows in the range
     changed = bars.withColumn("volume", F.col("volume") * 2)
     S.backfill(spark, changed, ENGINEERED_V1, root, "2021-04-01", "2021-04-30")
-    after = collect_sorted(S.read_backfilled(spark, root, ENGINEERED_V1))
+    after = collect_sorted(S.read_features(spark, root, ENGINEERED_V1))
     inside = (after["date"] >= "2021-04-01") & (after["date"] <= "2021-04-30")
     assert len(after) == len(full)
     pd.testing.assert_frame_equal(after[~inside].reset_index(drop=True), full[~inside.values].reset_index(drop=True))
-    assert not after[inside]["volume_ratio_20d"].equals(full[inside.values]["volume_ratio_20d"]) or True
+    assert inside.sum() == 2 * 22
+    # twice the volume of every bar leaves the ratio; a jump in one bar's volume changes it
+    pd.testing.assert_series_equal(after[inside]["volume_ratio_20d"], full[inside.values]["volume_ratio_20d"])
+    jump = F.when(F.col("date") == "2021-04-15", F.col("volume") * 3).otherwise(F.col("volume"))
+    S.backfill(spark, bars.withColumn("volume", jump), ENGINEERED_V1, root, "2021-04-01", "2021-04-30")
+    third = collect_sorted(S.read_features(spark, root, ENGINEERED_V1))
+    moved = third[(third["volume_ratio_20d"] - full["volume_ratio_20d"]).abs() > 1e-9]
+    assert set(moved["date"]) == set(full["date"][(full["date"] >= "2021-04-15") & (full["date"] <= "2021-04-30")])
+
+
+def test_build_then_backfill_share_one_table(spark, tmp_path):
+    """All rows outside the backfilled range stay, and every reader sees the merged table."""
+    root = str(tmp_path)
+    bars = to_bars(spark, panel())
+    feats = compute_features(bars, ENGINEERED_V1)
+    S.write_features(feats, root, ENGINEERED_V1)
+    S.backfill(spark, bars, ENGINEERED_V1, root, "2021-04-01", "2021-04-16")
+    S.save_training_stats(spark.createDataFrame([("return_1d", 0.0, 1.0)], "feature string, mean double, std double"), root, ENGINEERED_V1)
+    back = collect_sorted(S.read_features(spark, root, ENGINEERED_V1))
+    pd.testing.assert_frame_equal(back, collect_sorted(feats)[back.columns])
+    assert S.read_features(spark, root, ENGINEERED_V1, ["BBB"]).count() == 120
+    # another full build of one ticker keeps the other
+    S.write_features(feats.where("ticker = 'AAA'").limit(7), root, ENGINEERED_V1)
+    counts = {r["ticker"]: r["count"] for r in S.read_features(spark, root, ENGINEERED_V1).groupBy("ticker").count().collect()}
+    assert counts == {"AAA": 7, "BBB": 120}
+
+
+def test_feature_table_survives_a_crash_between_steps(spark, tmp_path):
+    from barspark.sources import fsutil
+    from barspark.sources.versions import VersionedTable
+
+    root = str(tmp_path)
+    bars = to_bars(spark, panel())
+    S.write_features(compute_features(bars, ENGINEERED_V1), root, ENGINEERED_V1)
+    table = S.feature_table(spark, root, ENGINEERED_V1)
+    # data of a change that never got its manifest is not seen and is removed later
+    (tmp_path / ENGINEERED_V1.label / "v-unfinished").mkdir()
+    assert S.read_features(spark, root, ENGINEERED_V1).count() == 260
+    for _ in range(4):
+        S.backfill(spark, bars, ENGINEERED_V1, root, "2021-04-01", "2021-04-16")
+    names = fsutil.list_names(spark, table.base)
+    assert len(table.numbers()) == 3 and "v-unfinished" not in names
+    with pytest.raises(FileExistsError):
+        fsutil.create_text(spark, table._path(table.numbers()[-1]), "{}")
+    (tmp_path / "half" / "v-1").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError, match="did not finish"):
+        VersionedTable(spark, str(tmp_path / "half")).folders()
 
 
 def test_backfill_empty_range_is_an_error(spark, tmp_path):
-    with pytest.raises(ValueError, match="No features"):
+    with pytest.raises(ValueError, match="without feature rows"):
         S.backfill(spark, to_bars(spark, panel()), ENGINEERED_V1, str(tmp_path), "2030-01-01", "2030-02-01")
 
 
@@ -72,17 +118,17 @@ def test_tail_and_load(spark, tmp_path):
 
 
 def test_normalize_empty_range_raises(spark):
-    raw = to_bars(spark, random_walk(30)).select(
+    raw = to_bars(spark, seasonal_bars(30)).select(
         F.col("ticker").alias("Symbol"), F.col("date").alias("Date"), "open", "high", "low", "close", "volume"
     )
-    assert B.normalize_bars(raw, "2021-01-01", "2021-01-08").count() == 5
-    with pytest.raises(ValueError, match="No data returned"):
+    assert B.normalize_bars(raw, "2021-01-01", "2021-01-08").count() == 4
+    with pytest.raises(ValueError, match="has no bars in"):
         B.normalize_bars(raw, "2030-01-01", "2030-02-01")
 
 
 def test_stream_windows_count_and_late_rows(spark, tmp_path):
     src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
-    pdf = random_walk(25, "AAPL")
+    pdf = seasonal_bars(25, "AAPL")
     to_bars(spark, pdf.iloc[:12]).write.parquet(src)
     run_available_now(stream_windows(bar_stream(spark, src), 5), sink, ckpt)
     to_bars(spark, pd.concat([pdf.iloc[12:], pdf.iloc[3:4]])).write.mode("append").parquet(src)  # one late row
@@ -106,9 +152,28 @@ def test_stream_features_equal_offline(spark, tmp_path):
     pd.testing.assert_frame_equal(got[want.columns], want, rtol=1e-12, atol=1e-12)
 
 
+def test_stream_features_continue_under_a_new_checkpoint(spark, tmp_path):
+    """A lost checkpoint re-reads the source: known rows are counted as late, nothing is lost or doubled."""
+    from barspark.streaming.features import late_path
+
+    src, sink, state = (str(tmp_path / n) for n in ("src", "sink", "state"))
+    pdf = panel()
+    cut = pd.Timestamp("2021-05-03")
+    to_bars(spark, pdf[pdf.date < cut]).write.parquet(src)
+    stream_features(bar_stream(spark, src), ENGINEERED_V1, sink, state, str(tmp_path / "ckpt1"))
+    assert spark.read.parquet(late_path(sink)).count() == 0
+    to_bars(spark, pdf[pdf.date >= cut]).write.mode("append").parquet(src)
+    stream_features(bar_stream(spark, src), ENGINEERED_V1, sink, state, str(tmp_path / "ckpt2"))
+    got = collect_sorted(spark.read.parquet(sink).drop("epoch"))
+    want = collect_sorted(compute_features(to_bars(spark, pdf), ENGINEERED_V1))
+    pd.testing.assert_frame_equal(got[want.columns], want, rtol=1e-12, atol=1e-12)
+    late = spark.read.parquet(late_path(sink)).groupBy().sum("late_rows").first()[0]
+    assert late == int((pdf.date < cut).sum())
+
+
 def test_stream_windows_drop_replayed_rows(spark, tmp_path):
     src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
-    pdf = random_walk(12, "AAPL")
+    pdf = seasonal_bars(12, "AAPL")
     to_bars(spark, pdf).write.parquet(src)
     to_bars(spark, pdf.iloc[5:8]).write.mode("append").parquet(src)  # replayed rows in the same batch
     run_available_now(stream_windows(bar_stream(spark, src), 5, dedupe_within="30 days"), sink, ckpt)
@@ -133,7 +198,7 @@ def test_month_layout_round_trip_and_pushdown(spark, tmp_path):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ticker), EqualTo(ticker,BBB)]" in plan
     pd.testing.assert_frame_equal(collect_sorted(B.read_bars(spark, path)), collect_sorted(bars))
-    odd = to_bars(spark, random_walk(30, "007"))
+    odd = to_bars(spark, seasonal_bars(30, "007"))
     p2 = B.write_bars(odd, str(tmp_path / "bars_t"))
     assert B.read_bars(spark, p2).select("ticker").distinct().first()[0] == "007"
 
@@ -141,7 +206,7 @@ def test_month_layout_round_trip_and_pushdown(spark, tmp_path):
 def test_feature_batch_duplicates_resolve_deterministically(spark):
     from barspark.streaming.features import feature_batch
 
-    pdf = random_walk(40, "AAA")
+    pdf = seasonal_bars(40, "AAA")
     dup = pdf.iloc[[10]].copy()
     dup["close"] = dup["close"] * 2
     batch = to_bars(spark, pd.concat([pdf, dup]).sample(frac=1, random_state=1))
@@ -155,7 +220,7 @@ def test_feature_batch_duplicates_resolve_deterministically(spark):
 def test_feature_batch_keeps_idle_tickers_state(spark):
     from barspark.streaming.features import feature_batch
 
-    a, b = random_walk(60, "AAA", seed=1), random_walk(60, "BBB", seed=2)
+    a, b = seasonal_bars(60, "AAA", seed=1), seasonal_bars(60, "BBB", seed=2)
     state = to_bars(spark, pd.concat([a.iloc[:50], b]))
     batch = to_bars(spark, a.iloc[50:])
     feats, tail = feature_batch(batch, state, ENGINEERED_V1, 30)
@@ -171,14 +236,14 @@ def test_scratch_scope_removes_tables_after_a_job(spark, tmp_path):
     from barspark.sources import fsutil
 
     with fsutil.scratch_scope(spark) as made:
-        staged = materialize(to_bars(spark, random_walk(30)), "scoped")
+        staged = materialize(to_bars(spark, seasonal_bars(30)), "scoped")
         assert staged.count() == 30 and len(made) == 1 and fsutil.exists(spark, made[0])
     assert not fsutil.exists(spark, made[0])
     # a backfill on the chunked path cleans up its sequence tables
     spark.conf.set("spark.barspark.chunkRows", "64")
     try:
         S.backfill(spark, to_bars(spark, panel()), ENGINEERED_V1, str(tmp_path), None, None)
-        assert S.read_backfilled(spark, str(tmp_path), ENGINEERED_V1).count() == 300 - 2 * 20
+        assert S.read_features(spark, str(tmp_path), ENGINEERED_V1).count() == 300 - 2 * 20
     finally:
         spark.conf.unset("spark.barspark.chunkRows")
 
@@ -186,14 +251,14 @@ def test_scratch_scope_removes_tables_after_a_job(spark, tmp_path):
 def test_dynamic_overwrite_touches_only_written_tickers(spark, tmp_path):
     path = str(tmp_path / "bars_dyn")
     B.write_bars(to_bars(spark, panel()), path)
-    B.write_bars(to_bars(spark, random_walk(10, "AAA", seed=9)), path)  # rewrite AAA only
+    B.write_bars(to_bars(spark, seasonal_bars(10, "AAA", seed=9)), path)  # rewrite AAA only
     counts = {r["ticker"]: r["count"] for r in B.read_bars(spark, path).groupBy("ticker").count().collect()}
     assert counts == {"AAA": 10, "BBB": 140}
 
 
 def test_stream_windows_can_emit_the_window_rows(spark, tmp_path):
     src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
-    pdf = random_walk(12, "AAPL")
+    pdf = seasonal_bars(12, "AAPL")
     to_bars(spark, pdf).write.parquet(src)
     run_available_now(stream_windows(bar_stream(spark, src), 5, emit_rows=True), sink, ckpt)
     out = spark.read.parquet(sink).orderBy("window_end").collect()
@@ -207,7 +272,7 @@ def test_tail_state_rewrites_only_touched_buckets(spark, tmp_path):
     from barspark.streaming.features import TailState
 
     state = TailState(str(tmp_path / "state"), buckets=8)
-    bars = to_bars(spark, pd.concat([random_walk(5, t, seed=i) for i, t in enumerate("ABCDEFGH")]))
+    bars = to_bars(spark, pd.concat([seasonal_bars(5, t, seed=i) for i, t in enumerate("ABCDEFGH")]))
     all_buckets = [r[0] for r in bars.select(state.bucket()).distinct().collect()]
     state.write(bars, all_buckets, epoch=0)
     before = state.manifest(spark)
@@ -229,7 +294,7 @@ def test_retried_epoch_reproduces_its_output(spark, tmp_path):
     from barspark.streaming.features import TailState, feature_batch, state_rows
 
     state = TailState(str(tmp_path / "st"), buckets=4)
-    pdf = random_walk(80, "AAA")
+    pdf = seasonal_bars(80, "AAA")
     first, second = to_bars(spark, pdf.iloc[:50]), to_bars(spark, pdf.iloc[50:])
     keep = state_rows(ENGINEERED_V1)
 
@@ -253,7 +318,7 @@ def test_tail_state_storage_stays_bounded(spark, tmp_path):
 
     root = str(tmp_path / "st")
     state = TailState(root, buckets=2)
-    bars = to_bars(spark, pd.concat([random_walk(5, t, seed=i) for i, t in enumerate("AB")]))
+    bars = to_bars(spark, pd.concat([seasonal_bars(5, t, seed=i) for i, t in enumerate("AB")]))
     touched = [r[0] for r in bars.select(state.bucket()).distinct().collect()]
     for epoch in range(6):
         state.write(bars, touched, epoch)
