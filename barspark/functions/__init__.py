@@ -3,6 +3,5 @@ from barspark.functions.columns import (  # noqa: F401
     direction,
     nan_to_null,
     ratio_change,
-    round_to,
     safe_div,
 )

@@ -26,10 +26,6 @@ def nan_to_null(x: Column) -> Column:
     return F.nanvl(x, F.lit(None).cast("double"))
 
 
-def round_to(x: Column, places: int) -> Column:
-    return F.round(x, places)
-
-
 def direction(up: Column) -> Column:
     """'UP' when the predicate holds, otherwise 'DOWN'."""
     return F.when(up, F.lit("UP")).otherwise(F.lit("DOWN"))

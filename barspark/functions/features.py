@@ -272,8 +272,3 @@ def feature_set(name: str, version: int) -> FeatureSet:
         return FEATURE_SETS[(name, version)]
     except KeyError as exc:
         raise KeyError(f"unknown feature set {name}_v{version}") from exc
-
-
-def ticker_window(keys: list[str], order: str) -> WindowSpec:
-    """Plain per-ticker window; only for slices of bounded size (tails, online windows)."""
-    return Window.partitionBy(*keys).orderBy(order)

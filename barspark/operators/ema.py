@@ -34,13 +34,13 @@ def _macd_columns(close: pd.Series) -> dict[str, pd.Series]:
     return {"ema_12": fast, "ema_26": slow, "macd": macd, "macd_signal": signal}
 
 
-def _per_chunk(chunked: DataFrame, keys: list[str], names: list[str], fn, time: str) -> DataFrame:
+def _per_chunk(chunked: DataFrame, keys: list[str], names: list[str], fn, order: list[str]) -> DataFrame:
     schema = T.StructType(
         list(chunked.schema.fields) + [T.StructField(name, T.DoubleType(), True) for name in names]
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time, kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
         for name, values in fn(pdf).items():
             pdf[name] = values
         return pdf
@@ -49,7 +49,7 @@ def _per_chunk(chunked: DataFrame, keys: list[str], names: list[str], fn, time:
     return chunked.groupBy(*keys, CHUNK).applyInPandas(run, schema)
 
 
-def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str], time: str = "date") -> DataFrame:
+def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str], order: list[str]) -> DataFrame:
     """Append MACD columns (``ema_12 ema_26 macd macd_signal``) per (key, chunk).
 
     The input must be chunked with a halo of at least :func:`ema_halo` rows.
@@ -60,10 +60,10 @@ def with_macd(chunked: DataFrame, keys: list[str], outputs: list[str], time: str
         cols = _macd_columns(pdf["close"].astype("float64"))
         return {name: cols[name] for name in wanted}
 
-    return _per_chunk(chunked, keys, wanted, fn, time)
+    return _per_chunk(chunked, keys, wanted, fn, order)
 
 
-def with_pandas_features(chunked: DataFrame, keys: list[str], features: list[Feature], time: str = "date") -> DataFrame:
+def with_pandas_features(chunked: DataFrame, keys: list[str], features: list[Feature], order: list[str]) -> DataFrame:
     """Append every ``kind == "pandas"`` feature, one Arrow-batched pass per (key, chunk)."""
     feats = list(features)
 
@@ -73,7 +73,7 @@ def with_pandas_features(chunked: DataFrame, keys: list[str], features: list[Fea
             check_lookback(f, pdf, out[f.name])
         return out
 
-    return _per_chunk(chunked, keys, [f.name for f in feats], fn, time)
+    return _per_chunk(chunked, keys, [f.name for f in feats], fn, order)
 
 
 def check_lookback(feature: Feature, pdf: pd.DataFrame, values: np.ndarray) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from barspark.functions.features import DIFF, R1, FeatureSet, helper_columns
 from barspark.operators import ema as ema_op
-from barspark.operators.sequence import CHUNK, CORE, SEQ, chunk_window, core_only, frame
+from barspark.operators.sequence import CHUNK, CORE, SEQ, chunk_window, core_only, frame, time_order
 from barspark.schemas import DATE, TICKER
 
 
@@ -19,7 +19,7 @@ def sequenced_chunks(
     chunk_rows: int | None = None,
 ) -> DataFrame:
     keys = keys or [TICKER]
-    return frame(bars, keys, [time], back=back, fwd=fwd, chunk_rows=chunk_rows)
+    return frame(bars, keys, time_order(bars, time), back=back, fwd=fwd, chunk_rows=chunk_rows)
 
 
 def compute_features(
@@ -45,13 +45,13 @@ def compute_features(
     keep = keep or []
     extra = extra or {}
     rows = sequenced_chunks(bars, back=fs.lookback, fwd=fwd, keys=keys, time=time, chunk_rows=chunk_rows)
-    w = chunk_window(keys, [time])
+    w = chunk_window(keys, time_order(bars, time))
     helpers = helper_columns(w)
     rows = rows.withColumns(helpers)
     rows = rows.withColumns({f.name: f.build(w) for f in fs.window_features})
     rows = rows.withColumns({name: build(w) for name, build in extra.items()}).drop(R1, DIFF)
     if fs.pandas_features:
-        rows = ema_op.with_pandas_features(rows, keys, fs.pandas_features, time)
+        rows = ema_op.with_pandas_features(rows, keys, fs.pandas_features, time_order(bars, time))
     out = core_only(rows).select(*keys, time, *keep, *fs.feature_names, *extra.keys())
     if dropna:
         out = out.dropna(how="any", subset=fs.feature_names)
@@ -69,8 +69,9 @@ def ema_table(
     keys = keys or [TICKER]
     halo = ema_halo if ema_halo is not None else ema_op.ema_halo()
     rows = sequenced_chunks(bars, back=halo, keys=keys, time=time, chunk_rows=chunk_rows)
-    rows = rows.select(*keys, time, "close", SEQ, CHUNK, CORE)
-    rows = ema_op.with_macd(rows, keys, ["ema_12", "ema_26", "macd", "macd_signal"], time)
+    order = time_order(bars, time)
+    rows = rows.select(*keys, *order, SEQ, CHUNK, CORE)
+    rows = ema_op.with_macd(rows, keys, ["ema_12", "ema_26", "macd", "macd_signal"], order)
     return core_only(rows).select(*keys, time, "close", "ema_12", "ema_26", "macd", "macd_signal")
 
 
@@ -87,7 +88,7 @@ def window_columns(
     """Generic bounded-window projection: ``columns`` maps name -> builder(window) -> Column."""
     keys = keys or [TICKER]
     rows = sequenced_chunks(bars, back=back, fwd=fwd, keys=keys, time=time, chunk_rows=chunk_rows)
-    w = chunk_window(keys, [time])
+    w = chunk_window(keys, time_order(bars, time))
     rows = rows.withColumns(helper_columns(w))
     rows = rows.withColumns({name: build(w) for name, build in columns.items()})
     keep = keep if keep is not None else [c for c in bars.columns if c not in keys and c != time]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barspark.operators.sequence import chunk_window, core_only, frame
+from barspark.operators.sequence import chunk_window, core_only, frame, time_order
 from barspark.schemas import DATE, TICKER
 
 # Fixed values that must equal the reference's.
@@ -35,8 +35,9 @@ def add_labels(
     ``with_horizon`` adds ``label_date``, the date of the bar the label looks at (for purging).
     """
     keys = keys or [TICKER]
-    rows = frame(bars, keys, [time], fwd=forward, chunk_rows=chunk_rows)
-    w = chunk_window(keys, [time])
+    order = time_order(bars, time)
+    rows = frame(bars, keys, order, fwd=forward, chunk_rows=chunk_rows)
+    w = chunk_window(keys, order)
     labelled = rows.withColumn("label", forward_label(F.col("close"), F.lead("close", forward).over(w)))
     if with_horizon:
         labelled = labelled.withColumn("label_date", F.lead(time, forward).over(w))

@@ -13,38 +13,36 @@ from pyspark.sql import functions as F
 from barspark.operators.sequence import core_only, frame, prefix_sum
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", keys: list[str] | None = None) -> DataFrame:
-    """Exact AUC per group (``keys``; empty = overall).  NaN when a group has one class only."""
-    keys = list(keys or [])
-    per_score = df.groupBy(*keys, score).agg(
-        F.sum(F.col(label).cast("long")).alias("_pos"),
-        F.sum((1 - F.col(label)).cast("long")).alias("_neg"),
-    )
+def _per_score(df: DataFrame, label: str, score: str, prediction: str | None, keys: list[str]) -> DataFrame:
+    """Sums by (keys, score) that every metric needs, with the negatives up to each score."""
+    y = F.col(label)
+    sums = {"_pos": y.cast("long"), "_neg": (1 - y).cast("long")}
+    if prediction is not None:
+        p = F.col(prediction)
+        sums |= {"_ok": (y == p).cast("long"), "_tp": ((y == 1) & (p == 1)).cast("long"), "_fp": ((y == 0) & (p == 1)).cast("long")}
+    per_score = df.groupBy(*keys, score).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
     rows = frame(per_score, keys, [score])
-    cum = core_only(prefix_sum(rows, keys, F.col("_neg"), "_neg_upto", [score]))
+    return core_only(prefix_sum(rows, keys, F.col("_neg"), "_neg_upto", [score]))
+
+
+def _auc_sums() -> list:
     below = F.col("_neg_upto") - F.col("_neg")
-    out = cum.groupBy(*keys).agg(
+    return [
         F.sum(F.col("_pos") * (below.cast("double") + F.col("_neg") / F.lit(2.0))).alias("_num"),
         F.sum("_pos").alias("_p"),
         F.sum("_neg").alias("_n"),
-    )
-    auc = F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_num") / (F.col("_p") * F.col("_n"))).otherwise(
-        F.lit(float("nan"))
-    )
-    return out.select(*keys, auc.alias("roc_auc"))
+    ]
+
 
+def _auc():
+    both = (F.col("_p") > 0) & (F.col("_n") > 0)
+    return F.when(both, F.col("_num") / (F.col("_p") * F.col("_n"))).otherwise(F.lit(float("nan"))).alias("roc_auc")
 
-def classification_counts(df: DataFrame, label: str = "label", prediction: str = "prediction", keys=None) -> DataFrame:
+
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", keys: list[str] | None = None) -> DataFrame:
+    """Exact AUC per group (``keys``; empty = overall).  NaN when a group has one class only."""
     keys = list(keys or [])
-    y, p = F.col(label), F.col(prediction)
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(y == p).alias("n_correct"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.avg(y.cast("double")).alias("label_balance"),
-    )
+    return _per_score(df, label, score, None, keys).groupBy(*keys).agg(*_auc_sums()).select(*keys, _auc())
 
 
 def _ratio(num, den):
@@ -52,23 +50,22 @@ def _ratio(num, den):
 
 
 def classification_metrics(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", score: str | None = "score", keys=None
+    df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score", keys=None
 ) -> DataFrame:
-    """accuracy, roc_auc, precision/recall/F1 of class 1 (0 when undefined), label balance."""
+    """accuracy, roc_auc, precision/recall/F1 of class 1 (0 when undefined), label balance.
+
+    One pass: the confusion counts are summed by score beside the AUC's, then once more per group.
+    """
     keys = list(keys or [])
-    if not keys:  # one overall row: group by a constant so both parts join on a real key
-        df = df.withColumn("_all", F.lit(0))
-        return classification_metrics(df, label, prediction, score, ["_all"]).drop("_all")
-    c = classification_counts(df, label, prediction, keys)
-    out = c.select(
+    cum = _per_score(df, label, score, prediction, keys)
+    total = cum.groupBy(*keys).agg(*_auc_sums(), F.sum("_ok").alias("_hits"), F.sum("_tp").alias("_tps"), F.sum("_fp").alias("_fps"))
+    n, tp, fp, fn = F.col("_p") + F.col("_n"), F.col("_tps"), F.col("_fps"), F.col("_p") - F.col("_tps")
+    return total.select(
         *keys,
-        _ratio(F.col("n_correct"), F.col("n")).alias("accuracy"),
-        _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision_class1"),
-        _ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall_class1"),
-        _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1_class1"),
-        F.col("label_balance"),
+        _ratio(F.col("_hits"), n).alias("accuracy"),
+        _ratio(tp, tp + fp).alias("precision_class1"),
+        _ratio(tp, tp + fn).alias("recall_class1"),
+        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1_class1"),
+        F.try_divide(F.col("_p").cast("double"), n.cast("double")).alias("label_balance"),
+        _auc(),
     )
-    if score is not None:
-        auc = roc_auc(df, label, score, keys)
-        out = out.join(auc, keys, "left")
-    return out

@@ -34,11 +34,12 @@ def bar_gaps(bars: DataFrame, forward: int = FORWARD_DAYS) -> DataFrame:
     pass (``lag``/``lead`` with a one-row / ``forward``-row halo), so an as-of lookup is then a
     single equi-join on (ticker, k).
     """
-    rows = frame(bars.select(TICKER, DATE, "close"), [TICKER], [DATE], back=1, fwd=forward)
-    w = chunk_window([TICKER], [DATE])
+    order = [DATE, "close"]
+    rows = frame(bars.select(TICKER, DATE, "close"), [TICKER], order, back=1, fwd=forward)
+    w = chunk_window([TICKER], order)
     rows = rows.withColumns(
         {
-            "_i": position([TICKER], [DATE]),
+            "_i": position([TICKER], order),
             "_f": F.lead("close", forward).over(w),
             "_has_f": F.lead(DATE, forward).over(w).isNotNull(),
             "_pd": F.lag(DATE, 1).over(w),

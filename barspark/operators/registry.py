@@ -8,6 +8,7 @@ job, so the per-model fold works on a small group whose size is the number of tr
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,47 +29,31 @@ def promotion_history(runs: DataFrame, threshold: float = PROMOTION_THRESHOLD) -
     ``challenger_auc - champion_auc >= threshold`` (a missing AUC counts as 0.0; a NaN never
     wins, and a NaN champion is never beaten; ``nan_champion`` flags that state).
     """
-    versioned = run_versions(runs)
-    auc = F.coalesce(F.col("roc_auc"), F.lit(0.0))
-    items = versioned.groupBy("model").agg(
-        F.array_sort(F.collect_list(F.struct("run_seq", "run_id", "version", auc.alias("auc")))).alias("_runs")
+    versioned = run_versions(runs).select("model", "run_seq", "run_id", "version", "roc_auc")
+    ordered = versioned.repartition("model").sortWithinPartitions("model", "run_seq", "run_id")
+    schema = (
+        "model string, run_seq bigint, run_id string, version int, roc_auc double, promoted boolean, "
+        "champion_version int, champion_auc double, nan_champion boolean"
     )
 
-    def step(acc, r):
-        has = acc["has_champ"]
-        gain = r["auc"] - acc["champ_auc"]
-        # Spark orders NaN above every number; a NaN gain must never promote (Python semantics)
-        promote = ~has | (~F.isnan(gain) & (gain >= F.lit(threshold)))
-        champ_auc = F.when(promote, r["auc"]).otherwise(acc["champ_auc"])
-        champ_ver = F.when(promote, r["version"]).otherwise(acc["champ_ver"])
-        out = F.struct(
-            r["run_seq"].alias("run_seq"),
-            r["run_id"].alias("run_id"),
-            r["version"].alias("version"),
-            r["auc"].alias("roc_auc"),
-            promote.alias("promoted"),
-            champ_ver.alias("champion_version"),
-            champ_auc.alias("champion_auc"),
-        )
-        return F.struct(
-            F.lit(True).alias("has_champ"),
-            champ_auc.alias("champ_auc"),
-            champ_ver.alias("champ_ver"),
-            F.concat(acc["out"], F.array(out)).alias("out"),
-        )
-
-    empty_out = F.array().cast(
-        "array<struct<run_seq:bigint,run_id:string,version:int,roc_auc:double,promoted:boolean,"
-        "champion_version:int,champion_auc:double>>"
-    )
-    start = F.struct(
-        F.lit(False).alias("has_champ"),
-        F.lit(None).cast("double").alias("champ_auc"),
-        F.lit(None).cast("int").alias("champ_ver"),
-        empty_out.alias("out"),
-    )
-    folded = items.select("model", F.aggregate("_runs", start, step)["out"].alias("_out"))
-    return folded.select("model", F.inline("_out")).withColumn("nan_champion", F.isnan("champion_auc"))
+    def fold(batches):
+        # one pass over the sorted runs; a model's state is its champion
+        model, champion = None, None
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                if row.model != model:
+                    model, champion = row.model, None
+                auc = 0.0 if row.missing else row.roc_auc
+                promoted = champion is None or auc - champion[1] >= threshold  # false for a NaN on either side
+                champion = (row.version, auc) if promoted else champion
+                out.append((row.model, row.run_seq, row.run_id, row.version, auc, promoted, *champion, champion[1] != champion[1]))
+            yield pd.DataFrame(out, columns=names)
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    # pandas has one notion of missing: a null AUC is told apart from NaN before it gets there
+    marked = ordered.withColumn("missing", F.col("roc_auc").isNull())
+    return marked.mapInPandas(fold, schema)
 
 
 def alias_history(history: DataFrame) -> DataFrame:

@@ -34,6 +34,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barspark.functions.features import BASELINE_COLUMNS
+from barspark.schemas import DATE
 from barspark.session import materialize, shuffle_partitions
 
 SEQ = "_seq"
@@ -129,6 +131,12 @@ def chunk_window(keys: list[str], order: list[str] | None = None) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*(order or [SEQ]))
 
 
+def time_order(bars: DataFrame, time: str = DATE) -> list[str]:
+    """Total order of a ticker's bars: time, then arrival where known, then the values.  Bars that repeat
+    a time come in one order under any partitioning (rows equal in all of these are interchangeable)."""
+    return [time, *[c for c in ("arrival", *BASELINE_COLUMNS) if c in bars.columns]]
+
+
 # Above this many hot keys, every key takes the chunked path (no key list on the driver).  A setting
 # may lower it, not raise it: the list is broadcast.
 MAX_HOT_KEYS = 10_000

@@ -3,8 +3,6 @@ dataset fingerprint (A9), baseline projection (P1) and the baseline dataset (M3)
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,7 +99,3 @@ def fingerprint(df: DataFrame, columns: list[str], double_columns: list[str], ti
         F.sum(h).cast("string").alias("digest"),
         F.count(F.lit(1)).alias("rows"),
     )
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -45,7 +45,11 @@ def validation_report(
     time: str = DATE,
     min_rows: int = MIN_ROWS_PER_TICKER,
 ) -> DataFrame:
-    """One row per ticker with every violation count and ``first_violation`` (null when valid)."""
+    """One row per ticker with every violation count and ``first_violation`` (null when valid).
+
+    ``repeated_dates`` counts the bars beyond the first of each date.  It is reported, not a violation: bars may
+    repeat a date, and the operators then order them by arrival and values.
+    """
     keys = keys or [TICKER]
     missing = missing_columns(bars)
     if missing:
@@ -55,6 +59,7 @@ def validation_report(
         *[F.count_if(_is_missing(c)).alias(f"null_{c}") for c in VALUE_COLUMNS],
         F.count_if(F.col("close") <= 0).alias("non_positive_close"),
         F.count_if(F.col("volume") < 0).alias("negative_volume"),
+        (F.count(time) - F.count_distinct(time)).alias("repeated_dates"),
     )
     if arrival is not None:
         counts = counts.join(unsorted_counts(bars, arrival, keys, time), keys, "left").withColumn(
@@ -74,7 +79,11 @@ def validation_report(
 
 
 def validate(bars: DataFrame, arrival: str | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Strict mode: raise ``ValueError`` naming the ticker and the first failing rule."""
+    """Strict mode: raise ``ValueError`` naming the ticker and the first failing rule.
+
+    Bars with an ``arrival`` column are checked for their order of arrival as well (P15).
+    """
+    arrival = arrival or ("arrival" if "arrival" in bars.columns else None)
     keys = keys or [TICKER]
     report = validation_report(bars, arrival, keys)
     bad = report.where(F.col("first_violation").isNotNull()).orderBy(*keys).limit(1).collect()

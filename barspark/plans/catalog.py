@@ -36,6 +36,7 @@ from barspark.plans import training_jobs as jobs
 from barspark.schemas import DATE, TICKER
 from barspark.sources import bars as bars_src
 from barspark.sources import fixtures as fx
+from barspark.session import materialize
 from barspark.sources import fsutil, predlog, store
 from barspark.streaming.features import stream_features
 from barspark.streaming.sources import bar_stream, run_available_now
@@ -160,14 +161,32 @@ def q_validate_bars_supplier(spark, sf):
 
 
 def _training_set(spark, sf) -> DataFrame:
-    bars = _bars(spark, sf)
-    labels = labels_op.add_labels(bars)
-    feats = compute_features(bars, ENGINEERED_V2)
-    return train_op.training_set(labels, feats, ENGINEERED_V2)
+    """Features and label of one window pass, written once: the queries below read it several times."""
+    return materialize(train_op.training_frame(_bars(spark, sf), ENGINEERED_V2), "training")
 
 
 def q_training_set(spark, sf):
-    return r6(_training_set(spark, sf), ENGINEERED_V2.feature_names)
+    """Labels joined with the stored feature table."""
+    bars, root = _bars(spark, sf), fsutil.scratch(spark, "features")
+    store.write_features(compute_features(bars, ENGINEERED_V2), root, ENGINEERED_V2)
+    feats = store.read_features(spark, root, ENGINEERED_V2)
+    return r6(train_op.training_set(labels_op.add_labels(bars), feats, ENGINEERED_V2), ENGINEERED_V2.feature_names)
+
+
+def q_training_frame(spark, sf):
+    return r6(train_op.training_frame(_bars(spark, sf), ENGINEERED_V2), ENGINEERED_V2.feature_names)
+
+
+def q_training_frame_chunked(spark, sf):
+    out = train_op.training_frame(_bars(spark, sf), ENGINEERED_V2, chunk_rows=SMALL_CHUNK)
+    return r6(out, ENGINEERED_V2.feature_names)
+
+
+def q_training_stats_roundtrip(spark, sf):
+    """The stats saved and loaded."""
+    root = fsutil.scratch(spark, "stats")
+    store.save_training_stats(train_op.training_stats(_train(spark, sf), ENGINEERED_V2.feature_names), root, ENGINEERED_V2)
+    return r6(store.load_training_stats(spark, root, ENGINEERED_V2), ["mean", "std"])
 
 
 def q_time_split(spark, sf):
@@ -372,6 +391,26 @@ def q_backfill_upsert(spark, sf):
     return r6(store.upsert(existing, new), ENGINEERED_V1.feature_names)
 
 
+def q_feature_store_roundtrip(spark, sf):
+    """The feature table written and read back."""
+    root = fsutil.scratch(spark, "features")
+    store.write_features(compute_features(_bars(spark, sf), ENGINEERED_V1), root, ENGINEERED_V1)
+    return r6(store.read_features(spark, root, ENGINEERED_V1), ENGINEERED_V1.feature_names)
+
+
+def q_backfill_store(spark, sf):
+    """U2 end to end: a table built from the older bars, backfilled from all bars, and read."""
+    bars, root = _bars(spark, sf), fsutil.scratch(spark, "features")
+    older = bars.where(F.col(DATE) < F.to_timestamp_ntz(F.lit(UPSERT_OLD_END)))
+    store.write_features(compute_features(older, ENGINEERED_V1), root, ENGINEERED_V1)
+    store.backfill(spark, bars, ENGINEERED_V1, root, UPSERT_START, UPSERT_END)
+    return r6(store.read_features(spark, root, ENGINEERED_V1), ENGINEERED_V1.feature_names)
+
+
+def q_forward_labels_chunked(spark, sf):
+    return labels_op.add_labels(_bars(spark, sf), chunk_rows=SMALL_CHUNK).select(TICKER, DATE, "close", "label")
+
+
 def q_score_unknown_tickers(spark, sf):
     bars = _bars(spark, sf)
     return scoring.request_status(_log(spark, sf, bars), bars)
@@ -470,55 +509,82 @@ def q_stream_features(spark, sf):
     return r6(out, ENGINEERED_V2.feature_names)
 
 
-GBT_SMALL = {"n_estimators": 10}
+# The model's scores are MLlib's own; the queries below return what can be worked out exactly (rows, counts,
+# balance, fingerprint, split) and whether the scores lie where they must.
 
 
 def _fitted(spark, sf):
-    ts = _training_set(spark, sf)
-    train, test = labels_op.time_split(ts, SPLIT_DATE)
-    return jobs.fit(train, ENGINEERED_V2.feature_names, GBT_SMALL), test
+    train, test = labels_op.time_split(_training_set(spark, sf), SPLIT_DATE)
+    return jobs.fit(train, ENGINEERED_V2.feature_names), test
+
+
+def _in_unit(*cols: str):
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.coalesce(F.col(c).between(0, 1), F.lit(False))
+    return ok
 
 
 def q_gbt_metrics(spark, sf):
     model, test = _fitted(spark, sf)
-    return jobs.evaluate(model, test)
+    m = jobs.evaluate(model, test)
+    names = ("accuracy", "precision_class1", "recall_class1", "f1_class1", "roc_auc")
+    return m.select(F.round("label_balance", 6).alias("label_balance"), _in_unit(*names).alias("in_range"))
 
 
 def q_batch_predictions(spark, sf):
     model, test = _fitted(spark, sf)
-    return jobs.predict(model, test).select(TICKER, DATE, "prediction", "probability")
-
-
-def _run_row(spark, res) -> DataFrame:
-    """One row per run: metrics plus the logged counts and fingerprint (M4/M5 run record)."""
-    m, p = res.metrics, res.params
-    row = [(res.run_id, float(m["accuracy"]), float(m["roc_auc"]), float(m["f1_class1"]), float(m["label_balance"]),
-            int(p.get("train_rows", -1)), int(p.get("test_rows", -1)), str(p.get("train_data_fingerprint", "")))]
-    schema = "run_id string, accuracy double, roc_auc double, f1_class1 double, label_balance double, " \
-             "train_rows long, test_rows long, train_data_fingerprint string"
-    return spark.createDataFrame(row, schema)
+    scored = jobs.predict(model, test)
+    fits = (F.col("prediction") == (F.col("probability") > 0.5).cast("int")) & _in_unit("probability")
+    return scored.select(TICKER, DATE, fits.alias("in_range"))
+
+
+def _run_rows(spark, root, model: str) -> DataFrame:
+    """The stored runs of a model: logged parameters and metrics."""
+    runs = jobs.read_runs(spark, root).where(F.col("model") == model)
+    m = F.col("metrics")
+    names = ("accuracy", "roc_auc", "f1_class1")
+    return runs.select(
+        "run_seq",
+        F.round(m["label_balance"], 6).alias("label_balance"),
+        F.col("params")["test_split_date"].alias("test_split_date"),
+        F.col("params")["feature_columns"].alias("feature_columns"),
+        F.col("params")["train_data_fingerprint"].alias("train_data_fingerprint"),
+        F.col("params")["train_rows"].alias("train_rows"),
+        F.col("params")["test_rows"].alias("test_rows"),
+        F.col("params")["n_estimators"].alias("n_estimators"),
+        *[m[n].alias(n) for n in names],
+    ).withColumn("in_range", _in_unit(*names)).drop(*names)
 
 
 def q_baseline_run(spark, sf):
-    res = jobs.run_baseline(spark, _bars(spark, sf), fsutil.scratch(spark, "runs"), SPLIT_DATE, GBT_SMALL, record=False)
-    return _run_row(spark, res)
+    root = fsutil.scratch(spark, "runs")
+    jobs.run_baseline(spark, _bars(spark, sf), root, SPLIT_DATE)
+    return _run_rows(spark, root, jobs.BASELINE_MODEL_NAME).drop("train_data_fingerprint", "train_rows", "test_rows")
 
 
 def q_engineered_run(spark, sf):
-    res = jobs.run_engineered(spark, _bars(spark, sf), fsutil.scratch(spark, "runs"), SPLIT_DATE, params=GBT_SMALL)
-    return _run_row(spark, res)
+    root = fsutil.scratch(spark, "runs")
+    jobs.run_engineered(spark, _bars(spark, sf), root, SPLIT_DATE)
+    return _run_rows(spark, root, jobs.MODEL_NAME)
+
+
+CHAMPION_RUNS = ("2024-04-20", "2024-04-25")
 
 
 def q_champion_scoring(spark, sf):
-    """M6 twice (the second may or may not be promoted) -> C4 champion -> J5 + D1 scoring of the
-    tickers in the prediction log (unknown tickers go to the error side)."""
+    """M6 twice (the second may or may not be promoted) -> C4 champion -> J5 + D1 scoring of the tickers in the
+    prediction log: every requested ticker once, answered or refused."""
     bars, root = _bars(spark, sf), fsutil.scratch(spark, "registry")
-    for run_date in ("2024-04-20", "2024-04-25"):
-        jobs.run_dated(spark, bars, root, run_date, params=GBT_SMALL)
+    for run_date in CHAMPION_RUNS:
+        jobs.run_dated(spark, bars, root, run_date)
     model, version = jobs.load_champion(spark, root)
     stats = store.load_training_stats(spark, root, ENGINEERED_V2)
-    out, _errors = scoring.score_requests(_log(spark, sf, bars), bars, model, version, stats)
-    return out.select(TICKER, "prediction_date", "direction", "probability", "model_version", "drift_detected")
+    out, errors = scoring.score_requests(_log(spark, sf, bars).select(TICKER).distinct(), bars, model, version, stats)
+    fits = _in_unit("probability") & F.col("direction").isin("UP", "DOWN") & F.col("model_version").isin("1", "2")
+    answered = out.select(TICKER, F.lit("ok").alias("status"), "prediction_date", (fits & F.col("drift_detected").isNotNull()).alias("in_range"))
+    refused = errors.select(TICKER, "status", F.lit(None).cast("string").alias("prediction_date"), F.lit(None).cast("boolean").alias("in_range"))
+    return answered.unionByName(refused)
 
 
 QUERIES: dict[str, Query] = {
@@ -541,6 +607,12 @@ QUERIES: dict[str, Query] = {
     "validate_bars": q_validate_bars,
     "validate_bars_supplier": q_validate_bars_supplier,
     "training_set": q_training_set,
+    "training_frame": q_training_frame,
+    "training_frame_chunked": q_training_frame_chunked,
+    "training_stats_roundtrip": q_training_stats_roundtrip,
+    "forward_labels_chunked": q_forward_labels_chunked,
+    "feature_store_roundtrip": q_feature_store_roundtrip,
+    "backfill_store": q_backfill_store,
     "time_split": q_time_split,
     "split_counts": q_split_counts,
     "split_date": q_split_date,
@@ -617,7 +689,8 @@ c AS (SELECT ticker, count(*) AS n_rows,
   count(*) FILTER (WHERE open IS NULL OR isnan(open)) AS null_open, count(*) FILTER (WHERE high IS NULL OR isnan(high)) AS null_high,
   count(*) FILTER (WHERE low IS NULL OR isnan(low)) AS null_low, count(*) FILTER (WHERE close IS NULL OR isnan(close)) AS null_close,
   count(*) FILTER (WHERE volume IS NULL OR isnan(volume)) AS null_volume,
-  count(*) FILTER (WHERE close <= 0) AS non_positive_close, count(*) FILTER (WHERE volume < 0) AS negative_volume
+  count(*) FILTER (WHERE close <= 0) AS non_positive_close, count(*) FILTER (WHERE volume < 0) AS negative_volume,
+  count(date) - count(DISTINCT date) AS repeated_dates
   FROM bars GROUP BY ticker)
 SELECT c.*, u.unsorted_dates, CASE WHEN n_rows < 100 THEN 'too_few_rows'
   WHEN null_open + null_high + null_low + null_close + null_volume > 0 THEN 'null_values'
@@ -630,7 +703,7 @@ SELECT ticker, count(*) AS n_rows,
   count(*) FILTER (WHERE low IS NULL OR isnan(low)) AS null_low, count(*) FILTER (WHERE close IS NULL OR isnan(close)) AS null_close,
   count(*) FILTER (WHERE volume IS NULL OR isnan(volume)) AS null_volume,
   count(*) FILTER (WHERE close <= 0) AS non_positive_close, count(*) FILTER (WHERE volume < 0) AS negative_volume,
-  CAST(0 AS BIGINT) AS unsorted_dates,
+  count(date) - count(DISTINCT date) AS repeated_dates, CAST(0 AS BIGINT) AS unsorted_dates,
   CASE WHEN count(*) < 100 THEN 'too_few_rows'
    WHEN count(*) FILTER (WHERE open IS NULL OR isnan(open) OR high IS NULL OR isnan(high) OR low IS NULL OR isnan(low) OR close IS NULL OR isnan(close) OR volume IS NULL OR isnan(volume)) > 0 THEN 'null_values'
    WHEN count(*) FILTER (WHERE close <= 0) > 0 THEN 'non_positive_close'
@@ -737,3 +810,27 @@ QUALIFY count(*) OVER w = {WINDOW_SIZE}""",
     "stream_features": f"WITH RECURSIVE {O.BARS},{O.window_features()},{O.ema_recursive()},{O.FEATURES_V2_TABLE} "
     f"SELECT ticker, date, {O.r6(V2)} FROM fv2",
 }
+
+ORACLES |= {
+    "training_frame": ORACLES["training_set"],
+    "training_frame_chunked": ORACLES["training_set"],
+    "training_stats_roundtrip": ORACLES["training_stats"],
+    "forward_labels_chunked": ORACLES["forward_labels"],
+    "feature_store_roundtrip": ORACLES["features_v1"],
+    "backfill_store": ORACLES["backfill_upsert"],
+    "gbt_metrics": f"{O.TRAINING_BASE} SELECT round(avg(CAST(label AS DOUBLE)), 6) AS label_balance, true AS in_range FROM ts WHERE date >= {O.SPLIT}",
+    "batch_predictions": f"{O.TRAINING_BASE} SELECT ticker, date, true AS in_range FROM ts WHERE date >= {O.SPLIT}",
+    "baseline_run": f"WITH {O.BARS},{O.labels()} SELECT CAST(1 AS BIGINT) AS run_seq, round(avg(CAST(label AS DOUBLE)), 6) AS label_balance, "
+    f"'{SPLIT_DATE}' AS test_split_date, 'open,high,low,close,volume' AS feature_columns, '200' AS n_estimators, true AS in_range "
+    f"FROM lb WHERE label IS NOT NULL AND date >= {O.SPLIT}",
+    "engineered_run": f"WITH RECURSIVE fp AS ({ORACLES['fingerprint']}), "
+    f"n AS ({O.TRAINING_BASE} SELECT count(*) FILTER (WHERE date < {O.SPLIT}) AS a, count(*) FILTER (WHERE date >= {O.SPLIT}) AS b, "
+    f"avg(CAST(label AS DOUBLE)) FILTER (WHERE date >= {O.SPLIT}) AS y FROM ts) "
+    f"SELECT CAST(1 AS BIGINT) AS run_seq, round(n.y, 6) AS label_balance, '{SPLIT_DATE}' AS test_split_date, '{','.join(V2)}' AS feature_columns, "
+    "fp.digest || ':' || CAST(fp.rows AS VARCHAR) AS train_data_fingerprint, CAST(n.a AS VARCHAR) AS train_rows, CAST(n.b AS VARCHAR) AS test_rows, "
+    "'200' AS n_estimators, true AS in_range FROM n, fp",
+    "champion_scoring": f"""{O.LOG_BASE}, lt AS (SELECT ticker, max(date) AS d, count(*) AS n FROM bars GROUP BY ticker)
+SELECT r.ticker, CASE WHEN lt.d IS NULL THEN 'unknown_ticker' WHEN lt.n < 100 THEN 'short_history' ELSE 'ok' END AS status,
+  CASE WHEN lt.n >= 100 THEN strftime(lt.d, '%Y-%m-%d %H:%M:%S') END AS prediction_date, CASE WHEN lt.n >= 100 THEN true END AS in_range
+FROM (SELECT DISTINCT ticker FROM plog) r LEFT JOIN lt ON lt.ticker = r.ticker""",
+}

@@ -200,12 +200,6 @@ sc AS (
         FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY date))
   WHERE r1 IS NOT NULL AND label IS NOT NULL)"""
 
-AUC_BY = """
-auc_s AS (SELECT {keys} score, sum(label) AS pos, sum(1 - label) AS neg FROM sc GROUP BY {keys} score),
-auc_c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {part} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM auc_s),
-auc AS (SELECT {keys} CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) ELSE 'NaN'::DOUBLE END AS roc_auc
-        FROM auc_c GROUP BY {keys} 1)"""
-
 RUNS = """
 runs AS (
   SELECT model || '-' || strftime(day, '%Y%m%d') AS run_id, model,

@@ -24,6 +24,7 @@ from barspark.operators import registry as reg_op
 from barspark.operators import training as train_op
 from barspark.operators.validate import validate
 from barspark.schemas import DATE, RUNS, TICKER
+from barspark.session import materialize
 from barspark.sources import fsutil, store
 
 # Fixed values that must equal the reference's (classifier hyper-parameters).
@@ -70,7 +71,8 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
-    scored = predict(model, test)
+    """Metrics of the scored test set, which is written once (the metrics read it several times)."""
+    scored = materialize(predict(model, test).select("label", "prediction", "probability"), "scored")
     return metrics_op.classification_metrics(scored, "label", "prediction", "probability")
 
 
@@ -132,7 +134,7 @@ def run_baseline(spark: SparkSession, bars: DataFrame, root: str, split_date: st
 
 def _run_baseline(spark, bars, root, split_date, params, record) -> RunResult:
     validate(bars)
-    data = train_op.baseline_dataset(bars)
+    data = materialize(train_op.baseline_dataset(bars), "training")
     train, test = labels_op.time_split(data, split_date)
     model = fit(train, BASELINE_COLUMNS, params)
     m = metrics_dict(evaluate(model, test))
@@ -164,6 +166,7 @@ def _run_engineered(spark, bars, root, split_date, run_date, fs, params, record,
         data = train_op.training_set(labels_op.add_labels(bars), features, fs)
     else:
         data = train_op.training_frame(bars, fs)
+    data = materialize(data, "training")  # stats, fit, counts, fingerprint and scoring read this table
     train, test = labels_op.time_split(data, split_date)
     stats = train_op.training_stats(train, fs.feature_names)
     stats_path = store.save_training_stats(stats, root, fs)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barspark.functions.features import BASELINE_COLUMNS
+from barspark.functions.columns import nan_to_null
 from barspark.schemas import BARS, DATE, TICKER
 
 
@@ -76,15 +77,17 @@ _READ_SCHEMA = T.StructType(BARS.fields + [T.StructField("month", T.StringType()
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """Either layout, with an explicit schema (no type inference from directory names, so a
-    ticker such as ``007`` stays a string); the month partition column is dropped after pruning."""
-    return spark.read.schema(_READ_SCHEMA).parquet(path).select(*[f.name for f in BARS.fields])
+    ticker such as ``007`` stays a string); the month partition column is dropped after pruning.
+    A stored NaN reads as null: the operators know one kind of missing value."""
+    rows = spark.read.schema(_READ_SCHEMA).parquet(path)
+    return rows.select(*[nan_to_null(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else f.name for f in BARS.fields])
 
 
 def load_ticker(spark: SparkSession, path: str, ticker: str) -> DataFrame:
     """S3: one ticker via partition pruning; an absent ticker is ``FileNotFoundError``."""
     df = read_bars(spark, path).where(F.col(TICKER) == ticker)
     if not df.limit(1).collect():
-        raise FileNotFoundError(f"No data file for {ticker!r}. Write its bars first.")
+        raise FileNotFoundError(f"the bar table {path} lacks ticker {ticker!r}")
     return df
 
 
@@ -99,7 +102,7 @@ def load_all(spark: SparkSession, path: str, tickers: list[str], ordered: bool =
     present = {r[TICKER] for r in df.select(TICKER).distinct().collect()}  # at most len(tickers) rows
     missing = [t for t in tickers if t not in present]
     if missing:
-        raise FileNotFoundError(f"No data file for {missing[0]!r}. Write its bars first.")
+        raise FileNotFoundError(f"the bar table {path} lacks ticker {missing[0]!r}")
     return df.orderBy(TICKER, DATE) if ordered else df
 
 

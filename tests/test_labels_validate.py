@@ -129,3 +129,19 @@ def test_single_pass_training_frame_equals_join(spark):
     pd.testing.assert_frame_equal(single, joined[single.columns])
     chunked = collect_sorted(training_frame(bars, ENGINEERED_V2, chunk_rows=700))
     pd.testing.assert_frame_equal(chunked, single, rtol=0, atol=1e-12)
+
+
+def test_repeated_dates_are_reported_and_ordered_the_same_under_any_layout(spark):
+    from barspark.functions.features import ENGINEERED_V1
+    from barspark.operators.features import compute_features
+
+    pdf = seasonal_bars(120)
+    twice = pdf.iloc[[30, 60]].assign(close=lambda d: d["close"] + 5)
+    bars = to_bars(spark, pd.concat([pdf, twice]))
+    assert validation_report(bars).first()["repeated_dates"] == 2
+    runs = [
+        collect_sorted(compute_features(bars.repartition(n), ENGINEERED_V1, chunk_rows=c), by=("date", "return_1d"))
+        for n, c in ((1, None), (7, None), (3, 40))
+    ]
+    for other in runs[1:]:
+        pd.testing.assert_frame_equal(runs[0], other)
