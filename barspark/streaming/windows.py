@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +30,6 @@ STATE = (
 VALUES = ["open", "high", "low", "close", "volume"]
 
 
-def window_summaries(closes: list[float]) -> tuple[float, float, float]:
-    return closes[0], closes[-1], float(sum(closes))
-
-
 def stream_windows(bars: DataFrame, size: int, dedupe_within: str | None = None, emit_rows: bool = False) -> DataFrame:
     """Streaming DataFrame of one row per full window of ``size`` consecutive bars per ticker.
 
@@ -57,31 +54,30 @@ def stream_windows(bars: DataFrame, size: int, dedupe_within: str | None = None,
         cols = cols + ["rows"]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (ticker,) = key
+        held, late = pd.DataFrame({DATE: pd.Series(dtype="datetime64[us]"), **{v: pd.Series(dtype="float64") for v in VALUES}}), 0
         if state.exists:
             dates, *vals, late = state.get
-            buf = {"date": list(dates), **{v: list(x) for v, x in zip(VALUES, vals)}}
-        else:
-            buf, late = {"date": [], **{v: [] for v in VALUES}}, 0
-        new = pd.concat(list(batches), ignore_index=True).sort_values(DATE, kind="stable")
-        out = []
-        for rec in new[[DATE, *VALUES]].itertuples(index=False):
-            d = pd.Timestamp(rec[0]).to_pydatetime()
-            if buf["date"] and d <= buf["date"][-1]:
-                late += 1
-                continue
-            buf["date"].append(d)
-            for v, x in zip(VALUES, rec[1:]):
-                buf[v].append(None if pd.isna(x) else float(x))
-            if len(buf["date"]) >= size:
-                closes = buf["close"][-size:]
-                first, last, total = window_summaries(closes)
-                row = [ticker, buf["date"][-size], buf["date"][-1], size, first, last, total, late]
-                if emit_rows:
-                    row.append([dict(date=buf["date"][i], **{v: buf[v][i] for v in VALUES}) for i in range(-size, 0)])
-                out.append(tuple(row))
-            buf = {k: (v[-keep:] if keep else []) for k, v in buf.items()}
-        state.update((buf["date"], *[buf[v] for v in VALUES], late))
-        yield pd.DataFrame(out, columns=cols)
+            held = pd.DataFrame({DATE: pd.to_datetime(pd.Series(list(dates))).astype("datetime64[us]"), **{v: pd.Series(list(x), dtype="float64") for v, x in zip(VALUES, vals)}})
+        new = pd.concat(list(batches), ignore_index=True)[[DATE, *VALUES]].sort_values(DATE, kind="stable", ignore_index=True)
+        new[DATE] = new[DATE].astype("datetime64[us]")
+        is_late = new[DATE].duplicated() | (new[DATE] <= held[DATE].iloc[-1] if len(held) else False)
+        late_upto = (late + is_late.cumsum())[~is_late].to_numpy()
+        rows = pd.concat([held, new[~is_late]], ignore_index=True) if len(held) else new[~is_late].reset_index(drop=True)
+        # windows that end at a new row and are full
+        ends = np.arange(max(len(held), size - 1), len(rows))
+        times, closes = rows[DATE].to_numpy(), rows["close"].to_numpy(dtype="float64")
+        out = pd.DataFrame({"ticker": [key[0]] * len(ends)})
+        out["window_start"], out["window_end"], out["n_rows"] = times[ends - size + 1], times[ends], size
+        out["close_first"], out["close_last"] = closes[ends - size + 1], closes[ends]
+        views = np.lib.stride_tricks.sliding_window_view(closes, size) if len(closes) >= size else np.zeros((0, size))
+        out["close_sum"] = views[ends - size + 1].sum(axis=1)
+        out["late_rows"] = late_upto[ends - len(held)]
+        if emit_rows:
+            each = rows.astype({DATE: object}).to_dict("records")
+            out["rows"] = [each[e - size + 1 : e + 1] for e in ends]
+        last = rows.tail(keep) if keep else rows.head(0)
+        values = [[None if x != x else x for x in last[v].tolist()] for v in VALUES]
+        state.update(([d.to_pydatetime() for d in last[DATE]], *values, int(late + is_late.sum())))
+        yield out[cols]
 
     return bars.groupBy(TICKER).applyInPandasWithState(step, out_schema, STATE, "append", GroupStateTimeout.NoTimeout)
