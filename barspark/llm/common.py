@@ -6,15 +6,16 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barspark.session import materialize
 
 #: Characters of text handled at once inside a task; bounds the memory of a step, not its result.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 #: Distinct words a worker keeps between batches; a full table is emptied and filled again.
-TABLE_WORDS = 300_000
+TABLE_WORDS = 250_000
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -27,39 +28,64 @@ def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterat
         n = batch.num_rows
         if n == 0:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0).cast(pa.int64()))
+        sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0).cast(pa.int64()))
         run = np.cumsum(sizes) // SLICE_CHARS
         cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), n]
         for a, b in zip(cuts, cuts[1:]):
             part = batch.slice(a, b - a)
             yield part, [t or "" for t in col.slice(a, b - a).to_pylist()]
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker process lives on after its task, beside the tasks of
+    later stages, and would keep its peak size."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
+
+
+def forget_kept() -> None:
+    """Drop what earlier operators keep in this worker (see ``kept_by_worker``)."""
+    import sys
+
+    if "_text_operators_kept" in sys.modules:
+        sys.modules["_text_operators_kept"].__dict__.pop("values", None)
+        give_back()
 
 
 class WordTable:
-    """Word -> row number of a growing value table, filled in bulk by ``encode(new_words)``.
+    """Word -> value, filled in bulk by ``encode(new_words)`` (one value per new word, never None).
 
-    ``encode`` returns one value per new word; ``values`` keeps them in row order.  Holds at most
-    ``limit`` words plus those of one slice: an overfull table is emptied between slices, so memory
-    is bounded whatever the vocabulary and no result depends on it.
+    Holds at most ``limit`` words plus those of one slice: an overfull table is emptied between slices, so
+    memory is bounded whatever the vocabulary and no result depends on it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = TABLE_WORDS):
+    def __init__(self, encode: Callable[[list[str]], Iterable], limit: int = TABLE_WORDS):
         self.encode, self.limit = encode, limit
-        self.index: dict[str, int] = {}
-        self.values: list = []
-        self.generation = 0
+        self.index: dict[str, object] = {}
 
-    def rows(self, words: list[str]) -> np.ndarray:
-        """Row numbers of ``words``; unseen words are encoded first, each once."""
+    def get(self, words: list[str]) -> list:
+        """The words' values; unseen words are encoded first, each once."""
         if len(self.index) > self.limit:
-            self.index, self.values = {}, []
-            self.generation += 1
+            self.index = {}
+            self.emptied()
         index = self.index
-        new = [w for w in dict.fromkeys(words) if w not in index]
-        if new:
-            index.update(zip(new, range(len(self.values), len(self.values) + len(new))))
-            self.values.extend(self.encode(new))
-        return np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        got = list(map(index.get, words))
+        missing = [i for i, v in enumerate(got) if v is None]
+        if missing:
+            new = list(dict.fromkeys([words[i] for i in missing]))
+            index.update(zip(new, self.encode(new)))
+            for i in missing:
+                got[i] = index[words[i]]
+        return got
+
+    def emptied(self) -> None:
+        pass
 
 
 class NumberTable(WordTable):
@@ -67,20 +93,25 @@ class NumberTable(WordTable):
 
     def __init__(self, encode: Callable[[list[str]], np.ndarray], limit: int = TABLE_WORDS):
         super().__init__(self._extend, limit)
-        self.numbers, self.held, self.used, self.seen = encode, np.zeros(0), 0, 0
+        self.numbers, self.held, self.used = encode, np.zeros(0), 0
+
+    def emptied(self) -> None:
+        self.used = 0
 
     def _extend(self, words: list[str]) -> range:
-        if self.seen != self.generation:
-            self.used, self.seen = 0, self.generation
         new = self.numbers(words)
         if self.used + len(new) > len(self.held) or self.held.shape[1:] != new.shape[1:]:
             old, room = self.held[: self.used], max(1024, 2 * (self.used + len(new)))
             self.held = np.zeros((room, *new.shape[1:]), new.dtype)
             if self.used:
                 self.held[: self.used] = old
-        self.held[self.used : self.used + len(new)] = new
-        self.used += len(new)
-        return range(len(new))  # the row numbers are what matters
+        first, self.used = self.used, self.used + len(new)
+        self.held[first : self.used] = new
+        return range(first, self.used)
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Row numbers of the words in ``matrix``."""
+        return np.array(self.get(words), np.int64)
 
     @property
     def matrix(self) -> np.ndarray:
@@ -114,8 +145,9 @@ def numbered(df: DataFrame, order: list, name: str = "row_no", partitions: int |
     for p in range(max(sizes, default=-1) + 1):
         starts.append(at)
         at += sizes.get(p, 0)
-    start = F.element_at(F.array(*[F.lit(s) for s in starts] or [F.lit(0)]).cast("array<bigint>"), (part + 1).cast("int"))
-    return placed.withColumn(name, start + low).drop("_mid"), at
+    offsets = spark.createDataFrame(list(enumerate(starts)) or [(0, 0)], "_part bigint, _start bigint")  # one row a partition
+    joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return joined.withColumn(name, F.col("_start") + low).drop("_mid", "_part", "_start"), at
 
 
 def orderable(df: DataFrame, columns: list[str]) -> list[str]:
@@ -127,15 +159,15 @@ def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
     """``make()`` once per key and Python worker process, kept for the tasks that follow there.
 
     The code of this package travels inside the pickled functions, so its module globals are new in
-    each task; a module object in ``sys.modules`` outlives them.  At most four values are kept.
+    each task; a module object in ``sys.modules`` outlives them.  Only the last key's value is kept.
     """
     import sys
     import types
 
     store = sys.modules.setdefault("_text_operators_kept", types.ModuleType("_text_operators_kept")).__dict__.setdefault("values", {})
     if key not in store:
-        while len(store) >= 4:
-            store.pop(next(iter(store)))
+        store.clear()
+        give_back()
         store[key] = make()
     return store[key]
 

@@ -48,9 +48,9 @@ def letters(text: str) -> list[str]:
     return [w for w in (w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in found) if w]
 
 
-def _grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes[k][i]: the n-gram of k + 1 characters that ends at predicted character i; 0 where a
-    word's start cuts it off.  Also each predicted character's word."""
+def _all_grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes[k][i] of the k + 1 characters that end at character i of the words (each in its two spaces);
+    0 where a word's start cuts them off.  Also each character's place in its word, and its word."""
     code = np.frombuffer("".join(f" {w} " for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
     word = np.repeat(np.arange(len(words)), sizes)
@@ -62,8 +62,14 @@ def _grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
             # The n-gram's hash folds its characters from the last to the first.
             now = _mix(now * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([np.zeros(min(k, code.size), np.uint64), mixed[:-k]]))
         rows.append(np.where(place >= k, now, np.uint64(0)))
-    told = place > 0  # the opening space is given
-    return np.array(rows)[:, told], word[told]
+    return np.array(rows), place, word
+
+
+def _grams(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_all_grams`` that end at predicted characters (all but the opening space), and their words."""
+    rows, place, word = _all_grams(words, order)
+    told = place > 0
+    return rows[:, told], word[told]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -160,6 +166,46 @@ def _find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (keys[at] == x) & (x != 0), at
 
 
+class MergedModels:
+    """The languages' arrays merged by length: one sorted array of hashes, a column per language.
+
+    A string of k characters is looked up once for all languages: as an n-gram (its log probability) and as the
+    context of the character after it (its back-off weight).
+    """
+
+    def __init__(self, models: list[CharModel], order: int):
+        self.order, self.keys, self.logp, self.backoff = order, [], [], []
+        for k in range(order):
+            held = [m.grams[k] for m in models] + ([m.contexts[k + 1] for m in models] if k + 1 < order else [])
+            keys = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+            # the last row stands for an unknown string: no n-gram, no back-off weight
+            logp, backoff = np.full((len(keys) + 1, len(models)), np.nan), np.zeros((len(keys) + 1, len(models)))
+            for j, m in enumerate(models):
+                logp[np.searchsorted(keys, m.grams[k]), j] = m.logp[k]
+                if k + 1 < order:
+                    backoff[np.searchsorted(keys, m.contexts[k + 1]), j] = m.backoff[k + 1]
+            self.keys.append(keys)
+            self.logp.append(logp)
+            self.backoff.append(backoff)
+        self.first = np.array([m.backoff[0][0] if len(m.backoff[0]) else 0.0 for m in models])
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log probability of each word by language."""
+        if not words or not len(self.first):
+            return np.zeros((len(words), len(self.first)))
+        rows, place, word = _all_grams(words, self.order)
+        out = np.full((rows.shape[1], len(self.first)), -math.log(ALPHABET)) + self.first
+        for k in range(self.order):
+            known, at = _find(self.keys[k], rows[k])
+            at = np.where(known, at, len(self.keys[k]))
+            value = self.logp[k][at]
+            out = np.where(np.isnan(value), out, value)
+            if k + 1 < self.order:  # the string before each character, as the context of the next length
+                out[1:] += self.backoff[k][at[:-1]] * (place[1:] > k)[:, None]
+        out[place == 0] = 0  # the opening space is given
+        return np.add.reduceat(out, np.flatnonzero(place == 0))
+
+
 @dataclass
 class LanguageModels:
     """Models by language, with each language's limit on the cross-entropy in nats per character: a text of n
@@ -173,14 +219,16 @@ class LanguageModels:
         sums = tuple(zlib.crc32(a.tobytes()) for m in self.models for a in (*m.grams, *m.logp))
         return ("langid", tuple(self.languages), hash(sums))
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
-        """Per word (any string): log probability by language, then the characters predicted."""
-        runs = [letters(w) for w in words]
-        flat = [r for rs in runs for r in rs]
-        sizes = [len(rs) for rs in runs]
-        cols = [sums_by_text(m.score(flat), sizes) for m in self.models]
-        cols.append(sums_by_text(np.array([len(r) + 1 for r in flat], np.float64), sizes))
-        return np.array(cols).T
+    def table(self) -> NumberTable:
+        """A table of words (runs of letters) -> log probability by language, then the characters predicted."""
+        merged = MergedModels(self.models, len(self.models[0].grams) if self.models else 0)
+
+        def scores(words: list[str]) -> np.ndarray:
+            length = np.fromiter(map(len, words), np.float64, len(words)) + 1
+            parts = [merged.score(words[a : a + 20_000]) for a in range(0, len(words), 20_000)]
+            return np.column_stack([np.concatenate(parts), length])
+
+        return NumberTable(scores)
 
 
 def _calibrate(words: list[list[str]], model: CharModel) -> list[float]:
@@ -267,9 +315,9 @@ def judge(rows: DataFrame, text_at: int, models: LanguageModels) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: LanguageModels = shared.value
-        table = kept_by_worker(own.key(), lambda: NumberTable(own.word_scores))
+        table = kept_by_worker(own.key(), own.table)
         for part, texts in text_slices(batches, text):
-            words = [t.split() for t in texts]
+            words = [letters(t) for t in texts]
             at = table.rows([w for ws in words for w in ws])
             scores = table.matrix[at] if at.size else np.zeros((0, len(own.languages) + 1))
             lang, share, cross, rejected = decide(sums_by_text(scores, [len(ws) for ws in words]), own)

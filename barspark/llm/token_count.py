@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,7 +209,7 @@ def count_tokens(docs: DataFrame, load: Callable[[], list[str]], vocabulary: str
         merger = kept_by_worker(("pieces", vocabulary), lambda: PieceMerger(load()))
         table = merger.table  # kept by the worker process between its tasks
         for part, texts in text_slices(batches, "t"):
-            size = pa.compute.fill_null(pa.compute.binary_length(part.column(1)), 0).cast(pa.int64())
+            size = pc.fill_null(pc.binary_length(part.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([part.column(0), size, pa.array(count_texts(texts, merger, table), pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(
