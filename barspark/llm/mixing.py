@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 OTHER = "*"
 SWEEPS = 200
-TOLERANCE = 1e-9
+TOLERANCE = 1e-12
 #: Share of the wanted tokens that cells of the largest scales may fall short of.
 TRIM = 0.05
 #: Largest number of cells the targets may span (a check of the caller's parameter, not of the data).
