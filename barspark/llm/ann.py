@@ -88,11 +88,11 @@ class TopTree:
         return node - ((1 << self.depth) - 1)
 
     @staticmethod
-    def fit(sample: np.ndarray, dim: int, cells: int) -> TopTree:
+    def fit(points: np.ndarray, dim: int, cells: int) -> TopTree:
+        """Splits at the medians of projected sample points."""
         depth = max(0, math.ceil(math.log2(max(1, cells))))
         inner = (1 << depth) - 1
         tree = TopTree(dim, depth, np.zeros(inner, np.int64), np.zeros(inner), np.full((1 << depth, DIMS), -np.inf), np.full((1 << depth, DIMS), np.inf))
-        points = tree.project(sample) if len(sample) else np.zeros((0, DIMS))
 
         def split(node: int, rows: np.ndarray, low: np.ndarray, high: np.ndarray, left: int) -> None:
             if not left:
@@ -174,6 +174,19 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
+def _projected(dim: int):
+    """Vectors as their few projected coordinates (what the sample brings to the driver)."""
+    tree = TopTree.fit(np.zeros((0, DIMS)), dim, 1)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                p = tree.project(_matrix(batch.column(0), dim))
+                yield pa.RecordBatch.from_arrays([pa.array(list(p), pa.list_(pa.float64()))], names=["p"])
+
+    return run
+
+
 def _assign(tree: TopTree, blocks: int):
     """Points with their group; queries (kind 1) with their home group."""
 
@@ -263,8 +276,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
     n, dim = points.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     cells = min(MAX_CELLS, max(1, -(-n // group_rows)))
     drawn = points.select("v", F.xxhash64("rep").alias("h")).orderBy("h").limit(SAMPLE_ROWS).select("v")
-    sample = [r.v + [0.0] * (dim - len(r.v)) for r in drawn.collect()] if cells > 1 else []
-    tree = TopTree.fit(np.array(sample).reshape(-1, dim), dim, cells)
+    sample = [r.p for r in drawn.mapInArrow(_projected(dim), "p array<double>").collect()] if cells > 1 else []
+    tree = TopTree.fit(np.array(sample).reshape(-1, DIMS), dim, cells)
     blocks = max(1, -(-n // ((1 << tree.depth) * group_rows)))
     factor = chi2_quantile(confidence, DIMS)
 
