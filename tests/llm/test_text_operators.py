@@ -189,8 +189,7 @@ def test_merging_rounds_and_heap_agree_with_the_library(merger):
 def test_word_table_is_bounded_and_right():
     table = common.WordTable(lambda words: [w.upper() for w in words], limit=3)
     for words in (["a", "b", "a"], ["c", "d"], ["e", "a"], ["a", "f"]):
-        rows = table.rows(words)
-        assert [table.values[r] for r in rows] == [w.upper() for w in words]
+        assert table.get(words) == [w.upper() for w in words]
     assert len(table.index) <= 5
     numbers = common.NumberTable(lambda words: np.array([len(w) for w in words]), limit=2)
     for words in (["a", "bb"], ["ccc"], ["dddd", "a"], ["bb"]):
@@ -212,6 +211,27 @@ def test_block_files_round_trip(bits, block, docs):
         assert f.ids(a, min(len(flat), a + 3)).tolist() == flat[a : a + 3]
 
 
+WORDS_OF_TEXT = st.lists(st.sampled_from(["The", "it's", "'s", "É", "ß.", "naïve", "!!", "a.b", "x,", "ＡＢ", "½", "don't.", "''", "<|startoftext|>", "4.0", "#tag", "w|", "İ"]), max_size=10)
+
+
+@given(WORDS_OF_TEXT, st.sampled_from([" ", "  ", "\n"]))
+@settings(max_examples=200, deadline=None)
+def test_word_encoder_equals_the_library_on_whole_texts(words, gap):
+    encode = word_encoder()
+    text = gap.join(words)
+    got = b"".join(encode(text.replace("\n", " ").split(" ")))
+    assert np.frombuffer(got, "<u4").tolist() == encode.tok.encode(text, add_special_tokens=False).ids
+
+
+_WORDS: list = []
+
+
+def word_encoder():
+    if not _WORDS:
+        _WORDS.append(queries._word_tokenizer())
+    return _WORDS[0]
+
+
 def test_packed_width_and_limits():
     assert [token_blocks.bits_for(v) for v in (1, 2, 3, 256, 257, 49_408)] == [1, 1, 2, 8, 9, 16]
     with pytest.raises(ValueError):
@@ -272,6 +292,14 @@ def test_character_model_is_a_distribution():
         assert known + unseen * (langid.ALPHABET - len(letters)) == pytest.approx(1)
 
 
+def test_merged_arrays_score_like_each_model():
+    one = langid.CharModel.fit(["aba", "abb", "bab", "aa", "cab"], np.array([5.0, 2, 2, 1, 1]))
+    two = langid.CharModel.fit(["xyz", "xay", "zz"], np.array([1.0, 4, 2]))
+    words = ["aba", "xyzzy", "q", "", "abxy", "ccc"]
+    got = langid.MergedModels([one, two], langid.ORDER).score(words)
+    assert got == pytest.approx(np.column_stack([one.score(words), two.score(words)]))
+
+
 def prefix(model, chars: str) -> float:
     """Log probability that a word starts with ``chars`` (a space ends the word)."""
     if not chars:
