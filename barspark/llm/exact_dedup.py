@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barspark.llm.common import text_slices
+from barspark.llm.common import forget_kept, text_slices
 
 SALTS = 32
 _LOCAL = "digest string, tag bigint, size bigint, ids array<bigint>, top bigint, n bigint"
@@ -36,6 +36,7 @@ def _local_groups(with_text: bool, digest_chars: int):
     schema = pa.schema(schema + ([("norm", pa.string())] if with_text else []))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for part, _ in text_slices(batches, "t"):
             ids = part.column(part.schema.get_field_index("id")).to_pylist()
             norm = pc.fill_null(pc.ascii_lower(part.column(part.schema.get_field_index("t"))), "").to_pylist()
@@ -89,6 +90,7 @@ def _local_first(id_at: int, text_at: int):
     """Of each slice's equal texts the row with the largest id, with the digest of its normalised text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for part, texts in text_slices(batches, batches_text):
             norm = pc.ascii_lower(pa.array(texts, pa.string())).to_pylist()
             best: dict[str, tuple] = {}
@@ -111,15 +113,15 @@ def _first_of_text(text_at: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, seen = None, set()
-        for batch in batches:
-            norm = pc.fill_null(pc.ascii_lower(batch.column(text_at).cast(pa.string())), "").to_pylist()
+        for part, texts in text_slices(batches, f"c{text_at}"):
+            norm = pc.ascii_lower(pa.array(texts, pa.string())).to_pylist()
             keep = []
-            for digest, t in zip(batch.column(batch.num_columns - 1).to_pylist(), norm):
+            for digest, t in zip(part.column(part.num_columns - 1).to_pylist(), norm):
                 if digest != now:
                     now, seen = digest, set()
                 keep.append(t not in seen)
                 seen.add(t)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield part.filter(pa.array(keep, pa.bool_()))
 
     return run
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barspark.llm.common import orderable, text_slices
+from barspark.llm.common import forget_kept, orderable, text_slices
 from barspark.llm.components import connected_components
 from barspark.session import materialize
 
@@ -169,6 +169,7 @@ def _local_fingerprints(shingle: int, seed: int):
     kind = pa.list_(pa.struct([("id", pa.int64()), ("tag", pa.int64())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for part, texts in text_slices(batches, "t"):
             groups: dict[int, list] = {}
             known: dict[str, int] = {}  # equal texts of a slice are hashed once
