@@ -28,10 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspark.llm.common import WordTable, kept_by_worker, text_slices
+from barspark.llm.common import WordTable, kept_by_worker, library_ids, library_tokenizer, text_slices
 
 #: Characters of a block; a task's documents beyond it start another block.  A longer text is a block.
 BLOCK_CHARS = 32_000_000
+#: Most partitions of the word table.  A block sends one row to each: with more of them the rows would shrink
+#: to single words.  A partition reads its rows one by one, so its memory does not grow with the corpus.
+WORD_PARTITIONS = 2048
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _WORD = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
@@ -49,12 +52,7 @@ class Codec:
     """``encode(words) -> id lists`` of a byte-level BPE tokenizer file and the bytes of each id."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(path)
-        tok.no_truncation()
-        tok.no_padding()
-        self.tok = tok
+        self.tok = tok = library_tokenizer(path)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes written as themselves
         byte_of = {chr(b): b for b in shown}
         byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
@@ -67,7 +65,7 @@ class Codec:
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
 
     def encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+        return library_ids(self.tok, words)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of ids: each joined with its piece."""
@@ -156,8 +154,7 @@ def _encode_lists(load: Callable[[], Codec], name: str):
         table = WordTable(codec.encode)
         for batch in batches:
             for block, sign, at, body in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4))):
-                rows = table.rows([w.decode() for w in unpack_words(body)])
-                out = pack_words([table.values[r] for r in rows.tolist()])
+                out = pack_words(table.get([w.decode() for w in unpack_words(body)]))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((block, sign, None, at, out), kinds)], names=["block", "sign", "id", "at", "body"])
 
@@ -225,9 +222,10 @@ def encode_decode(docs: DataFrame, load: Callable[[], Codec], name: str, id_col:
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("t"), F.spark_partition_id().alias("p"))
-    lists = rows.mapInArrow(_word_lists(parts), "block bigint, sign bigint, part bigint, at binary, body binary")
+    deal = min(parts, WORD_PARTITIONS)
+    lists = rows.mapInArrow(_word_lists(deal), "block bigint, sign bigint, part bigint, at binary, body binary")
     fields = "block bigint, sign bigint, id bigint, at binary, body binary"
-    encoded = lists.repartition(parts, "part").mapInArrow(_encode_lists(load, name), fields).withColumn("kind", F.lit(0))
+    encoded = lists.repartition(deal, "part").mapInArrow(_encode_lists(load, name), fields).withColumn("kind", F.lit(0))
     numbers = rows.mapInArrow(_documents, fields).withColumn("kind", F.when(F.col("at").isNotNull(), 1).otherwise(2))
     both = encoded.unionByName(numbers).select("block", "sign", "kind", "id", "at", "body")
     placed = both.repartition(parts, "block").sortWithinPartitions("block", "kind")

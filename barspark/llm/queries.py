@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.llm import ann, bpe_words, chat, exact_dedup, langid, mixing, shards, simhash, token_blocks, token_count
-from barspark.llm.common import library_ids, library_tokenizer
+from barspark.llm import ann, bpe_words, chat, exact_dedup, langid, mixing, oracles, shards, simhash, token_blocks, token_count
 
 BYTES = "byte_bpe_50k.json"
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -104,8 +103,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _word_tokenizer():
-    tok = library_tokenizer(tokenizer_path(WORDS))
-    return lambda words: library_ids(tok, words)
+    return token_blocks.WordEnds(tokenizer_path(WORDS))
 
 
 #: Ids of the word vocabulary (its size fixes the packed width).
@@ -131,7 +129,7 @@ MIX = {
 def op10_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its cell, token weight and calibrated probability, and whether the mix draws it."""
     out = mixing.mix(table(spark, sf_dir, "documents"), MIX)
-    return out.withColumnRenamed("id", "doc_id").withColumn("probability", F.round("probability", 9))
+    return out.withColumnRenamed("id", "doc_id").withColumn("probability", F.round("probability", 6))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -146,10 +144,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_blocks": op9_token_blocks,
     "op10_raked_mix": op10_raked_mix,
 }
-ORACLES: dict[str, str] = {
-    "op8_exact_dedup": """
-        WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
-        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
-        FROM d WINDOW w AS (PARTITION BY text_sha256)
-    """,
-}
+ORACLES: dict[str, str] = {"op8_exact_dedup": oracles.EXACT_DEDUP, "op10_raked_mix": oracles.raked_mix(MIX)}

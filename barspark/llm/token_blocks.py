@@ -10,12 +10,13 @@ Layout (little-endian)::
     magic 'BPK1' | u32 bits | u64 ids | u64 documents | u32 ids per block | u32 blocks
     u64[documents + 1] first id of each document | u64[blocks + 1] byte offset of each block | payload
 
-Files live in a Parquet table (``shard, first_doc, n_docs, n_ids, blob``) in the shared folder: a
+Files live in a Parquet table (``shard, before, doc_ids, n_ids, blob``) in the shared folder: a
 container that every Hadoop file system can hold and Spark can read back, one row a file.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barspark.llm.common import WordTable, kept_by_worker, text_slices
+from barspark.llm.common import WordTable, kept_by_worker, library_ids, library_tokenizer, text_slices
 from barspark.session import materialize
 
 MAGIC = b"BPK1"
@@ -33,6 +34,8 @@ HEAD = "<4sIQQII"
 BLOCK_IDS = 4096
 #: Ids after which a file is closed (a document is never split, so a longer one makes a longer file).
 FILE_IDS = 1 << 20
+#: Words, and words of letters, whose ids a worker keeps (about 100 bytes each).
+KEPT_WORDS = 450_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -98,68 +101,106 @@ class BlockFile:
         return self.ids(int(self.doc_starts[i]), int(self.doc_starts[i + 1]))
 
 
-def encode_documents(docs: DataFrame, load: Callable[[], object], vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n, ids`` (binary, unsigned 32-bit) of whole texts by a tokenizer that treats words apart.
+def encode_documents(
+    docs: DataFrame, load: Callable[[], Callable[[list[str]], list[bytes]]], vocabulary: str, size: int, end_id: int | None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``id, n, ids`` (packed to the width of ``size`` ids) of whole texts by a tokenizer that treats words apart.
 
-    ``vocabulary`` names what ``load()`` gives (workers keep it by that name): an object with ``encode_batch(list of words) -> list of id lists``; it must be
-    one that drops white space, so that a text's ids are its space-separated words' ids joined.  Each
-    worker keeps a bounded table of words, each encoded once while it is kept.  Null text has no ids
-    but ``end_id``, which closes each document when given.
+    ``vocabulary`` names what ``load()`` gives (workers keep it by that name): a function from a list
+    of words to each word's ids as bytes.  The tokenizer must drop white space, so that a text's ids
+    are its space-separated words' ids joined.  Each worker keeps a bounded table of words, each
+    encoded once while it is kept.  Null text has no ids but ``end_id``, which closes each document
+    when given.  Repeated rows are encoded each; an empty table gives no rows.
     """
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    bits = bits_for(size)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = kept_by_worker(("word ids", vocabulary), lambda: word_table(load))
         for part, texts in text_slices(batches, "t"):
             words = [t.replace("\n", " ").split(" ") for t in texts]
-            flat = [w for ws in words for w in ws]
-            rows = table.rows(flat).tolist()
-            values, at, out = table.values, 0, []
+            values = table.get([w for ws in words for w in ws])
+            at, n, out = 0, [], []
             for ws in words:
-                out.append(b"".join([values[r] for r in rows[at : at + len(ws)]]) + end)
+                ids = np.frombuffer(b"".join(values[at : at + len(ws)]) + end, "<u4")
                 at += len(ws)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(b) // 4 for b in out], pa.int64()), pa.array(out, pa.binary())], names=["id", "n", "ids"]
-            )
+                n.append(ids.size)
+                out.append(pack_bits(ids, bits))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(out, pa.binary())], names=["id", "n", "ids"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(
         run, "id bigint, n bigint, ids binary"
     )
 
 
-def word_table(load: Callable[[], object]) -> WordTable:
-    """A table of word -> id bytes (unsigned 32-bit) for a tokenizer."""
-    tok = load()
-    return WordTable(lambda words: [np.array(i, "<u4").tobytes() for i in tok.encode_batch(words)])
+class WordEnds:
+    """Ids of single words from a tokenizer file whose pieces mark the end of a word.
+
+    Most words are plain letters with some marks after them.  Their letters, lower-cased, are joined to
+    lines that the library encodes at once, and cut again at the word-end pieces (one per word of letters);
+    marks are encoded once each.  All other words go through the library one by one.
+    """
+
+    #: Letters of Latin-1 and marks that end no contraction: between the two a pre-token always ends.
+    PLAIN = "([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|#%*&$]*)"
+    LINE = 512
+
+    def __init__(self, path: str):
+        self.tok = library_tokenizer(path)
+        suffix = self.tok.model.end_of_word_suffix
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends[[i for p, i in vocab.items() if suffix and p.endswith(suffix)]] = True
+        self.cores = WordTable(self.letters, KEPT_WORDS)
+        self.marks = WordTable(lambda words: library_ids(self.tok, words))
+
+    def letters(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for a in range(0, len(words), self.LINE):
+            own = words[a : a + self.LINE]
+            ids = np.array(self.tok.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(own) and cuts[-1] == ids.size:
+                raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                out += [raw[x:y] for x, y in zip(at, at[1:])]
+            else:
+                out += library_ids(self.tok, own)
+        return out
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        found = list(map(re.compile(self.PLAIN).fullmatch, words))
+        cores = iter(self.cores.get([m[1].lower() for m in found if m]))
+        marks = iter(self.marks.get([m[2] for m in found if m]))
+        rest = iter(library_ids(self.tok, [w for w, m in zip(words, found) if not m]))
+        return [next(cores) + next(marks) if m else next(rest) for m in found]
+
+
+def word_table(load: Callable[[], Callable[[list[str]], list[bytes]]]) -> WordTable:
+    """A table of word -> id bytes (unsigned 32-bit)."""
+    return WordTable(load(), KEPT_WORDS)
 
 
 def write_blocks(encoded: DataFrame, vocabulary: int, name: str = "token_blocks", file_ids: int = FILE_IDS) -> DataFrame:
-    """Write ``id, n, ids`` rows in ascending id order as block files; returns the written table.
+    """Write ``encode_documents`` rows in ascending id order as block files; returns the written table.
 
-    The rows are packed to the vocabulary's bits before they are range-partitioned by id (null ids
-    first, repeated ids ordered by their content); each partition is one shard and writes files of
-    about ``file_ids`` ids.  ``shard`` and ``seq`` give the global order.  An empty table gives no files.
+    The packed rows are written once, then range-partitioned by id (null ids first, repeated ids ordered
+    by their content); each partition is one shard and writes files of about ``file_ids`` ids.  ``shard`` and ``before`` (ids of the shard's earlier files) give the global order.
+    An empty table gives no files.
     """
     bits = bits_for(vocabulary)
     parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [pack_bits(np.frombuffer(b, "<u4"), bits) for b in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["id", "n", "ids"])
-
     def files(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: list[np.ndarray] = []
         ids: list[int | None] = []
-        held, seq = 0, 0
+        held, before = 0, 0
 
         def close():
-            nonlocal docs, ids, held, seq
-            raw = write_file(docs, bits)
-            row = [[seq], [ids], [[d.size for d in docs]], [held], [raw]]
-            docs, ids, held, seq = [], [], 0, seq + 1
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)], names=["seq", "doc_ids", "sizes", "n_ids", "blob"])
+            nonlocal docs, ids, held, before
+            row = [[before], [ids], [held], [write_file(docs, bits)]]
+            docs, ids, held, before = [], [], 0, before + held
+            types = [pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)], names=["before", "doc_ids", "n_ids", "blob"])
 
         for batch in batches:
             for i, n, raw in zip(*(batch.column(k).to_pylist() for k in range(3))):
@@ -171,27 +212,23 @@ def write_blocks(encoded: DataFrame, vocabulary: int, name: str = "token_blocks"
         if docs:
             yield close()
 
-    staged = materialize(encoded.mapInArrow(narrow, "id bigint, n bigint, ids binary"), f"{name}_ids")
+    staged = materialize(encoded, f"{name}_ids")
     placed = staged.repartitionByRange(parts, "id", "n").sortWithinPartitions("id", "n", "ids")
-    written = placed.mapInArrow(files, "seq bigint, doc_ids array<bigint>, sizes array<bigint>, n_ids bigint, blob binary")
+    written = placed.mapInArrow(files, "before bigint, doc_ids array<bigint>, n_ids bigint, blob binary")
     return materialize(written.withColumn("shard", F.spark_partition_id()), name)
 
 
 def read_blocks(files: DataFrame) -> DataFrame:
     """``id, start, n, ids_crc32`` of every document, unpacked from the files.
 
-    ``start`` counts the ids of all documents before it.  Per-shard totals (one number a shard)
-    come to the driver to place the shards; files are placed inside their shard by their sizes.
+    ``start`` counts the ids of all documents before it: those of the shards before (per-shard totals, one
+    number a shard, come to the driver), of the shard's files before, and of the file's documents before.
     """
-    from pyspark.sql import Window
-
     totals = dict(files.groupBy("shard").agg(F.sum("n_ids")).collect())
     starts, at = {}, 0
     for s in sorted(totals):
         starts[s], at = at, at + totals[s]
-    order = Window.partitionBy("shard").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    before = files.select("shard", "seq", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("before"))
-    placed = files.join(before, ["shard", "seq"]).select("shard", "before", "doc_ids", "blob")
+    placed = files.select("shard", "before", "doc_ids", "blob")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
