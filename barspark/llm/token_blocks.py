@@ -35,7 +35,7 @@ BLOCK_IDS = 4096
 #: Ids after which a file is closed (a document is never split, so a longer one makes a longer file).
 FILE_IDS = 1 << 20
 #: Words, and words of letters, whose ids a worker keeps (about 100 bytes each).
-KEPT_WORDS = 450_000
+KEPT_WORDS = 200_000
 
 
 def bits_for(vocabulary: int) -> int:
