@@ -4,7 +4,8 @@ Documents fall into cells (source, language, topic).  Raking scales the cells' t
 the margins of all three dimensions meet their targets; the scale of a cell is a product of one factor per
 category.  Documents are then sampled by calibrated probabilities: a document's chance is its cell's
 scale over one rate (1 at most), so the expected tokens of the sample have the target margins but for a
-small trimmed share, and as many tokens as that allows.  The draw is a hash of id and text: repeatable, and blind to the
+small trimmed share, and as many tokens as that allows.  No category falls short of its own target by more
+than ``SHORT`` of it; the margins reached are logged (``margins`` returns them).  The draw is a hash of id and text: repeatable, and blind to the
 order of the rows.
 
 Targets are dictionaries given by the caller; categories they don't name (and null) share the class
@@ -14,7 +15,8 @@ prod(len(targets) + 1) cells whatever the data, and this table is what the drive
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import logging
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -26,9 +28,14 @@ SWEEPS = 200
 TOLERANCE = 1e-12
 #: Share of the wanted tokens that cells of the largest scales may fall short of.
 TRIM = 0.05
+#: Share of its own target that any one category may fall short of by the trim.
+SHORT = 0.05
 #: Largest number of cells the targets may span (a check of the caller's parameter, not of the data).
 MAX_CELLS = 100_000
 
+DIMENSIONS = ("source", "lang", "topic")
+_LOG = logging.getLogger(__name__)
+
 #: Topics by the style of the whole text; the first rule that holds names it.
 TOPICS = ("clauses", "terse", "lines", "plain")
 
@@ -76,13 +83,16 @@ class Raked:
     scale: np.ndarray
     sweeps: int
     error: float
+    targets: list[dict[str, float]] = field(default_factory=list)
 
-    def probability(self, trim: float = TRIM) -> np.ndarray:
+    def probability(self, trim: float = TRIM, short: float | None = None) -> np.ndarray:
         """Chance of a document of each cell: its scale over a rate, 1 at most.
 
         The rate is the smallest scale beyond which cells stand for no more than ``trim`` of the wanted
         tokens.  So all margins are met but for that share, and a rare category with a large
-        target (which no sample of distinct documents can meet) doesn't thin out all the others.
+        target (which no sample of distinct documents can meet) doesn't thin out all the others.  With
+        ``short`` the rate is also no smaller than it takes for every category to keep all but that share of its
+        own wanted tokens: then a rare category does thin out the others, as its target asks.
         """
         if not self.scale.size or not self.scale.max() > 0:
             return np.zeros(self.scale.size)
@@ -91,8 +101,36 @@ class Raked:
         above = np.cumsum(wanted) - wanted  # of the cells with a larger scale
         total = wanted.sum()
         rate = self.scale[order][above <= trim * total][-1] if total > 0 else self.scale.max()
+        if short is not None:
+            rate = max([rate, *(_least_rate(self.tokens[m], self.scale[m], short) for *_, m in self._categories())])
         return np.minimum(1.0, self.scale / rate) if rate > 0 else np.zeros(self.scale.size)
 
+    def _categories(self) -> list[tuple[int, str, np.ndarray]]:
+        """Dimension, name and mask of every category that the cells or the targets name."""
+        names = [sorted({c[d] for c in self.cells} | set(t)) for d, t in enumerate(self.targets)]
+        return [(d, n, np.array([c[d] == n for c in self.cells], bool)) for d, own in enumerate(names) for n in own]
+
+    def margins(self, p: np.ndarray) -> list[tuple[int, str, float, float, float]]:
+        """Dimension, category, target, share of the category in the table and expected share in a sample drawn by ``p``."""
+        drawn = self.tokens * p
+        return [
+            (d, n, self.targets[d].get(n, 0.0), *(float(t[m].sum() / t.sum()) if t.sum() > 0 else 0.0 for t in (self.tokens, drawn)))
+            for d, n, m in self._categories()
+        ]
+
+
+def _least_rate(tokens: np.ndarray, scale: np.ndarray, short: float) -> float:
+    """Smallest rate at which these cells keep ``1 - short`` of their wanted tokens; a cell keeps tokens * min(rate, scale)."""
+    order = np.argsort(scale, kind="stable")
+    t, s = tokens[order], scale[order]
+    goal = (1 - short) * (t * s).sum()
+    if not goal > 0:
+        return 0.0
+    below = np.cumsum(t * s) - t * s  # of the cells with a smaller scale
+    rest = np.cumsum(t[::-1])[::-1]  # tokens of the others
+    k = min(int(np.searchsorted(np.maximum.accumulate(below + s * rest), goal)), s.size - 1)
+    return float((goal - below[k]) / rest[k]) if rest[k] > 0 else float(s[k])
+
 
 def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, targets: list[dict[str, float]], sweeps: int = SWEEPS) -> Raked:
     """Iterative proportional fitting of the cells' tokens to the targets of each dimension.
@@ -105,7 +143,7 @@ def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, targets: list[dict[st
     scale = np.ones(tokens.size)
     total = tokens.sum()
     if not tokens.size or total <= 0:
-        return Raked(cells, tokens, scale, 0, 0.0)
+        return Raked(cells, tokens, scale, 0, 0.0, targets)
     keys, wanted = [], []
     for d, target in enumerate(targets):
         names = sorted({c[d] for c in cells})
@@ -128,7 +166,7 @@ def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, targets: list[dict[st
         weight = tokens * scale
         error = max(float(np.abs(np.bincount(i, weight, len(w)) / weight.sum() - w).max()) for i, w in zip(keys, wanted))
         done += 1
-    return Raked(cells, tokens, scale / scale.max(), done, error)
+    return Raked(cells, tokens, scale / scale.max(), done, error, targets)
 
 
 def cell_weights(docs: DataFrame, columns: list[Column], targets: list[dict[str, float]], tokens: Column) -> Raked:
@@ -150,7 +188,7 @@ def with_probability(docs: DataFrame, columns: list[Column], targets: list[dict[
     spark = docs.sparkSession
     names = [f"{prefix}k{i}" for i in range(len(columns))]
     fields = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(f"{prefix}c", T.DoubleType())])
-    cells = spark.createDataFrame([(*c, p) for c, p in zip(raked.cells, raked.probability().tolist())], fields)
+    cells = spark.createDataFrame([(*c, p) for c, p in zip(raked.cells, raked.probability(TRIM, SHORT).tolist())], fields)
     text = F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("")) for c in draw])
     uniform = F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("double") / float(1 << 52)
     keyed = docs.select("*", *[classed(c, t).alias(n) for n, c, t in zip(names, columns, targets)], uniform.alias(f"{prefix}u"))
@@ -176,8 +214,31 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "so
 
 def _plan(rows: DataFrame, targets: dict[str, dict[str, float]]) -> tuple[list[Column], list[dict[str, float]], Raked]:
     columns = [F.col("s"), F.col("l"), topic_of(F.col("t"))]
-    want = [targets.get(k, {}) for k in ("source", "lang", "topic")]
-    return columns, want, cell_weights(rows, columns, want, tokens_of(F.col("t")))
+    want = [targets.get(k, {}) for k in DIMENSIONS]
+    raked = cell_weights(rows, columns, want, tokens_of(F.col("t")))
+    _report(raked)
+    return columns, want, raked
+
+
+def _report(raked: Raked) -> None:
+    """Logs the margins reached; a target missed by more than ``SHORT`` of it, or raking that did not settle, is a warning."""
+    if raked.error > TOLERANCE:
+        _LOG.warning("raking: margins off by up to %.3g after %d sweeps: the targets contradict each other or need more sweeps", raked.error, raked.sweeps)
+    for d, name, target, held, reached in raked.margins(raked.probability(TRIM, SHORT)):
+        level = logging.WARNING if raked.cells and reached < (1 - SHORT) * target - 1e-9 else logging.INFO
+        _LOG.log(level, "mix: %s %r: target %.4f, in the table %.4f, reached %.4f", DIMENSIONS[d], name, target, held, reached)
+
+
+def margins(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text") -> DataFrame:
+    """Target, share in the table and expected share in the sample of every category, and the raking's error.
+
+    Columns: ``dimension, category, target, held, reached, error``; one row a category, present or only
+    named.  A category without tokens can't be met: it has ``reached`` 0, and the others share its target.
+    """
+    rows = docs.select(F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"))
+    raked = _plan(rows, targets)[2]
+    found = [(DIMENSIONS[d], *rest, raked.error) for d, *rest in raked.margins(raked.probability(TRIM, SHORT))]
+    return docs.sparkSession.createDataFrame(found, "dimension string, category string, target double, held double, reached double, error double")
 
 
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -387,3 +387,47 @@ def test_probabilities_are_kept_in_the_long_run(spark):
     share = out.agg(F.avg((F.col("source") == "a").cast("double"))).first()[0]
     assert share == pytest.approx(0.5, abs=0.02)
 
+
+def skewed(spark):
+    """A table with a third of the rows in src0 and a rare src1, in four languages and topics."""
+    topic = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4))
+    text = F.when(topic == 0, "one, two, three, four").when(topic == 1, "One. Two. Three four").when(topic == 2, "one two\nthree\nfour").otherwise("one two three four")
+    u = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1000))
+    source = F.when(u < 340, "src0").when(u < 342, "src1").otherwise(F.concat(F.lit("src"), 2 + u % 18))
+    lang = F.element_at(F.array(*map(F.lit, ["en", "de", "fr", "es"])), (F.pmod(F.xxhash64("id", F.lit(3)), F.lit(4)) + 1).cast("int"))
+    return spark.range(40_000).select(F.col("id").alias("doc_id"), text.alias("text"), source.alias("source"), lang.alias("lang"))
+
+
+def test_rare_source_keeps_its_target_at_the_production_trim(spark):
+    docs = skewed(spark)
+    out = mixing.mix(docs, queries.MIX)
+    expected = F.sum(F.col("tokens") * F.col("probability"))
+    for dimension in mixing.DIMENSIONS:
+        got = {r[0]: r[1] for r in out.groupBy(dimension).agg(expected.alias("n")).collect()}
+        named = {k: v / sum(queries.MIX[dimension].values()) for k, v in queries.MIX[dimension].items()}
+        assert all(got[k] / sum(got.values()) >= (1 - mixing.SHORT) * v for k, v in named.items()), (dimension, got)
+    told = {(r.dimension, r.category): r for r in mixing.margins(docs, queries.MIX).collect()}
+    rare = told["source", "src1"]
+    assert rare.target == 0.0495 and rare.held < 0.005 and 0.95 * 0.05 <= rare.reached <= 0.05 and rare.error <= mixing.TOLERANCE
+
+
+def test_least_rate_is_exact_and_leaves_given_rates_alone():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        tokens, scale, short = rng.integers(1, 99, 7).astype(float), rng.random(7), rng.random() / 2
+        rate = mixing._least_rate(tokens, scale, short)
+        assert (tokens * np.minimum(rate, scale)).sum() == pytest.approx((1 - short) * (tokens * scale).sum())
+    cells, tokens = [(a, b) for a in "xy" for b in "pq"], np.array([90.0, 100, 110, 100])
+    raked = mixing.rake(cells, tokens, [{"x": 0.5, "y": 0.5}, {"p": 0.5, "q": 0.5}])
+    assert (raked.probability(0.0) == raked.probability(0.0, mixing.SHORT)).all()
+
+
+def test_missed_targets_are_reported(spark, caplog):
+    rows = spark.createDataFrame([(1, "some text", "a", "en"), (2, "more text", "b", "de")], "doc_id int, text string, source string, lang string")
+    with caplog.at_level("WARNING"):
+        mixing.mix(rows, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "de": 0.9}})
+    assert "margins off by" in caplog.text and "target 0.9000" in caplog.text
+    caplog.clear()
+    with caplog.at_level("WARNING"):
+        mixing.sample(rows, {"source": {"a": 0.5, "gone": 0.5}, "lang": {"en": 0.5, "de": 0.5}})
+    assert "'gone': target 0.5000" in caplog.text
