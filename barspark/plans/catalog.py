@@ -572,19 +572,33 @@ def q_engineered_run(spark, sf):
 CHAMPION_RUNS = ("2024-04-20", "2024-04-25")
 
 
-def q_champion_scoring(spark, sf):
-    """M6 twice (the second may or may not be promoted) -> C4 champion -> J5 + D1 scoring of the tickers in the
-    prediction log: every requested ticker once, answered or refused."""
+def _champion_scored(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """M6 twice (the second may or may not be promoted) -> C4 champion -> J5 + D1 scoring of the prediction log,
+    each of its rows a request: (responses, errors)."""
     bars, root = _bars(spark, sf), fsutil.scratch(spark, "registry")
     for run_date in CHAMPION_RUNS:
         jobs.run_dated(spark, bars, root, run_date)
     model, version = jobs.load_champion(spark, root)
     stats = store.load_training_stats(spark, root, ENGINEERED_V2)
-    out, errors = scoring.score_requests(_log(spark, sf, bars).select(TICKER).distinct(), bars, model, version, stats)
+    return scoring.score_requests(_log(spark, sf, bars), bars, model, version, stats)
+
+
+def q_champion_scores(spark, sf):
+    """Every row of the prediction log as a request, with its own columns, its status and its scores (no oracle)."""
+    out, errors = _champion_scored(spark, sf)
+    answered = out.drop(*ENGINEERED_V2.feature_names, "feature_set").withColumn("status", F.lit("ok"))
+    return answered.unionByName(errors, allowMissingColumns=True)
+
+
+def q_champion_scoring(spark, sf):
+    """The same requests by ticker, as far as can be worked out exactly: each requested ticker once, answered or
+    refused, and whether the scores of all its requests lie where they must."""
+    out, errors = _champion_scored(spark, sf)
     fits = _in_unit("probability") & F.col("direction").isin("UP", "DOWN") & F.col("model_version").isin("1", "2")
-    answered = out.select(TICKER, F.lit("ok").alias("status"), "prediction_date", (fits & F.col("drift_detected").isNotNull()).alias("in_range"))
-    refused = errors.select(TICKER, "status", F.lit(None).cast("string").alias("prediction_date"), F.lit(None).cast("boolean").alias("in_range"))
-    return answered.unionByName(refused)
+    fits = F.coalesce(fits & F.col("drift_detected").isNotNull(), F.lit(False))
+    answered = out.groupBy(TICKER, F.lit("ok").alias("status"), "prediction_date").agg(F.bool_and(fits).alias("in_range"))
+    refused = errors.select(TICKER, "status").distinct()
+    return answered.unionByName(refused, allowMissingColumns=True)
 
 
 QUERIES: dict[str, Query] = {
@@ -653,6 +667,7 @@ QUERIES: dict[str, Query] = {
     "baseline_run": q_baseline_run,
     "engineered_run": q_engineered_run,
     "champion_scoring": q_champion_scoring,
+    "champion_scores": q_champion_scores,
 }
 
 

@@ -27,6 +27,21 @@ def request_status(requests: DataFrame, bars: DataFrame) -> DataFrame:
     )
 
 
+def _request_names(columns: list[str], taken: list[str]) -> dict[str, str]:
+    """Names of the requests' own columns in the result: ``request_`` before those the result has itself."""
+    used = {c.lower() for c in [*columns, *taken]}
+    out = {}
+    for c in columns:
+        name = c
+        if c.lower() in {t.lower() for t in taken}:
+            name = f"request_{c}"
+            while name.lower() in used:
+                name = f"request_{name}"
+            used.add(name.lower())
+        out[c] = name
+    return out
+
+
 def score_requests(
     requests: DataFrame,
     bars: DataFrame,
@@ -35,12 +50,18 @@ def score_requests(
     stats: DataFrame | None,
     fs: FeatureSet = ENGINEERED_V2,
 ) -> tuple[DataFrame, DataFrame]:
-    """(responses, errors): every request row comes out once, with its own columns.
+    """(responses, errors): every request row comes out once, with its own columns; those named like a
+    column of the responses or errors (a logged ``prediction_date``, ``probability``) are called ``request_...``.
 
     A request whose ticker has no bars is ``unknown_ticker``; one with too few bars for a full vector is
     ``short_history``; all others are answered: online vector -> model -> drift.
     """
-    extra = [c for c in requests.columns if c != TICKER]
+    answers = ["status", "prediction_date", *fs.feature_names, "direction", "probability", "model_version", "feature_set"]
+    names = _request_names([c for c in requests.columns if c != TICKER], [*answers, "drifted_features", "drift_detected"])
+    # scored under names that neither the vectors nor the model use
+    own = {c: f"_request_{i}" for i, c in enumerate(names)}
+    requests = requests.select(TICKER, *[F.col(f"`{c}`").alias(o) for c, o in own.items()])
+    extra = [F.col(o).alias(names[c]) for c, o in own.items()]
     asked = requests.select(TICKER).distinct()
     known = bars.join(asked, TICKER, "left_semi")
     vectors = latest_features(known, fs)
