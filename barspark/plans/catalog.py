@@ -509,8 +509,9 @@ def q_stream_features(spark, sf):
     return r6(out, ENGINEERED_V2.feature_names)
 
 
-# The model's scores are MLlib's own; the queries below return what can be worked out exactly (rows, counts,
-# balance, fingerprint, split) and whether the scores lie where they must.
+# The model's scores are MLlib's own.  Each job has two queries: one returns its scores or metrics as they are (no
+# oracle), one what can be worked out exactly (rows, counts, balance, fingerprint, split) and whether the scores
+# lie where they must.
 
 
 def _fitted(spark, sf):
@@ -525,25 +526,37 @@ def _in_unit(*cols: str):
     return ok
 
 
-def q_gbt_metrics(spark, sf):
+def q_gbt_metric_values(spark, sf):
+    """M3: all metrics of the fitted model on the test rows."""
     model, test = _fitted(spark, sf)
-    m = jobs.evaluate(model, test)
+    return jobs.evaluate(model, test)
+
+
+def q_gbt_metrics(spark, sf):
+    m = q_gbt_metric_values(spark, sf)
     names = ("accuracy", "precision_class1", "recall_class1", "f1_class1", "roc_auc")
     return m.select(F.round("label_balance", 6).alias("label_balance"), _in_unit(*names).alias("in_range"))
 
 
-def q_batch_predictions(spark, sf):
+def q_batch_prediction_scores(spark, sf):
+    """M2: class and probability of every test row, beside its label."""
     model, test = _fitted(spark, sf)
-    scored = jobs.predict(model, test)
+    return jobs.predict(model, test).select(TICKER, DATE, "label", "prediction", "probability")
+
+
+def q_batch_predictions(spark, sf):
+    scored = q_batch_prediction_scores(spark, sf)
     fits = (F.col("prediction") == (F.col("probability") > 0.5).cast("int")) & _in_unit("probability")
     return scored.select(TICKER, DATE, fits.alias("in_range"))
 
 
+RUN_METRICS = ("accuracy", "roc_auc", "f1_class1")
+
+
 def _run_rows(spark, root, model: str) -> DataFrame:
     """The stored runs of a model: logged parameters and metrics."""
     runs = jobs.read_runs(spark, root).where(F.col("model") == model)
     m = F.col("metrics")
-    names = ("accuracy", "roc_auc", "f1_class1")
     return runs.select(
         "run_seq",
         F.round(m["label_balance"], 6).alias("label_balance"),
@@ -553,22 +566,34 @@ def _run_rows(spark, root, model: str) -> DataFrame:
         F.col("params")["train_rows"].alias("train_rows"),
         F.col("params")["test_rows"].alias("test_rows"),
         F.col("params")["n_estimators"].alias("n_estimators"),
-        *[m[n].alias(n) for n in names],
-    ).withColumn("in_range", _in_unit(*names)).drop(*names)
+        *[m[n].alias(n) for n in RUN_METRICS],
+    )
 
 
-def q_baseline_run(spark, sf):
+def _checkable(runs: DataFrame) -> DataFrame:
+    return runs.withColumn("in_range", _in_unit(*RUN_METRICS)).drop(*RUN_METRICS)
+
+
+def q_baseline_run_metrics(spark, sf):
     root = fsutil.scratch(spark, "runs")
     jobs.run_baseline(spark, _bars(spark, sf), root, SPLIT_DATE)
     return _run_rows(spark, root, jobs.BASELINE_MODEL_NAME).drop("train_data_fingerprint", "train_rows", "test_rows")
 
 
-def q_engineered_run(spark, sf):
+def q_baseline_run(spark, sf):
+    return _checkable(q_baseline_run_metrics(spark, sf))
+
+
+def q_engineered_run_metrics(spark, sf):
     root = fsutil.scratch(spark, "runs")
     jobs.run_engineered(spark, _bars(spark, sf), root, SPLIT_DATE)
     return _run_rows(spark, root, jobs.MODEL_NAME)
 
 
+def q_engineered_run(spark, sf):
+    return _checkable(q_engineered_run_metrics(spark, sf))
+
+
 CHAMPION_RUNS = ("2024-04-20", "2024-04-25")
 
 
@@ -663,9 +688,13 @@ QUERIES: dict[str, Query] = {
     "stream_windows": q_stream_windows,
     "stream_features": q_stream_features,
     "gbt_metrics": q_gbt_metrics,
+    "gbt_metric_values": q_gbt_metric_values,
     "batch_predictions": q_batch_predictions,
+    "batch_prediction_scores": q_batch_prediction_scores,
     "baseline_run": q_baseline_run,
+    "baseline_run_metrics": q_baseline_run_metrics,
     "engineered_run": q_engineered_run,
+    "engineered_run_metrics": q_engineered_run_metrics,
     "champion_scoring": q_champion_scoring,
     "champion_scores": q_champion_scores,
 }

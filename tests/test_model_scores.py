@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from conftest import seasonal_bars, to_bars
+from oracle_check import canon, duck
 
 from barspark.plans import catalog, scoring
 from barspark.plans import training_jobs as J
@@ -54,3 +55,41 @@ def test_every_logged_row_is_scored_once(spark, few_trees, monkeypatch):
     small = catalog.q_champion_scoring(spark, SF).collect()
     assert {r[TICKER]: (r["status"], r["prediction_date"]) for r in small} == status and len(small) == len(status)
     assert all(r["in_range"] is (True if r["status"] == "ok" else None) for r in small)
+    want = duck(SF).execute(catalog.ORACLES["champion_scoring"]).df()
+    assert canon(catalog.q_champion_scoring(spark, SF).toPandas()) == canon(want)
+
+
+def by_hand(label, predicted, p) -> dict[str, float]:
+    tp = float(((label == 1) & (predicted == 1)).sum())
+    precision, recall = (tp / n if n else 0.0 for n in ((predicted == 1).sum(), (label == 1).sum()))
+    up, down = p[label == 1][:, None], p[label == 0][None, :]
+    return {
+        "accuracy": (label == predicted).mean(), "precision_class1": precision, "recall_class1": recall,
+        "f1_class1": 2 * precision * recall / (precision + recall) if precision + recall else 0.0,
+        "roc_auc": ((up > down) + 0.5 * (up == down)).mean(), "label_balance": label.mean(),
+    }
+
+
+def test_metrics_follow_from_the_returned_predictions(spark, few_trees, monkeypatch):
+    fitted = catalog._fitted(spark, SF)
+    monkeypatch.setattr(catalog, "_fitted", lambda *_: fitted)
+    rows = catalog.QUERIES["batch_prediction_scores"](spark, SF).toPandas()
+    assert len(rows) == fitted[1].count() and ((rows["probability"] > 0.5) == (rows["prediction"] == 1)).all()
+    assert rows["probability"].nunique() > 1  # a model that always says the same isn't fitted
+    metrics = catalog.QUERIES["gbt_metric_values"](spark, SF).first().asDict()
+    want = by_hand(*(rows[c].to_numpy(float) for c in ("label", "prediction", "probability")))
+    assert {k: metrics[k] for k in want} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("name", ["baseline_run", "engineered_run"])
+def test_runs_hold_the_metrics_of_their_model(spark, few_trees, monkeypatch, name):
+    seen, evaluate = [], J.evaluate
+
+    def recorded(model, test):
+        scored = J.predict(model, test).select("label", "prediction", "probability").toPandas()
+        seen.append(by_hand(*(scored[c].to_numpy(float) for c in scored)))
+        return evaluate(model, test)
+
+    monkeypatch.setattr(J, "evaluate", recorded)
+    (run,) = catalog.QUERIES[f"{name}_metrics"](spark, SF).collect()
+    assert {n: run[n] for n in catalog.RUN_METRICS} == pytest.approx({n: seen[0][n] for n in catalog.RUN_METRICS})
