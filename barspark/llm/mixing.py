@@ -59,7 +59,9 @@ def topic_of(text: Column) -> Column:
 
 
 def tokens_of(text: Column) -> Column:
-    """Token weight of a text: its UTF-8 bytes over four, rounded up (null: 0)."""
+    """Token weight of a text: its UTF-8 bytes over four, rounded up (null: 0).
+
+    A stand-in: languages and topics with more tokens a byte get more real tokens than their target."""
     return F.ceil(F.octet_length(F.coalesce(text, F.lit(""))) / 4).cast("bigint")
 
 
@@ -195,27 +197,33 @@ def with_probability(docs: DataFrame, columns: list[Column], targets: list[dict[
     return keyed.join(F.broadcast(cells), names, "left").withColumn(f"{prefix}p", F.coalesce(f"{prefix}c", F.lit(0.0)))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id", tokens: str | None = None) -> DataFrame:
     """Every document with its cell, token weight, probability and whether it is drawn, and nothing dropped.
 
-    ``targets`` has ``source``, ``lang`` and ``topic`` dictionaries.  Columns: ``id, source, lang, topic,
+    ``targets`` has ``source``, ``lang`` and ``topic`` dictionaries.  ``tokens`` names a column of token counts
+    (null: 0); without it the weight is :func:`tokens_of` the text, which counts bytes.  Columns: ``id, source, lang, topic,
     tokens, probability, kept``.  Null source or language counts as ``OTHER``; documents without text
     weigh 0 tokens and are drawn by their cell's chance.  Repeated rows share one draw; an empty
     table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"), _weight(text, tokens))
     columns, want, raked = _plan(rows, targets)
     out = with_probability(rows, columns, want, raked, [F.col("id"), F.md5(F.coalesce("t", F.lit("")))])
     return out.select(
-        "id", F.col("_mix_k0").alias("source"), F.col("_mix_k1").alias("lang"), F.col("_mix_k2").alias("topic"), tokens_of(F.col("t")).alias("tokens"),
+        "id", F.col("_mix_k0").alias("source"), F.col("_mix_k1").alias("lang"), F.col("_mix_k2").alias("topic"), F.col("n").alias("tokens"),
         F.col("_mix_p").alias("probability"), (F.col("_mix_u") < F.col("_mix_p")).alias("kept"),
     )
 
 
+def _weight(text: str, tokens: str | None) -> Column:
+    given = tokens_of(F.col(text).cast("string")) if tokens is None else F.coalesce(F.col(tokens).cast("bigint"), F.lit(0))
+    return given.alias("n")
+
+
 def _plan(rows: DataFrame, targets: dict[str, dict[str, float]]) -> tuple[list[Column], list[dict[str, float]], Raked]:
     columns = [F.col("s"), F.col("l"), topic_of(F.col("t"))]
     want = [targets.get(k, {}) for k in DIMENSIONS]
-    raked = cell_weights(rows, columns, want, tokens_of(F.col("t")))
+    raked = cell_weights(rows, columns, want, F.col("n"))
     _report(raked)
     return columns, want, raked
 
@@ -229,23 +237,23 @@ def _report(raked: Raked) -> None:
         _LOG.log(level, "mix: %s %r: target %.4f, in the table %.4f, reached %.4f", DIMENSIONS[d], name, target, held, reached)
 
 
-def margins(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text") -> DataFrame:
+def margins(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", tokens: str | None = None) -> DataFrame:
     """Target, share in the table and expected share in the sample of every category, and the raking's error.
 
     Columns: ``dimension, category, target, held, reached, error``; one row a category, present or only
     named.  A category without tokens can't be met: it has ``reached`` 0, and the others share its target.
     """
-    rows = docs.select(F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"))
+    rows = docs.select(F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"), _weight(text, tokens))
     raked = _plan(rows, targets)[2]
     found = [(DIMENSIONS[d], *rest, raked.error) for d, *rest in raked.margins(raked.probability(TRIM, SHORT))]
     return docs.sparkSession.createDataFrame(found, "dimension string, category string, target double, held double, reached double, error double")
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id", tokens: str | None = None) -> DataFrame:
     """The drawn documents, all columns as they came."""
     own = [f"_c{i}" for i in range(len(docs.columns))]
-    at = {c: own[docs.columns.index(c)] for c in (source, lang, text, id_col)}
-    rows = docs.toDF(*own).select("*", F.col(at[source]).cast("string").alias("s"), F.col(at[lang]).cast("string").alias("l"), F.col(at[text]).cast("string").alias("t"))
+    at = {c: own[docs.columns.index(c)] for c in (source, lang, text, id_col, tokens) if c is not None}
+    rows = docs.toDF(*own).select("*", F.col(at[source]).cast("string").alias("s"), F.col(at[lang]).cast("string").alias("l"), F.col(at[text]).cast("string").alias("t"), _weight(at[text], at.get(tokens)))
     columns, want, raked = _plan(rows, targets)
     out = with_probability(rows, columns, want, raked, [F.col(at[id_col]), F.md5(F.coalesce("t", F.lit("")))])
     return out.filter(F.col("_mix_u") < F.col("_mix_p")).select(*own).toDF(*docs.columns)

@@ -431,3 +431,17 @@ def test_missed_targets_are_reported(spark, caplog):
     with caplog.at_level("WARNING"):
         mixing.sample(rows, {"source": {"a": 0.5, "gone": 0.5}, "lang": {"en": 0.5, "de": 0.5}})
     assert "'gone': target 0.5000" in caplog.text
+
+
+def test_mix_rakes_given_token_counts(spark):
+    count = F.when(F.col("lang") == "es", 9).when(F.col("lang") == "de", 5).otherwise(4)
+    docs = skewed(spark).withColumn("n_tokens", count)
+    out = mixing.mix(docs, queries.MIX, tokens="n_tokens")
+    got = {r.lang: r.n for r in out.groupBy("lang").agg(F.sum(F.col("tokens") * F.col("probability")).alias("n")).collect()}
+    assert out.filter("tokens not in (4, 5, 9)").count() == 0
+    for lang, share in queries.MIX["lang"].items():
+        assert got[lang] / sum(got.values()) == pytest.approx(share / 0.99, rel=0.06), lang
+    kept = mixing.sample(docs, queries.MIX, tokens="n_tokens")
+    assert kept.columns == docs.columns and kept.count() == out.filter("kept").count()
+    told = {r.category: r.reached for r in mixing.margins(docs, queries.MIX, tokens="n_tokens").filter("dimension = 'lang'").collect()}
+    assert all(told[k] == pytest.approx(v / sum(got.values())) for k, v in got.items())
