@@ -9,7 +9,8 @@ compares the full normalised text (it is a grouping key beside the digest):
    the copies of a hot text spread over ``salts`` reducers;
 3. *global*: the salt winners (at most ``salts`` rows a text) are combined by (digest, text).
 
-The members then look up their winner by (digest, second hash, length); the side that is looked up
+The members then look up their winner by (digest, second hash, length): the text is no longer there, so this last
+step rests on SHA-256, XXH64 and length together, and texts agreeing in all three would multiply rows.  The side that is looked up
 has one row a text and a member row stands for a whole local group, so no key is hot.
 """
 
@@ -65,7 +66,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``keep_id`` and keeps its rows.  Rows repeated with the same id and text are rows of their own and
     all carry ``kept`` (``drop_duplicates`` keeps one).  An empty table gives no rows; other columns
     are ignored.  ``digest_chars`` below 64 truncates the digest (tests force collisions with it);
-    results do not change, as full texts are compared.
+    results do not change, as full texts are compared and the winner's look-up has XXH64 and length beside it.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("t"))
     full = rows.mapInArrow(_local_groups(True, digest_chars), _LOCAL + ", norm string").drop("ids")
