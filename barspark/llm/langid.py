@@ -17,6 +17,7 @@ may travel with the tasks.  Scoring covers every row.
 
 from __future__ import annotations
 
+import logging
 import math
 import re
 import zlib
@@ -35,7 +36,9 @@ ORDER = 5
 SAMPLE = 400
 #: One in ``FOLDS`` sampled texts calibrates the rejection instead of training.
 FOLDS = 5
+#: Largest number of languages learnt (the most frequent labels).
 MAX_LANGUAGES = 256
+_LOG = logging.getLogger(__name__)
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Distinct characters the uniform base model spreads over.
@@ -250,16 +253,22 @@ def _calibrate(words: list[list[str]], model: CharModel) -> list[float]:
     return [float(max(foreign, mean.max() + max(0.5, 4 * mean.std()))), 4 * spread]
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, order: int = ORDER) -> LanguageModels:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, order: int = ORDER, max_languages: int = MAX_LANGUAGES) -> LanguageModels:
     """Models from a bounded sample of labelled texts; rows with a null label or text teach nothing.
 
     The ``sample`` texts a language with the smallest hash of their id are drawn (ties by id and text).
-    The ``MAX_LANGUAGES`` most frequent labels are learnt.  The n-grams of a language are counted
+    The ``max_languages`` most frequent labels are learnt (ties by name); documents of others go to one of these
+    or are rejected, and a warning tells how many labels and rows that concerns.  The n-grams of a language are counted
     from at most ``sample`` whole texts, by Spark as (language, word, count) and (fold texts).
     """
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t"))
     rows = rows.filter("lang is not null and t is not null")
-    top = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    labels = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    top = [r.lang for r in labels.limit(max_languages + 1).collect()]
+    if len(top) > max_languages:
+        top, more = top[:max_languages], top[max_languages]
+        left = labels.filter(~F.col("lang").isin(top)).agg(F.count("*").alias("labels"), F.sum("count").alias("rows")).first()
+        _LOG.warning("%d labels (%r first) on %d rows are not learnt: max_languages is %d", left.labels, more, left.rows, max_languages)
     draw = Window.partitionBy("lang").orderBy("h", "id", "c")
     keyed = rows.select("lang", "id", F.xxhash64("id").alias("h"), F.crc32(F.col("t").cast("binary")).alias("c"))
     drawn = keyed.filter(F.col("lang").isin(top)).withColumn("rn", F.row_number().over(draw)).filter(F.col("rn") <= sample)
@@ -295,7 +304,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         raw = [a.tobytes() for part in (model.grams, model.logp, model.contexts, model.backoff) for a in part]
         return pa.table({"lang": [lang], "limits": pa.array([_calibrate(list(held.values()), model)], pa.list_(pa.float64())), "arrays": pa.array([raw], pa.list_(pa.binary()))})
 
-    # One small group a language (the words of its sampled texts); at most MAX_LANGUAGES models return.
+    # One small group a language (the words of its sampled texts); at most max_languages models return.
     found = counted.groupBy("lang").applyInArrow(build, "lang string, limits array<double>, arrays array<binary>").orderBy("lang").collect()
     models = []
     for r in found:

@@ -445,3 +445,14 @@ def test_mix_rakes_given_token_counts(spark):
     assert kept.columns == docs.columns and kept.count() == out.filter("kept").count()
     told = {r.category: r.reached for r in mixing.margins(docs, queries.MIX, tokens="n_tokens").filter("dimension = 'lang'").collect()}
     assert all(told[k] == pytest.approx(v / sum(got.values())) for k, v in got.items())
+
+
+def test_labels_beyond_the_bound_are_reported(spark, caplog):
+    rows = [(i, f"word{'abc'[i % 3]} other words", lang) for i, lang in enumerate(["en"] * 6 + ["de"] * 5 + ["fr"] * 2 + ["es"])]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    with caplog.at_level("WARNING"):
+        assert langid.fit(docs, sample=5, max_languages=4).languages == ["de", "en", "es", "fr"]
+    assert not caplog.text
+    with caplog.at_level("WARNING"):
+        assert langid.fit(docs, sample=5, max_languages=2).languages == ["de", "en"]
+    assert "2 labels ('fr' first) on 3 rows are not learnt" in caplog.text
