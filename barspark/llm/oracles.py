@@ -55,3 +55,50 @@ drawn AS (SELECT keyed.*, least(1.0, coalesce(scale / rate, 0.0)) AS p,
   FROM keyed CROSS JOIN rate LEFT JOIN done ON done.k0 = keyed.k0 AND done.k1 = keyed.k1 AND done.k2 = keyed.k2)
 SELECT doc_id, k0 AS source, k1 AS lang, k2 AS topic, tokens, round(p, 6) AS probability, u < p AS kept FROM drawn
 """
+
+
+def gnat_codes(parts: int, entries: int, rounds: int, scale: int, dim: int = 64) -> str:
+    """Product codes by comparing every part with every entry (vectors of ``dim`` components, as the given tables hold)."""
+    width = dim // parts
+    apart = " + ".join(f"(p.x{j} - c.x{j}) * (p.x{j} - c.x{j})" for j in range(width))
+    xs = ", ".join(f"x{j}" for j in range(width))
+    ctes = [
+        "k AS (SELECT vec_id, label, embedding AS e FROM embeddings WHERE embedding IS NOT NULL "
+        "AND len([z FOR z IN embedding IF z IS NULL OR NOT isfinite(z)]) = 0)",
+        "p AS (SELECT vec_id, label, part, " + ", ".join(f"CAST(floor({scale} * CAST(e[part * {width} + {j + 1}] AS DOUBLE)) AS BIGINT) AS x{j}" for j in range(width))
+        + f" FROM k, (SELECT unnest(range({parts})) AS part))",
+        f"c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, {xs} FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT {entries}))",
+    ]
+    for r in range(rounds + 1):
+        ctes.append(
+            f"a{r} AS (SELECT p.vec_id, p.part, any_value(p.label) AS label, " + ", ".join(f"any_value(p.x{j}) AS x{j}" for j in range(width))
+            + f", min(({apart}) * 256 + c.entry) AS near FROM p JOIN c{r} c ON c.part = p.part GROUP BY p.vec_id, p.part)"
+        )
+        if r < rounds:
+            mean = ", ".join(f"coalesce(m.x{j}, c.x{j}) AS x{j}" for j in range(width))
+            floor = ", ".join(f"CAST((sum(x{j}) - ((sum(x{j}) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x{j}" for j in range(width))
+            ctes.append(f"m{r} AS (SELECT part, near % 256 AS entry, {floor} FROM a{r} GROUP BY ALL)")
+            ctes.append(f"c{r + 1} AS (SELECT c.part, c.entry, {mean} FROM c{r} c LEFT JOIN m{r} m ON m.part = c.part AND m.entry = c.entry)")
+    listed = " || ',' || ".join(f"x{j}" for j in range(width))
+    return (
+        f"WITH {', '.join(ctes)}, "
+        f"books AS (SELECT sha256(string_agg({listed}, ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds}), "
+        f"coded AS (SELECT vec_id, any_value(label) AS label, string_agg(lower(printf('%02x', near % 256)), '' ORDER BY part) AS code, CAST(sum(near // 256) AS BIGINT) AS error "
+        f"FROM a{rounds} GROUP BY vec_id) "
+        "SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books"
+    )
+
+
+def fim_frames(seed: int, rate: int = 100, spm: int = 50) -> str:
+    """Fill-in-middle on lists of lines."""
+    draws = ", ".join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{seed}:' || doc_id) AS h FROM documents),
+l AS (SELECT *, regexp_extract_all(t, '[^\\n]*\\n|[^\\n]+') AS lines, {draws} FROM d),
+c AS (SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a, greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= {rate} THEN 'plain' WHEN h4 % 100 < {spm} THEN 'spm' ELSE 'psm' END AS form FROM l),
+s AS (SELECT *, array_to_string(lines[1:a], '') AS p, array_to_string(lines[a + 1:b], '') AS m, array_to_string(lines[b + 1:n], '') AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM s
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.llm import ann, bpe_words, chat, exact_dedup, langid, mixing, oracles, shards, simhash, token_blocks, token_count
+from barspark.llm import ann, bpe_words, chat, exact_dedup, fim, langid, mixing, oracles, quality, shards, simhash, token_blocks, token_count, vector_codes
 
 BYTES = "byte_bpe_50k.json"
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -132,6 +132,35 @@ def op10_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id").withColumn("probability", F.round("probability", 6))
 
 
+CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE = 16, 64, 2, 256
+
+
+def op11_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole embedding as 16 codes of learnt codebooks, with its error and that of its label."""
+    out, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE)
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+FIM_SEED = 7
+
+
+def op12_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-middle form, from seekable compressed frames."""
+    out = fim.digests(fim.transform(fim.store(table(spark, sf_dir, "documents")), FIM_SEED))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+QUALITY_LIMIT = 0.3
+
+
+def op13_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; the trees learn from labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id")))
+    out = quality.score(docs, quality.fit(docs, labels))
+    return out.select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney_langid": op1_kneser_ney_langid,
     "op2_feistel_shards": op2_feistel_shards,
@@ -143,5 +172,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_blocks": op9_token_blocks,
     "op10_raked_mix": op10_raked_mix,
+    "op11_gnat_codes": op11_gnat_codes,
+    "op12_fim_frames": op12_fim_frames,
+    "op13_boosted_quality": op13_boosted_quality,
 }
 ORACLES: dict[str, str] = {"op8_exact_dedup": oracles.EXACT_DEDUP, "op10_raked_mix": oracles.raked_mix(MIX)}
+ORACLES |= {
+    "op11_gnat_codes": oracles.gnat_codes(CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE),
+    "op12_fim_frames": oracles.fim_frames(FIM_SEED),
+}
