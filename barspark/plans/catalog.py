@@ -28,6 +28,7 @@ from barspark.operators import metrics as metrics_op
 from barspark.operators import performance as perf_op
 from barspark.operators import registry as reg_op
 from barspark.operators import training as train_op
+from barspark.operators.ema_scan import macd_scan
 from barspark.operators.features import compute_features, ema_table, window_columns
 from barspark.operators.validate import validation_report
 from barspark.plans import scoring
@@ -120,6 +121,20 @@ def q_macd_signal(spark, sf):
     return r6(out, ["macd_signal"])
 
 
+EMA_COLUMNS = ["ema_12", "ema_26", "macd", "macd_signal"]
+
+
+def q_ema_scan(spark, sf):
+    """W5 by the affine scan, in blocks far shorter than any warm-up."""
+    return r6(macd_scan(_bars(spark, sf), block_rows=16, fan=8), EMA_COLUMNS)
+
+
+def q_macd_signal_scan(spark, sf):
+    """W6 by the affine scan, every ticker cut into chunks shorter than the EMA warm-up."""
+    out = macd_scan(_supplier_bars(spark, sf), chunk_rows=SMALL_CHUNK, block_rows=32)
+    return r6(out.select(TICKER, DATE, "macd_signal"), ["macd_signal"])
+
+
 # W7 for every bar: the closed form (O(1) per row) inside the chunked EMA pass
 MACD_WINDOW_SET = FeatureSet(
     "macd_window",
@@ -639,6 +654,8 @@ QUERIES: dict[str, Query] = {
     "ema": q_ema,
     "macd_signal": q_macd_signal,
     "macd_signal_window": q_macd_signal_window,
+    "ema_scan": q_ema_scan,
+    "macd_signal_scan": q_macd_signal_scan,
     "forward_labels": q_forward_labels,
     "labels_dropped": q_labels_dropped,
     "baseline_features": q_baseline_features,
@@ -856,6 +873,8 @@ QUALIFY count(*) OVER w = {WINDOW_SIZE}""",
 }
 
 ORACLES |= {
+    "ema_scan": ORACLES["ema"],
+    "macd_signal_scan": ORACLES["macd_signal"],
     "training_frame": ORACLES["training_set"],
     "training_frame_chunked": ORACLES["training_set"],
     "training_stats_roundtrip": ORACLES["training_stats"],
