@@ -17,6 +17,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -106,6 +107,20 @@ def macd_signal_series(pdf: pd.DataFrame) -> pd.Series:
     return (fast - slow).ewm(span=MACD_SIGNAL, adjust=False).mean()
 
 
+def macd_recursion(closes: np.ndarray, state: list[float] | None) -> tuple[np.ndarray, list[float] | None]:
+    """MACD signal of further closes after the state (fast EMA, slow EMA, signal); no state: before the first bar."""
+    if not len(closes):
+        return np.zeros(0), state
+    fast, slow, signal = state or (closes[0], closes[0], 0.0)
+
+    def go_on(before: float, values: np.ndarray, span: int) -> np.ndarray:
+        return pd.Series(np.concatenate([[before], values])).ewm(span=span, adjust=False).mean().to_numpy()[1:]
+
+    f, s = go_on(fast, closes, MACD_FAST), go_on(slow, closes, MACD_SLOW)
+    g = go_on(signal, f - s, MACD_SIGNAL)
+    return g, [float(f[-1]), float(s[-1]), float(g[-1])]
+
+
 def macd_signal_window_series(window: int = ONLINE_MACD_WINDOW) -> Callable[[pd.DataFrame], pd.Series]:
     """Batch form of :func:`macd_signal_window` for every row, O(1) per row.
 
@@ -171,7 +186,8 @@ class Feature:
 
     ``lookback`` is how many earlier rows the value depends on (for a recursive feature: the
     warm-up after which the seed no longer matters); ``required_window`` is the row count an
-    online window needs; ``online`` optionally gives a different online definition.
+    online window needs; ``online`` optionally gives a different online definition.  ``recursion`` continues a recursive
+    feature over further closes from a few numbers of state (a stream then keeps those instead of ``lookback`` bars).
     """
 
     name: str
@@ -181,6 +197,7 @@ class Feature:
     kind: str = "window"
     series: Callable[[pd.DataFrame], pd.Series] | None = None
     online: Callable[[WindowSpec], Column] | None = None
+    recursion: Callable[[np.ndarray, list[float] | None], tuple[np.ndarray, list[float] | None]] | None = None
 
     @staticmethod
     def grouped(
@@ -189,9 +206,10 @@ class Feature:
         lookback: int,
         required_window: int | None = None,
         online: Callable[[WindowSpec], Column] | None = None,
+        recursion: Callable | None = None,
     ) -> "Feature":
         """A user feature computed in pandas per ordered chunk (``lookback`` rows of halo)."""
-        return Feature(name, None, required_window or lookback + 1, lookback, "pandas", series, online)
+        return Feature(name, None, required_window or lookback + 1, lookback, "pandas", series, online, recursion)
 
     def online_column(self, w: WindowSpec) -> Column | None:
         if self.online is not None:
@@ -216,7 +234,7 @@ class FeatureSet:
     @property
     def lookback(self) -> int:
         """Rows of history every feature of the set needs (the chunk halo)."""
-        return max(f.lookback for f in self.features)
+        return max((f.lookback for f in self.features), default=0)
 
     @property
     def window_features(self) -> list[Feature]:
@@ -226,6 +244,13 @@ class FeatureSet:
     def pandas_features(self) -> list[Feature]:
         return [f for f in self.features if f.kind == "pandas"]
 
+    @property
+    def recursive_features(self) -> list[Feature]:
+        return [f for f in self.features if f.recursion is not None]
+
+    def without_recursive(self) -> "FeatureSet":
+        return FeatureSet(self.name, self.version, tuple(f for f in self.features if f.recursion is None))
+
     @property
     def label(self) -> str:
         return f"{self.name}_v{self.version}"
@@ -250,6 +275,7 @@ MACD_SIGNAL_FEATURE = Feature.grouped(
     lookback=ema_warmup(MACD_SLOW),
     required_window=ONLINE_MACD_WINDOW,
     online=macd_signal_window(ONLINE_MACD_WINDOW),
+    recursion=macd_recursion,
 )
 
 ENGINEERED_V1 = FeatureSet(

@@ -1,158 +1,33 @@
-"""Online features on a stream (ST3) and streaming scoring with drift and log (ST4, ST5).
-
-Each micro-batch is handled by ``foreachBatch`` with the same batch operators:
-new bars are unioned with a *tail-state table* (the last ``H`` bars per ticker, where ``H``
-covers every look-back and the EMA warm-up), features are computed with
-:func:`barspark.operators.features.compute_features`, rows of the new bars are appended to the
-sink, and the new tails replace the touched hash buckets of the state (fresh directories, then a
-new manifest).  So stream results equal the offline table exactly, state stays bounded per
-ticker, and a batch reads and rewrites only the buckets of the tickers it carries.
+"""Online features on a stream (ST3).
+
+Spark's state store holds each ticker's last bars and the numbers of its recursive features
+(:mod:`barspark.streaming.state`).  A micro-batch is the new bars and the held ones of their tickers: the windows over them
+are the offline Column builders, the recursive features come from the state, so stream results equal the offline table
+and a batch's work grows with its new bars alone.
+
+Each epoch's rows are a folder of the sink, written again when the epoch is retried.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barspark.functions.features import FeatureSet
-from barspark.schemas import BARS, DATE, PRICE_COLUMNS as VALUE_COLUMNS, TICKER
+from barspark.operators.features import compute_features
+from barspark.schemas import DATE, PRICE_COLUMNS, TICKER
 from barspark.sources import fsutil
-from barspark.sources.store import tail_n
-
-
-def state_rows(fs: FeatureSet) -> int:
-    return fs.lookback + 1
-
-
-# Hash buckets of the tail state: a micro-batch rewrites only the buckets its tickers fall in.
-STATE_BUCKETS = 256
-
-
-class TailState:
-    """The last rows per ticker in ``buckets`` hash buckets, one directory per bucket version.
-
-    Each micro-batch writes the directories of the buckets it touches, then a manifest
-    (bucket -> directory, at most ``buckets`` entries) named after its epoch.  A batch for epoch
-    ``E`` reads the newest manifest *before* ``E``: a retried epoch (say the driver died after the
-    state was written but before the epoch was committed) sees exactly the state its first
-    attempt saw, so it reproduces the same output.  Work per batch grows with the touched
-    buckets, not with every ticker ever seen.
-    """
-
-    def __init__(self, root: str, buckets: int = STATE_BUCKETS):
-        self.root = root
-        self.buckets = buckets
-
-    def _manifest_path(self, epoch: int) -> str:
-        return fsutil.join(self.root, f"MANIFEST-{epoch:020d}")
-
-    def bucket(self) -> Column:
-        return F.pmod(F.hash(F.col(TICKER)), F.lit(self.buckets))
-
-    def manifest(self, spark: SparkSession, before_epoch: int | None = None) -> dict[int, str]:
-        epochs = sorted(
-            int(n.split("-", 1)[1]) for n in fsutil.list_names(spark, self.root) if n.startswith("MANIFEST-")
-        )
-        if before_epoch is not None:
-            epochs = [e for e in epochs if e < before_epoch]
-        if not epochs:
-            return {}
-        text = fsutil.read_text(spark, self._manifest_path(epochs[-1]))
-        return {int(k): v for k, v in json.loads(text).items()} if text else {}
-
-    def read(self, spark: SparkSession, buckets: list[int] | None = None, before_epoch: int | None = None) -> DataFrame:
-        wanted = None if buckets is None else set(buckets)
-        current = self.manifest(spark, before_epoch)
-        paths = [p for b, p in sorted(current.items()) if wanted is None or b in wanted]
-        if not paths:
-            return spark.createDataFrame([], BARS)
-        return spark.read.schema(BARS).parquet(*paths)
-
-    def write(self, tail: DataFrame, buckets: list[int], epoch: int) -> None:
-        """Replace the given buckets with ``tail`` (every ticker of those buckets) as of ``epoch``."""
-        spark = tail.sparkSession
-        target = fsutil.join(self.root, f"v-{uuid.uuid4().hex}")
-        tail.withColumn("_bucket", self.bucket()).write.mode("error").partitionBy("_bucket").parquet(target)
-        current = self.manifest(spark, before_epoch=epoch)
-        for b in buckets:
-            path = fsutil.join(target, f"_bucket={b}")
-            if fsutil.exists(spark, path):
-                current[b] = path
-            else:
-                current.pop(b, None)
-        text = json.dumps({str(k): v for k, v in sorted(current.items())})
-        fsutil.write_text(spark, self._manifest_path(epoch), text)
-        self.prune(spark)
-
-    def prune(self, spark: SparkSession, keep: int = 3) -> None:
-        """Drop all but the newest ``keep`` manifests and the versions only they referenced.
-
-        A retry of the newest epoch reads the manifest before it, so two would suffice; one more
-        is kept as a margin.  State storage stays bounded for a stream that runs forever.
-        """
-        names = fsutil.list_names(spark, self.root)
-        epochs = sorted(int(n.split("-", 1)[1]) for n in names if n.startswith("MANIFEST-"))
-        kept, dropped = epochs[-keep:], epochs[:-keep]
-        referenced = set()
-        for e in kept:
-            text = fsutil.read_text(spark, self._manifest_path(e)) or "{}"
-            referenced |= {path.rstrip("/").rsplit("/", 2)[-2] for path in json.loads(text).values()}
-        for e in dropped:
-            fsutil.remove(spark, self._manifest_path(e))
-        for name in names:
-            if name.startswith("v-") and name not in referenced:
-                fsutil.remove(spark, fsutil.join(self.root, name))
-
-
-def split_late(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(fresh rows, late or repeated rows per ticker as ``ticker, late_rows``).
-
-    A row is fresh when its date lies after the ticker's last known one; repeats inside the batch keep one row by
-    a fixed order of the values.  All others are counted, not lost without a trace.
-    """
-    last = state.groupBy(TICKER).agg(F.max(DATE).alias("_last"))
-    # one row per (ticker, date), chosen deterministically (the output and the new tail both read
-    # this, and a recomputed task must pick the same row): a total order over the value columns
-    pick = Window.partitionBy(TICKER, DATE).orderBy(*[F.col(c).asc_nulls_last() for c in VALUE_COLUMNS])
-    marked = (
-        batch.select(*[f.name for f in BARS.fields])
-        .withColumn("_pick", F.row_number().over(pick))
-        .join(last, TICKER, "left")
-        .withColumn("_fresh", (F.col("_pick") == 1) & (F.col("_last").isNull() | (F.col(DATE) > F.col("_last"))))
-    )
-    fresh = marked.where("_fresh").drop("_pick", "_last", "_fresh")
-    late = marked.where("not _fresh").groupBy(TICKER).agg(F.count(F.lit(1)).alias("late_rows"))
-    return fresh, late
-
-
-def feature_batch(
-    batch: DataFrame, state: DataFrame, fs: FeatureSet, keep_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """(features of the fresh rows, new tail); see :func:`split_late` for the rows left out."""
-    from barspark.operators.features import compute_features
-
-    fresh, _ = split_late(batch, state)
-    # only tickers with new bars are recomputed: work per batch ~ active tickers x state rows
-    active = fresh.select(TICKER).distinct()
-    state_active = state.join(active, TICKER, "left_semi")
-    state_idle = state.join(active, TICKER, "left_anti")
-    combined = state_active.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
-    feats = compute_features(combined, fs, keep=["_new"]).where(F.col("_new")).drop("_new")
-    tail = state_idle.unionByName(tail_n(combined.drop("_new"), keep_rows))
-    return feats, tail
-
+from barspark.streaming.state import LATE, NEW, with_tails
 
 EPOCHS_PER_RUN = 1 << 40
 
 
 def run_number(spark: SparkSession, state_root: str, checkpoint: str) -> int:
-    """Number of the query that a checkpoint belongs to, among all that wrote to this state (0, 1, ...).
+    """Number of the query that a checkpoint belongs to, among all that wrote to this sink (0, 1, ...).
 
-    Epochs restart at 0 under a new checkpoint; numbering them after the earlier queries' keeps state and
-    sink one sequence: a new query continues from the stored tails and overwrites nothing.
+    Epochs restart at 0 under a new checkpoint; numbering them after the earlier queries' keeps the sink one sequence.
     """
     names = [n for n in fsutil.list_names(spark, state_root) if n.startswith("RUN-")]
     runs = {int(n[4:]): fsutil.read_text(spark, fsutil.join(state_root, n)) for n in names}
@@ -169,6 +44,37 @@ def late_path(sink_path: str) -> str:
     return f"{sink_path.rstrip('/')}_late"
 
 
+def _last_dates(spark: SparkSession, sink_path: str, state_root: str, run: int) -> DataFrame | None:
+    """``ticker, _last``: the newest date that earlier queries put into the sink, written once when a new query starts."""
+    if not run:
+        return None
+    path = fsutil.join(state_root, f"known-{run}")
+    if not fsutil.exists(spark, fsutil.join(path, "_SUCCESS")):
+        if not fsutil.exists(spark, sink_path):
+            return None
+        earlier = spark.read.parquet(sink_path).where(F.col("epoch") < run * EPOCHS_PER_RUN)
+        earlier.groupBy(TICKER).agg(F.max(DATE).alias("_last")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def batch_features(batch: DataFrame, fs: FeatureSet, keep: list[str] | None = None) -> DataFrame:
+    """``ticker, date, *keep, *features`` of a micro-batch's new bars (rows of :func:`with_tails`); warm-up rows have nulls."""
+    recursive = [f.name for f in fs.recursive_features]
+    own = [TICKER, DATE, *PRICE_COLUMNS, NEW, *recursive]
+    # held bars and new ones lie apart in time; a date that repeats among the new ones keeps its first bar
+    pick = Window.partitionBy(TICKER, DATE).orderBy(*[F.col(c).asc_nulls_last() for c in PRICE_COLUMNS])
+    rows = batch.where(F.col(NEW).isNotNull()).select(*own).withColumn("_pick", F.row_number().over(pick)).where("_pick = 1").drop("_pick")
+    feats = compute_features(rows, fs.without_recursive(), keep=[NEW, *(keep or []), *recursive], dropna=False)
+    return feats.where(F.col(NEW)).select(TICKER, DATE, *(keep or []), *fs.feature_names)
+
+
+def late_rows(batch: DataFrame) -> DataFrame:
+    """``ticker, late_rows`` of a micro-batch: bars not after the newest held one, and repeats."""
+    shown = batch.where(F.col(NEW)).groupBy(TICKER, DATE).agg((F.count(F.lit(1)) - 1).alias("late_rows"))
+    told = batch.where(F.col(NEW).isNull()).select(TICKER, F.col(LATE).alias("late_rows"))
+    return shown.select(TICKER, "late_rows").unionByName(told).groupBy(TICKER).agg(F.sum("late_rows").alias("late_rows")).where("late_rows > 0")
+
+
 def stream_features(
     stream: DataFrame,
     fs: FeatureSet,
@@ -176,32 +82,43 @@ def stream_features(
     state_root: str,
     checkpoint: str,
     available_now: bool = True,
-    state_buckets: int = STATE_BUCKETS,
+    on_features: Callable[[DataFrame, int], None] | None = None,
 ):
     """Start the ST3 query; returns the StreamingQuery (already finished when ``available_now``).
 
-    ``state_buckets`` sets how finely the tail state is split; keep it fixed for a given state
-    folder (changing it re-buckets the tickers).  Late and repeated rows are counted per ticker and
-    epoch in the side table :func:`late_path`.  A new checkpoint on an existing state goes on after it.
+    ``on_features(rows, epoch)`` gets all new bars of an epoch with their features (null in the warm-up), after
+    the sink has them.  Late and repeated rows are counted per ticker and epoch in the side table :func:`late_path`.
+    State lives with the checkpoint.  Under a new checkpoint the source is read again from its start to
+    rebuild it: bars up to the newest that the sink has are counted as late and not written again (``state_root``
+    keeps which checkpoints wrote to the sink).
     """
-    keep_rows = state_rows(fs)
-    tail_state = TailState(state_root, state_buckets)
-    first = run_number(stream.sparkSession, state_root, checkpoint) * EPOCHS_PER_RUN
+    run = run_number(stream.sparkSession, state_root, checkpoint)
+    first = run * EPOCHS_PER_RUN
+    known = _last_dates(stream.sparkSession, sink_path, state_root, run)
+    tails = with_tails(stream, fs.without_recursive().lookback, fs.recursive_features)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
         epoch = first + epoch_id
-        # the buckets this batch touches: at most `buckets` ids
-        touched = [r[0] for r in batch.select(tail_state.bucket().alias("b")).distinct().collect()]
-        # the state as it was before this epoch, also when this epoch is a retry
-        state = tail_state.read(spark, touched, before_epoch=epoch)
-        feats, tail = feature_batch(batch, state, fs, keep_rows)
-        # one directory per epoch, overwritten on a retry: the sink stays exactly-once
-        feats.write.mode("overwrite").parquet(fsutil.join(sink_path, f"epoch={epoch}"))
-        split_late(batch, state)[1].write.mode("overwrite").parquet(fsutil.join(late_path(sink_path), f"epoch={epoch}"))
-        tail_state.write(tail, touched, epoch)
-
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        # several plans read the micro-batch; kept, the stateful step runs once (lost blocks are computed again)
+        batch = batch.persist()
+        try:
+            feats, late = batch_features(batch, fs), late_rows(batch)
+            if known is not None:
+                marked = feats.join(known, TICKER, "left").withColumn("_again", F.coalesce(F.col(DATE) <= F.col("_last"), F.lit(False)))
+                again = marked.where("_again").groupBy(TICKER).agg(F.count(F.lit(1)).alias("late_rows"))
+                late = late.unionByName(again).groupBy(TICKER).agg(F.sum("late_rows").alias("late_rows"))
+                feats = marked.where("not _again").drop("_last", "_again")
+            feats = feats.persist()
+            # one directory per epoch, overwritten on a retry: the sink stays exactly-once
+            feats.dropna(subset=fs.feature_names).write.mode("overwrite").parquet(fsutil.join(sink_path, f"epoch={epoch}"))
+            late.write.mode("overwrite").parquet(fsutil.join(late_path(sink_path), f"epoch={epoch}"))
+            if on_features is not None:
+                on_features(feats, epoch)
+            feats.unpersist()
+        finally:
+            batch.unpersist()
+
+    writer = tails.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
     q = writer.start()
     if available_now:

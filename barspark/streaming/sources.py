@@ -7,10 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from barspark.schemas import BARS
 
 
-def bar_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+#: Bytes of bar files that one micro-batch takes at most (a larger file is one by itself): bounds what a ticker's
+#: state update holds, however many files have arrived.
+BATCH_BYTES = 1 << 30
+
+
+def bar_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, max_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Bars as they arrive as files; a micro-batch takes ``max_files_per_trigger`` files, or ``max_bytes`` where no count is given."""
     reader = spark.readStream.schema(BARS).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    else:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.load(path)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -81,3 +81,43 @@ def stream_windows(bars: DataFrame, size: int, dedupe_within: str | None = None,
         yield out[cols]
 
     return bars.groupBy(TICKER).applyInPandasWithState(step, out_schema, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_windows_chunked(bars: DataFrame, size: int, sink_path: str, checkpoint: str, chunk_rows: int | None = None) -> None:
+    """ST2 for tickers of any heat: drains what is there into one row per full window of ``size`` bars.
+
+    The state holds ``size - 1`` bars a ticker and lets new bars pass Arrow batch by Arrow batch; the windows of a
+    micro-batch are cut out of chunks of at most ``chunk_rows`` bars, each behind the ``size - 1`` bars before it, so
+    no task holds more than a chunk of a ticker.  Columns as :func:`stream_windows`, without the count of late rows
+    (late and repeated rows are left out).  A retried epoch writes its folder again.
+    """
+    from barspark.operators.features import window_columns
+    from barspark.schemas import PRICE_COLUMNS
+    from barspark.sources import fsutil
+    from barspark.streaming.state import NEW, with_tails
+
+    def frame(w):
+        return w.rowsBetween(-(size - 1), 0)
+
+    columns = {
+        "window_start": lambda w: F.first(DATE).over(frame(w)),
+        "n_rows": lambda w: F.count(F.lit(1)).over(frame(w)),
+        "close_first": lambda w: F.first("close").over(frame(w)),
+        "close_last": lambda w: F.col("close"),
+        "close_sum": lambda w: F.sum("close").over(frame(w)),
+    }
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()  # the stateful step runs once for the count of hot tickers and the windows
+        try:
+            pick = Window.partitionBy(TICKER, DATE).orderBy(*[F.col(c).asc_nulls_last() for c in PRICE_COLUMNS])
+            rows = batch.where(F.col(NEW).isNotNull()).withColumn("_pick", F.row_number().over(pick)).where("_pick = 1")
+            rows = rows.select(TICKER, DATE, *PRICE_COLUMNS, NEW)
+            out = window_columns(rows, columns, back=size - 1, chunk_rows=chunk_rows, keep=[NEW])
+            out = out.where((F.col("n_rows") == size) & F.col(NEW)).drop(NEW).withColumnRenamed(DATE, "window_end")
+            out.write.mode("overwrite").parquet(fsutil.join(sink_path, f"epoch={epoch}"))
+        finally:
+            batch.unpersist()
+
+    started = with_tails(bars, size - 1).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    started.trigger(availableNow=True).start().awaitTermination()

@@ -203,34 +203,6 @@ def test_month_layout_round_trip_and_pushdown(spark, tmp_path):
     assert B.read_bars(spark, p2).select("ticker").distinct().first()[0] == "007"
 
 
-def test_feature_batch_duplicates_resolve_deterministically(spark):
-    from barspark.streaming.features import feature_batch
-
-    pdf = seasonal_bars(40, "AAA")
-    dup = pdf.iloc[[10]].copy()
-    dup["close"] = dup["close"] * 2
-    batch = to_bars(spark, pd.concat([pdf, dup]).sample(frac=1, random_state=1))
-    empty = spark.createDataFrame([], batch.schema)
-    runs = [collect_sorted(feature_batch(batch.repartition(n), empty, ENGINEERED_V1, 50)[0]) for n in (1, 7)]
-    pd.testing.assert_frame_equal(runs[0], runs[1])
-    _, tail = feature_batch(batch, empty, ENGINEERED_V1, 50)
-    assert tail.count() == 40
-
-
-def test_feature_batch_keeps_idle_tickers_state(spark):
-    from barspark.streaming.features import feature_batch
-
-    a, b = seasonal_bars(60, "AAA", seed=1), seasonal_bars(60, "BBB", seed=2)
-    state = to_bars(spark, pd.concat([a.iloc[:50], b]))
-    batch = to_bars(spark, a.iloc[50:])
-    feats, tail = feature_batch(batch, state, ENGINEERED_V1, 30)
-    assert set(r["ticker"] for r in feats.select("ticker").distinct().collect()) == {"AAA"}
-    counts = {r["ticker"]: r["count"] for r in tail.groupBy("ticker").count().collect()}
-    assert counts == {"AAA": 30, "BBB": 60}  # idle ticker's state carried over untouched
-    want = collect_sorted(compute_features(to_bars(spark, a), ENGINEERED_V1)).tail(10).reset_index(drop=True)
-    pd.testing.assert_frame_equal(collect_sorted(feats), want)
-
-
 def test_scratch_scope_removes_tables_after_a_job(spark, tmp_path):
     from barspark.session import materialize
     from barspark.sources import fsutil
@@ -266,63 +238,3 @@ def test_stream_windows_can_emit_the_window_rows(spark, tmp_path):
     last = out[-1]["rows"]
     assert [r["close"] for r in last] == pytest.approx(pdf["close"].iloc[-5:].tolist())
     assert last[-1]["date"] == out[-1]["window_end"]
-
-
-def test_tail_state_rewrites_only_touched_buckets(spark, tmp_path):
-    from barspark.streaming.features import TailState
-
-    state = TailState(str(tmp_path / "state"), buckets=8)
-    bars = to_bars(spark, pd.concat([seasonal_bars(5, t, seed=i) for i, t in enumerate("ABCDEFGH")]))
-    all_buckets = [r[0] for r in bars.select(state.bucket()).distinct().collect()]
-    state.write(bars, all_buckets, epoch=0)
-    before = state.manifest(spark)
-    one = bars.where(F.col("ticker") == "A")
-    b = one.select(state.bucket()).first()[0]
-    others_in_b = bars.where((state.bucket() == b) & (F.col("ticker") != "A"))
-    state.write(one.limit(2).unionByName(others_in_b), [b], epoch=1)
-    after = state.manifest(spark)
-    assert {k for k in after if after[k] != before[k]} == {b}
-    assert state.read(spark).where(F.col("ticker") == "A").count() == 2
-    assert state.read(spark).count() == 40 - 3
-    # a retried epoch 1 sees the state before epoch 1, not its own earlier write
-    assert state.read(spark, before_epoch=1).count() == 40
-    assert state.read(spark, before_epoch=0).count() == 0
-
-
-def test_retried_epoch_reproduces_its_output(spark, tmp_path):
-    """Driver dies after the state write, before the epoch commit: the retry must emit the same rows."""
-    from barspark.streaming.features import TailState, feature_batch, state_rows
-
-    state = TailState(str(tmp_path / "st"), buckets=4)
-    pdf = seasonal_bars(80, "AAA")
-    first, second = to_bars(spark, pdf.iloc[:50]), to_bars(spark, pdf.iloc[50:])
-    keep = state_rows(ENGINEERED_V1)
-
-    def run(batch, epoch):
-        touched = [r[0] for r in batch.select(state.bucket()).distinct().collect()]
-        feats, tail = feature_batch(batch, state.read(spark, touched, before_epoch=epoch), ENGINEERED_V1, keep)
-        out = collect_sorted(feats)
-        state.write(tail, touched, epoch)
-        return out
-
-    run(first, 0)
-    attempt = run(second, 1)
-    retry = run(second, 1)  # same epoch again after its state was already written
-    assert len(attempt) == 30
-    pd.testing.assert_frame_equal(attempt, retry)
-
-
-def test_tail_state_storage_stays_bounded(spark, tmp_path):
-    from barspark.sources import fsutil
-    from barspark.streaming.features import TailState
-
-    root = str(tmp_path / "st")
-    state = TailState(root, buckets=2)
-    bars = to_bars(spark, pd.concat([seasonal_bars(5, t, seed=i) for i, t in enumerate("AB")]))
-    touched = [r[0] for r in bars.select(state.bucket()).distinct().collect()]
-    for epoch in range(6):
-        state.write(bars, touched, epoch)
-    names = fsutil.list_names(spark, root)
-    assert sorted(n for n in names if n.startswith("MANIFEST-"))[0].endswith("3")  # epochs 3, 4, 5 kept
-    assert len([n for n in names if n.startswith("v-")]) <= 3
-    assert state.read(spark).count() == 10 and state.read(spark, before_epoch=5).count() == 10
