@@ -198,6 +198,7 @@ class Feature:
     series: Callable[[pd.DataFrame], pd.Series] | None = None
     online: Callable[[WindowSpec], Column] | None = None
     recursion: Callable[[np.ndarray, list[float] | None], tuple[np.ndarray, list[float] | None]] | None = None
+    value: Callable[[pd.DataFrame], float] | None = None
 
     @staticmethod
     def grouped(
@@ -211,6 +212,27 @@ class Feature:
         """A user feature computed in pandas per ordered chunk (``lookback`` rows of halo)."""
         return Feature(name, None, required_window or lookback + 1, lookback, "pandas", series, online, recursion)
 
+    @staticmethod
+    def from_window(name: str, value: Callable[[pd.DataFrame], float], window: int) -> "Feature":
+        """A user's ``window -> float``: the function of the last ``window`` bars, offline for every bar and online for the last.
+
+        Null until ``window`` bars exist.  It runs once a bar in Python: the form for what has no Column or array form.
+        """
+
+        def series(pdf: pd.DataFrame) -> pd.Series:
+            out = [value(pdf.iloc[i - window + 1 : i + 1]) if i >= window - 1 else math.nan for i in range(len(pdf))]
+            return pd.Series(out, dtype="float64")
+
+        return Feature(name, None, window, window - 1, "pandas", series, value=value)
+
+    def online_value(self, pdf: pd.DataFrame) -> float:
+        """The value at the last of some ordered bars; NaN of fewer than ``required_window``."""
+        if len(pdf) < self.required_window:
+            return math.nan
+        if self.value is not None:
+            return float(self.value(pdf.tail(self.required_window)))
+        return float(self.series(pdf).iloc[-1])
+
     def online_column(self, w: WindowSpec) -> Column | None:
         if self.online is not None:
             return self.online(w)

@@ -3,7 +3,7 @@ dataset fingerprint (A9), baseline projection (P1) and the baseline dataset (M3)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barspark.functions.columns import epoch_micros
@@ -79,12 +79,9 @@ def _scaled(c: str, places: int = 6):
     return F.round(F.col(c) * F.lit(10.0**places)).cast("long").cast("string")
 
 
-def fingerprint(df: DataFrame, columns: list[str], double_columns: list[str], time_columns: list[str]) -> DataFrame:
-    """Order-free multiset digest: sum of per-row md5 prefixes (as decimal) plus the row count.
-
-    Values are rendered engine-neutrally: doubles as integers at 1e-6, wall-clock timestamps as
-    epoch micros (time-zone free), everything else as text.  Same rows under any partitioning -> same digest.
-    """
+def row_text(columns: list[str], double_columns: list[str], time_columns: list[str]) -> Column:
+    """A row as engine-neutral text: doubles as integers at 1e-6, wall-clock timestamps as epoch micros (time-zone
+    free), everything else as text, nulls as nothing."""
     parts = []
     for c in columns:
         if c in double_columns:
@@ -93,9 +90,32 @@ def fingerprint(df: DataFrame, columns: list[str], double_columns: list[str], ti
             parts.append(F.coalesce(epoch_micros(F.col(c)).cast("string"), F.lit("")))
         else:
             parts.append(F.coalesce(F.col(c).cast("string"), F.lit("")))
-    row = F.concat_ws("|", *parts)
-    h = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(
-        F.sum(h).cast("string").alias("digest"),
-        F.count(F.lit(1)).alias("rows"),
-    )
+    return F.concat_ws("|", *parts)
+
+
+def _digest(df: DataFrame, text: Column) -> DataFrame:
+    """Sum of the texts' md5 prefixes (as decimal) and the row count: combinable over any partitioning."""
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.sum(h).cast("string").alias("digest"), F.count(F.lit(1)).alias("rows"))
+
+
+def fingerprint(df: DataFrame, columns: list[str], double_columns: list[str], time_columns: list[str]) -> DataFrame:
+    """Order-free multiset digest of the rows (:func:`row_text`) plus the row count.  Same rows under any partitioning -> same digest."""
+    return _digest(df, row_text(columns, double_columns, time_columns))
+
+
+def ordered_fingerprint(
+    df: DataFrame, order: list[str], columns: list[str], double_columns: list[str], time_columns: list[str]
+) -> DataFrame:
+    """A9 that depends on the order of the rows: ``digest, rows`` as :func:`fingerprint`, each row's text behind its
+    global position in ``order``.
+
+    Rows that trade places change two of the hashed texts; changing the partitions changes none.  The positions
+    come from one range sort (:func:`barspark.operators.sequence.sequence`), the digest from a partial aggregate.
+    Rows equal in ``order`` are placed by their other columns.
+    """
+    from barspark.operators.sequence import SEQ, sequence
+
+    total = [*order, *[c for c in columns if c not in order]]
+    placed = sequence(df.select(*total), [], total).rows
+    return _digest(placed, F.concat_ws("|", F.col(SEQ).cast("string"), row_text(columns, double_columns, time_columns)))

@@ -34,14 +34,15 @@ from barspark.operators.validate import validation_report
 from barspark.plans import scoring
 from barspark.plans import sql_oracles as O
 from barspark.plans import training_jobs as jobs
-from barspark.schemas import DATE, TICKER
+from barspark.schemas import DATE, PREDICTION_LOG, TICKER
 from barspark.sources import bars as bars_src
 from barspark.sources import fixtures as fx
 from barspark.session import materialize
-from barspark.sources import fsutil, predlog, store
+from barspark.sources import bucketed, fsutil, predlog, store
+from barspark.streaming import counters
 from barspark.streaming.features import stream_features
 from barspark.streaming.sources import bar_stream, run_available_now
-from barspark.streaming.windows import stream_windows
+from barspark.streaming.windows import stream_windows, stream_windows_chunked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,6 +189,14 @@ def q_training_set(spark, sf):
     return r6(train_op.training_set(labels_op.add_labels(bars), feats, ENGINEERED_V2), ENGINEERED_V2.feature_names)
 
 
+def q_training_set_bucketed(spark, sf):
+    """J1 of two tables stored in the same buckets: no exchange under the join."""
+    bars = _bars(spark, sf)
+    labels = bucketed.write_bucketed(labels_op.add_labels(bars).select(TICKER, DATE, "label"), "labels")
+    feats = bucketed.write_bucketed(compute_features(bars, ENGINEERED_V2), "features")
+    return r6(bucketed.training_set_bucketed(spark, labels, feats, ENGINEERED_V2), ENGINEERED_V2.feature_names)
+
+
 def q_training_frame(spark, sf):
     return r6(train_op.training_frame(_bars(spark, sf), ENGINEERED_V2), ENGINEERED_V2.feature_names)
 
@@ -235,6 +244,12 @@ def q_fingerprint(spark, sf):
     return train_op.fingerprint(_train(spark, sf), cols, ENGINEERED_V2.feature_names, [DATE])
 
 
+def q_fingerprint_ordered(spark, sf):
+    """A9 that depends on the rows' order."""
+    cols = [TICKER, DATE, "label", *ENGINEERED_V2.feature_names]
+    return train_op.ordered_fingerprint(_train(spark, sf), [TICKER, DATE], cols, ENGINEERED_V2.feature_names, [DATE])
+
+
 def _drift(spark, sf):
     ts = _training_set(spark, sf)
     train, test = labels_op.time_split(ts, SPLIT_DATE)
@@ -394,6 +409,34 @@ def q_latest_features(spark, sf):
     return r6(store.latest_features(_bars(spark, sf), ENGINEERED_V2), ENGINEERED_V2.feature_names)
 
 
+def _range_position(pdf):
+    """Where the last close lies between the lowest low and the highest high of the bars."""
+    low, high = pdf["low"].min(), pdf["high"].max()
+    return (pdf["close"].iloc[-1] - low) / (high - low)
+
+
+USER_SET = FeatureSet(
+    "user",
+    1,
+    (
+        Feature("return_1d", pct_return(1), required_window=2, lookback=1),
+        Feature.from_window("median_15", lambda pdf: pdf["close"].median(), 15),
+        Feature.from_window("range_position_30", _range_position, 30),
+        Feature.grouped("spread_sum_10", lambda pdf: (pdf["high"] - pdf["low"]).rolling(10).sum(), lookback=9),
+    ),
+)
+
+
+def q_latest_features_grouped(spark, sf):
+    """X1 online: users' functions called on each ticker's last bars, beside a Column feature."""
+    return r6(store.latest_features(_bars(spark, sf), USER_SET), USER_SET.feature_names)
+
+
+def q_online_parity(spark, sf):
+    """X1's check: online and offline values of the last bars agree."""
+    return store.online_parity(_bars(spark, sf), USER_SET).select(TICKER, "feature", "same")
+
+
 def q_backfill_range(spark, sf):
     out = store.backfill_slice(_bars(spark, sf), ENGINEERED_V1, BACKFILL_START, BACKFILL_END)
     return r6(out, ENGINEERED_V1.feature_names)
@@ -431,6 +474,12 @@ def q_score_unknown_tickers(spark, sf):
     return scoring.request_status(_log(spark, sf, bars), bars)
 
 
+def q_request_answers(spark, sf):
+    """J5 with an answer to every row of the prediction log."""
+    bars = _bars(spark, sf)
+    return scoring.request_answers(_log(spark, sf, bars), bars).select(TICKER, "prediction_date", "model_version", "status", "latest_bar")
+
+
 def _sliding_columns(size: int):
     def frame(w):
         return w.rowsBetween(-(size - 1), 0)
@@ -514,16 +563,113 @@ def q_stream_windows(spark, sf):
     return r6(spark.read.parquet(sink), ["close_sum"])
 
 
-def q_stream_features(spark, sf):
+def q_stream_windows_chunked(spark, sf):
+    """ST2 with every ticker's bars of a micro-batch cut into chunks of 16."""
     src, rest = _two_part_bar_files(spark, sf)
-    sink, state, ckpt = (fsutil.scratch(spark, n) for n in ("feat-sink", "feat-state", "feat-ckpt"))
-    stream_features(bar_stream(spark, src), ENGINEERED_V2, sink, state, ckpt)
+    sink, ckpt = fsutil.scratch(spark, "hotwin-sink"), fsutil.scratch(spark, "hotwin-ckpt")
+    stream_windows_chunked(bar_stream(spark, src), WINDOW_SIZE, sink, ckpt, chunk_rows=16)
     rest.write.mode("append").parquet(src)
-    stream_features(bar_stream(spark, src), ENGINEERED_V2, sink, state, ckpt)
+    stream_windows_chunked(bar_stream(spark, src), WINDOW_SIZE, sink, ckpt, chunk_rows=16)
+    return r6(spark.read.parquet(sink).drop("epoch"), ["close_sum"])
+
+
+STREAM_CUTS = ["2024-01-09", STREAM_SPLIT, "2024-01-23"]
+
+
+def _bars_between(bars, start, end):
+    """Bars from ``start`` up to, not with, ``end`` (either may be open)."""
+    at = [F.to_timestamp_ntz(F.lit(d)) if d else None for d in (start, end)]
+    rows = bars if at[0] is None else bars.where(F.col(DATE) >= at[0])
+    return rows if at[1] is None else rows.where(F.col(DATE) < at[1])
+
+
+def q_stream_features(spark, sf):
+    """ST3 over four arrivals, each a micro-batch of its own."""
+    bars, src = _bars(spark, sf), fsutil.scratch(spark, "bar-stream")
+    sink, state, ckpt = (fsutil.scratch(spark, n) for n in ("feat-sink", "feat-state", "feat-ckpt"))
+    for start, end in zip([None, *STREAM_CUTS], [*STREAM_CUTS, None]):
+        _bars_between(bars, start, end).write.mode("append").parquet(src)
+        stream_features(bar_stream(spark, src), ENGINEERED_V2, sink, state, ckpt)
     out = spark.read.parquet(sink).drop("epoch")
     return r6(out, ENGINEERED_V2.feature_names)
 
 
+FEW_TREES = {"n_estimators": 5}
+
+
+def _scored_stream(spark, sf, bars, resolve, between=lambda: None) -> tuple[str, str]:
+    """ST4 over two arrivals, ``between()`` them, with a small model: (scores, prediction log)."""
+    train = _train(spark, sf)
+    model = jobs.fit(train, ENGINEERED_V2.feature_names, FEW_TREES)
+    stats = train_op.training_stats(train, ENGINEERED_V2.feature_names)
+    src, scores, log, state, ckpt = (fsutil.scratch(spark, n) for n in ("bar-stream", "scores", "log", "score-state", "score-ckpt"))
+    for start, end in ((None, STREAM_SPLIT), (STREAM_SPLIT, None)):
+        _bars_between(bars, start, end).write.mode("append").parquet(src)
+        scoring.score_stream(bar_stream(spark, src), scores, log, state, ckpt, resolve, lambda version: model, stats)
+        if end:
+            between()
+    return scores, log
+
+
+def q_stream_scores(spark, sf):
+    """ST4: every bar scored from the stream's state; ``logged``: its prediction stands in the log."""
+    scores, log = _scored_stream(spark, sf, _bars(spark, sf), lambda: "1")
+    named = spark.read.parquet(scores).withColumn("prediction_date", F.date_format(DATE, "yyyy-MM-dd HH:mm:ss"))
+    keys = [TICKER, "prediction_date", "direction", "model_version"]
+    logged = predlog.read_predictions(spark, log).groupBy(*keys).agg(F.count(F.lit(1)).alias("entries"))
+    ok = F.col("status") == "ok"
+    return named.join(logged, keys, "left").select(
+        TICKER, DATE, "status", "drift_detected", F.array_join("drifted_features", ",").alias("drifted_features"), "model_version",
+        F.coalesce(F.col("entries"), F.lit(0)).alias("logged"), F.when(ok, _in_unit("probability")).alias("in_range"),
+    )
+
+
+REGISTRY_MODEL, REGISTRY_CUT = LOAD_ONE, "2024-01-08"
+
+
+def q_stream_champions(spark, sf):
+    """ST5: the version that scored each bar; runs registered between two epochs move the champion."""
+    runs = materialize(_runs(spark, sf).where(F.col("model") == REGISTRY_MODEL), "registry-runs")
+    table = fsutil.scratch(spark, "registry")
+    early = F.col("run_seq") <= F.unix_date(F.lit(REGISTRY_CUT).cast("date"))
+    runs.where(early).write.parquet(table)
+
+    def resolve() -> str:
+        history = reg_op.promotion_history(spark.read.schema(runs.schema).parquet(table))
+        return str(reg_op.current_champion(history).first()["champion_version"])
+
+    scores, _ = _scored_stream(spark, sf, _bars(spark, sf), resolve, lambda: runs.where(~early).write.mode("append").parquet(table))
+    return spark.read.parquet(scores).where("status = 'ok'").select(TICKER, DATE, "model_version")
+
+
+def _in_three_files(df: DataFrame, by, name: str) -> str:
+    """Rows as JSON files that arrive one after the other."""
+    path = fsutil.scratch(df.sparkSession, name)
+    part = F.pmod(F.xxhash64(by), F.lit(3))
+    for k in range(3):
+        df.where(part == k).coalesce(1).write.mode("append").json(path)
+    return path
+
+
+def q_predictions_total_stream(spark, sf):
+    """A10 as a running counter over a growing prediction log."""
+    src = _in_three_files(materialize(_log(spark, sf), "log"), F.col("prediction_date"), "log-stream")
+    sink, ckpt = fsutil.scratch(spark, "totals"), fsutil.scratch(spark, "totals-ckpt")
+    log = spark.readStream.schema(PREDICTION_LOG).option("maxFilesPerTrigger", 1).json(src)
+    counters.stream_totals(log, [TICKER, "direction"], "predictions_total", sink, ckpt)
+    return counters.read_totals(spark, sink, [TICKER, "direction"], "predictions_total")
+
+
+def q_drift_events_total_stream(spark, sf):
+    """A11 as a running counter over rows with drift flags."""
+    flags = materialize(_drift(spark, sf).select(TICKER, DATE, "drift_detected"), "flags")
+    src = _in_three_files(flags, F.col(DATE), "flag-stream")
+    sink, ckpt = fsutil.scratch(spark, "totals"), fsutil.scratch(spark, "totals-ckpt")
+    rows = spark.readStream.schema(flags.schema).option("maxFilesPerTrigger", 1).json(src)
+    counters.stream_totals(rows, [TICKER], "drift_events_total", sink, ckpt, where=F.col("drift_detected"))
+    return counters.read_totals(spark, sink, [TICKER], "drift_events_total")
+
+
 # The model's scores are MLlib's own.  Each job has two queries: one returns its scores or metrics as they are (no
 # oracle), one what can be worked out exactly (rows, counts, balance, fingerprint, split) and whether the scores
 # lie where they must.
@@ -609,6 +755,16 @@ def q_engineered_run(spark, sf):
     return _checkable(q_engineered_run_metrics(spark, sf))
 
 
+def q_run_log(spark, sf):
+    """The logged parameters of both jobs, as numbered records (few trees: the parameters don't depend on them)."""
+    root, bars = fsutil.scratch(spark, "runs"), _bars(spark, sf)
+    jobs.run_baseline(spark, bars, root, SPLIT_DATE, params=FEW_TREES)
+    jobs.run_engineered(spark, bars, root, SPLIT_DATE, params=FEW_TREES)
+    names = ["tickers", "feature_columns", "test_split_date", "train_rows", "test_rows", *jobs.GBT_PARAMS]
+    names += ["feature_set", "feature_set_version", "train_data_fingerprint"]
+    return jobs.read_runs(spark, root).select("run_seq", "model", "dry_run", *[F.col("params")[n].alias(n) for n in names])
+
+
 CHAMPION_RUNS = ("2024-04-20", "2024-04-25")
 
 
@@ -663,6 +819,7 @@ QUERIES: dict[str, Query] = {
     "validate_bars": q_validate_bars,
     "validate_bars_supplier": q_validate_bars_supplier,
     "training_set": q_training_set,
+    "training_set_bucketed": q_training_set_bucketed,
     "training_frame": q_training_frame,
     "training_frame_chunked": q_training_frame_chunked,
     "training_stats_roundtrip": q_training_stats_roundtrip,
@@ -674,6 +831,7 @@ QUERIES: dict[str, Query] = {
     "split_date": q_split_date,
     "training_stats": q_training_stats,
     "fingerprint": q_fingerprint,
+    "fingerprint_ordered": q_fingerprint_ordered,
     "drift_flags": q_drift_flags,
     "drift_events_total": q_drift_events_total,
     "nearest_bar": q_nearest_bar,
@@ -693,9 +851,12 @@ QUERIES: dict[str, Query] = {
     "champion_metrics": q_champion_metrics,
     "tail_n": q_tail_n,
     "latest_features": q_latest_features,
+    "latest_features_grouped": q_latest_features_grouped,
+    "online_parity": q_online_parity,
     "backfill_range": q_backfill_range,
     "backfill_upsert": q_backfill_upsert,
     "score_unknown_tickers": q_score_unknown_tickers,
+    "request_answers": q_request_answers,
     "sliding_windows": q_sliding_windows,
     "normalize_bars": q_normalize_bars,
     "load_ticker": q_load_ticker,
@@ -703,7 +864,12 @@ QUERIES: dict[str, Query] = {
     "prediction_log_roundtrip": q_prediction_log_roundtrip,
     "stream_rows": q_stream_rows,
     "stream_windows": q_stream_windows,
+    "stream_windows_chunked": q_stream_windows_chunked,
     "stream_features": q_stream_features,
+    "stream_scores": q_stream_scores,
+    "stream_champions": q_stream_champions,
+    "predictions_total_stream": q_predictions_total_stream,
+    "drift_events_total_stream": q_drift_events_total_stream,
     "gbt_metrics": q_gbt_metrics,
     "gbt_metric_values": q_gbt_metric_values,
     "batch_predictions": q_batch_predictions,
@@ -713,6 +879,7 @@ QUERIES: dict[str, Query] = {
     "engineered_run": q_engineered_run,
     "engineered_run_metrics": q_engineered_run_metrics,
     "champion_scoring": q_champion_scoring,
+    "run_log": q_run_log,
     "champion_scores": q_champion_scores,
 }
 
@@ -897,3 +1064,55 @@ SELECT r.ticker, CASE WHEN lt.d IS NULL THEN 'unknown_ticker' WHEN lt.n < 100 TH
   CASE WHEN lt.n >= 100 THEN strftime(lt.d, '%Y-%m-%d %H:%M:%S') END AS prediction_date, CASE WHEN lt.n >= 100 THEN true END AS in_range
 FROM (SELECT DISTINCT ticker FROM plog) r LEFT JOIN lt ON lt.ticker = r.ticker""",
 }
+
+_ROW_TEXT = (
+    "concat_ws('|', ticker, CAST(epoch_us(date) AS VARCHAR), CAST(label AS VARCHAR), "
+    + ", ".join(f"coalesce(CAST(CAST(round({c} * 1000000.0) AS BIGINT) AS VARCHAR), '')" for c in V2)
+    + ")"
+)
+_ALL_DRIFT = O.DRIFT.replace("FROM ts WHERE date >= " + O.SPLIT, "FROM fv2")
+
+
+def _over_last(window: int, value: str) -> str:
+    """A user feature at the last bar, null of fewer than ``window`` bars."""
+    return f"CASE WHEN count(*) FILTER (WHERE rn <= {window}) = {window} THEN {value.format(w=f'FILTER (WHERE rn <= {window})')} END"
+
+
+ORACLES |= {
+    "training_set_bucketed": ORACLES["training_set"],
+    "stream_windows_chunked": ORACLES["sliding_windows"],
+    "predictions_total_stream": ORACLES["predictions_total"],
+    "drift_events_total_stream": ORACLES["drift_events_total"],
+    "fingerprint_ordered": f"{O.TRAINING_BASE} SELECT CAST(sum(CAST(('0x' || substr(md5(CAST(pos AS VARCHAR) || '|' || row_text), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest, "
+    f"count(*) AS rows FROM (SELECT row_number() OVER (ORDER BY ticker, date) - 1 AS pos, {_ROW_TEXT} AS row_text FROM ts WHERE date < {O.SPLIT})",
+    "stream_scores": f"{O.TRAINING_BASE}, {O.STATS}, {_ALL_DRIFT} SELECT b.ticker, b.date, CASE WHEN dr.ticker IS NULL THEN 'short_history' ELSE 'ok' END AS status, "
+    "dr.n_drifted > 0 AS drift_detected, dr.drifted_features, CASE WHEN dr.ticker IS NOT NULL THEN '1' END AS model_version, "
+    "CAST(dr.ticker IS NOT NULL AS BIGINT) AS logged, CASE WHEN dr.ticker IS NOT NULL THEN true END AS in_range "
+    "FROM bars b LEFT JOIN dr ON dr.ticker = b.ticker AND dr.date = b.date",
+    "stream_champions": f"WITH RECURSIVE {O.BARS},{O.window_features()},{O.ema_recursive()},{O.FEATURES_V2_TABLE},{O.RUNS}, "
+    f"mine AS (SELECT * FROM fold WHERE model = '{REGISTRY_MODEL}' AND promoted) "
+    f"SELECT ticker, date, CAST(CASE WHEN date < TIMESTAMP '{STREAM_SPLIT}' "
+    f"THEN (SELECT arg_max(version, run_seq) FROM mine WHERE run_seq <= DATE '{REGISTRY_CUT}' - DATE '1970-01-01') "
+    "ELSE (SELECT arg_max(version, run_seq) FROM mine) END AS VARCHAR) AS model_version FROM fv2",
+    "latest_features_grouped": f"""WITH {O.BARS}, u AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM bars)
+SELECT ticker, strftime(max(date), '%Y-%m-%d %H:%M:%S') AS prediction_date,
+  round((max(close) FILTER (WHERE rn = 1) - max(close) FILTER (WHERE rn = 2)) / NULLIF(max(close) FILTER (WHERE rn = 2), 0), 6) AS return_1d,
+  round({_over_last(15, "median(close) {w}")}, 6) AS median_15,
+  round({_over_last(30, "(max(close) FILTER (WHERE rn = 1) - min(low) {w}) / (max(high) {w} - min(low) {w})")}, 6) AS range_position_30,
+  round({_over_last(10, "sum(high - low) {w}")}, 6) AS spread_sum_10
+FROM u GROUP BY ticker""",
+    "online_parity": f"WITH {O.BARS} SELECT DISTINCT ticker, feature, true AS same FROM bars, "
+    f"(SELECT unnest([{', '.join(repr(f.name) for f in USER_SET.features)}]) AS feature)",
+    "request_answers": f"""{O.LOG_BASE}, lt AS (SELECT ticker, max(date) AS d FROM bars GROUP BY ticker)
+SELECT r.ticker, r.prediction_date, r.model_version, CASE WHEN lt.d IS NULL THEN 'unknown_ticker' ELSE 'ok' END AS status,
+  strftime(lt.d, '%Y-%m-%d %H:%M:%S') AS latest_bar FROM plog r LEFT JOIN lt ON lt.ticker = r.ticker""",
+    "run_log": f"WITH RECURSIVE fp AS ({ORACLES['fingerprint']}), "
+    f"n AS ({O.TRAINING_BASE} SELECT count(*) FILTER (WHERE date < {O.SPLIT}) AS a, count(*) FILTER (WHERE date >= {O.SPLIT}) AS b FROM ts), "
+    f"o AS (WITH {O.BARS},{O.labels()} SELECT count(*) FILTER (WHERE date < {O.SPLIT}) AS a, count(*) FILTER (WHERE date >= {O.SPLIT}) AS b FROM lb WHERE label IS NOT NULL), "
+    "t AS (SELECT string_agg(event_type, ',' ORDER BY event_type) AS tickers FROM (SELECT DISTINCT event_type FROM events)), "
+    f"p AS (SELECT '{SPLIT_DATE}' AS test_split_date, '5' AS n_estimators, '4' AS max_depth, '0.05' AS learning_rate, '0.8' AS subsample, '0.8' AS colsample_bytree, '42' AS random_state, false AS dry_run) "
+    "SELECT CAST(1 AS BIGINT) AS run_seq, 'baseline_classifier' AS model, tickers, 'open,high,low,close,volume' AS feature_columns, CAST(a AS VARCHAR) AS train_rows, CAST(b AS VARCHAR) AS test_rows, "
+    "p.*, NULL AS feature_set, NULL AS feature_set_version, NULL AS train_data_fingerprint FROM o, t, p UNION ALL "
+    f"SELECT CAST(2 AS BIGINT), 'direction_classifier', tickers, '{','.join(V2)}', CAST(a AS VARCHAR), CAST(b AS VARCHAR), p.*, 'engineered', '2', "
+    "fp.digest || ':' || CAST(fp.rows AS VARCHAR) FROM n, t, p, fp",
+}

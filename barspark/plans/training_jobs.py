@@ -1,12 +1,15 @@
 """Training jobs (M1-M6) and the run log (C4, C6), on MLlib and plain tables.
 
 The classifier is MLlib's gradient-boosted trees with the reference's hyper-parameters (not
-bit-equal to XGBoost).  Runs are appended to a Parquet ``runs`` table; versions, promotions and
-the champion are derived from it (:mod:`barspark.operators.registry`).
+bit-equal to XGBoost).  Runs are numbered records of a ``runs`` folder, each created only if its number is free, so
+parallel jobs get numbers of their own; versions, promotions and the champion are derived from them
+(:mod:`barspark.operators.registry`).
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -93,30 +96,53 @@ def runs_table(root: str) -> str:
     return fsutil.join(root, "runs")
 
 
+_RECORD = re.compile(r"run-(\d+)\.json")
+
+
+def _run_numbers(spark: SparkSession, root: str) -> list[int]:
+    found = (_RECORD.fullmatch(n) for n in fsutil.list_names(spark, runs_table(root)))
+    return sorted(int(m[1]) for m in found if m)
+
+
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    path = runs_table(root)
-    if not fsutil.exists(spark, path):
+    if not _run_numbers(spark, root):
         return spark.createDataFrame([], RUNS)
-    return spark.read.schema(RUNS).parquet(path)
-
-
-def record_run(spark: SparkSession, root: str, result: RunResult, model: str = MODEL_NAME, dry_run: bool = False) -> None:
-    """Append one run (params, metrics, model path).  ``run_seq`` = previous max + 1."""
-    seq_row = read_runs(spark, root).agg(F.max("run_seq").alias("m")).collect()[0]  # one row
-    seq = (seq_row["m"] or 0) + 1
-    row = [
-        (
-            result.run_id,
-            model,
-            int(seq),
-            result.metrics.get("roc_auc"),
-            bool(dry_run),
-            result.model_path,
-            {k: str(v) for k, v in result.params.items()},
-            {k: float(v) for k, v in result.metrics.items()},
-        )
-    ]
-    spark.createDataFrame(row, RUNS).write.mode("append").parquet(runs_table(root))
+    return spark.read.schema(RUNS).json(runs_table(root))
+
+
+def record_run(spark: SparkSession, root: str, result: RunResult, model: str = MODEL_NAME, dry_run: bool = False) -> int:
+    """One run (params, metrics, model path) under the next free number, which is returned.
+
+    A record is created only if no other has its number; a writer that comes second takes the next one.
+    """
+    row = {
+        "run_id": result.run_id,
+        "model": model,
+        "roc_auc": result.metrics.get("roc_auc"),
+        "dry_run": bool(dry_run),
+        "model_path": result.model_path,
+        "params": {k: str(v) for k, v in result.params.items()},
+        "metrics": {k: float(v) for k, v in result.metrics.items()},
+    }
+    seq = max(_run_numbers(spark, root), default=0) + 1
+    while True:
+        try:
+            fsutil.create_text(spark, fsutil.join(runs_table(root), f"run-{seq:09d}.json"), json.dumps(row | {"run_seq": seq}))
+            return seq
+        except FileExistsError:
+            seq += 1
+
+
+#: Tickers named in a run's parameters; of more of them the first by name and the count are.
+LOGGED_TICKERS = 1000
+
+
+def ticker_names(bars: DataFrame) -> str:
+    """The tickers of a run, by name, joined by commas."""
+    names = [r[0] for r in bars.select(TICKER).distinct().orderBy(TICKER).limit(LOGGED_TICKERS + 1).collect()]
+    if len(names) <= LOGGED_TICKERS:
+        return ",".join(map(str, names))
+    return ",".join(map(str, names[:LOGGED_TICKERS])) + f",... ({bars.select(TICKER).distinct().count()} in all)"
 
 
 def _save(model: PipelineModel, root: str, run_id: str) -> str:
@@ -138,9 +164,13 @@ def _run_baseline(spark, bars, root, split_date, params, record) -> RunResult:
     train, test = labels_op.time_split(data, split_date)
     model = fit(train, BASELINE_COLUMNS, params)
     m = metrics_dict(evaluate(model, test))
+    counts = train_op.split_counts(data, split_date, keys=[]).collect()[0]  # one row
     run_id = uuid.uuid4().hex
-    res = RunResult(run_id, m, {**GBT_PARAMS, **(params or {}), "test_split_date": split_date,
-                                "feature_columns": ",".join(BASELINE_COLUMNS)}, _save(model, root, run_id))
+    logged = {
+        **GBT_PARAMS, **(params or {}), "test_split_date": split_date, "feature_columns": ",".join(BASELINE_COLUMNS),
+        "tickers": ticker_names(bars), "train_rows": counts["train_rows"], "test_rows": counts["test_rows"],
+    }
+    res = RunResult(run_id, m, logged, _save(model, root, run_id))
     if record:
         record_run(spark, root, res, model=BASELINE_MODEL_NAME)
     return res
@@ -180,6 +210,7 @@ def _run_engineered(spark, bars, root, split_date, run_date, fs, params, record,
         "feature_set_version": fs.version, "feature_columns": ",".join(fs.feature_names),
         "train_rows": counts["train_rows"], "test_rows": counts["test_rows"],
         "train_data_fingerprint": f"{fp['digest']}:{fp['rows']}", "training_stats_path": stats_path,
+        "tickers": ticker_names(bars),
     }
     if run_date is not None:
         params_out["run_date"] = run_date
@@ -207,6 +238,15 @@ def load_champion(spark: SparkSession, root: str) -> tuple[PipelineModel, str]:
     return PipelineModel.load(c["model_path"]), str(c["champion_version"])
 
 
+def load_version(spark: SparkSession, root: str, version: str) -> PipelineModel:
+    """The model of a registered version, promoted or not; ``RuntimeError`` when there is none."""
+    runs = read_runs(spark, root).where(F.col("model") == MODEL_NAME)
+    found = reg_op.run_versions(runs).where(F.col("version") == int(version)).select("model_path").collect()  # one row
+    if not found:
+        raise RuntimeError(f"model {MODEL_NAME!r} has no version {version}")
+    return PipelineModel.load(found[0][0])
+
+
 def run_dated(spark: SparkSession, bars: DataFrame, root: str, run_date: str, dry_run: bool = False,
               params: dict | None = None) -> tuple[RunResult, bool]:
     """M6: split = run_date - 90 days; train; decide promotion (C5) against the champion.

@@ -9,6 +9,7 @@ from __future__ import annotations
 import contextlib
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Open scratch scopes (innermost last): paths created while a scope is open are removed when it
@@ -36,7 +37,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a temporary sibling, then rename to a new name; fails if the name is taken."""
+    """Write to a temporary sibling, then rename to a new name; ``FileExistsError`` if the name is taken.
+
+    The rename itself refuses a taken name where the file system can (``FileContext`` without overwrite), so of
+    two writers one fails.
+    """
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     if fs.exists(p):
@@ -45,10 +50,28 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if not fs.rename(tmp, p):
+    if not _rename_new(spark, fs, tmp, p):
+        fs.delete(tmp, False)
         raise FileExistsError(path)
 
 
+def _rename_new(spark: SparkSession, fs, source, target) -> bool:
+    """Rename to a name that is free; false if it is not (any more)."""
+    jvm = spark.sparkContext._jvm
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    except Py4JJavaError:  # a store without a FileContext: its own rename
+        return bool(fs.rename(source, target))
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(source), fs.makeQualified(target), no_overwrite)
+    except Py4JJavaError as exc:
+        if "FileAlreadyExists" in exc.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """``create_text`` that replaces an older file (for files that a retry rewrites with the same name)."""
     fs, p = _fs(spark, path)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barspark.functions.features import FeatureSet, helper_columns
+from barspark.functions.features import Feature, FeatureSet, helper_columns
 from barspark.operators.features import compute_features
 from barspark.schemas import DATE, TICKER, TRAINING_STATS
 from barspark.session import materialize
@@ -88,26 +89,60 @@ def latest_features(
     """W10 + T4: the online vector of every ticker, from its last ``max_required_window`` bars.
 
     Window features equal the offline ones at the last row; an EMA feature uses the online
-    definition (MACD over the slice, seeded at the slice start).  Short slices give nulls.
+    definition (MACD over the slice, seeded at the slice start).  A user feature without a Column form is
+    called on each ticker's slice of ``lookback + 1`` bars, in the grouping that the windows use.  Short slices give nulls.
     ``prediction_date`` is the last bar's time as text: date and time by default (bars may be
     intraday); ``date_format="yyyy-MM-dd"`` gives the date-only form of daily bars.
     """
     keys = keys or [TICKER]
-    n = fs.max_required_window
+    called = [f for f in fs.features if f.online is None and f.build is None]
+    n = max([fs.max_required_window, *[f.lookback + 1 for f in called]])
     tail = tail_n(bars, n, keys, time)
     # the slice holds at most n rows per ticker: a plain per-ticker window is bounded here
     w = Window.partitionBy(*keys).orderBy(time)
     rows = tail.withColumns(helper_columns(w))
-    cols = {f.name: f.online_column(w) for f in fs.features}
-    missing = [name for name, col in cols.items() if col is None]
-    if missing:
-        raise ValueError(f"features without an online Column form: {missing}")
+    cols = {f.name: f.online_column(w) for f in fs.features if f not in called}
     rows = rows.withColumns(cols).withColumn("_last", F.row_number().over(w.orderBy(F.col(time).desc())))
+    if called:
+        rows = _with_called(rows, keys, time, called)
     return rows.where(F.col("_last") == 1).select(
         *keys, F.date_format(time, date_format).alias("prediction_date"), *fs.feature_names
     )
 
 
+def _with_called(rows: DataFrame, keys: list[str], time: str, features: list[Feature]) -> DataFrame:
+    """Each ticker's last row with the features' online values (one grouped map over the bounded slices)."""
+
+    def last(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(time, kind="stable", ignore_index=True)
+        return pdf.tail(1).assign(**{f.name: f.online_value(pdf) for f in features})
+
+    fields = [T.StructField(f.name, T.DoubleType()) for f in features]
+    out = rows.groupBy(*keys).applyInPandas(last, T.StructType([*rows.schema.fields, *fields]))
+    return out.withColumns({f.name: F.nanvl(F.col(f.name), F.lit(None).cast("double")) for f in features})
+
+
+def online_parity(bars: DataFrame, fs: FeatureSet, tolerance: float = 1e-9) -> DataFrame:
+    """X1's check: ``ticker, feature, online, offline, same`` of every ticker's last bar.
+
+    ``same``: both null, or apart by at most ``tolerance`` of the greater (features whose online definition differs, as the MACD over 100
+    bars, are expected to be apart).
+    """
+    last = bars.groupBy(TICKER).agg(F.max(DATE).alias(DATE))
+    offline = compute_features(bars, fs, dropna=False).join(last, [TICKER, DATE], "left_semi")
+    online = latest_features(bars, fs)
+    names = fs.feature_names
+
+    def long(df: DataFrame, name: str) -> DataFrame:
+        pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias(name)) for n in names]))
+        return df.select(TICKER, pairs.alias("p")).select(TICKER, "p.feature", f"p.{name}")
+
+    near = F.abs(F.col("online") - F.col("offline")) <= tolerance * F.greatest(F.abs("online"), F.abs("offline"), F.lit(1e-300))
+    both = long(online, "online").join(long(offline, "offline"), [TICKER, "feature"])
+    none = F.col("online").isNull() & F.col("offline").isNull()
+    return both.withColumn("same", none | F.coalesce(near, F.lit(False)))
+
+
 def backfill_slice(bars: DataFrame, fs: FeatureSet, start: str | None, end: str | None) -> DataFrame:
     """Features recomputed on the full history, then ``start <= date <= end`` (both optional).
 
