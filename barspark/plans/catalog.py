@@ -624,7 +624,7 @@ def q_stream_scores(spark, sf):
     )
 
 
-REGISTRY_MODEL, REGISTRY_CUT = LOAD_ONE, "2024-01-08"
+REGISTRY_MODEL, REGISTRY_CUT = "purchase", "2024-01-02"
 
 
 def q_stream_champions(spark, sf):
