@@ -37,6 +37,44 @@ def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterat
     give_back()
 
 
+def arrow_slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """As :func:`text_slices`, with the texts left in Arrow (null reads as '') and about ``limit`` bytes a slice."""
+    for batch in batches:
+        col = batch.column(batch.schema.get_field_index(text))
+        if batch.num_rows == 0:
+            continue
+        run = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0).cast(pa.int64()))) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a), pc.fill_null(col.slice(a, b - a), "")
+    give_back()
+
+
+def distinct(words: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """(distinct words in the order they appear, each word's number among them)."""
+    coded = pc.dictionary_encode(words)
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks() if coded.num_chunks != 1 else coded.chunk(0)
+    if isinstance(coded, pa.ChunkedArray):  # no chunk at all
+        return pa.array([], words.type), np.zeros(0, np.int32)
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+
+
+def gather(flat: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Runs ``flat[at[r]:at[r + 1]]`` of the rows, joined."""
+    size = at[rows + 1] - at[rows]
+    ends = np.cumsum(size)
+    if not ends.size or not ends[-1]:
+        return flat[:0]
+    return flat[np.repeat(at[rows] - (ends - size), size) + np.arange(ends[-1])]
+
+
+def runs_of(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids as bytes, joined: (ids, where each run starts, and the end)."""
+    at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, values), np.int64, len(values)) // 4)])
+    return np.frombuffer(b"".join(values), "<u4"), at
+
+
 def give_back() -> None:
     """Return freed memory to the system: a worker process lives on after its task, beside the tasks of
     later stages, and would keep its peak size."""
