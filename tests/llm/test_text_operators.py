@@ -132,7 +132,8 @@ def test_bpe_words_equal_the_library(edge, nothing, byte_bpe):
 
 
 def test_bpe_blocks_are_cut_between_documents(edge, byte_bpe, monkeypatch):
-    monkeypatch.setattr(bpe_words, "BLOCK_CHARS", 500)
+    monkeypatch.setattr(bpe_words, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(bpe_words, "GROUP_WORDS", 7)
     load = lambda: bpe_words.Codec(public_tokenizers.path(queries.BYTES))
     out = bpe_words.encode_decode(edge, load, "test").collect()
     got = sorted(((r.id, len(r.ids)) for r in out), key=key)
