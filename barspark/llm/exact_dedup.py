@@ -10,8 +10,9 @@ compares the full normalised text (it is a grouping key beside the digest):
 3. *global*: the salt winners (at most ``salts`` rows a text) are combined by (digest, text).
 
 The members then look up their winner by (digest, second hash, length): the text is no longer there, so this last
-step rests on SHA-256, XXH64 and length together, and texts agreeing in all three would multiply rows.  The side that is looked up
-has one row a text and a member row stands for a whole local group, so no key is hot.
+step rests on SHA-256, XXH64 and length together, and texts agreeing in all three would multiply rows.  The winners of hot
+texts (more than ``HOT_SHARE`` of all local groups, so at most its inverse of them) are broadcast, and their members
+take part in the shuffle for the others under keys of their own: no task gets a hot text's members.
 """
 
 from __future__ import annotations
@@ -27,8 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barspark.llm.common import forget_kept, text_slices
+from barspark.session import materialize
 
 SALTS = 32
+#: Texts with more than this share of the local groups are looked up through a broadcast (at most 1 / share of them).
+HOT_SHARE = 1e-4
 _LOCAL = "digest string, tag bigint, size bigint, ids array<bigint>, top bigint, n bigint"
 
 
@@ -73,20 +77,35 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     salted = (
         full.withColumn("salt", F.pmod(F.xxhash64("top", "n"), F.lit(salts)))
         .groupBy("digest", "salt", "norm", "tag", "size")
-        .agg(F.max("top").alias("top"), F.sum("n").alias("n"))
+        .agg(F.max("top").alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"))
     )
     winners = (
         salted.groupBy("digest", "norm", "tag", "size")
-        .agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
+        .agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"), F.sum("groups").alias("groups"))
         .drop("norm")
     )
     members = rows.mapInArrow(_local_groups(False, digest_chars), _LOCAL).select("digest", "tag", "size", "ids")
-    out = members.join(winners, ["digest", "tag", "size"]).withColumn("id", F.explode("ids"))
+    out = _with_winners(members, materialize(winners, "text-winners")).withColumn("id", F.explode("ids"))
     return out.select(
         "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256")
     )
 
 
+def _with_winners(members: DataFrame, winners: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """Each member row (a local group) with its text's ``keep_id`` and ``group_size``; ``winners`` is a stored table."""
+    groups = winners.agg(F.sum("groups")).first()[0] or 0
+    hot = winners.where(F.col("groups") > share * groups).select("digest", "tag", "size", F.col("keep_id").alias("hot_id"), F.col("group_size").alias("hot_size"))
+    near = members.join(F.broadcast(hot), ["digest", "tag", "size"], "left")
+    # a hot text's member has its answer: it goes anywhere, under a key that no winner has
+    own = F.when(F.col("hot_size").isNull(), F.col("digest")).otherwise(F.concat(F.lit("-"), F.xxhash64("ids").cast("string")))
+    cold = winners.where(F.col("groups") <= share * groups).select(F.col("digest").alias("key"), "tag", "size", "keep_id", "group_size")
+    found = near.withColumn("key", own).join(cold, ["key", "tag", "size"], "left")
+    known = F.col("hot_size").isNotNull()
+    return found.select(
+        "digest", "ids", F.when(known, F.col("hot_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("hot_size", "group_size").alias("group_size")
+    )
+
+
 def _local_first(id_at: int, text_at: int):
     """Of each slice's equal texts the row with the largest id, with the digest of its normalised text."""
 

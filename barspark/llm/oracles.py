@@ -11,8 +11,13 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
-def raked_mix(targets: dict[str, dict[str, float]], sweeps: int = 80, trim: float = 0.05) -> str:
-    """Raking by a fixed number of sweeps (more than it takes to settle), then the rate and the draw."""
+def raked_mix(targets: dict[str, dict[str, float]], sweeps: int = 80, trim: float = 0.05, short: float = 0.05) -> str:
+    """Raking by a fixed number of sweeps (more than it takes to settle), then the rate and the draw.
+
+    The rate is the larger of two: beyond the first, cells stand for at most ``trim`` of all wanted tokens; at the second, every
+    category keeps ``1 - short`` of its own.  What a category keeps at rate r is concave in r (cells of smaller scales whole, r
+    of the others' tokens), so the least rate is the largest root of its straight pieces.
+    """
 
     def classed(column: str, names: list[str]) -> str:
         return f"CASE WHEN {column} IN ({', '.join(repr(n) for n in names)}) THEN {column} ELSE '*' END"
@@ -46,10 +51,15 @@ shares AS (SELECT d, name, want / sum(want) OVER (PARTITION BY d) AS want FROM w
 start AS (SELECT 0 AS n, k0, k1, k2, tokens, a.want AS w0, b.want AS w1, c.want AS w2, 1::DOUBLE AS scale FROM cells
   JOIN shares a ON a.d = 0 AND a.name = k0 JOIN shares b ON b.d = 1 AND b.name = k1 JOIN shares c ON c.d = 2 AND c.name = k2),
 raked AS (SELECT * FROM start UNION ALL SELECT n + 1, k0, k1, k2, tokens, w0, w1, w2, scale FROM ({sweep})),
-done AS (SELECT k0, k1, k2, scale, tokens * scale AS wanted FROM raked WHERE n = {sweeps}),
+done AS (SELECT k0, k1, k2, tokens, scale, tokens * scale AS wanted FROM raked WHERE n = {sweeps}),
 ranked AS (SELECT *, sum(wanted) OVER () AS total,
   coalesce(sum(wanted) OVER (ORDER BY scale DESC, k0, k1, k2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM done),
-rate AS (SELECT min(scale) AS rate FROM ranked WHERE above <= {trim} * total),
+cats AS (SELECT unnest([0, 1, 2]) AS d, unnest([k0, k1, k2]) AS name, row_number() OVER () AS i, tokens, scale FROM done),
+pieces AS (SELECT {1 - short} * sum(tokens * scale) OVER (PARTITION BY d, name) AS goal,
+  coalesce(sum(tokens * scale) OVER (PARTITION BY d, name ORDER BY scale, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+  sum(tokens) OVER (PARTITION BY d, name ORDER BY scale, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM cats),
+rate AS (SELECT greatest((SELECT min(scale) FROM ranked WHERE above <= {trim} * total),
+  (SELECT coalesce(max((goal - below) / rest), 0) FROM pieces WHERE goal > 0 AND rest > 0)) AS rate),
 drawn AS (SELECT keyed.*, least(1.0, coalesce(scale / rate, 0.0)) AS p,
   CAST('0x' || substr(sha256(concat_ws(chr(31), CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
   FROM keyed CROSS JOIN rate LEFT JOIN done ON done.k0 = keyed.k0 AND done.k1 = keyed.k1 AND done.k2 = keyed.k2)
