@@ -49,9 +49,10 @@ def test_the_second_rule_bites_on_the_skewed_table(spark):
 
 
 def test_members_of_a_hot_text_spread_over_the_join(spark):
-    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("digest")
         members = spark.range(60_000).select(key, F.lit(1).cast("bigint").alias("tag"), F.lit(1).cast("bigint").alias("size"), F.array("id").alias("ids"))
