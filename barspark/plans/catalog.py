@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barspark.functions.columns import ratio_change
+from barspark.functions.columns import epoch_micros, ratio_change
 from barspark.functions.features import (
     ENGINEERED_V1,
     ENGINEERED_V2,
@@ -22,6 +22,7 @@ from barspark.functions.features import (
     volatility,
 )
 from barspark.functions.features import pct_return, rsi, volume_ratio
+from barspark.operators import boosting
 from barspark.operators import drift as drift_op
 from barspark.operators import labels as labels_op
 from barspark.operators import metrics as metrics_op
@@ -680,6 +681,28 @@ def _fitted(spark, sf):
     return jobs.fit(train, ENGINEERED_V2.feature_names), test
 
 
+#: The first trees, in bins of equal width (whose edges SQL can work out as well).
+FIRST_TREES = boosting.BoostParams(trees=3, depth=3, bins=16)
+
+
+def _boosted(spark, sf):
+    train, test = labels_op.time_split(r6(_training_set(spark, sf), ENGINEERED_V2.feature_names), SPLIT_DATE)
+    names = ENGINEERED_V2.feature_names
+    edges = boosting.even_edges(train, names, FIRST_TREES.bins)
+    key = F.concat_ws("|", TICKER, epoch_micros(F.col(DATE)).cast("string"))
+    return boosting.fit_boosted(train, names, key, FIRST_TREES, test, edges=edges)
+
+
+def q_boosted_nodes(spark, sf):
+    """M1, second order: cuts, gains and weights of the first trees."""
+    return r6(_boosted(spark, sf).table(spark).drop("threshold"), ["gain", "hessian", "weight"])
+
+
+def q_boosted_rounds(spark, sf):
+    """M1: the test rows' log loss after each tree."""
+    return r6(_boosted(spark, sf).rounds(spark), ["log_loss"])
+
+
 def _in_unit(*cols: str):
     ok = F.lit(True)
     for c in cols:
@@ -870,6 +893,8 @@ QUERIES: dict[str, Query] = {
     "stream_champions": q_stream_champions,
     "predictions_total_stream": q_predictions_total_stream,
     "drift_events_total_stream": q_drift_events_total_stream,
+    "boosted_nodes": q_boosted_nodes,
+    "boosted_rounds": q_boosted_rounds,
     "gbt_metrics": q_gbt_metrics,
     "gbt_metric_values": q_gbt_metric_values,
     "batch_predictions": q_batch_predictions,
@@ -1116,3 +1141,12 @@ SELECT r.ticker, r.prediction_date, r.model_version, CASE WHEN lt.d IS NULL THEN
     f"SELECT CAST(2 AS BIGINT), 'direction_classifier', tickers, '{','.join(V2)}', CAST(a AS VARCHAR), CAST(b AS VARCHAR), p.*, 'engineered', '2', "
     "fp.digest || ':' || CAST(fp.rows AS VARCHAR) FROM n, t, p, fp",
 }
+
+_p = FIRST_TREES
+_BOOSTED = f"{O.TRAINING_BASE}, " + O.boosted_trees(
+    V2, [boosting.drawn_columns(V2, t, _p) for t in range(_p.trees)], _p.depth, _p.bins, _p.rate, _p.rows, _p.seed, _p.ridge, _p.min_hessian
+)
+ORACLES |= {
+    "boosted_nodes": f"{_BOOSTED} SELECT tree, node, feature, cut, {O.r6(['gain', 'hessian', 'weight'])} FROM nd",
+    "boosted_rounds": f"{_BOOSTED} SELECT tree, {O.r6(['log_loss'])} FROM ls",
+}

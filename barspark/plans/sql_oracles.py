@@ -218,3 +218,61 @@ fold(model, version, run_id, run_seq, roc_auc, promoted, champion_version, champ
   FROM fold f JOIN rv r ON r.model = f.model AND r.version = f.version + 1)"""
 
 RUNS_BASE = "WITH RECURSIVE " + RUNS
+
+
+def boosted_trees(features: list[str], columns: list[list[str]], depth: int, bins: int, rate: float, rows: float, seed: int, ridge: float, min_hessian: float) -> str:
+    """CTEs ``nd`` (nodes) and ``ls`` (log loss of the test rows) of boosted trees over ``ts``, one tree per list of ``columns``.
+
+    Every level sums gradients and hessians by (node, feature, bin) over plain joins; leaves sum the rows they hold.
+    """
+    x = ", ".join(f"round({c}, 6) AS {c}" for c in features)
+    ends = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in features)
+    # an edge is written once per value, as a set of them would be
+    cut = " UNION ALL ".join(
+        f"SELECT id, {i} AS f, CASE WHEN hi_{c} > lo_{c} THEN len(list_distinct([lo_{c} + (hi_{c} - lo_{c}) * k / {bins} FOR k IN range(1, {bins}) "
+        f"IF {c} >= lo_{c} + (hi_{c} - lo_{c}) * k / {bins}])) ELSE 0 END AS b FROM bx0, be"
+        for i, c in enumerate(features)
+    )
+    ctes = [
+        f"bx0 AS (SELECT ticker || '|' || CAST(epoch_us(date) AS VARCHAR) AS id, date < {SPLIT} AS train, CAST(label AS DOUBLE) AS y, {x} FROM ts)",
+        f"be AS (SELECT {ends} FROM bx0 WHERE train)",
+        f"bb AS MATERIALIZED ({cut})",
+        "m0 AS (SELECT id, train, y, CAST(0 AS DOUBLE) AS margin FROM bx0)",
+    ]
+    nodes, losses = [], []
+    for t, own in enumerate(columns):
+        chosen = ", ".join(str(features.index(c)) for c in own)
+        ctes.append(
+            f"g{t} AS MATERIALIZED (SELECT id, y, train AND CAST('0x' || substr(md5(id || '|{t}|{seed}'), 1, 8) AS BIGINT) < {int(rows * (1 << 32))} AS drawn, "
+            f"1.0 / (1.0 + exp(-margin)) - y AS g, greatest(1.0 / (1.0 + exp(-margin)) * (1 - 1.0 / (1.0 + exp(-margin))), 1e-16) AS h FROM m{t})"
+        )
+        ctes.append(f"n{t}_0 AS (SELECT id, 1 AS node FROM g{t})")
+        for level in range(depth):
+            n = f"n{t}_{level}"
+            ctes.append(
+                f"h{t}_{level} AS (SELECT node, f, b, sum(g) AS g, sum(h) AS h FROM {n} JOIN g{t} USING (id) JOIN bb USING (id) "
+                f"WHERE drawn AND node >= {2**level} AND f IN ({chosen}) GROUP BY ALL)"
+            )
+            ctes.append(
+                f"c{t}_{level} AS (SELECT node, f, b, sum(g) OVER u AS gl, sum(h) OVER u AS hl, sum(g) OVER a AS gt, sum(h) OVER a AS ht FROM h{t}_{level} "
+                "WINDOW a AS (PARTITION BY node, f), u AS (PARTITION BY node, f ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
+            )
+            ctes.append(
+                f"q{t}_{level} AS (SELECT *, gl * gl / (hl + {ridge}) + (gt - gl) * (gt - gl) / (ht - hl + {ridge}) - gt * gt / (ht + {ridge}) AS gain FROM c{t}_{level})"
+            )
+            ctes.append(
+                f"s{t}_{level} AS MATERIALIZED (SELECT * FROM q{t}_{level} WHERE hl >= {min_hessian} AND ht - hl >= {min_hessian} AND gain > 0 "
+                "QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, b) = 1)"
+            )
+            ctes.append(
+                f"n{t}_{level + 1} AS MATERIALIZED (SELECT {n}.id, CASE WHEN s.node IS NULL THEN {n}.node ELSE 2 * {n}.node + CAST(bb.b > s.b AS INTEGER) END AS node "
+                f"FROM {n} LEFT JOIN s{t}_{level} s ON s.node = {n}.node LEFT JOIN bb ON bb.id = {n}.id AND bb.f = s.f)"
+            )
+            names = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(features)) + " END"
+            nodes.append(f"SELECT {t} AS tree, node, {names} AS feature, CAST(b AS INTEGER) AS cut, gain, ht AS hessian, NULL AS weight FROM s{t}_{level}")
+        ctes.append(f"w{t} AS (SELECT node, -{rate} * sum(g) / (sum(h) + {ridge}) AS weight, sum(h) AS hessian FROM n{t}_{depth} JOIN g{t} USING (id) WHERE drawn GROUP BY node)")
+        nodes.append(f"SELECT {t} AS tree, node, NULL AS feature, NULL AS cut, NULL AS gain, hessian, weight FROM w{t}")
+        ctes.append(f"m{t + 1} AS MATERIALIZED (SELECT m.id, train, y, margin + weight AS margin FROM m{t} m JOIN n{t}_{depth} USING (id) JOIN w{t} USING (node))")
+        losses.append(f"SELECT {t} AS tree, avg(ln(1 + exp(-abs(margin))) + greatest(margin, 0) - y * margin) AS log_loss FROM m{t + 1} WHERE NOT train")
+    ctes += [f"nd AS ({' UNION ALL '.join(nodes)})", f"ls AS ({' UNION ALL '.join(losses)})"]
+    return ", ".join(ctes)
