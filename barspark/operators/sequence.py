@@ -105,6 +105,23 @@ def sequence(df: DataFrame, keys: list[str], order: list[str], partitions: int |
     return Sequenced(rows=rows, totals=totals, keys=list(keys))
 
 
+def row_numbers(ordered: DataFrame, name: str = "row_no") -> DataFrame:
+    """The rows numbered from 0 in the order that they have (that of a global sort).
+
+    The order is written once, each row with its place in its partition; one number a partition comes to the driver.
+    """
+    spark = ordered.sparkSession
+    placed = materialize(ordered.withColumn("_mid", F.monotonically_increasing_id()), "ordered")
+    part, low = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    starts, at = [], 0
+    for p, n in sorted(placed.groupBy(part.alias("p")).count().collect()):
+        starts.append((p, at))
+        at += n
+    offsets = spark.createDataFrame(starts or [(0, 0)], "_part bigint, _start bigint")
+    joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # one row a partition
+    return joined.withColumn(name, F.col("_start") + low).drop("_mid", "_part", "_start")
+
+
 def chunk(rows: DataFrame, back: int = 0, fwd: int = 0, chunk_rows: int | None = None) -> DataFrame:
     """Assign ``_chunk`` and copy halo rows into neighbouring chunks; ``_core`` marks owned rows."""
     size = max(chunk_rows or DEFAULT_CHUNK_ROWS, back, fwd, 1)

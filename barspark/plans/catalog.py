@@ -6,6 +6,7 @@ Computed doubles are rounded to 6 places on both sides so the driver's value has
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from barspark.operators import registry as reg_op
 from barspark.operators import training as train_op
 from barspark.operators.ema_scan import macd_scan
 from barspark.operators.features import compute_features, ema_table, window_columns
+from barspark.operators.sequence import row_numbers
 from barspark.operators.validate import validation_report
 from barspark.plans import scoring
 from barspark.plans import sql_oracles as O
@@ -531,6 +533,31 @@ def q_load_all(spark, sf):
     return bars_src.load_all(spark, _written_bars(spark, sf), LOAD_MANY)
 
 
+def q_ordered_bars(spark, sf):
+    """Several tickers in (ticker, date) order, numbered as they come."""
+    ordered = bars_src.load_all(spark, _written_bars(spark, sf), LOAD_MANY, ordered=True)
+    return row_numbers(ordered).select("row_no", TICKER, DATE, "close")
+
+
+def q_merged_order(spark, sf):
+    """Old and new rows merged, sorted and numbered."""
+    bars = _bars(spark, sf)
+    old = bars.where(F.col(DATE) < F.to_timestamp_ntz(F.lit(UPSERT_OLD_END))).withColumn("close", F.col("close") + 1000)
+    merged = store.upsert(old, bars.where(F.col(DATE) >= F.to_timestamp_ntz(F.lit(UPSERT_START))))
+    return row_numbers(merged.orderBy(TICKER, DATE)).select("row_no", TICKER, DATE, "close")
+
+
+def q_log_timestamps(spark, sf):
+    """F8: every logged row has a UTC timestamp between the clock before the append and after it."""
+    path = fsutil.scratch(spark, "predlog")
+    began = dt.datetime.now(dt.timezone.utc).isoformat()
+    predlog.append_predictions(_log(spark, sf), path)
+    ended = dt.datetime.now(dt.timezone.utc).isoformat()
+    at = F.col("timestamp")
+    fits = at.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00$") & at.between(began, ended)
+    return predlog.read_predictions(spark, path).groupBy(TICKER).agg(F.count("*").alias("rows"), F.bool_and(fits).alias("in_interval"))
+
+
 def q_prediction_log_roundtrip(spark, sf):
     path = fsutil.scratch(spark, "predlog")
     predlog.append_predictions(_log(spark, sf), path)
@@ -884,6 +911,9 @@ QUERIES: dict[str, Query] = {
     "normalize_bars": q_normalize_bars,
     "load_ticker": q_load_ticker,
     "load_all": q_load_all,
+    "ordered_bars": q_ordered_bars,
+    "merged_order": q_merged_order,
+    "log_timestamps": q_log_timestamps,
     "prediction_log_roundtrip": q_prediction_log_roundtrip,
     "stream_rows": q_stream_rows,
     "stream_windows": q_stream_windows,
@@ -1150,3 +1180,11 @@ ORACLES |= {
     "boosted_nodes": f"{_BOOSTED} SELECT tree, node, feature, cut, {O.r6(['gain', 'hessian', 'weight'])} FROM nd",
     "boosted_rounds": f"{_BOOSTED} SELECT tree, {O.r6(['log_loss'])} FROM ls",
 }
+
+ORACLES |= {
+    "ordered_bars": f"WITH {O.BARS} SELECT row_number() OVER (ORDER BY ticker, date) - 1 AS row_no, ticker, date, close FROM bars "
+    f"WHERE ticker IN ({', '.join(repr(t) for t in LOAD_MANY)})",
+    "merged_order": f"WITH {O.BARS} SELECT row_number() OVER (ORDER BY ticker, date) - 1 AS row_no, ticker, date, "
+    f"CASE WHEN date < TIMESTAMP '{UPSERT_START}' THEN close + 1000 ELSE close END AS close FROM bars",
+    "log_timestamps": f"{O.LOG_BASE} SELECT ticker, count(*) AS rows, true AS in_interval FROM plog GROUP BY ticker",
+}
