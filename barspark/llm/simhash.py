@@ -10,7 +10,7 @@ and the pair collides there.  No pair within the radius is missed, whatever the
 
 Only distinct fingerprints enter the tables.  A bucket of up to ``direct`` of them is searched at once.
 A larger bucket is covered again by masks over the bits its first mask left free; what then shares a
-bucket differs in about 15 bits only, so at most some 2^15 distinct fingerprints can meet: a proven
+bucket differs in 13 to 16 bits only, so at most 2^16 distinct fingerprints can meet: a proven
 bound for a task, with no cap and no lost pair.  A bucket emits a spanning forest of its links, never
 its pairs; components are joined afterwards.
 """
