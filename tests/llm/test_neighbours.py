@@ -184,3 +184,45 @@ def test_recall_on_the_table(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert got.keys() == want.keys()
     assert sum(len(got[q] & {i for _, i in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+
+
+def recall_and_share(out, ids, v, k=5):
+    """Recall of the found rows against brute force, and the largest and mean share of the points verified."""
+    u = ann.unit(v)
+    got: dict = {}
+    share = {}
+    for r in out:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+        share[r.query_id] = r.verified / len(v)
+    hits = 0
+    for q in got:
+        score = u @ u[q]
+        score[q] = -2
+        hits += len(got[q] & set(ids[np.argpartition(-score, k)[:k]].tolist()))
+    return hits / (k * len(got)), float(np.mean(list(share.values()))), len(got)
+
+
+@pytest.mark.parametrize("n, step", [(2000, 50), (50_000, 500)])
+def test_the_stopping_test_stops_on_clustered_vectors(spark, n, step):
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(40, 64))[rng.integers(0, 40, n)] + 0.3 * rng.normal(size=(n, 64))
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id bigint, embedding array<double>")
+    out = ann.nearest(frame, lambda i: i % step == 0, group_rows=2048 if n > 2000 else 256).collect()
+    recall, share, queries_found = recall_and_share(out, np.arange(n), v)
+    assert queries_found == n // step
+    assert recall >= 0.9 and share < 0.3
+
+
+def test_rounds_blocks_and_salts_give_the_exact_result(spark):
+    rows = vectors(300, 4)
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    # 4 cells of 8 blocks, and every query in a task of its own copy of the group
+    out = ann.nearest(frame, lambda i: i % 30 == 0, confidence=1 - 1e-12, group_rows=10, max_cells=4, query_rows=1).collect()
+    want = brute(rows, lambda i: i % 30 == 0)
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in out) == sorted((q, k + 1, i) for q, best in want.items() for k, (_, i) in enumerate(best))
+
+
+def test_one_id_with_two_vectors_is_two_points(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])]
+    out = ann.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), lambda i: i == 0, k=1).collect()
+    assert sorted(r.vec_id for r in out) == [1, 2]
