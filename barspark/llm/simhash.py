@@ -12,7 +12,8 @@ Only distinct fingerprints enter the tables.  A bucket of up to ``direct`` of th
 A larger bucket is covered again by masks over the bits its first mask left free; what then shares a
 bucket differs in 13 to 16 bits only, so at most 2^16 distinct fingerprints can meet: a proven
 bound for a task, with no cap and no lost pair.  A bucket emits a spanning forest of its links, never
-its pairs; components are joined afterwards.
+its pairs; components are joined afterwards.  Names of hot fingerprints are broadcast to their rows
+(fewer than 1 / ``HOT_SHARE`` of them), so no task gathers a hot fingerprint's documents.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ RADIUS, SHINGLE, SEED = 3, 3, 42
 #: Distinct fingerprints of a bucket that are compared directly; larger buckets are covered again.
 DIRECT = 2048
 BITS = 64
+#: Share of all local groups from which a fingerprint counts as hot.
+HOT_SHARE = 1e-4
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -193,15 +196,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).cast("string").alias("t"))
     local = materialize(rows.mapInArrow(_local_fingerprints(shingle, SEED), "fp bigint, members array<struct<id:bigint,tag:bigint>>"), "fingerprints")
     low = F.array_min(F.transform("members", lambda m: m["id"]))  # array_min skips nulls
-    distinct = materialize(local.groupBy("fp").agg(F.min(low).alias("low")), "distinct_fp")
+    distinct = materialize(local.groupBy("fp").agg(F.min(low).alias("low"), F.count("*").alias("groups")), "distinct_fp")
     roots = connected_components(fingerprint_links(distinct.select("fp"), radius, direct))
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = linked.join(names, "root").select("fp", "root", "component_id")
-    out = local.join(named, "fp").select("fp", "root", "component_id", F.explode("members").alias("m"))
+    named = materialize(linked.join(names, "root").select("fp", "root", "component_id", "groups"), "named_fp")
+    out = _with_names(local, named).select("fp", "root", "component_id", F.explode("members").alias("m"))
     return out.select(F.col("m.id").alias("id"), F.col("m.tag").alias("tag"), "fp", "component_id", "root")
 
 
+def _with_names(local: DataFrame, named: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """Each slice's group of a fingerprint with its component; groups of hot fingerprints stay where they lie.
+
+    A fingerprint is hot if it has more than ``share`` of all groups, so there are fewer than 1 / share of them: their names are
+    broadcast, and the other groups meet their names by a join in which no key is hot.
+    """
+    total = named.agg(F.sum("groups")).first()[0] or 0
+    hot = F.broadcast(named.filter(F.col("groups") > share * total).drop("groups"))
+    cold = named.filter(F.col("groups") <= share * total).drop("groups")
+    return local.join(hot, "fp").unionByName(local.join(hot.select("fp"), "fp", "left_anti").join(cold, "fp").select("fp", "members", "root", "component_id"))
+
+
 def hex_fingerprint(fp: Column) -> Column:
     """16 lowercase hex digits of a signed 64-bit fingerprint."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -124,6 +124,27 @@ def test_near_duplicates_equal_brute_force(spark, nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.drop_near_duplicates(nothing).count() == 0
 
 
+def test_groups_of_hot_fingerprints_stay_in_their_tasks(spark):
+    """A fingerprint with a third of all groups adds no rows to any task of the look-up join."""
+    local = spark.range(3000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("fp"), F.array(F.struct("id", F.col("id").alias("tag"))).alias("members")
+    )
+    named = local.groupBy("fp").agg(F.count("*").alias("groups")).withColumn("root", F.col("fp")).withColumn("component_id", F.col("fp"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = simhash._with_names(local, named).withColumn("at", F.spark_partition_id())
+        sizes = [r["count"] for r in out.groupBy("at").count().collect()]
+        rows = out.select("fp", "root", "component_id", F.element_at("members", 1)["id"].alias("id")).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted(r.id for r in rows) == list(range(3000))
+    assert all(r.fp == r.root == r.component_id == (7 if r.id % 3 == 0 else r.id) for r in rows)
+    assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+
+
 def test_hex_fingerprint(spark):
     frame = spark.createDataFrame([(-1,), (0,), (255,)], "fp bigint")
     assert [r[0] for r in frame.select(simhash.hex_fingerprint(F.col("fp"))).collect()] == ["f" * 16, "0" * 16, "00000000000000ff"]
