@@ -11,8 +11,8 @@ word's length.  A text is rejected when its best cross-entropy lies above that l
 limit, set on fold texts that the models did not see, or when it has no letter.
 
 The models learn from a bounded sample: ``sample`` labelled texts a language, drawn by the hash of
-their id (whole texts; documented parameter), so their size does not grow with the corpus and they
-may travel with the tasks.  Scoring covers every row.
+their id (whole texts; documented parameter), whose bytes are bounded too, so their size does not grow
+with the corpus and they may travel with the tasks.  Scoring covers every row.
 """
 
 from __future__ import annotations
@@ -31,14 +31,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barspark.llm.common import NumberTable, kept_by_worker, sums_by_text, text_slices
+from barspark.session import materialize
 
 ORDER = 5
 SAMPLE = 400
 #: One in ``FOLDS`` sampled texts calibrates the rejection instead of training.
 FOLDS = 5
-#: Largest number of languages learnt (the most frequent labels).
-MAX_LANGUAGES = 256
+#: Most labels that are learnt without a choice of the caller's (``max_languages``); more are an error.
+MAX_LABELS = 2048
 _LOG = logging.getLogger(__name__)
+#: Largest UTF-8 size of one language's sampled texts, and of all models together (more is an error).
+MAX_SAMPLE_BYTES, MAX_MODEL_BYTES = 256 << 20, 512 << 20
+#: A language's draw looks at rows whose hash lies in a share of the range that holds about this many times the sample.
+DRAW_MARGIN = 4
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Distinct characters the uniform base model spreads over.
@@ -253,25 +258,58 @@ def _calibrate(words: list[list[str]], model: CharModel) -> list[float]:
     return [float(max(foreign, mean.max() + max(0.5, 4 * mean.std()))), 4 * spread]
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, order: int = ORDER, max_languages: int = MAX_LANGUAGES) -> LanguageModels:
+def _drawn(keyed: DataFrame, rows: dict[str, int], sample: int, margin: float = DRAW_MARGIN) -> DataFrame:
+    """The ``sample`` rows a language with the smallest hash (ties by id and text), numbered ``rn``, as a written table.
+
+    Only rows below a hash limit meet in a language's window: ``rows`` tells how many the language has, so the
+    limit lets a small multiple of the sample through, whatever the number of rows or input tasks.  A language whose limit let
+    too few through (ids that repeat a lot) is drawn again without one.
+    """
+    spark = keyed.sparkSession
+    order = Window.partitionBy("lang").orderBy("h", "id", "c")
+
+    def draw(limits: dict[str, int]) -> DataFrame:
+        below = F.broadcast(spark.createDataFrame(list(limits.items()), "lang string, most bigint"))
+        found = keyed.join(below, "lang").filter(F.col("h") <= F.col("most")).drop("most")
+        return materialize(found.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= sample), "drawn")
+
+    top = (1 << 63) - 1
+    first = draw({k: min(top, math.ceil((1 << 64) * min(1.0, margin * sample / n)) - (1 << 63)) for k, n in rows.items()})
+    held = {r.lang: r["count"] for r in first.groupBy("lang").count().collect()}
+    short = {k: top for k, n in rows.items() if held.get(k, 0) < min(sample, n)}
+    return first.filter(~F.col("lang").isin(list(short))).unionByName(draw(short)) if short else first
+
+
+def fit(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, order: int = ORDER, max_languages: int | None = None,
+    max_sample_bytes: int = MAX_SAMPLE_BYTES, max_model_bytes: int = MAX_MODEL_BYTES,
+) -> LanguageModels:
     """Models from a bounded sample of labelled texts; rows with a null label or text teach nothing.
 
-    The ``sample`` texts a language with the smallest hash of their id are drawn (ties by id and text).
-    The ``max_languages`` most frequent labels are learnt (ties by name); documents of others go to one of these
-    or are rejected, and a warning tells how many labels and rows that concerns.  The n-grams of a language are counted
-    from at most ``sample`` whole texts, by Spark as (language, word, count) and (fold texts).
+    The ``sample`` texts a language with the smallest hash of their id are drawn (ties by id and text), whole.
+    Every label is learnt; more than ``MAX_LABELS`` raise ValueError.  With ``max_languages`` the most frequent ones are learnt
+    (ties by name) and a warning tells how many labels and rows are not: documents of those go to another language or
+    are rejected.  A language whose drawn texts exceed ``max_sample_bytes``, and models that exceed ``max_model_bytes``
+    together, raise ValueError.  The n-grams of a language are counted by Spark as (language, word, count) and (fold
+    texts).  An empty table gives no languages.
     """
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t"))
     rows = rows.filter("lang is not null and t is not null")
-    labels = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    top = [r.lang for r in labels.limit(max_languages + 1).collect()]
-    if len(top) > max_languages:
-        top, more = top[:max_languages], top[max_languages]
-        left = labels.filter(~F.col("lang").isin(top)).agg(F.count("*").alias("labels"), F.sum("count").alias("rows")).first()
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    labels = {r.lang: r["count"] for r in counted.limit((max_languages or MAX_LABELS) + 1).collect()}
+    if max_languages and len(labels) > max_languages:
+        more = labels.popitem()[0]
+        left = counted.filter(~F.col("lang").isin(list(labels))).agg(F.count("*").alias("labels"), F.sum("count").alias("rows")).first()
         _LOG.warning("%d labels (%r first) on %d rows are not learnt: max_languages is %d", left.labels, more, left.rows, max_languages)
-    draw = Window.partitionBy("lang").orderBy("h", "id", "c")
-    keyed = rows.select("lang", "id", F.xxhash64("id").alias("h"), F.crc32(F.col("t").cast("binary")).alias("c"))
-    drawn = keyed.filter(F.col("lang").isin(top)).withColumn("rn", F.row_number().over(draw)).filter(F.col("rn") <= sample)
+    elif not max_languages and len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels: merge rare ones or choose max_languages")
+    if not labels:
+        return LanguageModels([], [], np.zeros((0, 2)))
+    keyed = rows.select("lang", "id", F.xxhash64("id").alias("h"), F.crc32(F.col("t").cast("binary")).alias("c"), F.octet_length("t").alias("bytes"))
+    drawn = _drawn(keyed, labels, sample)
+    over = drawn.groupBy("lang").agg(F.sum("bytes").alias("n")).filter(F.col("n") > max_sample_bytes).orderBy("lang").first()
+    if over:
+        raise ValueError(f"the {sample} sampled texts of {over.lang!r} hold {over.n} bytes: lower sample or raise max_sample_bytes={max_sample_bytes}")
     # (id, crc) pairs of the drawn rows: at most sample * languages of them, so they may be broadcast.
     picked = F.broadcast(drawn.select("lang", "id", "c", (F.pmod("rn", F.lit(FOLDS)) == 0).alias("held")).distinct())
     texts = rows.withColumn("c", F.crc32(F.col("t").cast("binary"))).join(picked, ["lang", "id", "c"]).dropDuplicates(["lang", "id", "c"])
@@ -304,8 +342,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         raw = [a.tobytes() for part in (model.grams, model.logp, model.contexts, model.backoff) for a in part]
         return pa.table({"lang": [lang], "limits": pa.array([_calibrate(list(held.values()), model)], pa.list_(pa.float64())), "arrays": pa.array([raw], pa.list_(pa.binary()))})
 
-    # One small group a language (the words of its sampled texts); at most max_languages models return.
-    found = counted.groupBy("lang").applyInArrow(build, "lang string, limits array<double>, arrays array<binary>").orderBy("lang").collect()
+    # One group a language: the distinct words of its sampled texts, at most max_sample_bytes of them.
+    found = materialize(counted.groupBy("lang").applyInArrow(build, "lang string, limits array<double>, arrays array<binary>"), "models")
+    size = found.agg(F.sum(F.aggregate("arrays", F.lit(0).cast("bigint"), lambda n, a: n + F.octet_length(a)))).first()[0] or 0
+    if size > max_model_bytes:
+        raise ValueError(f"the models hold {size} bytes: lower sample or order, or raise max_model_bytes={max_model_bytes}")
+    found = found.orderBy("lang").collect()
     models = []
     for r in found:
         a = [np.frombuffer(bytes(b), np.uint64 if i // order in (0, 2) else np.float64) for i, b in enumerate(r.arrays)]

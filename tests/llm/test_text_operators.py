@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 
 from barspark.llm import bpe_words, common, exact_dedup, langid, mixing, queries, shards, token_blocks, token_count
 
-from .conftest import edge_rows
+from .conftest import NORTH, SOUTH, edge_rows
 
 ROWS = [(r[0], r[1]) for r in edge_rows()]
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -320,6 +321,77 @@ def prefix(model, chars: str) -> float:
     return float(logp[:-1].sum())
 
 
+def plain_word(counts: dict[str, int], order: int, word: str) -> float:
+    """Log probability of a word by interpolated Kneser-Ney over dictionaries of strings, straight from the definition."""
+    grams: list[dict[str, float]] = [{} for _ in range(order)]
+    for w, n in counts.items():
+        s = f" {w} "
+        for i in range(1, len(s)):
+            for k in range(min(i, order - 1) + 1):
+                grams[k][s[i - k : i + 1]] = grams[k].get(s[i - k : i + 1], 0) + n
+    told = []
+    for k in range(order):
+        lefts: dict[str, set] = {}
+        for g in grams[k + 1] if k + 1 < order else ():
+            lefts.setdefault(g[1:], set()).add(g[0])
+        told.append({g: len(lefts[g]) if g in lefts else n for g, n in grams[k].items()})
+
+    def p(context: str, char: str) -> float:
+        k = len(context)
+        shorter = p(context[1:], char) if k else 1 / langid.ALPHABET
+        mates = {g: n for g, n in told[k].items() if g[:-1] == context}
+        if not mates:
+            return shorter
+        ones, twos = (sum(n == x for n in told[k].values()) for x in (1, 2))
+        discount = (min(ones / (ones + 2 * twos), 0.95) if ones + twos else 0.5) or 0.5
+        cut = {g: min(discount, 0.95 * n) for g, n in mates.items()}
+        g, total = context + char, sum(mates.values())
+        return (mates.get(g, 0) - cut.get(g, 0)) / total + sum(cut.values()) / total * shorter
+
+    s = f" {word} "
+    return sum(np.log(p(s[max(0, i - order + 1) : i], s[i])) for i in range(1, len(s)))
+
+
+def test_cross_entropies_equal_a_plain_kneser_ney(spark):
+    rng = random.Random(3)
+    learnt = {"a": {}, "b": {}}
+    for lang, syllables in (("a", NORTH), ("b", SOUTH)):
+        for _ in range(120):
+            w = "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+            learnt[lang][w] = learnt[lang].get(w, 0) + rng.randint(1, 3)
+    models = [langid.CharModel.fit(list(c), np.array(list(c.values()), np.float64)) for c in learnt.values()]
+    texts = [" ".join(rng.choice(list(learnt[x])) for _ in range(4)) + y for x, y in zip("abab", (" thque", " zebra", "", " ció"))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = langid.predict(frame, langid.LanguageModels(["a", "b"], models, np.array([[2.0, 0.0], [2.0, 0.0]]))).collect()
+    for r in got:
+        words = texts[r.id].split()
+        length = sum(len(w) + 1 for w in words)
+        cross = [-sum(plain_word(c, langid.ORDER, w) for w in words) / length for c in learnt.values()]
+        assert r.cross_entropy == pytest.approx(min(cross), rel=1e-9)
+        assert r.lang_pred == "ab"[int(np.argmin(cross))] and r.rejected == (min(cross) > 2.0)
+        assert r.score == pytest.approx(1 / sum(np.exp(-10 * (x - min(cross))) for x in cross))
+
+
+def test_the_draw_is_the_smallest_hashes_whatever_the_limit(spark):
+    ids = [(f"{i}", "many") for i in range(3000)] + [(f"{i}", "few") for i in range(30)] + [("same", "hot")] * 2000 + [(f"{i}", "hot") for i in range(200)]
+    keyed = spark.createDataFrame(ids, "id string, lang string").select("lang", "id", F.xxhash64("id").alias("h"), F.crc32(F.encode("id", "utf-8")).alias("c")).repartition(6)
+    rows = {"many": 3000, "few": 30, "hot": 2200}
+    every = sorted((r.lang, r.h, r.id) for r in keyed.collect())
+    want = [x for lang in rows for x in [r for r in every if r[0] == lang][:50]]
+    for margin in (4, 0.2):  # the second lets too few rows through, so all languages are drawn again
+        assert sorted((r.lang, r.h, r.id) for r in langid._drawn(keyed, rows, 50, margin).collect()) == sorted(want)
+
+
+def test_bounds_of_the_language_models_are_errors(edge, monkeypatch):
+    with pytest.raises(ValueError, match="max_sample_bytes"):
+        langid.fit(edge, sample=15, max_sample_bytes=1000)
+    with pytest.raises(ValueError, match="max_model_bytes"):
+        langid.fit(edge, sample=15, max_model_bytes=1000)
+    monkeypatch.setattr(langid, "MAX_LABELS", 1)
+    with pytest.raises(ValueError, match="labels"):
+        langid.fit(edge, sample=15)
+
+
 def test_held_out_accuracy_on_documents(spark):
     out = queries.op1_kneser_ney_langid(spark, "/root/testdata/sf0.001")
     truth = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang")
