@@ -25,10 +25,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barspark.llm.common import WordTable, arrow_slices, distinct, forget_kept, gather, kept_by_worker, library_ids, library_tokenizer, runs_of
+from barspark.llm.common import (
+    NumberTable, WordTable, arrow_slices, distinct, forget_kept, gather, kept_by_worker, library_ids, library_tokenizer, runs_of, sums_by_text,
+)
 
 #: Bytes of a block; a task's documents beyond it start another block.  A longer text is a block.
 BLOCK_BYTES = 16_000_000
@@ -278,3 +280,28 @@ def encode_decode(docs: DataFrame, load: Callable[[], Codec], name: str, id_col:
     both = encoded.unionByName(numbers).select("block", "sign", "kind", "ids", "at", "body")
     placed = both.repartition(parts, "block").sortWithinPartitions("block", "kind")
     return placed.mapInArrow(_join_by_position(load, name), "id bigint, ids array<int>, decoded string")
+
+
+def token_counter(load: Callable[[], object], name: str) -> Callable[[Column], Column]:
+    """A function from a text column to its number of tokens, where the ids themselves aren't wanted (null and empty: 0).
+
+    ``load()`` opens the tokenizer (tokenizers library) of vocabulary ``name`` on a worker, which keeps it with a bounded
+    table of its words' counts.  Whole texts are cut as for :func:`encode_decode`; a slice's distinct words are looked up once.
+    """
+
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def lengths() -> NumberTable:
+            tok = load()
+            return NumberTable(lambda words: np.array([len(ids) // 4 for ids in library_ids(tok, words)], np.int64))
+
+        table = kept_by_worker(("lengths", name), lengths)
+        for texts in batches:
+            sums = [np.zeros(0, np.int64)]
+            for _, part in arrow_slices([pa.RecordBatch.from_arrays([texts], ["t"])], "t"):
+                words, counts = cut_words(part)
+                seen, at = distinct(words)
+                rows = table.rows(seen.to_pylist())
+                sums.append(sums_by_text(table.matrix[rows][at].astype(np.int64), counts))
+            yield pa.array(np.concatenate(sums), pa.int64())
+
+    return F.arrow_udf(count, "bigint")

@@ -16,6 +16,7 @@ prod(len(targets) + 1) cells whatever the data, and this table is what the drive
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -65,6 +66,10 @@ def tokens_of(text: Column) -> Column:
     return F.ceil(F.octet_length(F.coalesce(text, F.lit(""))) / 4).cast("bigint")
 
 
+#: How documents weigh: a column of counts, a function from the text column to its count, or None for :func:`tokens_of`.
+Weights = str | Callable[[Column], Column] | None
+
+
 def classed(column: Column, targets: dict[str, float]) -> Column:
     return F.when(column.isin(list(targets)), column).otherwise(F.lit(OTHER)) if targets else F.lit(OTHER)
 
@@ -197,16 +202,17 @@ def with_probability(docs: DataFrame, columns: list[Column], targets: list[dict[
     return keyed.join(F.broadcast(cells), names, "left").withColumn(f"{prefix}p", F.coalesce(f"{prefix}c", F.lit(0.0)))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id", tokens: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id", tokens: Weights = None, topic: str | None = None) -> DataFrame:
     """Every document with its cell, token weight, probability and whether it is drawn, and nothing dropped.
 
     ``targets`` has ``source``, ``lang`` and ``topic`` dictionaries.  ``tokens`` names a column of token counts
-    (null: 0); without it the weight is :func:`tokens_of` the text, which counts bytes.  Columns: ``id, source, lang, topic,
-    tokens, probability, kept``.  Null source or language counts as ``OTHER``; documents without text
+    (null: 0) or makes one from the text; without it the weight is :func:`tokens_of` the text, which counts bytes.  ``topic``
+    names a column of topics; without it they are :func:`topic_of` the text.  Columns: ``id, source, lang, topic,
+    tokens, probability, kept``.  Null source, language or given topic counts as ``OTHER``; documents without text
     weigh 0 tokens and are drawn by their cell's chance.  Repeated rows share one draw; an empty
     table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"), _weight(text, tokens))
+    rows = docs.select(F.col(id_col).alias("id"), *_inputs(source, lang, text, tokens, topic))
     columns, want, raked = _plan(rows, targets)
     out = with_probability(rows, columns, want, raked, [F.col("id"), F.md5(F.coalesce("t", F.lit("")))])
     return out.select(
@@ -215,13 +221,19 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "so
     )
 
 
-def _weight(text: str, tokens: str | None) -> Column:
-    given = tokens_of(F.col(text).cast("string")) if tokens is None else F.coalesce(F.col(tokens).cast("bigint"), F.lit(0))
-    return given.alias("n")
+def _inputs(source: str, lang: str, text: str, tokens: Weights, topic: str | None) -> list[Column]:
+    """Source ``s``, language ``l``, text ``t``, topic ``o`` and weight ``n`` of a document."""
+    t = F.col(text).cast("string")
+    if tokens is None:
+        weight = tokens_of(t)
+    else:
+        weight = F.coalesce((F.col(tokens) if isinstance(tokens, str) else tokens(t)).cast("bigint"), F.lit(0))
+    about = topic_of(t) if topic is None else F.col(topic).cast("string")
+    return [F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), t.alias("t"), about.alias("o"), weight.alias("n")]
 
 
 def _plan(rows: DataFrame, targets: dict[str, dict[str, float]]) -> tuple[list[Column], list[dict[str, float]], Raked]:
-    columns = [F.col("s"), F.col("l"), topic_of(F.col("t"))]
+    columns = [F.col("s"), F.col("l"), F.col("o")]
     want = [targets.get(k, {}) for k in DIMENSIONS]
     raked = cell_weights(rows, columns, want, F.col("n"))
     _report(raked)
@@ -229,31 +241,37 @@ def _plan(rows: DataFrame, targets: dict[str, dict[str, float]]) -> tuple[list[C
 
 
 def _report(raked: Raked) -> None:
-    """Logs the margins reached; a target missed by more than ``SHORT`` of it, or raking that did not settle, is a warning."""
+    """Logs the margins reached; a target missed by more than ``SHORT`` of it, or raking that did not settle, is a warning.
+
+    That no category is left for ``OTHER`` is none: its share goes to the named ones."""
     if raked.error > TOLERANCE:
         _LOG.warning("raking: margins off by up to %.3g after %d sweeps: the targets contradict each other or need more sweeps", raked.error, raked.sweeps)
     for d, name, target, held, reached in raked.margins(raked.probability(TRIM, SHORT)):
-        level = logging.WARNING if raked.cells and reached < (1 - SHORT) * target - 1e-9 else logging.INFO
+        missed = raked.cells and reached < (1 - SHORT) * target - 1e-9 and not (name == OTHER and held == 0)
+        level = logging.WARNING if missed else logging.INFO
         _LOG.log(level, "mix: %s %r: target %.4f, in the table %.4f, reached %.4f", DIMENSIONS[d], name, target, held, reached)
 
 
-def margins(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", tokens: str | None = None) -> DataFrame:
+def margins(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", tokens: Weights = None, topic: str | None = None) -> DataFrame:
     """Target, share in the table and expected share in the sample of every category, and the raking's error.
 
     Columns: ``dimension, category, target, held, reached, error``; one row a category, present or only
     named.  A category without tokens can't be met: it has ``reached`` 0, and the others share its target.
     """
-    rows = docs.select(F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"), _weight(text, tokens))
+    rows = docs.select(*_inputs(source, lang, text, tokens, topic))
     raked = _plan(rows, targets)[2]
     found = [(DIMENSIONS[d], *rest, raked.error) for d, *rest in raked.margins(raked.probability(TRIM, SHORT))]
     return docs.sparkSession.createDataFrame(found, "dimension string, category string, target double, held double, reached double, error double")
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id", tokens: str | None = None) -> DataFrame:
-    """The drawn documents, all columns as they came."""
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]], source: str = "source", lang: str = "lang", text: str = "text", id_col: str = "doc_id", tokens: Weights = None, topic: str | None = None) -> DataFrame:
+    """The drawn documents, all columns as they came; arguments, nulls, empty texts and repeated rows as in :func:`mix`.
+
+    The weights are needed for raking alone: the pass that draws doesn't compute them again."""
     own = [f"_c{i}" for i in range(len(docs.columns))]
-    at = {c: own[docs.columns.index(c)] for c in (source, lang, text, id_col, tokens) if c is not None}
-    rows = docs.toDF(*own).select("*", F.col(at[source]).cast("string").alias("s"), F.col(at[lang]).cast("string").alias("l"), F.col(at[text]).cast("string").alias("t"), _weight(at[text], at.get(tokens)))
+    at = {c: own[docs.columns.index(c)] for c in (source, lang, text, id_col, tokens, topic) if isinstance(c, str)}
+    weights = at[tokens] if isinstance(tokens, str) else tokens
+    rows = docs.toDF(*own).select("*", *_inputs(at[source], at[lang], at[text], weights, at.get(topic)))
     columns, want, raked = _plan(rows, targets)
     out = with_probability(rows, columns, want, raked, [F.col(at[id_col]), F.md5(F.coalesce("t", F.lit("")))])
     return out.filter(F.col("_mix_u") < F.col("_mix_p")).select(*own).toDF(*docs.columns)

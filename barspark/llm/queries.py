@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barspark.llm import ann, bpe_words, chat, exact_dedup, fim, langid, mixing, oracles, quality, shards, simhash, token_blocks, token_count, vector_codes
+from barspark.llm.common import library_tokenizer
 
 BYTES = "byte_bpe_50k.json"
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -79,6 +80,11 @@ def op4_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"))
 
 
+def token_weights(text: Column) -> Column:
+    """Tokens of whole texts under the byte-level 50k vocabulary."""
+    return bpe_words.token_counter(lambda: library_tokenizer(tokenizer_path(BYTES)), BYTES)(text)
+
+
 def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its 3-word-shingle fingerprint and its component at 3 differing bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -28,8 +28,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents by probabilities raked to the source, language and topic targets."""
-    return mixing.sample(docs, queries.MIX)
+    """Samples documents by probabilities raked to the source, language and topic targets.
+
+    They weigh the tokens that the next stage encodes them in."""
+    return mixing.sample(docs, queries.MIX, tokens=queries.token_weights)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
