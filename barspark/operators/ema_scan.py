@@ -12,11 +12,12 @@ averages and ``w = 1 - b``::
    windows) give every row's state as if the block began at zero, and the block's ``c`` at its last row.
 2. The blocks' maps are composed by a scan: ``FAN`` blocks a group, the groups' maps again by groups, until one
    group a ticker is left.  The tables shrink by ``FAN`` at each level.
-3. Every row adds ``A(k)`` applied to the state carried into its block.
+3. Every row adds ``A(k)`` applied to the state carried into its block.  The states of a chunk's blocks are one
+   array, joined to its rows where these lie: the join neither moves nor sorts them.
 
 Nothing depends on how long a chunk is (there is no warm-up halo): the result is the recursion from the first
-row.  Window tasks hold a ticker of at most ``chunk_rows`` rows or one chunk of a longer one
-(:func:`barspark.operators.sequence.frame`).
+row.  Window tasks hold about ``TASK_ROWS`` rows, in tickers of at most ``chunk_rows`` rows and chunks of longer
+ones (:func:`barspark.operators.sequence.frame`).
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barspark.functions.features import MACD_FAST, MACD_SIGNAL, MACD_SLOW, ema_alpha
-from barspark.operators.sequence import CHUNK, broadcast_if_small, chunk_window, configured_chunk_rows, frame, time_order
+from barspark.operators.sequence import CHUNK, SEQ, broadcast_if_small, chunk_window, configured_chunk_rows, frame, time_order
 from barspark.schemas import DATE, TICKER
 from barspark.session import materialize
 
@@ -77,14 +78,16 @@ def _then(maps: MacdMaps, first: Column, second: Column) -> Column:
     return F.struct((first["n"] + second["n"]).alias("n"), *[out[k].alias(k) for k in _MAP])
 
 
-def _carries(blocks: DataFrame, keys: list[str], maps: MacdMaps, fan: int) -> DataFrame:
+def _carries(blocks: DataFrame, keys: list[str], maps: MacdMaps, fan: int, partitions: int | None = None) -> DataFrame:
     """``keys, _block, in_fast, in_slow, in_signal``: the state before each block, from ``keys, _block, map``.
 
     A ticker's first block holds its seed in its constants, so the state before it counts as zero.
+    ``partitions`` deals out the groups of many blocks.
     """
     w = Window.partitionBy(*keys, _GROUP).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.struct(F.lit(0).cast("bigint").alias("n"), *[F.lit(0.0).alias(k) for k in _MAP])
     grouped = blocks.withColumn(_GROUP, F.floor(F.col(_BLOCK) / fan))
+    grouped = grouped.repartition(partitions, *keys, _GROUP) if partitions else grouped
     before = F.aggregate(F.collect_list("map").over(w), zero, lambda acc, m: _then(maps, acc, m))  # under `fan` maps
     # written: the level above and the rows below read the same prefixes
     placed = materialize(grouped.withColumn("before", before), "ema-blocks")
@@ -121,8 +124,10 @@ def macd_scan(
     names = [f"ema_{fast}", f"ema_{slow}", "macd", "macd_signal"]
     has_close = F.col("close").isNotNull() & ~F.isnan("close")
     rows = frame(bars.where(has_close).select(*keys, *order), keys, order, chunk_rows=size)
-    at = F.row_number().over(chunk_window(keys, order)) - 1
+    dealt, sequenced = rows._barspark_partitions, rows._barspark_sequenced
     per_chunk = -(-size // block_rows)
+    # where every row has its position, no window (nor its sort) counts it again
+    at = F.col(SEQ) - F.col(CHUNK) * size if sequenced else F.row_number().over(chunk_window(keys, order)) - 1
     rows = rows.withColumn("_at", at.cast("bigint")).withColumns(
         {_BLOCK: F.col(CHUNK) * per_chunk + F.floor(F.col("_at") / block_rows), _STEP: F.col("_at") % block_rows + 1}
     )
@@ -135,10 +140,17 @@ def macd_scan(
     rows = rows.withColumn("own_signal", maps.decayed_sum("signal", line, w))
 
     last = F.max_by(F.struct(F.col(_STEP).alias("n"), *[F.col(f"own_{k}").alias(k) for k in _MAP]), _STEP)
-    blocks = rows.groupBy(*keys, _BLOCK, CHUNK).agg(last.alias("map")).drop(CHUNK)
-    carried = _carries(blocks, keys, maps, fan)
-    rows = rows.join(broadcast_if_small(carried, carried.count()), [*keys, _BLOCK])
-    state = maps.apply(_fields("in_"), F.col(_STEP), _fields("own_"))
+    # grouped in the order that the windows' rows have
+    blocks = rows.groupBy(*keys, CHUNK, _BLOCK).agg(last.alias("map")).drop(CHUNK)
+    carried = _carries(blocks, keys, maps, fan, dealt).withColumn(CHUNK, F.floor(F.col(_BLOCK) / per_chunk))
+    n_carried = carried.count()
+    carried = carried.repartition(dealt, *keys, CHUNK) if dealt else carried
+    states = F.sort_array(F.collect_list(F.struct(_BLOCK, *[f"in_{k}" for k in _MAP]))).alias("_states")
+    carried = carried.groupBy(*keys, CHUNK).agg(states)  # one state a block of the chunk
+    rows = rows.join(broadcast_if_small(carried, n_carried), [*keys, CHUNK])
+    before = F.get("_states", (F.col(_BLOCK) - F.col(CHUNK) * per_chunk).cast("int"))
+    rows = rows.withColumn("_before", before)
+    state = maps.apply({k: F.col("_before")[f"in_{k}"] for k in _MAP}, F.col(_STEP), _fields("own_"))
     out = rows.select(
         *keys, time, "close", state["fast"].alias(names[0]), state["slow"].alias(names[1]),
         (state["fast"] - state["slow"]).alias("macd"), state["signal"].alias("macd_signal"),

@@ -72,3 +72,25 @@ def test_no_python_in_the_plan(spark, name):
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
+
+
+def test_scan_tasks_are_sized_by_rows(spark, monkeypatch):
+    from barspark.operators import sequence as Q
+
+    pdf = pd.concat([seasonal_bars(257, "AAA", seed=1), seasonal_bars(41, "BBB", seed=2)])
+    monkeypatch.setattr(Q, "TASK_ROWS", 20)
+    monkeypatch.setattr(Q, "BROADCAST_BYTES", 0)
+    for cap in (None, "1"):  # hot tickers listed, and too many to list
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            if cap:
+                spark.conf.set(Q.MAX_HOT_KEYS_CONF, cap)
+            df = macd_scan(to_bars(spark, pdf), chunk_rows=32, block_rows=8, fan=2)
+            assert df.rdd.getNumPartitions() >= 15  # 8 in the session
+            got = collect_sorted(df)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset(Q.MAX_HOT_KEYS_CONF)
+        for ticker, own in pdf.groupby("ticker"):
+            mine = got[got.ticker == ticker][["ema_12", "ema_26", "macd", "macd_signal"]].to_numpy()
+            np.testing.assert_allclose(mine, recursion(own["close"]), rtol=1e-11, atol=1e-11)

@@ -55,3 +55,26 @@ def test_chunk_size_from_session_conf(spark):
         spark.conf.unset(Q.CHUNK_ROWS_CONF)
     rows = Q.frame(to_bars(spark, pdf), ["ticker"], ["date"], back=2)
     assert rows.select(Q.CHUNK).distinct().count() == 1
+
+
+def test_window_tasks_are_sized_by_rows_not_by_the_session(spark, monkeypatch):
+    pdf = pd.concat([seasonal_bars(n, t, seed=i) for i, (t, n) in enumerate([("A", 700), ("B", 30), ("C", 270)])])
+    bars = to_bars(spark, pdf)
+    assert Q.task_partitions(spark, Q.TASK_ROWS) is None
+    monkeypatch.setattr(Q, "TASK_ROWS", 50)
+    assert Q.task_partitions(spark, 1000) == 20 > Q.shuffle_partitions(spark)
+    for size in (10, 300, 1000):  # every ticker hot, some, none
+        rows = Q.frame(bars, ["ticker"], ["date"], back=2, chunk_rows=size)
+        out = rows.withColumn("n", F.row_number().over(Q.chunk_window(["ticker"], ["date"])))
+        assert out.rdd.getNumPartitions() >= 20
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        final = out._jdf.queryExecution().executedPlan().toString().split("Window", 1)[1]
+        assert plan.count("REPARTITION_BY_NUM") >= 1 and "ENSURE_REQUIREMENTS" not in final.split("REPARTITION_BY_NUM")[0]
+        assert out.where(F.col(Q.CORE)).count() == 1000
+
+
+def test_no_task_sizing_without_keys_in_one_chunk(spark, monkeypatch):
+    monkeypatch.setattr(Q, "TASK_ROWS", 10)
+    df = spark.createDataFrame([(float(i),) for i in range(40)], "s double")
+    rows = Q.frame(df, [], ["s"])
+    assert [r["n"] for r in rows.select(F.row_number().over(Q.chunk_window([], ["s"])).alias("n")).collect()] == list(range(1, 41))
