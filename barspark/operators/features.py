@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from barspark.functions.features import DIFF, R1, FeatureSet, helper_columns
 from barspark.operators import ema as ema_op
-from barspark.operators.sequence import CHUNK, CORE, SEQ, chunk_window, core_only, frame, time_order
+from barspark.operators.sequence import CORE, chunk_window, core_only, frame, time_order
 from barspark.schemas import DATE, TICKER
 
 
@@ -70,8 +70,7 @@ def ema_table(
     halo = ema_halo if ema_halo is not None else ema_op.ema_halo()
     rows = sequenced_chunks(bars, back=halo, keys=keys, time=time, chunk_rows=chunk_rows)
     order = time_order(bars, time)
-    rows = rows.select(*keys, *order, SEQ, CHUNK, CORE)
-    rows = ema_op.with_macd(rows, keys, ["ema_12", "ema_26", "macd", "macd_signal"], order)
+    rows = ema_op.with_macd(rows, keys, ["ema_12", "ema_26", "macd", "macd_signal"], order, keep=[time, CORE])
     return core_only(rows).select(*keys, time, "close", "ema_12", "ema_26", "macd", "macd_signal")
 
 
