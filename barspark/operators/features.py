@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from barspark.functions.features import DIFF, R1, FeatureSet, helper_columns
+from barspark.functions.features import HELPERS, FeatureSet, with_helpers
 from barspark.operators import ema as ema_op
 from barspark.operators.sequence import CORE, chunk_window, core_only, frame, time_order
 from barspark.schemas import DATE, TICKER
@@ -46,10 +46,9 @@ def compute_features(
     extra = extra or {}
     rows = sequenced_chunks(bars, back=fs.lookback, fwd=fwd, keys=keys, time=time, chunk_rows=chunk_rows)
     w = chunk_window(keys, time_order(bars, time))
-    helpers = helper_columns(w)
-    rows = rows.withColumns(helpers)
+    rows = with_helpers(rows, w)
     rows = rows.withColumns({f.name: f.build(w) for f in fs.window_features})
-    rows = rows.withColumns({name: build(w) for name, build in extra.items()}).drop(R1, DIFF)
+    rows = rows.withColumns({name: build(w) for name, build in extra.items()}).drop(*HELPERS)
     if fs.pandas_features:
         rows = ema_op.with_pandas_features(rows, keys, fs.pandas_features, time_order(bars, time))
     out = core_only(rows).select(*keys, time, *keep, *fs.feature_names, *extra.keys())
@@ -88,7 +87,7 @@ def window_columns(
     keys = keys or [TICKER]
     rows = sequenced_chunks(bars, back=back, fwd=fwd, keys=keys, time=time, chunk_rows=chunk_rows)
     w = chunk_window(keys, time_order(bars, time))
-    rows = rows.withColumns(helper_columns(w))
+    rows = with_helpers(rows, w)
     rows = rows.withColumns({name: build(w) for name, build in columns.items()})
     keep = keep if keep is not None else [c for c in bars.columns if c not in keys and c != time]
     return core_only(rows).select(*keys, time, *keep, *columns.keys())

@@ -51,7 +51,7 @@ def bars_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     return (
         li.select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
-        .groupBy(F.col("l_suppkey").cast("string").alias(TICKER), F.col("l_shipdate").cast("timestamp_ntz").alias(DATE))
+        .groupBy("l_suppkey", F.col("l_shipdate").cast("timestamp_ntz").alias(DATE))
         .agg(
             F.min_by("l_extendedprice", order).alias("open"),
             F.max("l_extendedprice").alias("high"),
@@ -59,6 +59,8 @@ def bars_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max_by("l_extendedprice", order).alias("close"),
             F.sum("l_quantity").alias("volume"),
         )
+        # the key becomes text after the grouping: numbers are shorter to sort and move
+        .select(F.col("l_suppkey").cast("string").alias(TICKER), DATE, "open", "high", "low", "close", "volume")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barspark.functions.features import Feature, FeatureSet, helper_columns
+from barspark.functions.features import Feature, FeatureSet, with_helpers
 from barspark.operators.features import compute_features
 from barspark.schemas import DATE, TICKER, TRAINING_STATS
 from barspark.session import materialize
@@ -100,7 +100,7 @@ def latest_features(
     tail = tail_n(bars, n, keys, time)
     # the slice holds at most n rows per ticker: a plain per-ticker window is bounded here
     w = Window.partitionBy(*keys).orderBy(time)
-    rows = tail.withColumns(helper_columns(w))
+    rows = with_helpers(tail, w)
     cols = {f.name: f.online_column(w) for f in fs.features if f not in called}
     rows = rows.withColumns(cols).withColumn("_last", F.row_number().over(w.orderBy(F.col(time).desc())))
     if called:

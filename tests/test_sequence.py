@@ -78,3 +78,14 @@ def test_no_task_sizing_without_keys_in_one_chunk(spark, monkeypatch):
     df = spark.createDataFrame([(float(i),) for i in range(40)], "s double")
     rows = Q.frame(df, [], ["s"])
     assert [r["n"] for r in rows.select(F.row_number().over(Q.chunk_window([], ["s"])).alias("n")).collect()] == list(range(1, 41))
+
+
+def test_run_offsets_are_broadcast_by_their_real_size(spark, monkeypatch):
+    """Short keys take less than the 64 bytes that an unmeasured string counts as."""
+    bars = to_bars(spark, pd.concat([seasonal_bars(3, f"{i}", seed=i) for i in range(40)]))
+    monkeypatch.setattr(Q, "BROADCAST_BYTES", 4500)  # 43 runs at most: 60 bytes each, where 96 would be too many
+    plan = Q.sequence(bars, ["ticker"], ["date"], partitions=4).rows._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" in plan
+    monkeypatch.setattr(Q, "BROADCAST_BYTES", 1500)
+    plan = Q.sequence(bars, ["ticker"], ["date"], partitions=4).rows._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" not in plan
